@@ -21,6 +21,7 @@ from fieldpulse.session import scratch_path
 from fieldpulse.sources import tables
 from fieldpulse.sources.events import (
     EVENTS_DDL,
+    event_k,
     messages_from_events,
     read_events,
     readings_from_events,
@@ -98,14 +99,14 @@ def _parsed_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _sent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What devices sent: an outdated topic inside, one unknown field, and chat text."""
+    """What devices sent: an unknown field, some with an outdated topic, and chat text."""
     readings = readings_from_events(
         read_events(spark, sf_dir), dense=True, keep=["event_id", "props"]
     )
     body = F.struct(
         *[name for name in READING_FIELDS if name != "mqtt_topic"],
-        F.lit("sent/by/device").alias("mqtt_topic"),
-        F.get_json_object("props", "$.k").cast("int").alias("k"),
+        F.when(F.col("sensor_type") == "vibration", "sent/by/device").alias("mqtt_topic"),
+        event_k().alias("k"),
     )
     from_devices = readings.select(
         F.lit("events").alias("origin"),
@@ -154,15 +155,8 @@ def parse_readings(spark, sf_dir):
 @query
 def enrich_topic(spark, sf_dir):
     enriched = ingest.enrich_topic(_sent(spark, sf_dir))
-    field = lambda name, kind: F.variant_get(F.col("fields")[name], "$", kind).alias(name)
-    return enriched.select(
-        "record_id",
-        field("mqtt_topic", "string"),
-        field("device_id", "string"),
-        field("value", "double"),
-        field("k", "int"),
-        F.size("fields").alias("n_fields"),
-    )
+    fields = F.from_json("value", "mqtt_topic STRING, device_id STRING, value DOUBLE, k INT")
+    return enriched.select("record_id", F.inline(F.array(fields)))
 
 
 @query
@@ -209,9 +203,7 @@ def reject_reasons(spark, sf_dir):
 @query
 def constraint_violations(spark, sf_dir):
     checked = quality.check_contract(_readings(spark, sf_dir), TIGHT_CONTRACT)
-    return quality.violating(checked).select(
-        "event_id", "device_id", F.concat_ws(",", "violations").alias("violations")
-    )
+    return quality.violating(checked).select("event_id", "device_id", "violations")
 
 
 # --- Window statistics ------------------------------------------------------
@@ -337,8 +329,9 @@ def device_current(spark, sf_dir):
 @query
 def device_current_streamed(spark, sf_dir):
     """Messages streamed into the partial-state table, merged on reading."""
-    base = _run_readings_stream(spark, sf_dir)
-    return tables.read_device_current(spark, f"{base}/states")
+    path = scratch_path(spark, "states")
+    _run_readings_stream(spark, sf_dir, sinks=[sinks.states_sink(path)])
+    return tables.read_device_current(spark, path)
 
 
 @query
@@ -359,15 +352,17 @@ def latest_version_readings(spark, sf_dir):
 @query
 def readings_streamed(spark, sf_dir):
     """Messages streamed into the reading table, latest versions read back."""
-    base = _run_readings_stream(spark, sf_dir)
-    return tables.read_readings(spark, f"{base}/readings", whole_seconds=True)
+    path = scratch_path(spark, "readings")
+    _run_readings_stream(spark, sf_dir, sinks=[sinks.readings_sink(path)])
+    return tables.read_readings(spark, path, whole_seconds=True)
 
 
 @query
 def rejects_streamed(spark, sf_dir):
     """Messages the stream refused, with their reason and payload."""
-    base = _run_readings_stream(spark, sf_dir)
-    return tables.read_rejects(spark, f"{base}/rejects").drop("payload", "ingest_time")
+    path = scratch_path(spark, "rejects")
+    _run_readings_stream(spark, sf_dir, sinks=[], reject_sinks=[sinks.rejects_sink(path)])
+    return tables.read_rejects(spark, path).drop("payload", "ingest_time")
 
 
 @query
@@ -391,17 +386,14 @@ def _message_stream(spark: SparkSession, sf_dir: str, files: int | None = None)
     return messages_from_events(events, dense=True, keep=["event_id"])
 
 
-def _run_readings_stream(spark: SparkSession, sf_dir: str) -> str:
-    """Run the readings stream over all events; returns the folder of its tables."""
-    base = scratch_path(spark, "readings-stream")
+def _run_readings_stream(spark: SparkSession, sf_dir: str, **outputs) -> None:
+    """Run the readings stream over all events to its end."""
     jobs.start_readings(
         _message_stream(spark, sf_dir, FILES_PER_BATCH),
-        [sinks.readings_sink(f"{base}/readings"), sinks.states_sink(f"{base}/states")],
-        f"{base}/checkpoint",
-        reject_sinks=[sinks.rejects_sink(f"{base}/rejects")],
+        checkpoint=scratch_path(spark, "checkpoint"),
         keep=["ingest_time"],
+        **outputs,
     ).awaitTermination()
-    return base
 
 
 # --- Contract ---------------------------------------------------------------

@@ -51,10 +51,10 @@ def reject_reason(
 
 
 def contract_violations(contract: dict[str, ColumnRule] = READING_CONTRACT) -> Column:
-    """Names of the broken constraints of a row, in contract order.
+    """The broken constraints of a row, comma-separated; NULL when it conforms.
 
     ``<column>:null`` for a missing required value, ``<column>:length`` for text
-    with more characters than allowed.  An empty array means the row conforms.
+    with more characters than allowed, in contract order.
     """
     found = []
     for name, rule in contract.items():
@@ -62,7 +62,7 @@ def contract_violations(contract: dict[str, ColumnRule] = READING_CONTRACT) -> C
             found.append(F.when(F.col(name).isNull(), f"{name}:null"))
         if rule.max_length is not None:
             found.append(F.when(F.length(name) > rule.max_length, f"{name}:length"))
-    return F.array_compact(F.array(*found)) if found else F.array().cast("array<string>")
+    return F.nullif(F.concat_ws(",", *found), F.lit(""))
 
 
 def z_score(value: Column, mean: Column, stddev: Column) -> Column:

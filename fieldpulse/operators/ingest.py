@@ -9,6 +9,8 @@ from fieldpulse.schema import READING_DDL, READING_FIELDS
 
 # Microseconds and offset, so that writing and parsing a timestamp is lossless.
 JSON_TIMESTAMP = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+# JSON as the standard has it; Spark also takes single quotes by default.
+_STRICT = {"allowSingleQuotes": "false"}
 
 
 def decode_payload(payload: str | Column) -> Column:
@@ -47,47 +49,55 @@ def filter_topics(messages: DataFrame, pattern: str = "sensors/#", topic: str =
     return messages.filter(topic_matches(F.col(topic), pattern))
 
 
-def enrich_topic(messages: DataFrame, payload: str = "value", topic: str = "topic") -> DataFrame:
-    """The message object with ``mqtt_topic`` set to the topic it arrived on.
+def with_topic(text: Column, topic: Column) -> Column:
+    """A JSON object as text with ``mqtt_topic`` set, NULL for anything else.
 
-    Adds ``fields``, the whole object as ``map<string, variant>``: values keep
-    their JSON type, unknown and nested fields pass through, an ``mqtt_topic``
-    sent by the device is overwritten, the last of duplicate names wins.
-    Messages that are not JSON objects are dropped; the reject route of
-    :mod:`fieldpulse.operators.quality` is where they can be kept.
+    The field goes in at the end, so every other field keeps its exact text,
+    known or not.  An ``mqtt_topic`` the object already has is taken out first.
+    Reading the field back from the result proves that the input was one whole
+    object: after a broken or cut one, or one followed by other text, it is
+    not there.
     """
-    sent = F.inline(F.array(F.struct(
-        F.from_json(decode_payload(payload), "map<string,variant>").alias("sent_fields")
-    )))
-    others = F.map_filter("sent_fields", lambda name, _: name != "mqtt_topic")
-    lineage = F.create_map(F.lit("mqtt_topic"), F.col(topic).cast("variant"))
-    return (
-        messages.select("*", sent)
-        .filter(F.col("sent_fields").isNotNull())
-        .withColumn("sent_fields", others)
-        .withColumn("fields", F.map_concat(_last_wins("sent_fields"), lineage))
-        .drop("sent_fields")
+    body = F.trim(text, F.lit(" \t\r\n"))
+    others = F.to_json(
+        F.map_filter(
+            F.from_json(body, "map<string,variant>", _STRICT), lambda name, _: name != "mqtt_topic"
+        )
     )
+    fields = F.when(body.contains('"mqtt_topic"'), others).otherwise(body)
+    opened = F.left(fields, F.length(fields) - 1)
+    comma = F.when(opened.rlike("^\\{\\s*$"), "").otherwise(",")
+    added = F.to_json(F.struct(topic.alias("mqtt_topic")))
+    result = F.concat(opened, comma, F.substring(added, 2, 2**31 - 1))
+    return F.when(F.endswith(fields, F.lit("}")), result)
+
 
+def enrich_topic(messages: DataFrame, payload: str = "value", topic: str = "topic") -> DataFrame:
+    """Messages with the topic they arrived on written into their JSON.
 
-def _last_wins(fields: str) -> Column:
-    """A map without duplicate keys; building one with duplicates would fail the job."""
-    names = F.map_keys(fields)
-    entries = F.reverse(F.map_entries(fields))
-    distinct = F.array_distinct(F.reverse(names))
-    rebuilt = F.map_from_arrays(
-        distinct,
-        F.transform(distinct, lambda n: F.filter(entries, lambda e: e["key"] == n)[0]["value"]),
+    ``payload`` becomes text.  Messages that are not valid UTF-8 or not a JSON
+    object are dropped; the reject route of :mod:`fieldpulse.operators.quality`
+    is where they are kept.
+    """
+    others = [name for name in messages.columns if name != payload]
+    stamped = _computed_once(
+        messages, others, payload, with_topic(decode_payload(payload), F.col(topic))
     )
-    return F.when(F.size(distinct) < F.size(names), rebuilt).otherwise(F.col(fields))
+    whole = F.from_json(payload, "mqtt_topic STRING", _STRICT)["mqtt_topic"]
+    return stamped.filter(whole == F.col(topic)).select(*messages.columns)
+
+
+def _computed_once(df: DataFrame, keep: list[str], name: str, value: Column) -> DataFrame:
+    """``keep`` and ``value``; later filters on the value do not repeat its computation."""
+    return df.select(*keep, F.inline(F.array(F.struct(value.alias(name)))))
 
 
-def keyed_records(enriched: DataFrame, topic: str = "topic") -> DataFrame:
+def keyed_records(enriched: DataFrame, payload: str = "value", topic: str = "topic") -> DataFrame:
     """Enriched messages as records for a keyed log: topic path and JSON text.
 
     Equal keys go to one log partition, which keeps the order per sensor.
     """
-    return enriched.select(F.col(topic).alias("key"), F.to_json("fields").alias("value"))
+    return enriched.select(F.col(topic).alias("key"), F.col(payload).alias("value"))
 
 
 def readings_to_json(readings: DataFrame, alias: str = "value") -> Column:

@@ -96,9 +96,9 @@ def check_contract(
 
 def conforming(checked: DataFrame) -> DataFrame:
     """Checked rows a strict table takes."""
-    return checked.filter(F.size("violations") == 0).drop("violations")
+    return checked.filter(F.col("violations").isNull()).drop("violations")
 
 
 def violating(checked: DataFrame) -> DataFrame:
     """Checked rows a strict table refuses, ``violations`` kept."""
-    return checked.filter(F.size("violations") > 0)
+    return checked.filter(F.col("violations").isNotNull())

@@ -51,14 +51,20 @@ def _lookup(key: Column, table: dict[str, str]) -> Column:
     return found
 
 
+def event_k() -> Column:
+    """The number in ``props``, which is always ``{"k": <number>}``."""
+    return F.regexp_extract("props", r"(\d+)", 1).cast("int")
+
+
 def readings_from_events(events: DataFrame, dense: bool = False, keep: list[str] = ()) -> DataFrame:
     """One reading per event, with ``ingest_time``.
 
     ``dense`` compresses time so that 5-minute groups have many readings.
     ``keep`` names event columns to carry along.
     """
-    device = F.format_string("device-%03d", F.pmod("user_id", F.lit(5)) + 1)
-    k = F.get_json_object("props", "$.k").cast("int")
+    number = (F.pmod("user_id", F.lit(5)) + 1).cast("string")
+    device = F.concat(F.lit("device-"), F.lpad(number, 3, "0"))
+    k = event_k()
     time = F.col("ts")
     if dense:
         since = F.unix_micros("ts") - EPOCH_MICROS

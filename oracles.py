@@ -110,10 +110,9 @@ SELECT event_id, mqtt_topic AS topic FROM all_readings
 WHERE regexp_matches(mqtt_topic, '^sensors/[^/]*/device-003$')""",
     "parse_readings": DENSE + f" SELECT event_id, {_FIELDS} FROM all_readings",
     "enrich_topic": DENSE + """
-SELECT event_id AS record_id, mqtt_topic, device_id, value, k,
-  CAST(CASE WHEN unit IS NULL THEN 9 ELSE 10 END AS INTEGER) AS n_fields FROM all_readings
+SELECT event_id AS record_id, mqtt_topic, device_id, value, k FROM all_readings
 UNION ALL
-SELECT conv_id * 1000 + turn, 'sensors/chat', NULL, NULL, NULL, 0 FROM conversations
+SELECT conv_id * 1000 + turn, 'sensors/chat', NULL, NULL, NULL FROM conversations
 WHERE json_valid(text) AND json_type(text) = 'OBJECT'""",
     "topic_parts": DENSE + """
 SELECT event_id, split_part(mqtt_topic, '/', 2) AS topic_sensor,
