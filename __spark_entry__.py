@@ -202,8 +202,8 @@ def reject_reasons(spark, sf_dir):
 
 @query
 def constraint_violations(spark, sf_dir):
-    checked = quality.check_contract(_readings(spark, sf_dir), TIGHT_CONTRACT)
-    return quality.violating(checked).select("event_id", "device_id", "violations")
+    refused = quality.violating(_readings(spark, sf_dir), TIGHT_CONTRACT)
+    return refused.select("event_id", "device_id", "violations")
 
 
 # --- Window statistics ------------------------------------------------------

@@ -50,19 +50,30 @@ def reject_reason(
     return chain
 
 
-def contract_violations(contract: dict[str, ColumnRule] = READING_CONTRACT) -> Column:
-    """The broken constraints of a row, comma-separated; NULL when it conforms.
-
-    ``<column>:null`` for a missing required value, ``<column>:length`` for text
-    with more characters than allowed, in contract order.
-    """
+def _constraints(contract: dict[str, ColumnRule]) -> list[tuple[str, Column]]:
+    """Every constraint as its name and the condition that breaks it."""
     found = []
     for name, rule in contract.items():
         if rule.required:
-            found.append(F.when(F.col(name).isNull(), f"{name}:null"))
+            found.append((f"{name}:null", F.col(name).isNull()))
         if rule.max_length is not None:
-            found.append(F.when(F.length(name) > rule.max_length, f"{name}:length"))
-    return F.nullif(F.concat_ws(",", *found), F.lit(""))
+            found.append((f"{name}:length", F.length(name) > rule.max_length))
+    return found
+
+
+def breaks_contract(contract: dict[str, ColumnRule] = READING_CONTRACT) -> Column:
+    """True when a row breaks any constraint, false when it conforms."""
+    broken = [F.coalesce(condition, F.lit(False)) for _, condition in _constraints(contract)]
+    return reduce(Column.__or__, broken, F.lit(False))
+
+
+def contract_violations(contract: dict[str, ColumnRule] = READING_CONTRACT) -> Column:
+    """The broken constraints of a row in contract order, comma-separated.
+
+    ``<column>:null`` for a missing required value, ``<column>:length`` for text
+    with more characters than allowed; empty when the row conforms.
+    """
+    return F.concat_ws(",", *[F.when(bad, name) for name, bad in _constraints(contract)])
 
 
 def z_score(value: Column, mean: Column, stddev: Column) -> Column:

@@ -23,11 +23,6 @@ def utc_second(ts: Column) -> Column:
     return _floor_to(ts, 1_000_000)
 
 
-def utc_millis(ts: Column) -> Column:
-    """An instant narrowed to whole milliseconds."""
-    return _floor_to(ts, 1_000)
-
-
 def utc_date(ts: Column) -> Column:
     """UTC calendar date of an instant."""
     micros = F.unix_micros(ts)

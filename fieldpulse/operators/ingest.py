@@ -49,47 +49,48 @@ def filter_topics(messages: DataFrame, pattern: str = "sensors/#", topic: str =
     return messages.filter(topic_matches(F.col(topic), pattern))
 
 
-def with_topic(text: Column, topic: Column) -> Column:
-    """A JSON object as text with ``mqtt_topic`` set, NULL for anything else.
-
-    The field goes in at the end, so every other field keeps its exact text,
-    known or not.  An ``mqtt_topic`` the object already has is taken out first.
-    Reading the field back from the result proves that the input was one whole
-    object: after a broken or cut one, or one followed by other text, it is
-    not there.
-    """
-    body = F.trim(text, F.lit(" \t\r\n"))
-    others = F.to_json(
-        F.map_filter(
-            F.from_json(body, "map<string,variant>", _STRICT), lambda name, _: name != "mqtt_topic"
-        )
-    )
-    fields = F.when(body.contains('"mqtt_topic"'), others).otherwise(body)
-    opened = F.left(fields, F.length(fields) - 1)
-    comma = F.when(opened.rlike("^\\{\\s*$"), "").otherwise(",")
-    added = F.to_json(F.struct(topic.alias("mqtt_topic")))
-    result = F.concat(opened, comma, F.substring(added, 2, 2**31 - 1))
-    return F.when(F.endswith(fields, F.lit("}")), result)
-
-
 def enrich_topic(messages: DataFrame, payload: str = "value", topic: str = "topic") -> DataFrame:
     """Messages with the topic they arrived on written into their JSON.
 
-    ``payload`` becomes text.  Messages that are not valid UTF-8 or not a JSON
-    object are dropped; the reject route of :mod:`fieldpulse.operators.quality`
+    ``payload`` becomes text with the field ``mqtt_topic`` at its end; every
+    other field keeps its exact text, known or not.  An ``mqtt_topic`` the
+    device sent is taken out first.  Reading the field back proves that the
+    message was one whole object: after a broken or cut one, or one followed by
+    other text, it is not there.  Such messages, and those that are not valid
+    UTF-8, are dropped; the reject route of :mod:`fieldpulse.operators.quality`
     is where they are kept.
     """
     others = [name for name in messages.columns if name != payload]
-    stamped = _computed_once(
-        messages, others, payload, with_topic(decode_payload(payload), F.col(topic))
-    )
+    stamped = _stamped(messages.select(*others, decode_payload(payload).alias("_text")), topic)
+    # Through a generator, so that the test on the result does not repeat its making.
+    result = stamped.select(*others, F.inline(F.array(F.struct(F.col("_result").alias(payload)))))
     whole = F.from_json(payload, "mqtt_topic STRING", _STRICT)["mqtt_topic"]
-    return stamped.filter(whole == F.col(topic)).select(*messages.columns)
+    return result.filter(whole == F.col(topic)).select(*messages.columns)
 
 
-def _computed_once(df: DataFrame, keep: list[str], name: str, value: Column) -> DataFrame:
-    """``keep`` and ``value``; later filters on the value do not repeat its computation."""
-    return df.select(*keep, F.inline(F.array(F.struct(value.alias(name)))))
+def _stamped(decoded: DataFrame, topic: str) -> DataFrame:
+    """``_text`` with the topic spliced in as ``_result``, NULL if it ends in no object.
+
+    One column per step: each is used more than once by the next.
+    """
+    unpadded = F.when(F.endswith("_text", F.lit("}")), F.col("_text")).otherwise(
+        F.trim("_text", F.lit(" \t\r\n"))
+    )
+    sent_fields = F.from_json("_body", "map<string,variant>", _STRICT)
+    without = F.to_json(F.map_filter(sent_fields, lambda name, _: name != "mqtt_topic"))
+    fields = F.when(F.contains("_body", F.lit('"mqtt_topic"')), without).otherwise(F.col("_body"))
+    opened = F.when(
+        F.endswith("_fields", F.lit("}")), F.left("_fields", F.length("_fields") - 1)
+    )
+    # An object that has any field has a quoted name.
+    comma = F.when(F.contains("_opened", F.lit('"')), ",").otherwise("")
+    added = F.to_json(F.struct(F.col(topic).alias("mqtt_topic")))
+    return (
+        decoded.withColumn("_body", unpadded)
+        .withColumn("_fields", fields)
+        .withColumn("_opened", opened)
+        .withColumn("_result", F.concat("_opened", comma, F.substring(added, 2, 1 << 30)))
+    )
 
 
 def keyed_records(enriched: DataFrame, payload: str = "value", topic: str = "topic") -> DataFrame:

@@ -4,7 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from fieldpulse.functions.checks import contract_violations, in_plausible_range, reject_reason
+from fieldpulse.functions.checks import (
+    breaks_contract,
+    contract_violations,
+    in_plausible_range,
+    reject_reason,
+)
 from fieldpulse.operators.ingest import is_malformed, parse_readings
 from fieldpulse.schema import GOOD_QUALITY, PLAUSIBLE_RANGES, READING_CONTRACT, ColumnRule
 
@@ -87,18 +92,17 @@ def range_rules(spark, ranges: dict[str, tuple[float, float]] = PLAUSIBLE_RANGES
     return spark.createDataFrame(rows, "sensor_type STRING, low DOUBLE, high DOUBLE")
 
 
-def check_contract(
+def conforming(
     readings: DataFrame, contract: dict[str, ColumnRule] = READING_CONTRACT
 ) -> DataFrame:
-    """Readings with ``violations``, the constraints of a strict table they break."""
-    return readings.withColumn("violations", contract_violations(contract))
+    """Readings that a table with these constraints takes."""
+    return readings.filter(~breaks_contract(contract))
 
 
-def conforming(checked: DataFrame) -> DataFrame:
-    """Checked rows a strict table takes."""
-    return checked.filter(F.col("violations").isNull()).drop("violations")
-
-
-def violating(checked: DataFrame) -> DataFrame:
-    """Checked rows a strict table refuses, ``violations`` kept."""
-    return checked.filter(F.col("violations").isNotNull())
+def violating(
+    readings: DataFrame, contract: dict[str, ColumnRule] = READING_CONTRACT
+) -> DataFrame:
+    """Readings such a table refuses, with the ``violations`` they have."""
+    return readings.filter(breaks_contract(contract)).withColumn(
+        "violations", contract_violations(contract)
+    )

@@ -44,11 +44,10 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _lookup(key: Column, table: dict[str, str]) -> Column:
-    (first, value), *rest = table.items()
-    found = F.when(key == first, value)
-    for name, value in rest:
-        found = found.when(key == name, value)
-    return found
+    # A literal map, not a CASE: filters repeat the expression, and long ones
+    # make generated methods too big for the JVM to compile.
+    pairs = [F.lit(text) for pair in table.items() for text in pair]
+    return F.create_map(*pairs).getItem(key)
 
 
 def event_k() -> Column:

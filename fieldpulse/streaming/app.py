@@ -5,6 +5,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 from collections.abc import Mapping
 from dataclasses import dataclass, field
@@ -49,31 +50,25 @@ class Settings:
 
 
 def _jdbc(env: Mapping[str, str], table: str) -> list[sinks.Sink]:
-    if "CLICKHOUSE_HOST" not in env:
+    """A database sink if ``JDBC_URL`` is set."""
+    if not env.get("JDBC_URL"):
         return []
-    host, port = env["CLICKHOUSE_HOST"], env.get("CLICKHOUSE_PORT", "8123")
     return [sinks.jdbc_sink(
         f"jdbc:{table}",
-        url=f"jdbc:clickhouse://{host}:{port}/{env.get('CLICKHOUSE_DB', 'iot')}",
+        url=env["JDBC_URL"],
         table=table,
-        user=env.get("CLICKHOUSE_USER", ""),
-        password=env.get("CLICKHOUSE_PASSWORD", ""),
-        driver="com.clickhouse.jdbc.ClickHouseDriver",
+        user=env.get("JDBC_USER", ""),
+        password=env.get("JDBC_PASSWORD", ""),
+        driver=env["JDBC_DRIVER"],
     )]
 
 
 def _warehouse(env: Mapping[str, str]) -> list[sinks.Sink]:
-    if not (env.get("SNOWFLAKE_URL") and env.get("SNOWFLAKE_USER")):
+    """A sink of the data source ``WAREHOUSE_FORMAT`` with JSON options, if both are set."""
+    if not (env.get("WAREHOUSE_FORMAT") and env.get("WAREHOUSE_OPTIONS")):
         return []
-    named = {
-        "sfURL": "SNOWFLAKE_URL", "sfUser": "SNOWFLAKE_USER", "sfPassword": "SNOWFLAKE_PASSWORD",
-        "sfDatabase": "SNOWFLAKE_DB", "sfSchema": "SNOWFLAKE_SCHEMA",
-        "sfWarehouse": "SNOWFLAKE_WAREHOUSE",
-    }
-    options = {option: env[variable] for option, variable in named.items() if variable in env}
-    return [sinks.format_sink(
-        "warehouse", "net.snowflake.spark.snowflake", {**options, "dbtable": "SENSOR_READINGS"}
-    )]
+    options = json.loads(env["WAREHOUSE_OPTIONS"])
+    return [sinks.format_sink("warehouse", env["WAREHOUSE_FORMAT"], options)]
 
 
 def start(spark: SparkSession, settings: Settings) -> list[StreamingQuery]:

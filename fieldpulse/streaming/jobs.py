@@ -22,20 +22,24 @@ def start_batches(
     name: str,
     checkpoint: str,
     every: str | None = None,
+    persist: bool = True,
 ) -> StreamingQuery:
     """Run ``write`` on each non-empty micro-batch of ``rows``.
 
     ``every`` is the trigger interval; without it the query takes what is there
-    and ends.  The batch is persisted once for all its writers.
+    and ends.  With ``persist`` the batch is computed once for all that ``write``
+    does with it; a stateful query must not do without.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
+        if persist:
+            batch.persist()
         try:
             if not batch.isEmpty():
                 write(batch, batch_id)
         finally:
-            batch.unpersist()
+            if persist:
+                batch.unpersist()
 
     timing = {"processingTime": every} if every else {"availableNow": True}
     return (
@@ -68,7 +72,8 @@ def start_readings(
         write_all(quality.accepted(batch), batch_id, sinks)
         write_all(quality.rejected(batch), batch_id, reject_sinks)
 
-    return start_batches(classified, route, name, checkpoint, every)
+    several = len(sinks) + len(reject_sinks) > 1
+    return start_batches(classified, route, name, checkpoint, every, persist=several)
 
 
 def start_window_stats(
@@ -112,7 +117,8 @@ def start_republish(
     _check(messages.sparkSession, sinks)
     records = keyed_records(enrich_topic(filter_topics(messages, topics)))
     return start_batches(
-        records, lambda batch, n: write_all(batch, n, sinks), name, checkpoint, every
+        records, lambda batch, n: write_all(batch, n, sinks), name, checkpoint, every,
+        persist=len(sinks) > 1,
     )
 
 
