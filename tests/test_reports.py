@@ -1,0 +1,168 @@
+from __future__ import annotations
+
+import pytest
+from conftest import plan_of
+from pyspark.sql import functions as F
+
+from fieldpulse.operators import groups
+from fieldpulse.operators.ordering import sorted_rows
+from fieldpulse.plans import reports
+
+
+def _skewed(spark, n=3000):
+    """A third of the rows belongs to one device; some keys are NULL."""
+    return spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, "hot")
+        .when(F.col("id") % 97 == 1, F.lit(None))
+        .otherwise(F.concat(F.lit("d"), (F.col("id") % 40).cast("string"))).alias("device_id"),
+        F.lit("temperature").alias("sensor_type"), F.lit("l").alias("location"),
+        (F.when(F.col("id") % 50 == 0, 90.0).otherwise(20.0)
+         + F.col("id") * 7 % 11).alias("value"),
+        F.timestamp_seconds(F.lit(1704067200) + F.col("id")).alias("timestamp"),
+    )
+
+
+def _found(df):
+    return sorted(
+        (r.device_id, r.timestamp, r.value, round(r.mean_val, 6), round(r.z_score, 6))
+        for r in df.collect()
+    )
+
+
+def test_every_way_finds_the_same_anomalies(spark):
+    df = _skewed(spark)
+    stats = reports.device_sensor_stats(df)
+    plain = df.join(stats, ["device_id", "sensor_type"]).filter(
+        "std_val <> 0 AND abs(value - mean_val) / std_val > 2"
+    )
+    expected = sorted((r.device_id, r.timestamp, r.value) for r in plain.collect())
+    assert expected and None not in {e[0] for e in expected}
+    ways = [
+        reports.anomalies(df),
+        reports.anomalies(df, broadcast_bytes=0),
+        reports.anomalies(df, broadcast_bytes=0, shares=10, hot_rows=10),
+        reports.anomalies_windowed(df),
+        reports.anomalies_windowed(df, shares=10, hot_rows=10),
+        reports.anomalies_windowed(df, shares=10_000, hot_rows=0),
+    ]
+    results = [_found(way) for way in ways]
+    assert all(result == results[0] for result in results)
+    assert [r[:3] for r in results[0]] == expected
+
+
+def test_a_small_group_table_spares_the_rows_a_shuffle(spark):
+    df = _skewed(spark)
+    stats = reports.device_sensor_stats(df)
+    joined = groups.attach_group_rows(df, stats, ["device_id", "sensor_type"], "reading_count")
+    plan = plan_of(joined)
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+
+
+def test_hot_groups_stay_in_place(spark):
+    df = _skewed(spark)
+    keys = ["device_id", "sensor_type"]
+    ordinary, hot = groups.split_hot_groups(df, keys, shares=10, hot_rows=10)
+    assert {r.device_id for r in hot.select("device_id").distinct().collect()} == {"hot"}
+    assert ordinary.filter("device_id = 'hot'").count() == 0
+    assert ordinary.count() + hot.count() == df.dropna(subset=keys).count()
+    assert groups.split_hot_groups(df, keys)[1] is None
+
+
+def test_the_list_of_hot_groups_is_bounded():
+    assert groups.hot_threshold(10**12, shares=1000, hot_rows=1) * 1000 >= 10**12
+    assert groups.hot_threshold(100, shares=1000, hot_rows=50) == 50
+
+
+def test_no_anomaly_in_five_but_in_six(readings):
+    def group(n):
+        return readings(*[{"value": 10.0}] * (n - 1), {"value": 100.0})
+
+    assert reports.anomalies(group(5)).count() == 0
+    (row,) = reports.anomalies(group(6)).collect()
+    assert row.value == 100.0 and row.z_score == pytest.approx(2.041, abs=1e-3)
+
+
+def test_identical_values_have_no_z_score(readings):
+    assert reports.anomalies(readings(*[{"value": 3.0}] * 10), threshold=0).count() == 0
+
+
+def test_hourly_boundaries(readings):
+    df = readings(
+        {"timestamp": "2024-01-23 00:00:00", "value": 10.0},
+        {"timestamp": "2024-01-23 00:59:59", "value": 20.0},
+        {"timestamp": "2024-01-22 23:59:59.999999"},
+        {"timestamp": "2024-01-29 05:00:00"},
+        {"timestamp": "2024-01-29 05:00:00", "sensor_type": "humidity"},
+    )
+    rows = reports.hourly_temperature(df, as_of="2024-01-30 00:00:00").collect()
+    assert [(str(r.hour_bucket), r.readings) for r in rows] == [
+        ("2024-01-29 05:00:00", 1), ("2024-01-23 00:00:00", 2),
+    ]
+    assert (rows[1].avg_temp, rows[1].min_temp, rows[1].max_temp) == (15.0, 10.0, 20.0)
+
+
+def test_hours_and_days_are_utc_in_any_session_zone(spark, readings):
+    df = readings({"timestamp": "2024-01-29 20:15:00"}).select(
+        F.unix_micros("timestamp").alias("us"), "*"
+    )
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+    try:
+        frozen = df.withColumn("timestamp", F.timestamp_micros(F.lit(1706559300000000)))
+        hour = reports.hourly_temperature(
+            frozen, F.timestamp_micros(F.lit(1706572800000000))
+        ).select(F.unix_micros("hour_bucket")).first()[0]
+        day = reports.readings_per_partition(frozen).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert hour == 1706558400000000
+    assert str(day.event_day) == "2024-01-29" and day.day_number == 20240129
+
+
+def test_retention_boundary(readings):
+    df = readings(
+        {"timestamp": "2024-01-11 00:00:00"}, {"timestamp": "2024-01-11 00:00:00.000001"},
+        {"timestamp": None},
+    )
+    kept = reports.retained(df, "2024-02-10 00:00:00").collect()
+    assert [r.timestamp.microsecond for r in kept] == [1]
+
+
+def test_top_and_order(readings):
+    df = readings(*[
+        {"timestamp": f"2024-01-01 10:00:{i:02d}", "value": float(i)} for i in range(30)
+    ])
+    top = reports.latest_readings(df, 3)
+    assert [r.value for r in top.collect()] == [29.0, 28.0, 27.0]
+    assert "TakeOrderedAndProject" in plan_of(top)
+    ordered = [r.value for r in reports.temperature_readings(df).collect()]
+    assert ordered == sorted(ordered, reverse=True) and len(ordered) == 30
+
+
+def test_sorting_spreads_copies_of_one_row(spark):
+    copies = spark.range(0, 40_000, 1, 4).select(F.lit(1).alias("x"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        ranked = sorted_rows(copies, F.col("x"))
+        assert "rangepartitioning" in plan_of(ranked)
+        parts = [r[0] for r in ranked.select(F.spark_partition_id()).collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert len(parts) == 40_000
+    assert len(set(parts)) == 4 and max(parts.count(p) for p in set(parts)) < 20_000
+
+
+def test_alerts(spark):
+    current = spark.createDataFrame(
+        [("a", "temperature", 61.0), ("b", "temperature", 60.0), ("c", "humidity", 1.0),
+         ("d", "co2", 900.0)],
+        "device_id STRING, sensor_type STRING, current_value DOUBLE",
+    )
+    limits = {"temperature": (10.0, 60.0), "humidity": (20.0, 70.0)}
+    alerts = reports.threshold_alerts(current, limits).collect()
+    assert [(r.device_id, r.alert) for r in sorted(alerts)] == [("a", "above"), ("c", "below")]
+
+
+def test_type_summary(readings):
+    df = readings({"value": 1.0}, {"value": 2.0}, {"sensor_type": "humidity", "value": 5.0})
+    rows = {r.sensor_type: (r["count"], r["avg"]) for r in reports.sensor_type_summary(df).collect()}
+    assert rows == {"temperature": (2, 1.5), "humidity": (1, 5.0)}
