@@ -3,20 +3,46 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import StringType
 
 from fieldpulse.session import written
 
 # A table of group rows up to this many bytes is sent to every executor.
 BROADCAST_BYTES = 64 * 1024 * 1024
 # A group with more than 1/SHARES of all rows, and more than HOT_ROWS, is hot.
-# At most SHARES groups can be, so a table of the hot ones is always small.
+# Fewer than SHARES groups can be, so a table of the hot ones is small.
 SHARES = 65_536
 HOT_ROWS = 1_000_000
 
 
-def hot_threshold(total_rows: int, shares: int = SHARES, hot_rows: int = HOT_ROWS) -> int:
-    """Groups with more rows than this are hot; there are fewer than ``shares``."""
-    return max(total_rows // shares, hot_rows)
+def table_bytes(df: DataFrame) -> int:
+    """Measured size of a table of numbers, times and text as rows in memory."""
+    width = F.lit(64)
+    for field in df.schema:
+        if isinstance(field.dataType, StringType):
+            width = width + 16 + F.coalesce(F.octet_length(field.name), F.lit(0))
+        else:
+            width = width + 16
+    return df.agg(F.coalesce(F.sum(width), F.lit(0))).first()[0]
+
+
+def hot_limit(
+    groups: DataFrame,
+    size: str,
+    shares: int = SHARES,
+    hot_rows: int = HOT_ROWS,
+    broadcast_bytes: int = BROADCAST_BYTES,
+) -> int:
+    """Groups with more rows than this are hot.
+
+    There are fewer than ``shares`` of them, and if their table is still too
+    big to broadcast, because of long keys, the limit is raised until it is not.
+    """
+    total = groups.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
+    limit = max(total // shares, hot_rows, 1)
+    while table_bytes(groups.filter(F.col(size) > limit)) > broadcast_bytes:
+        limit *= 2
+    return limit
 
 
 def attach_group_rows(
@@ -37,22 +63,10 @@ def attach_group_rows(
     fewer than ``shares``, stay where they are and meet a broadcast list.
     """
     groups = written(groups.dropna(subset=keys), "groups")
-    width = F.lit(64)
-    for name in groups.columns:
-        if groups.schema[name].dataType.simpleString() == "string":
-            width = width + F.coalesce(F.octet_length(name), F.lit(0))
-        else:
-            width = width + F.lit(16)
-    measured = groups.agg(
-        F.coalesce(F.sum(width), F.lit(0)).alias("bytes"),
-        F.coalesce(F.sum(size), F.lit(0)).alias("rows"),
-        F.coalesce(F.max(size), F.lit(0)).alias("largest"),
-    ).first()
-    if measured["bytes"] <= broadcast_bytes:
+    if table_bytes(groups) <= broadcast_bytes:
         return rows.join(F.broadcast(groups), keys)
-
-    limit = hot_threshold(measured["rows"], shares, hot_rows)
-    if measured["largest"] <= limit:
+    limit = hot_limit(groups, size, shares, hot_rows, broadcast_bytes)
+    if groups.filter(F.col(size) > limit).isEmpty():
         return rows.join(groups, keys)
     hot = F.broadcast(groups.filter(F.col(size) > limit))
     ordinary = groups.filter(F.col(size) <= limit)
@@ -74,8 +88,7 @@ def split_hot_groups(
     """
     rows = rows.dropna(subset=keys)
     sizes = written(rows.groupBy(*keys).agg(F.count("*").alias("_n")), "sizes")
-    total = sizes.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("n")).first()["n"]
-    hot = sizes.filter(F.col("_n") > hot_threshold(total, shares, hot_rows)).select(*keys)
+    hot = sizes.filter(F.col("_n") > hot_limit(sizes, "_n", shares, hot_rows)).select(*keys)
     if hot.isEmpty():
         return rows, None
     listed = F.broadcast(hot)

@@ -47,7 +47,7 @@ def _lookup(key: Column, table: dict[str, str]) -> Column:
     # A literal map, not a CASE: filters repeat the expression, and long ones
     # make generated methods too big for the JVM to compile.
     pairs = [F.lit(text) for pair in table.items() for text in pair]
-    return F.create_map(*pairs).getItem(key)
+    return F.try_element_at(F.create_map(*pairs), key)
 
 
 def event_k() -> Column:

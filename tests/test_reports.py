@@ -40,7 +40,7 @@ def test_every_way_finds_the_same_anomalies(spark):
     ways = [
         reports.anomalies(df),
         reports.anomalies(df, broadcast_bytes=0),
-        reports.anomalies(df, broadcast_bytes=0, shares=10, hot_rows=10),
+        reports.anomalies(df, broadcast_bytes=500, shares=10, hot_rows=10),
         reports.anomalies_windowed(df),
         reports.anomalies_windowed(df, shares=10, hot_rows=10),
         reports.anomalies_windowed(df, shares=10_000, hot_rows=0),
@@ -68,9 +68,25 @@ def test_hot_groups_stay_in_place(spark):
     assert groups.split_hot_groups(df, keys)[1] is None
 
 
-def test_the_list_of_hot_groups_is_bounded():
-    assert groups.hot_threshold(10**12, shares=1000, hot_rows=1) * 1000 >= 10**12
-    assert groups.hot_threshold(100, shares=1000, hot_rows=50) == 50
+def test_hot_rows_are_not_shuffled(spark):
+    df = _skewed(spark)
+    stats = reports.device_sensor_stats(df)
+    keys = ["device_id", "sensor_type"]
+    joined = groups.attach_group_rows(df, stats, keys, "reading_count", 500, 10, 10)
+    assert "Union" in plan_of(joined)
+    assert joined.count() == df.dropna(subset=keys).count()
+
+
+def test_the_hot_list_is_bounded(spark):
+    sizes = spark.createDataFrame(
+        [(f"{i:050d}", n) for i, n in enumerate([500, 300, 100, 50, 50])], "k STRING, n BIGINT"
+    )
+    hot = lambda limit: sizes.filter(f"n > {limit}").count()
+    assert hot(groups.hot_limit(sizes, "n", shares=4, hot_rows=1)) == 2
+    assert hot(groups.hot_limit(sizes, "n", shares=1000, hot_rows=200)) == 2
+    for bytes_allowed in (0, 150, 1000):
+        limit = groups.hot_limit(sizes, "n", 1000, 1, bytes_allowed)
+        assert groups.table_bytes(sizes.filter(f"n > {limit}")) <= bytes_allowed
 
 
 def test_no_anomaly_in_five_but_in_six(readings):
