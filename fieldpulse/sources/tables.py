@@ -153,4 +153,19 @@ def settle_states(spark: SparkSession, path: str, upto: int | None = None) -> in
     )
 
 
+# --- Upkeep -----------------------------------------------------------------
+
+
+def maintain(spark: SparkSession, root: str, as_of: datetime, days: int = 30) -> None:
+    """Settle the tables of a streaming job and drop its expired days.
+
+    To be run beside the stream now and then; :func:`batches.vacuum` then frees
+    the space of what was settled, once no reader uses it any more.
+    """
+    settle_readings(spark, f"{root}/readings")
+    settle_window_stats(spark, f"{root}/window_stats")
+    settle_states(spark, f"{root}/states")
+    expire_readings(spark, f"{root}/readings", as_of, days)
+
+
 _PARTIAL_DDL = STATE_DDL.removesuffix(", batch_id BIGINT")

@@ -40,7 +40,7 @@ class Settings:
         return cls(
             source=kafka_source(
                 env.get("KAFKA_BOOTSTRAP_SERVERS", "localhost:9092"),
-                env.get("KAFKA_TOPIC", "iot-sensor-data"),
+                env.get("KAFKA_TOPIC", "sensor-readings"),
             ),
             tables=env["TABLES_PATH"],
             checkpoints=env.get("CHECKPOINTS_PATH"),

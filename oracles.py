@@ -33,13 +33,16 @@ all_readings AS (
     FROM events
   )
 ),
+ranges(kind, low, high) AS (
+  VALUES ('temperature', -40, 125), ('humidity', 0, 100), ('pressure', 800, 1200),
+    ('vibration', 0, 50)
+),
+judged AS (
+  SELECT a.*, kind IS NULL AS unknown, value BETWEEN low AND high AS plausible
+  FROM all_readings a LEFT JOIN ranges ON kind = sensor_type
+),
 readings AS (
-  SELECT * FROM all_readings
-  WHERE quality = 'good' AND (
-    (sensor_type = 'temperature' AND value BETWEEN -40 AND 125)
-    OR (sensor_type = 'humidity' AND value BETWEEN 0 AND 100)
-    OR (sensor_type = 'pressure' AND value BETWEEN 800 AND 1200)
-    OR (sensor_type = 'vibration' AND value BETWEEN 0 AND 50))
+  SELECT * EXCLUDE (unknown, plausible) FROM judged WHERE quality = 'good' AND plausible
 )"""
 
 
@@ -64,15 +67,15 @@ window_stats AS (
 )"""
 
 _ANOMALIES = DENSE + """,
-stats AS (
-  SELECT device_id, sensor_type, avg(value) AS mean_val, stddev_samp(value) AS std_val
-  FROM readings GROUP BY device_id, sensor_type
+measured AS (
+  SELECT device_id, sensor_type, location, value, timestamp,
+    avg(value) OVER same_sensor AS centre, stddev_samp(value) OVER same_sensor AS spread
+  FROM readings WINDOW same_sensor AS (PARTITION BY device_id, sensor_type)
 )
-SELECT r.device_id, r.sensor_type, r.location, r.value,
-  round(mean_val, 6) AS mean_val, round(std_val, 6) AS std_val,
-  round(abs(value - mean_val) / nullif(std_val, 0), 6) AS z_score, r.timestamp
-FROM readings r JOIN stats s ON r.device_id = s.device_id AND r.sensor_type = s.sensor_type
-WHERE abs(value - mean_val) / nullif(std_val, 0) > 2"""
+SELECT device_id, sensor_type, location, value, timestamp,
+  round(centre, 6) AS mean_val, round(spread, 6) AS std_val,
+  round(abs(value - centre) / spread, 6) AS z_score
+FROM measured WHERE spread <> 0 AND abs(value - centre) > 2 * spread"""
 
 _CURRENT = """
 current_state AS (
@@ -91,14 +94,11 @@ ranked AS (
   FROM readings
 )"""
 
-_REASON = """CASE WHEN quality IS DISTINCT FROM 'good' THEN 'bad_quality'
+_REASON = """CASE
+    WHEN quality IS DISTINCT FROM 'good' THEN 'bad_quality'
     WHEN value IS NULL THEN 'null_value'
-    WHEN sensor_type IS NULL OR sensor_type NOT IN
-      ('temperature', 'humidity', 'pressure', 'vibration') THEN 'unknown_type'
-    WHEN NOT (value BETWEEN
-      CASE sensor_type WHEN 'temperature' THEN -40 WHEN 'pressure' THEN 800 ELSE 0 END AND
-      CASE sensor_type WHEN 'temperature' THEN 125 WHEN 'humidity' THEN 100
-        WHEN 'pressure' THEN 1200 ELSE 50 END) THEN 'out_of_range' END"""
+    WHEN unknown THEN 'unknown_type'
+    WHEN NOT plausible THEN 'out_of_range' END"""
 
 ORACLES = {
     "scan_readings": NATIVE + f" SELECT {_FIELDS}, ingest_time FROM readings",
@@ -129,7 +129,7 @@ WHERE json_valid(text) AND json_type(text) = 'OBJECT'""",
     "clean_by_rules": DENSE + f" SELECT event_id, {_FIELDS} FROM readings",
     "reject_reasons": DENSE + f"""
 SELECT 'events' AS origin, event_id AS record_id, sensor_type, value,
-  {_REASON} AS reject_reason FROM all_readings
+  {_REASON} AS reject_reason FROM judged
 UNION ALL
 SELECT 'conversations', conv_id * 1000 + turn, NULL, NULL,
   CASE WHEN json_valid(text) AND json_type(text) = 'OBJECT' THEN 'bad_quality'
@@ -177,16 +177,15 @@ SELECT * FROM (
   FROM all_readings GROUP BY device_id, sensor_type, time_bucket(INTERVAL '5 minutes', timestamp))
 WHERE uncertain <> 0 OR above_150 <> 0""",
     "hourly_temperature": NATIVE + """
-SELECT date_trunc('hour', timestamp) AS hour_bucket, device_id, location,
+SELECT time_bucket(INTERVAL '1 hour', timestamp) AS hour_bucket, device_id, location,
   round(avg(value), 6) AS avg_temp, min(value) AS min_temp, max(value) AS max_temp,
   count(*) AS readings
 FROM readings
-WHERE sensor_type = 'temperature'
-  AND timestamp >= TIMESTAMP '2024-01-30 00:00:00' - INTERVAL '7 days'
-GROUP BY ALL ORDER BY 1 DESC, 2""",
+WHERE sensor_type = 'temperature' AND timestamp >= TIMESTAMP '2024-01-23 00:00:00'
+GROUP BY ALL""",
     "temperature_readings": NATIVE + """
 SELECT device_id, sensor_type, value, timestamp FROM readings
-WHERE sensor_type = 'temperature' ORDER BY timestamp DESC""",
+WHERE sensor_type = 'temperature'""",
     "device_sensor_stats": NATIVE + """
 SELECT device_id, sensor_type, round(avg(value), 6) AS mean_val,
   round(stddev_samp(value), 6) AS std_val, count(*) AS reading_count
@@ -225,7 +224,7 @@ SELECT device_id, location, device_type, sensor_type, value, unit,
   CAST(timestamp AS DATE) AS event_day
 FROM ranked WHERE version_rank = 1""",
     "rejects_streamed": DENSE + f"""
-SELECT * FROM (SELECT {_FIELDS}, {_REASON} AS reject_reason FROM all_readings)
+SELECT * FROM (SELECT {_FIELDS}, {_REASON} AS reject_reason FROM judged)
 WHERE reject_reason IS NOT NULL""",
     "daily_partitions": NATIVE + """
 SELECT CAST(timestamp AS DATE) AS event_day, sensor_type, count(*) AS readings,

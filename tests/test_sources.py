@@ -36,7 +36,7 @@ def test_jdbc_options():
 def test_settings_without_databases():
     settings = Settings.from_env({"TABLES_PATH": "/data"})
     assert settings.extra_reading_sinks == [] and settings.extra_stats_sinks == []
-    assert settings.source.options["subscribe"] == "iot-sensor-data"
+    assert settings.source.options["subscribe"] == "sensor-readings"
     with pytest.raises(KeyError):
         Settings.from_env({})
 

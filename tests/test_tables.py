@@ -128,6 +128,28 @@ def test_states_merge_count_once_and_outlive_readings(spark, readings, tmp_path)
     assert os.listdir(f"{path}/settled") == ["upto=3"] and current() == expected
 
 
+def test_upkeep_beside_a_stream(spark, readings, tmp_path):
+    from fieldpulse.operators.windows import present_moments, window_moments
+
+    root = str(tmp_path)
+    for n in range(3):
+        batch = readings({"timestamp": f"2024-01-0{n + 1} 10:00:00", "value": float(n)})
+        tables.append_readings(batch, f"{root}/readings", n)
+        tables.append_states(batch, f"{root}/states", n)
+        tables.append_window_stats(
+            present_moments(window_moments(batch), keep_moments=True), f"{root}/window_stats", n
+        )
+    as_of = datetime(2024, 2, 1, tzinfo=timezone.utc)
+    for _ in range(2):
+        tables.maintain(spark, root, as_of)
+        assert _values(tables.read_readings(spark, f"{root}/readings")) == [1.0, 2.0]
+        stats = tables.read_window_stats(spark, f"{root}/window_stats", since="2024-01-02")
+        assert sorted(r.avg_value for r in stats.collect()) == [1.0, 2.0]
+        assert tables.read_device_current(spark, f"{root}/states").first().total_readings == 3
+    for name in ("readings", "states", "window_stats"):
+        assert batches.settled_marks(spark, f"{root}/{name}") == [1]
+
+
 def test_clustered_files_cover_separate_ranges(spark, readings, tmp_path):
     path = str(tmp_path / "c")
     df = readings(*[
