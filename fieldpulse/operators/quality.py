@@ -10,11 +10,12 @@ from fieldpulse.functions.checks import (
     in_plausible_range,
     reject_reason,
 )
+from fieldpulse.operators.groups import table_bytes
 from fieldpulse.operators.ingest import is_malformed, parse_readings
 from fieldpulse.schema import GOOD_QUALITY, PLAUSIBLE_RANGES, READING_CONTRACT, ColumnRule
 
-# Range tables up to this many rows are broadcast; the count is checked first.
-BROADCAST_RULES = 10_000
+# Range tables up to this many bytes are broadcast; the size is measured first.
+BROADCAST_RULE_BYTES = 16 * 1024 * 1024
 
 
 def classify_messages(
@@ -73,10 +74,10 @@ def clean_by_rules(readings: DataFrame, rules: DataFrame) -> DataFrame:
     """Like :func:`clean_readings` with the ranges in a table.
 
     ``rules`` has ``sensor_type, low, high``; a reading stays if any rule of its
-    type covers its value.  The table is broadcast after counting it.  A longer
+    type covers its value.  The table is broadcast after measuring it.  A bigger
     one is left to the planner: the adaptive skew join splits a common type.
     """
-    small = rules.limit(BROADCAST_RULES + 1).count() <= BROADCAST_RULES
+    small = table_bytes(rules) <= BROADCAST_RULE_BYTES
     side = F.broadcast(rules) if small else rules
     good = readings.filter((F.col("quality") == GOOD_QUALITY) & F.col("value").isNotNull())
     r, s = good.alias("r"), side.alias("s")

@@ -52,7 +52,7 @@ def _lookup(key: Column, table: dict[str, str]) -> Column:
 
 def event_k() -> Column:
     """The number in ``props``, which is always ``{"k": <number>}``."""
-    return F.regexp_extract("props", r"(\d+)", 1).cast("int")
+    return F.regexp_extract("props", r"(\d+)", 1).try_cast("int")
 
 
 def readings_from_events(events: DataFrame, dense: bool = False, keep: list[str] = ()) -> DataFrame:

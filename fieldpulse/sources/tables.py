@@ -88,12 +88,14 @@ def write_clustered(
 ) -> None:
     """Write ordered by sensor type and UTC day, so that readers can skip files.
 
-    Device and time continue the range key: a day of one type that is too big
-    for one file is cut instead of filling a single task.
+    Device, time and a row number continue the range key: a day of one type that
+    is too big for one file is cut instead of filling a single task.
     """
     key = [F.col("sensor_type"), utc_date(F.col(time)), F.col("device_id"), F.col(time)]
-    ranged = df.repartitionByRange(files, *key) if files else df.repartitionByRange(*key)
-    ranged.sortWithinPartitions(*key).write.mode("overwrite").parquet(path)
+    numbered = df.withColumn("_row", F.monotonically_increasing_id())
+    cut = [*([files] if files else []), *key, F.col("_row")]
+    ranged = numbered.repartitionByRange(*cut).sortWithinPartitions(*key).drop("_row")
+    ranged.write.mode("overwrite").parquet(path)
 
 
 # --- Rejects ----------------------------------------------------------------

@@ -58,7 +58,7 @@ def test_accepted_equals_the_filters_and_the_rules(spark, edges):
 
 def test_rules_longer_than_the_broadcast_limit(spark, edges, monkeypatch):
     df, _ = edges
-    monkeypatch.setattr(quality, "BROADCAST_RULES", 1)
+    monkeypatch.setattr(quality, "BROADCAST_RULE_BYTES", 1)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         kept = quality.clean_by_rules(df, quality.range_rules(spark)).count()
