@@ -72,15 +72,23 @@ def _warehouse(env: Mapping[str, str]) -> list[sinks.Sink]:
 
 
 def start(spark: SparkSession, settings: Settings) -> list[StreamingQuery]:
-    """Start both queries; each reads the source on its own and has its own checkpoint."""
+    """Start both queries; each reads the source on its own and has its own checkpoint.
+
+    Readings without a device or a time pass validation.  The extra sinks are
+    strict tables, so they get the conforming rows and the rest is kept aside.
+    """
     checkpoints = settings.checkpoints or f"{shared_folder(spark)}/fieldpulse-streams"
     tables = settings.tables
+    strict = [
+        sinks.checked_sink(sink, sinks.rejects_sink(f"{tables}/refused_by_{n}"))
+        for n, sink in enumerate(settings.extra_reading_sinks)
+    ]
     readings = jobs.start_readings(
         settings.source.stream(spark),
         [
             sinks.readings_sink(f"{tables}/readings"),
             sinks.states_sink(f"{tables}/states"),
-            *settings.extra_reading_sinks,
+            *strict,
         ],
         f"{checkpoints}/readings",
         reject_sinks=[sinks.rejects_sink(f"{tables}/rejects")],

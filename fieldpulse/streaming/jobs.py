@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +16,8 @@ from fieldpulse.streaming.sinks import Sink, write_all
 
 WATERMARK = "2 minutes"
 
+log = logging.getLogger(__name__)
+
 
 def start_batches(
     rows: DataFrame,
@@ -28,18 +31,21 @@ def start_batches(
 
     ``every`` is the trigger interval; without it the query takes what is there
     and ends.  With ``persist`` the batch is computed once for all that ``write``
-    does with it; a stateful query must not do without.
+    does with it, and its size is logged; a stateful query must not do without.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        if persist:
-            batch.persist()
+        if not persist:
+            write(batch, batch_id)
+            return
+        batch.persist()
         try:
-            if not batch.isEmpty():
+            count = batch.count()
+            log.info("%s, batch %s: %s rows", name, batch_id, count)
+            if count:
                 write(batch, batch_id)
         finally:
-            if persist:
-                batch.unpersist()
+            batch.unpersist()
 
     timing = {"processingTime": every} if every else {"availableNow": True}
     return (

@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-import logging
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
+from fieldpulse.operators import quality
+from fieldpulse.schema import READING_CONTRACT, ColumnRule
 from fieldpulse.sources import tables
 
-log = logging.getLogger(__name__)
-
 WriteBatch = Callable[[DataFrame, int], None]
 
 
@@ -87,15 +86,24 @@ def topic_sink(name: str, servers: str, topic: str) -> Sink:
     return format_sink(name, "kafka", {"kafka.bootstrap.servers": servers, "topic": topic})
 
 
-def write_all(rows: DataFrame, batch_id: int, sinks: list[Sink]) -> dict[str, int]:
-    """Write a batch to each sink in turn; returns the rows each was given.
+def checked_sink(
+    target: Sink, refused: Sink, contract: dict[str, ColumnRule] = READING_CONTRACT
+) -> Sink:
+    """``target`` for a strict table: rows that break its constraints go to ``refused``.
 
-    The counts are observed while writing, not by jobs of their own.
+    Their ``reject_reason`` lists the constraints.
     """
-    counts = {}
-    for sink in sinks:
-        seen = Observation()
-        sink.write(rows.observe(seen, F.count(F.lit(1)).alias("rows")), batch_id)
-        counts[sink.name] = seen.get["rows"]
-        log.info("batch %s: %s rows to %s", batch_id, counts[sink.name], sink.name)
-    return counts
+
+    def write(rows: DataFrame, batch_id: int) -> None:
+        target.write(quality.conforming(rows, contract), batch_id)
+        broken = quality.violating(rows, contract)
+        refused.write(broken.withColumnRenamed("violations", "reject_reason"), batch_id)
+
+    return Sink(target.name, write, target.format, target.options)
+
+
+def write_all(rows: DataFrame, batch_id: int, sinks: list[Sink]) -> None:
+    """Write a batch to each sink in turn, to none if it has no rows."""
+    if sinks and not rows.isEmpty():
+        for sink in sinks:
+            sink.write(rows, batch_id)

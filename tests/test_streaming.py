@@ -187,9 +187,25 @@ def test_empty_batches_write_nothing(spark, feed, tmp_path):
     assert calls == []
 
 
-def test_counts_come_from_the_writes(spark, readings):
-    noop = sinks.format_sink("a", "noop", {}, mode="overwrite")
-    assert sinks.write_all(readings({}, {}), 7, [noop]) == {"a": 2}
+def test_batches_of_only_good_or_only_bad_messages(spark, feed, tmp_path, caplog):
+    feed.add(_text("10:00:00", value=1.0))
+    feed.add("junk", "more junk")
+    with caplog.at_level("INFO", logger="fieldpulse.streaming.jobs"):
+        _start_readings(spark, feed, tmp_path).awaitTermination()
+    assert _contents(spark, tmp_path) == ([1.0], 1, ["malformed", "malformed"])
+    assert os.listdir(f"{tmp_path}/readings/fresh") == ["batch_id=0"]
+    assert os.listdir(f"{tmp_path}/rejects/fresh") == ["batch_id=1"]
+    assert "readings, batch 0: 1 rows" in caplog.messages
+    assert "readings, batch 1: 2 rows" in caplog.messages
+
+
+@pytest.mark.parametrize("line, expected", [(_text("10:00:00"), [20.0]), ("junk", [])])
+def test_a_single_sink_without_persisting(spark, feed, tmp_path, line, expected):
+    feed.add(line)
+    jobs.start_readings(
+        feed.stream(spark), [sinks.readings_sink(f"{tmp_path}/t")], f"{tmp_path}/ck"
+    ).awaitTermination()
+    assert [r.value for r in tables.read_readings(spark, f"{tmp_path}/t").collect()] == expected
 
 
 def test_republish_stream(spark, feed, tmp_path):
@@ -229,6 +245,22 @@ def test_whole_job_and_supervision(spark, feed, tmp_path):
     assert tables.read_window_stats(spark, f"{tmp_path}/tables/window_stats").count() == 1
 
 
+def test_strict_sinks_get_conforming_rows_only(spark, feed, tmp_path):
+    feed.add(_text("10:00:00", value=1.0), _text(None, value=2.0), _text("10:00:01", device=None))
+    taken = []
+    strict = sinks.Sink("strict", lambda rows, n: taken.extend(rows.collect()))
+    settings = Settings(
+        file_source(feed.path), f"{tmp_path}/tables", f"{tmp_path}/ck",
+        readings_every=None, stats_every=None, extra_reading_sinks=[strict],
+    )
+    for query in start(spark, settings):
+        query.awaitTermination()
+    assert [r.value for r in taken] == [1.0]
+    refused = tables.read_rejects(spark, f"{tmp_path}/tables/refused_by_0").collect()
+    assert sorted(r.reject_reason for r in refused) == ["device_id:null", "timestamp:null"]
+    assert _contents(spark, tmp_path / "tables") == ([1.0, 2.0, 20.0], 3, [])
+
+
 def test_supervision_stops_the_sibling_and_raises(spark, feed, tmp_path):
     feed.add(_text("10:00:00"))
     spark.streams.resetTerminated()
