@@ -7,6 +7,7 @@ two hours, so that 5-minute groups have many rows.
 
 from __future__ import annotations
 
+import importlib
 from collections.abc import Callable
 from functools import wraps
 
@@ -404,11 +405,31 @@ def entry(spark: SparkSession) -> DataFrame:
     return window_stats_5m(spark, "/root/testdata/sf0.001")
 
 
+def _optional(module: str):
+    """The module, or None where it or its package has been taken away."""
+    try:
+        return importlib.import_module(module)
+    except ModuleNotFoundError as missing:
+        if missing.name in ("fieldpulse.llm", "corpus_pipeline"):
+            return None
+        raise
+
+
 def queries() -> dict[str, Query]:
-    return dict(_REGISTERED)
+    found = dict(_REGISTERED)
+    if corpus := _optional("fieldpulse.llm.queries"):
+        found.update(corpus.QUERIES)
+    if pipeline := _optional("corpus_pipeline"):
+        found["pipeline"] = pipeline.run
+    return found
 
 
 def oracle_sql() -> dict[str, str]:
     from oracles import ORACLES
 
-    return dict(ORACLES)
+    found = dict(ORACLES)
+    if corpus := _optional("fieldpulse.llm.queries"):
+        found.update(corpus.ORACLES)
+    if (pipeline := _optional("corpus_pipeline")) and pipeline.ORACLE_SQL:
+        found["pipeline"] = pipeline.ORACLE_SQL
+    return found
