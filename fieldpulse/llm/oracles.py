@@ -27,7 +27,7 @@ LINE_DEDUP = f"""
 WITH numbered AS (SELECT row_number() OVER () AS rid, * FROM documents),
 raw AS (
     SELECT rid, coalesce(source, '') AS site, unnest(string_split(text, chr(10))) AS line,
-           generate_subscripts(string_split(text, chr(10)), 1) AS at
+           generate_subscripts(string_split(text, chr(10)), 1) AS pos
     FROM numbered),
 lines AS (SELECT *, trim(line, {_BLANKS}) AS body FROM raw),
 spread AS (
@@ -41,7 +41,7 @@ boilerplate AS (
     GROUP BY body HAVING count(DISTINCT site) >= 10),
 marked AS (SELECT *, body IN (SELECT body FROM boilerplate) AS gone FROM lines),
 rebuilt AS (
-    SELECT rid, coalesce(string_agg(line, chr(10) ORDER BY at) FILTER (WHERE NOT gone), '') AS text,
+    SELECT rid, coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '') AS text,
            count(*) FILTER (WHERE gone) AS n_removed
     FROM marked GROUP BY rid)
 SELECT n.doc_id, r.text, coalesce(r.n_removed, 0) AS n_removed
