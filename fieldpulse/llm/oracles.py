@@ -4,7 +4,7 @@
 
 _SHINGLES = """
     SELECT DISTINCT {key}, unnest(list_transform(range(1, len(w) - 3),
-        i -> concat_ws(' ', w[i], w[i + 1], w[i + 2], w[i + 3], w[i + 4]))) AS s
+        lambda i: concat_ws(' ', w[i], w[i + 1], w[i + 2], w[i + 3], w[i + 4]))) AS s
     FROM (SELECT {key}, regexp_extract_all(lower(coalesce(text, '')), '[\\p{{L}}\\p{{M}}\\p{{N}}]+') AS w
           FROM {table})
 """

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fieldpulse.llm import decontaminate, line_dedup
+from fieldpulse.llm import decontaminate, line_dedup, simhash_dedup
 from fieldpulse.llm.oracles import ORACLES  # noqa: F401  read by the entry module
 from fieldpulse.llm.common import table
 
@@ -27,6 +27,13 @@ def op1_benchmark_decontamination(spark, sf_dir):
     return found.select("doc_id", "item_id", "n_shingles", "n_matched")
 
 
+@_register
+def op9_simhash_near_dedup(spark, sf_dir):
+    """Every document with its fingerprint and the smallest doc_id of its group."""
+    found = simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
+
+
 @_register
 def op10_line_dedup(spark, sf_dir):
     """Every document without its cross-site boilerplate lines."""

@@ -1,0 +1,121 @@
+from __future__ import annotations
+
+import random
+
+import numpy as np
+import pytest
+import xxhash
+
+from fieldpulse.llm import simhash_dedup as sim
+
+
+def plain_fingerprint(text):
+    lowered = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in (text or ""))
+    words = [w for w in _split(lowered) if w]
+    if not words:
+        return 0
+    k = min(4, len(words))
+    hashes = [xxhash.xxh64(" ".join(words[i:i + k]).encode(), seed=42).intdigest() for i in range(len(words) - k + 1)]
+    bits = sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+    return bits - (1 << 64) if bits >> 63 else bits
+
+
+def _split(text):
+    word = ""
+    for c in text:
+        if c in " \t\n\x0b\x0c\r":
+            yield word
+            word = ""
+        else:
+            word += c
+    yield word
+
+
+def plain_components(rows):
+    parent = list(range(len(rows)))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if bin((rows[i][1] ^ rows[j][1]) & (2**64 - 1)).count("1") <= 4:
+                parent[root(i)] = root(j)
+    groups = {}
+    for i, (doc_id, _) in enumerate(rows):
+        groups.setdefault(root(i), []).append(doc_id)
+    smallest = {r: min((d for d in ids if d is not None), default=None) for r, ids in groups.items()}
+    return [smallest[root(i)] for i in range(len(rows))]
+
+
+@pytest.mark.parametrize("text", [
+    None, "", " \n\t", "one", "Two words", "a b c", "A b C d", "a b c d e f g h", "é È ß über x y z",
+    "x " * 5000, "same same same same same", "tab\tand\x0bvertical\x0cform\rfeed\x1cnot a break",
+])
+def test_fingerprint_equals_the_plain_form(text):
+    assert sim.fingerprint_of(text) == plain_fingerprint(text)
+
+
+def test_forest_finds_every_pair_within_the_radius():
+    rng = np.random.default_rng(3)
+    base = rng.integers(-2**63, 2**63, 40)
+    prints = np.unique(np.concatenate([base, *(base ^ (1 << rng.integers(0, 62, 40)) for _ in range(4))]))
+    shards = rng.integers(0, 3, len(prints))
+    forest = sim.BkForest(shards, prints)
+    found = {(int(q), int(t)) for a, b in forest.search(shards, prints, 4) for q, t in zip(a, b, strict=True)}
+    expected = {
+        (i, j) for i in range(len(prints)) for j in range(len(prints))
+        if shards[i] == shards[j] and bin(int(prints[i] ^ prints[j]) & (2**64 - 1)).count("1") <= 4
+    }
+    assert found == expected
+
+
+@pytest.mark.parametrize("blocks", [5, 6, 7, 8])
+def test_any_number_of_runs_keeps_every_link(spark, blocks, monkeypatch):
+    rng = random.Random(blocks)
+    seeds = [rng.getrandbits(64) for _ in range(30)]
+    values = set(seeds)
+    for s in seeds:
+        near = s
+        for _ in range(4):
+            near ^= 1 << rng.randrange(64)
+            values.add(near)
+    signed = sorted(v - (1 << 64) if v >> 63 else v for v in values)
+    monkeypatch.setattr(sim, "blocks_for", lambda *_: blocks)
+    monkeypatch.setattr(sim, "TREE_NODES", 4 if blocks == 5 else 8192)  # also the split of large shards
+    printed = spark.createDataFrame([(i, v) for i, v in enumerate(signed)], "doc_id long, fingerprint long")
+    got = {r["fingerprint"]: r["component_id"] for r in sim.components_of(printed).collect()}
+    expected = plain_components(list(enumerate(signed)))
+    assert [got[v] for v in signed] == expected
+
+
+def test_runs_grow_with_the_corpus():
+    assert sim.blocks_for(0, 4) == 5
+    assert sim.blocks_for(10**8, 4) > 5
+    assert sim.blocks_for(10**12, 4) == 8
+
+
+def test_documents_against_all_pairs(spark):
+    words = [f"w{i}" for i in range(300)]
+    long = " ".join(words)
+    rows = [
+        (5, long, "x"), (3, long.replace("w150", "other"), "y"), (3, long, None), (None, long, "z"),
+        (8, None, "n"), (9, "", "n"), (7, " \n ", "n"), (1, "entirely different text here now", "q"),
+        (None, "unlike all others", "q"), (None, "UNLIKE all others", "q"), (12, "Entirely different TEXT here now", "q"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, fingerprint string")
+    prints = [(r[0], plain_fingerprint(r[1])) for r in rows]
+    expected = sorted(map(repr, zip((p[0] for p in prints), (p[1] for p in prints), plain_components(prints), strict=True)))
+    got = sim.near_duplicates(docs)
+    assert sorted(repr(tuple(r)) for r in got.collect()) == expected
+    kept = sim.drop_near_duplicates(docs)
+    assert kept.columns == docs.columns
+    assert sorted(str(r["doc_id"]) for r in kept.collect()) == ["1", "3", "7", "None"]
+
+
+def test_empty_table(spark):
+    docs = spark.createDataFrame([], "doc_id long, text string")
+    assert sim.near_duplicates(docs).collect() == []
+    assert sim.drop_near_duplicates(docs).collect() == []
