@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fieldpulse.llm import decontaminate, line_dedup, simhash_dedup
+from fieldpulse.llm import decontaminate, line_dedup, packing, simhash_dedup, token_store
+from fieldpulse.session import scratch_path
 from fieldpulse.llm.oracles import ORACLES  # noqa: F401  read by the entry module
 from fieldpulse.llm.common import table
 
@@ -27,6 +28,33 @@ def op1_benchmark_decontamination(spark, sf_dir):
     return found.select("doc_id", "item_id", "n_shingles", "n_matched")
 
 
+def vocabulary() -> str:
+    """Path of the vocabulary file; the package is installed on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@_register
+def op2_token_store(spark, sf_dir):
+    """Every document's place and checksum, read back from the written store."""
+    path = scratch_path(spark, "token-store")
+    token_store.write_store(table(spark, sf_dir, "documents"), path, vocabulary(), end_id=1)
+    return token_store.read_store(spark, path).select(
+        "doc_id", "start", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.crc32("ids").alias("ids_crc32"),
+    )
+
+
+@_register
+def op8_packing(spark, sf_dir):
+    """Every piece of every document with its place in a sequence of at most 4096 ids."""
+    packed = packing.pack(table(spark, sf_dir, "documents"), vocabulary(), end_id=2)
+    return packed.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
 @_register
 def op9_simhash_near_dedup(spark, sf_dir):
     """Every document with its fingerprint and the smallest doc_id of its group."""

@@ -1,0 +1,122 @@
+"""Token store and packing against the plain use of the tokenizer, and exact round trips."""
+
+from __future__ import annotations
+
+import random
+import zlib
+
+import numpy as np
+import pytest
+from hypothesis import given, settings, strategies as st
+
+from fieldpulse.llm import packing, token_store
+from fieldpulse.llm.queries import vocabulary
+from fieldpulse.llm.tokens import Encoder
+from fieldpulse.llm import tokens
+
+TEXTS = [
+    (4, "Ein Satz, über  zwei\nZeilen."), (2, None), (9, ""), (None, "no id"), (7, "the " * 3000),
+    (4, "same id again"), (4, "same id again"), (11, "tab\tnbsp\xa0　x <|endoftext|> it's 12ab \x1c!"), (3, "É é ΟΣ"),
+]
+
+
+@pytest.fixture(scope="module")
+def plain():
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(vocabulary())
+    return lambda text, end: np.array(tokenizer.encode(text or "", add_special_tokens=False).ids + [end], "<u4").tobytes()
+
+
+def _docs(spark, rows):
+    return spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, start string").repartition(3)
+
+
+@pytest.mark.parametrize("kept", [600_000, 6, 0])
+def test_words_kept_do_not_change_ids(plain, monkeypatch, kept):
+    monkeypatch.setattr(tokens, "KEPT_WORDS", kept)
+    encoder = Encoder(vocabulary())
+    for _ in range(3):
+        for _, text in TEXTS:
+            assert encoder.encode(text) + b"\x01\0\0\0" == plain(text, 1)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 2**32 - 1) | st.integers(0, 300), max_size=400), max_size=6), st.data())
+def test_segment_round_trip(documents, data):
+    raw = [np.array(d, "<u4").tobytes() for d in documents]
+    ids = [data.draw(st.none() | st.integers(-2**63, 2**63 - 1)) for _ in raw]
+    segment = token_store.Segment.parse(token_store.encode_segment(ids, raw))
+    flat = [x for d in documents for x in d]
+    assert segment.doc_ids == ids
+    assert segment.lengths.tolist() == [len(d) for d in documents]
+    assert segment.ids().tolist() == flat
+    start = data.draw(st.integers(0, len(flat)))
+    end = data.draw(st.integers(start, len(flat)))
+    assert segment.ids(start, end).tolist() == flat[start:end]
+
+
+def test_outliers_do_not_widen_a_block():
+    few = np.r_[np.arange(120), np.full(8, 10**9)].astype("<u4")
+    segment = token_store.Segment.parse(token_store.encode_segment([1], [few.tobytes()]))
+    assert segment.widths.tolist() == [7] and segment.exceptions.tolist() == [8]
+
+
+@pytest.mark.parametrize("segment_ids", [8, 1 << 18])
+def test_store_read_back(spark, tmp_path, plain, segment_ids):
+    path = str(tmp_path / f"store{segment_ids}")
+    token_store.write_store(_docs(spark, TEXTS), path, vocabulary(), 1, segment_ids)
+    rows = token_store.read_store(spark, path).orderBy("start").collect()
+    assert sorted((str(r["doc_id"]), bytes(r["ids"])) for r in rows) == sorted((str(d), plain(t, 1)) for d, t in TEXTS)
+    ids = [r["doc_id"] for r in rows]
+    assert ids == sorted(ids, key=lambda d: (d is not None, d))
+    assert [r["start"] for r in rows] == np.cumsum([0, *(len(r["ids"]) // 4 for r in rows)])[:-1].tolist()
+
+
+def test_empty_store(spark, tmp_path):
+    token_store.write_store(_docs(spark, []), str(tmp_path / "empty"), vocabulary(), 1)
+    assert token_store.read_store(spark, str(tmp_path / "empty")).collect() == []
+
+
+def test_tree_takes_the_tightest_window():
+    rng, tree, rooms = random.Random(5), packing.RoomTree(50), []
+    for step in range(3000):
+        if rng.random() < 0.5:
+            room = rng.randint(1, 50)
+            tree.put(room, step)
+            rooms.append(room)
+        else:
+            needed = rng.randint(1, 50)
+            fits = [r for r in rooms if r >= needed]
+            found = tree.take(needed)
+            assert (found[0] if found else None) == min(fits, default=None)
+            if fits:
+                rooms.remove(min(fits))
+
+
+@pytest.mark.parametrize("window", [4, 16, 4096])
+def test_packing_places_every_id_once(spark, plain, window):
+    rows = [(r["doc_id"], r) for r in packing.pack(_docs(spark, TEXTS), vocabulary(), 2, window, 2).collect()]
+    expected = sorted((str(d), len(plain(t, 2)) // 4, zlib.crc32(plain(t, 2))) for d, t in TEXTS)
+    by_doc: dict = {}
+    for _, r in rows:
+        assert len(r["ids"]) == 4 * r["length"] <= 4 * window
+        by_doc.setdefault((str(r["doc_id"]), r["doc_tokens"]), {}).setdefault(r["start"], []).append(bytes(r["ids"]))
+    got = []
+    for (doc_id, total), pieces in by_doc.items():
+        copies = {len(p) for p in pieces.values()}
+        assert len(copies) == 1
+        whole = b"".join(pieces[s][0] for s in sorted(pieces))
+        got += [(doc_id, total, zlib.crc32(whole))] * copies.pop()
+    assert sorted(got) == expected
+    sequences: dict = {}
+    for _, r in rows:
+        sequences.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for parts in sequences.values():
+        parts.sort()
+        assert [o for o, _ in parts] == np.cumsum([0, *(n for _, n in parts)])[:-1].tolist()
+        assert sum(n for _, n in parts) <= window
+
+
+def test_packing_nothing(spark):
+    assert packing.pack(_docs(spark, []), vocabulary(), 2).collect() == []
