@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fieldpulse.llm import decontaminate, line_dedup, packing, simhash_dedup, token_store
+from fieldpulse.llm import decontaminate, line_dedup, packing, quality_pu, simhash_dedup, token_store
 from fieldpulse.session import scratch_path
 from fieldpulse.llm.oracles import ORACLES  # noqa: F401  read by the entry module
 from fieldpulse.llm.common import table
@@ -46,6 +46,18 @@ def op2_token_store(spark, sf_dir):
     )
 
 
+@_register
+def op3_quality_classifier(spark, sf_dir):
+    """Every document's score by a model of trusted positives and unlabelled text."""
+    docs = table(spark, sf_dir, "documents")
+    model = quality_pu.train(docs, table(spark, sf_dir, "labels"))
+    scored = quality_pu.score(docs.select("doc_id", "text"), model)
+    return scored.select(
+        "doc_id", quality_pu.held_out().alias("held_out"), "score",
+        (F.col("score") >= quality_pu.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 @_register
 def op8_packing(spark, sf_dir):
     """Every piece of every document with its place in a sequence of at most 4096 ids."""
