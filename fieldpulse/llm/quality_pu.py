@@ -9,7 +9,8 @@ goes the other way. No negative label is used, in training or for the prior.
 The class prior is estimated from the same two samples: a model that tells positives
 from unlabelled text ranks rows, and the share of unlabelled text above a cut over that
 of held-back positives bounds the prior from above at every cut; the smallest bound,
-with a margin for the samples' size, is taken.
+with a margin for the samples' size, is taken. At the end the model's bias is shifted
+so that the unlabelled rows' mean score is the prior.
 
 Features see the text only: how often each pair of neighbouring character classes
 occurs, and a few measures of words and lines. They are computed in tasks from whole
@@ -39,10 +40,13 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 POSITIVES = 6_000
 UNLABELLED = 12_000
 THRESHOLD = 0.3
-EPOCHS = 60
-BATCHES = 24
+#: Steps of a fit, and the positives a step sees at least.
+STEPS = 1_500
+BATCH_POSITIVES = 100
+#: Splits into halves the class prior is estimated on.
+SPLITS = 5
 RATE = 0.03
-DECAY = 1e-3
+DECAY = 1e-2
 CLASSES = 16
 
 
@@ -108,12 +112,13 @@ class Model:
         return 1 / (1 + np.exp(-margin.clip(-40, 40)))
 
 
-def _descend(x: np.ndarray, gradient, epochs: int, rng: np.random.Generator) -> tuple[np.ndarray, float]:
-    """Adam on a linear margin; ``gradient(rng)`` yields batches of (rows, d risk / d margin by margin)."""
+def _descend(x: np.ndarray, gradient, steps: int, rng: np.random.Generator) -> tuple[np.ndarray, float]:
+    """Adam on a linear margin, averaged over the second half; ``gradient(rng)`` yields batches of (rows, d risk / d margin by margin)."""
     w, b = np.zeros(x.shape[1]), 0.0
+    mean = np.zeros(x.shape[1] + 1)
     first, second = np.zeros(x.shape[1] + 1), np.zeros(x.shape[1] + 1)
     step = 0
-    for _ in range(epochs):
+    while step < steps:
         for rows, slope in gradient(rng):
             step += 1
             part = x[rows]
@@ -123,7 +128,9 @@ def _descend(x: np.ndarray, gradient, epochs: int, rng: np.random.Generator) ->
             second = 0.999 * second + 0.001 * g * g
             move = RATE * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
             w, b = w - move[:-1], b - move[-1]
-    return w, b
+            if step > steps // 2:
+                mean += (np.append(w, b) - mean) / (step - steps // 2)
+    return mean[:-1], mean[-1]
 
 
 def _sigmoid(z: np.ndarray) -> np.ndarray:
@@ -132,11 +139,10 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
 
 def _batches(n_positive: int, n_unlabelled: int, rng: np.random.Generator):
     """Pairs of row numbers, positives first, that together go through both samples once."""
-    p = np.array_split(rng.permutation(n_positive), BATCHES)
-    u = np.array_split(rng.permutation(n_unlabelled) + n_positive, BATCHES)
-    for a, b in zip(p, u, strict=True):
-        if len(a) and len(b):
-            yield a, b
+    batches = max(1, min(n_positive // BATCH_POSITIVES, n_unlabelled))
+    p = np.array_split(rng.permutation(n_positive), batches)
+    u = np.array_split(rng.permutation(n_unlabelled) + n_positive, batches)
+    return zip(p, u, strict=True)
 
 
 def _non_negative(n_positive: int, n_unlabelled: int, prior: float):
@@ -179,13 +185,18 @@ def _domain(n_positive: int, n_unlabelled: int):
 
 
 def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray, rng: np.random.Generator) -> float:
-    """Share of positives in the unlabelled sample, from a model fitted on half of each."""
+    """Share of positives in the unlabelled sample: the middle one of several splits."""
+    return float(np.median([_prior_of_split(positive, unlabelled, rng) for _ in range(SPLITS)]))
+
+
+def _prior_of_split(positive: np.ndarray, unlabelled: np.ndarray, rng: np.random.Generator) -> float:
+    """The smallest bound on the held-back halves by a model fitted on the other halves."""
     p, u = rng.permutation(len(positive)), rng.permutation(len(unlabelled))
     p_fit, p_hold = positive[p[::2]], positive[p[1::2]]
     u_fit, u_hold = unlabelled[u[::2]], unlabelled[u[1::2]]
     if min(len(p_hold), len(u_hold)) < 10:
         return 1.0
-    w, b = _descend(np.concatenate([p_fit, u_fit]), _domain(len(p_fit), len(u_fit)), 20, rng)
+    w, b = _descend(np.concatenate([p_fit, u_fit]), _domain(len(p_fit), len(u_fit)), 500, rng)
     of_p, of_u = p_hold @ w + b, u_hold @ w + b
     cuts = np.quantile(of_p, np.linspace(0, 0.95, 96))
     share_p = np.array([(of_p >= c).mean() for c in cuts])
@@ -195,6 +206,15 @@ def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray, rng: np.random.
     return float(np.clip(share_u[best] / share_p[best], 0.05, 1.0))
 
 
+def _matched(margins: np.ndarray, prior: float) -> float:
+    """Shift of the margins at which the mean score is the prior."""
+    low, high = -40.0, 40.0
+    for _ in range(60):
+        middle = (low + high) / 2
+        low, high = (middle, high) if _sigmoid(margins + middle).mean() < prior else (low, middle)
+    return (low + high) / 2
+
+
 def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float | None = None, seed: int = 7) -> Model:
     """Model of the two samples; ``prior`` is estimated unless it is given."""
     rng = np.random.default_rng(seed)
@@ -208,7 +228,8 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float | None = None
         prior = estimate_prior(x[:n], x[n:], rng)
     if not len(unlabelled):
         return Model(centre, scale, np.zeros(FEATURES), 40.0, prior)
-    w, b = _descend(x, _non_negative(n, len(unlabelled), prior), EPOCHS, rng)
+    w, b = _descend(x, _non_negative(n, len(unlabelled), prior), STEPS, rng)
+    b += _matched(x[n:] @ w + b, prior)
     return Model(centre, scale, w, float(b), prior)
 
 
