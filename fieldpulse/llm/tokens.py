@@ -2,54 +2,85 @@
 
 from __future__ import annotations
 
+import json
 import os
+import re
+from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
 
-#: Words whose ids a Python worker keeps; about 200 bytes each.
-KEPT_WORDS = 600_000
+#: Entries in a generation of what a Python worker keeps; about 200 bytes each.
+GENERATION = 150_000
+
+# The vocabulary's own rules for normalizing and splitting, as its file states them.
+NORMALIZERS = ["NFC", "Replace", "Lowercase"]
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: The same split for words of ASCII and Latin-1 letters, which normalizing leaves as they are but for case.
+PLAIN_SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|[^a-z0-9\xdf-\xf6\xf8-\xff]+")
+PLAIN_WORD = re.compile(r"[!-~\xc0-\xd6\xd8-\xf6\xf8-\xff]+")
+
+
+class _Kept(dict):
+    """Results of ``find``, kept for the present and the previous generation."""
+
+    def __init__(self, find: Callable[[str], bytes]):
+        self.find, self.before = find, {}
+
+    def __missing__(self, key: str) -> bytes:
+        ids = self.before.get(key)
+        if ids is None:
+            ids = self.find(key)
+        if len(self) >= GENERATION:
+            self.before = dict(self)
+            self.clear()
+        self[key] = ids
+        return ids
 
 
 class Encoder:
-    """Encodes by the tokenizers library, which sees each distinct word once.
+    """Encodes by the tokenizers library, which sees a word again only when it has become rare.
 
-    The vocabulary's rules never join characters across a space, so the ids of a text
-    are the ids of its space-separated words in a row. Words found once are kept up to
-    a bound; beyond it new words are encoded each time, and if most of a text is new,
-    keeping starts afresh.
+    Where the vocabulary splits at white space and never joins across it, the ids of a
+    text are those of its space-separated words in a row, and a word's are those of its
+    runs of letters, digits and marks. Both are kept for two generations, so memory is
+    bounded and frequent ones stay. Words beyond Latin letters and ASCII go to the
+    library whole, as do texts where the vocabulary has other rules.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.kept: dict[str, bytes] = {}
+        rules = json.loads(self.tokenizer.to_str())
+        normalizers = [n["type"] for n in (rules["normalizer"] or {}).get("normalizers", [])]
+        splits = [p.get("pattern", {}).get("Regex") for p in (rules["pre_tokenizer"] or {}).get("pretokenizers", [])]
+        self.by_word = normalizers == NORMALIZERS and splits == [SPLIT, None]
+        # The model's characters for the bytes of a letter, as the library's byte-level step gives them.
+        in_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        letters = filter(str.isalpha, map(chr, range(0xC0, 0x100)))
+        self.in_bytes = str.maketrans({c: in_bytes.pre_tokenize_str(c)[0][0] for c in letters})
+        self.tokenize = self.tokenizer.model.tokenize
+        self.runs = _Kept(self._run)
+        self.words = _Kept(self._word)
 
     def encode(self, text: str | None) -> bytes:
         """Ids of ``text`` (null: empty) without special tokens added."""
-        words = (text or "").replace("\n", " ").split(" ")
-        kept = self.kept
-        try:
-            return b"".join(map(kept.__getitem__, words))
-        except KeyError:
-            pass
-        new = list({w for w in words if w not in kept})
-        encoded = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        found = {w: np.array(e.ids, "<u4").tobytes() for w, e in zip(new, encoded, strict=True)}
-        if len(kept) + len(found) <= KEPT_WORDS:
-            kept.update(found)
-            return b"".join(map(kept.__getitem__, words))
-        if 2 * len(new) > len(set(words)):
-            kept.clear()
-        return b"".join([found[w] if w in found else kept[w] for w in words]) if kept else self._plain(words, found)
-
-    def _plain(self, words: list[str], found: dict[str, bytes]) -> bytes:
-        rest = list(set(words) - found.keys())
-        encoded = self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)
-        found |= {w: np.array(e.ids, "<u4").tobytes() for w, e in zip(rest, encoded, strict=True)}
-        return b"".join(map(found.__getitem__, words))
+        if not self.by_word:
+            return self._whole(text or "")
+        return b"".join(map(self.words.__getitem__, (text or "").replace("\n", " ").split(" ")))
+
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _word(self, word: str) -> bytes:
+        if PLAIN_WORD.fullmatch(word) and "<|" not in word:
+            return b"".join(map(self.runs.__getitem__, PLAIN_SPLIT.findall(word.lower())))
+        return self._whole(word)
+
+    def _run(self, run: str) -> bytes:
+        return b"".join([t.id.to_bytes(4, "little") for t in self.tokenize(run.translate(self.in_bytes))])
 
 
 @lru_cache(maxsize=2)

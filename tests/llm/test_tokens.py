@@ -32,9 +32,9 @@ def _docs(spark, rows):
     return spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, start string").repartition(3)
 
 
-@pytest.mark.parametrize("kept", [600_000, 6, 0])
+@pytest.mark.parametrize("kept", [600_000, 6, 1])
 def test_words_kept_do_not_change_ids(plain, monkeypatch, kept):
-    monkeypatch.setattr(tokens, "KEPT_WORDS", kept)
+    monkeypatch.setattr(tokens, "GENERATION", kept)
     encoder = Encoder(vocabulary())
     for _ in range(3):
         for _, text in TEXTS:
@@ -120,3 +120,28 @@ def test_packing_places_every_id_once(spark, plain, window):
 
 def test_packing_nothing(spark):
     assert packing.pack(_docs(spark, []), vocabulary(), 2).collect() == []
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(st.sampled_from("aAbzé ÉßÿÀ×÷ªµ²'sdtrevml.,!<|>0_9\n\t\xa0́ΣİıK") | st.characters(), max_size=30))
+def test_any_text_has_the_ids_of_the_library(plain, text):
+    assert _ENCODER().encode(text) + b"\x01\0\0\0" == plain(text, 1)
+
+
+@pytest.mark.parametrize("word", ["don't", "we'll!'s", "it's's", "''s", "'S", "<|endoftext|>", "a<|startoftext|>b", "x<|y"])
+def test_contractions_and_special_tokens(plain, word):
+    assert _ENCODER().encode(word) + b"\x01\0\0\0" == plain(word, 1)
+
+
+def test_other_vocabularies_encode_whole_texts():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    text = "Two  spaces and\nlines"
+    expected = np.array(Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    assert Encoder(path).encode(text) == expected
+
+
+def _ENCODER():
+    return tokens.encoder(vocabulary())
