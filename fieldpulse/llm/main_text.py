@@ -15,7 +15,7 @@ are trimmed and joined in page order by an empty line. Nothing else is dropped.
 
 Defined cases: null and empty html give an empty text; markup without text gives an empty
 text; text without markup is one block; unclosed and misnested elements end where the next
-enclosing element ends; repeated rows are extracted each; an empty table gives an empty
+enclosing element ends; a tag cut off by the page's end is markup; repeated rows are extracted each; an empty table gives an empty
 result. Extra columns pass through and may have any name.
 
 Extraction is a map over pages without a shuffle; a task holds one page's lines at a time.
@@ -77,6 +77,8 @@ FURNITURE_WORDS = set(
 )
 COMMENT_WORDS = set("comment comments commentlist disqus replies reply respond discussion".split())
 HEADER_WORDS = {"header"}
+#: A tag that the page's end cuts off.
+_CUT_TAG = re.compile(r"<[A-Za-z/!?]")
 _WORDS = re.compile(r"[a-z]+|[A-Z][a-z]*")
 
 
@@ -251,8 +253,10 @@ def _region(lines: list[Line], cluster: np.ndarray, names: list[str], parents: l
 
 def main_text(html: str | None) -> str:
     """The main text of one page."""
+    html = html or ""
+    cut = _CUT_TAG.search(html, html.rfind(">") + 1)
     parser = _Lines()
-    parser.feed(html or "")
+    parser.feed(html[: cut.start()] if cut else html)
     parser.close()
     parser.flush()
     lines = parser.lines

@@ -6,7 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fieldpulse.llm import decontaminate, line_dedup, packing, quality_pu, simhash_dedup, token_store
+from fieldpulse.llm import (
+    decontaminate,
+    line_dedup,
+    main_text,
+    packing,
+    quality_pu,
+    simhash_dedup,
+    token_store,
+    url_rules,
+)
 from fieldpulse.session import scratch_path
 from fieldpulse.llm.oracles import ORACLES  # noqa: F401  read by the entry module
 from fieldpulse.llm.common import table
@@ -58,6 +67,29 @@ def op3_quality_classifier(spark, sf_dir):
     )
 
 
+@_register
+def op4_html_extraction(spark, sf_dir):
+    """Every page's main text."""
+    extracted = main_text.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return extracted.select("page_id", "url", "text", "n_chars")
+
+
+URL_RULES = [
+    url_rules.Rule.parse("allow", "com/"),
+    url_rules.Rule.parse("block", "example.com/en/"),
+    url_rules.Rule.parse("allow", "www.example.com/en/"),
+    url_rules.Rule.parse("block", "net/es/"),
+    url_rules.Rule.parse("block", "net/fr/"),
+]
+
+
+@_register
+def op6_url_filters(spark, sf_dir):
+    """Every page's url judged by the curated rules, else by those mined from their verdicts."""
+    judged = url_rules.judge(table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
 @_register
 def op8_packing(spark, sf_dir):
     """Every piece of every document with its place in a sequence of at most 4096 ids."""
