@@ -15,6 +15,7 @@ from fieldpulse.llm import (
     simhash_dedup,
     token_store,
     url_rules,
+    vector_dedup,
 )
 from fieldpulse.session import scratch_path
 from fieldpulse.llm.oracles import ORACLES  # noqa: F401  read by the entry module
@@ -90,6 +91,12 @@ def op6_url_filters(spark, sf_dir):
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+@_register
+def op7_embedding_near_dedup(spark, sf_dir):
+    """Every vector's links at cosine 0.95 or more and the smallest vec_id of its component."""
+    return vector_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 @_register
 def op8_packing(spark, sf_dir):
     """Every piece of every document with its place in a sequence of at most 4096 ids."""

@@ -1,0 +1,106 @@
+from __future__ import annotations
+
+import numpy as np
+import pytest
+
+from fieldpulse.llm import vector_dedup as vd
+from fieldpulse.llm.queries import QUERIES
+
+
+def plain(rows, cosine=0.95):
+    """All pairs in double precision."""
+    def usable(v):
+        return v is not None and len(v) and all(x is not None and np.isfinite(x) for x in v) and any(v)
+
+    unit = []
+    for _, v in rows:
+        if usable(v):
+            x = np.array(v, float) / np.abs(np.array(v, float)).max()
+            unit.append(x / np.linalg.norm(x))
+        else:
+            unit.append(None)
+    n = len(rows)
+    linked = [
+        [j for j in range(n) if j != i and unit[i] is not None and unit[j] is not None
+         and len(unit[i]) == len(unit[j]) and unit[i] @ unit[j] >= cosine]
+        for i in range(n)
+    ]
+    out = []
+    for i in range(n):
+        seen, todo = {i}, [i]
+        while todo:
+            for j in linked[todo.pop()]:
+                if j not in seen:
+                    seen.add(j)
+                    todo.append(j)
+        smallest = min((rows[j][0] for j in seen if rows[j][0] is not None), default=None)
+        out.append((rows[i][0], len(linked[i]), smallest, rows[i][0] == smallest))
+    return sorted(map(str, out))
+
+
+def clustered(rng, n, dims, spread):
+    centres = rng.normal(size=(n // 12 + 1, dims))
+    return centres[rng.integers(0, len(centres), n)] + rng.normal(scale=spread, size=(n, dims))
+
+
+def as_rows(x):
+    return [(int(i), [float(c) for c in v]) for i, v in enumerate(x)]
+
+
+@pytest.mark.parametrize(("dims", "n", "spread", "interval", "fan_out", "leaf"), [
+    (16, 400, 0.2, 4096, 16, 512), (16, 400, 0.2, 16, 3, 4), (3, 300, 0.05, 20, 2, 8), (2, 200, 0.01, 7, 2, 2),
+    (64, 200, 0.22, 30, 4, 16), (1, 40, 0.5, 8, 2, 4),
+])
+def test_against_all_pairs(spark, monkeypatch, dims, n, spread, interval, fan_out, leaf):
+    monkeypatch.setattr(vd, "INTERVAL", interval)
+    monkeypatch.setattr(vd, "FAN_OUT", fan_out)
+    monkeypatch.setattr(vd, "LEAF", leaf)
+    x = clustered(np.random.default_rng(dims + n), n, dims, spread).astype(np.float32)
+    rows = as_rows(x)
+    rows += [(n + i, rows[3][1]) for i in range(9)]
+    got = vd.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<float>"))
+    assert sorted(str(tuple(r)) for r in got.collect()) == plain(rows)
+
+
+def test_odd_vectors(spark):
+    one = [1.0, 0.0, 0.0]
+    rows = [
+        (7, one), (3, one), (None, one), (9, [2.0, 0.1, 0.0]), (5, None), (6, []), (4, [0.0, 0.0, 0.0]),
+        (2, [1.0, None, 0.0]), (1, [1.0, float("nan"), 0.0]), (0, [float("inf"), 1.0, 0.0]), (8, [1.0, 0.0]),
+        (10, [1e300, 0.0, 0.0]), (11, [-1e-320, 0.0, 0.0]), (12, [-1.0, -0.0, 0.0]), (12, [-1.0, 0.0, 0.0]),
+        (None, [0.0, 1.0, 0.0]), (None, [0.0, 5.0, 0.0]), (13, [-0.0, 0.0, 0.0]),
+    ]
+    df = spark.createDataFrame([(*r, "x") for r in rows], "vec_id long, embedding array<double>, rep string")
+    got = vd.near_duplicates(df)
+    assert sorted(str(tuple(r)) for r in got.collect()) == plain(rows)
+    assert vd.near_duplicates(df.limit(0)).collect() == []
+    assert len(vd.near_duplicates(df.where("vec_id = 5")).collect()) == 1
+
+
+def test_the_threshold_is_met_exactly(spark):
+    c = 0.95
+    side = float(np.sqrt(1 - c * c))
+    rows = [(0, [1.0, 0.0]), (1, [c, side - 1e-12]), (2, [c, -side - 1e-7])]
+    got = vd.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    assert sorted(str(tuple(r)) for r in got.collect()) == plain(rows)
+    assert {r["vec_id"]: r["n_links"] for r in got.collect()} == {0: 1, 1: 1, 2: 0}
+
+
+def test_distant_intervals_are_skipped(spark, monkeypatch):
+    monkeypatch.setattr(vd, "INTERVAL", 50)
+    rng = np.random.default_rng(0)
+    angle = rng.uniform(0, 2 * np.pi, 1000)
+    x = np.stack([np.cos(angle), np.sin(angle)], axis=1)
+    reps = spark.createDataFrame(
+        [(v.tolist(), i, 1, i) for i, v in enumerate(x)], "embedding array<double>, smallest long, count long, rep long"
+    )
+    ordered = vd._in_grid_order(reps, np.eye(2), 0.95, 1000)
+    assert 20 <= vd.near_intervals(ordered, 2, 0.95).count() < 150  # of 210
+
+
+def test_query(spark):
+    import duckdb
+
+    rows = duckdb.sql("SELECT vec_id, embedding FROM read_parquet('/root/testdata/sf0.001/embeddings.parquet')").fetchall()
+    got = QUERIES["op7_embedding_near_dedup"](spark, "/root/testdata/sf0.001").collect()
+    assert sorted(str(tuple(r)) for r in got) == plain(rows)
