@@ -11,7 +11,7 @@ from functools import lru_cache
 import numpy as np
 
 #: Entries in a generation of what a Python worker keeps; about 200 bytes each.
-GENERATION = 150_000
+GENERATION = 250_000
 
 # The vocabulary's own rules for normalizing and splitting, as its file states them.
 NORMALIZERS = ["NFC", "Replace", "Lowercase"]
@@ -75,6 +75,8 @@ class Encoder:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _word(self, word: str) -> bytes:
+        if word.isascii() and word.isalpha():
+            return self.runs[word.lower()]
         if PLAIN_WORD.fullmatch(word) and "<|" not in word:
             return b"".join(map(self.runs.__getitem__, PLAIN_SPLIT.findall(word.lower())))
         return self._whole(word)

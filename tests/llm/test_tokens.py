@@ -123,7 +123,7 @@ def test_packing_nothing(spark):
 
 
 @settings(max_examples=300, deadline=None)
-@given(st.text(st.sampled_from("aAbzé ÉßÿÀ×÷ªµ²'sdtrevml.,!<|>0_9\n\t\xa0́ΣİıK") | st.characters(), max_size=30))
+@given(st.text(st.sampled_from("aAbzé ÉßÿÀ×÷ªµ²'sdtrevml.,!<|>0_9\n\t\xa0́ΣİıK") | st.characters(codec="utf-8"), max_size=30))
 def test_any_text_has_the_ids_of_the_library(plain, text):
     assert _ENCODER().encode(text) + b"\x01\0\0\0" == plain(text, 1)
 
