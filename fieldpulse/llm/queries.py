@@ -11,6 +11,7 @@ from fieldpulse.llm import (
     line_dedup,
     main_text,
     packing,
+    pii,
     quality_pu,
     simhash_dedup,
     token_store,
@@ -68,6 +69,17 @@ def op3_quality_classifier(spark, sf_dir):
     )
 
 
+#: Key of the registered query only; a job gives its own from a secret store.
+PII_KEY = "demonstration key"
+
+
+@_register
+def op5_pii_pseudonyms(spark, sf_dir):
+    """Every document with its personal data replaced by format-preserving pseudonyms."""
+    replaced = pii.pseudonymise(table(spark, sf_dir, "documents"), PII_KEY, counted="n_replaced")
+    return replaced.select("doc_id", "text", F.col("n_replaced").cast("long").alias("n_replaced"))
+
+
 @_register
 def op4_html_extraction(spark, sf_dir):
     """Every page's main text."""
