@@ -10,28 +10,31 @@ from functools import lru_cache
 
 import numpy as np
 
-#: Entries in a generation of what a Python worker keeps; about 200 bytes each.
-GENERATION = 250_000
+#: Entries in a generation of what a Python worker keeps; about 150 bytes each.
+RUNS_KEPT = 350_000
+WORDS_KEPT = 50_000
 
 # The vocabulary's own rules for normalizing and splitting, as its file states them.
 NORMALIZERS = ["NFC", "Replace", "Lowercase"]
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-#: The same split for words of ASCII and Latin-1 letters, which normalizing leaves as they are but for case.
-PLAIN_SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|[^a-z0-9\xdf-\xf6\xf8-\xff]+")
-PLAIN_WORD = re.compile(r"[!-~\xc0-\xd6\xd8-\xf6\xf8-\xff]+")
+#: The same split for ASCII and Latin-1 letters, which normalizing leaves as they are but for case.
+PLAIN_SPLIT = re.compile(
+    r"[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[^\t-\r a-z0-9\xdf-\xf6\xf8-\xff]+"
+)
+BEYOND_PLAIN = re.compile(r"[^\x00-\x7f\xc0-\xd6\xd8-\xf6\xf8-\xff]")
 
 
 class _Kept(dict):
-    """Results of ``find``, kept for the present and the previous generation."""
+    """Results of ``find``, kept for the present and the previous generation of ``size``."""
 
-    def __init__(self, find: Callable[[str], bytes]):
-        self.find, self.before = find, {}
+    def __init__(self, find: Callable[[str], bytes], size: int):
+        self.find, self.size, self.before = find, size, {}
 
     def __missing__(self, key: str) -> bytes:
         ids = self.before.get(key)
         if ids is None:
             ids = self.find(key)
-        if len(self) >= GENERATION:
+        if len(self) >= self.size:
             self.before = dict(self)
             self.clear()
         self[key] = ids
@@ -39,13 +42,13 @@ class _Kept(dict):
 
 
 class Encoder:
-    """Encodes by the tokenizers library, which sees a word again only when it has become rare.
+    """Encodes by the tokenizers library, which sees a run of letters again only when it has become rare.
 
-    Where the vocabulary splits at white space and never joins across it, the ids of a
-    text are those of its space-separated words in a row, and a word's are those of its
-    runs of letters, digits and marks. Both are kept for two generations, so memory is
-    bounded and frequent ones stay. Words beyond Latin letters and ASCII go to the
-    library whole, as do texts where the vocabulary has other rules.
+    Where the vocabulary splits at white space and between letters, digits and marks, the
+    ids of a text are those of its runs in a row. They are kept for two generations, so
+    memory is bounded and frequent ones stay. In texts with characters beyond ASCII and
+    Latin-1 letters, words that hold such go to the library whole, as do all texts where
+    the vocabulary has other rules.
     """
 
     def __init__(self, path: str):
@@ -56,30 +59,36 @@ class Encoder:
         rules = json.loads(self.tokenizer.to_str())
         normalizers = [n["type"] for n in (rules["normalizer"] or {}).get("normalizers", [])]
         splits = [p.get("pattern", {}).get("Regex") for p in (rules["pre_tokenizer"] or {}).get("pretokenizers", [])]
-        self.by_word = normalizers == NORMALIZERS and splits == [SPLIT, None]
-        # The model's characters for the bytes of a letter, as the library's byte-level step gives them.
+        self.by_run = normalizers == NORMALIZERS and splits == [SPLIT, None]
+        # The model's characters for the bytes of a character, as the library's byte-level step gives them.
         in_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        letters = filter(str.isalpha, map(chr, range(0xC0, 0x100)))
-        self.in_bytes = str.maketrans({c: in_bytes.pre_tokenize_str(c)[0][0] for c in letters})
+        plain = [c for c in map(chr, range(256)) if not BEYOND_PLAIN.match(c)]
+        self.in_bytes = str.maketrans({c: in_bytes.pre_tokenize_str(c)[0][0] for c in plain})
         self.tokenize = self.tokenizer.model.tokenize
-        self.runs = _Kept(self._run)
-        self.words = _Kept(self._word)
+        self.runs = _Kept(self._run, RUNS_KEPT)
+        self.words = _Kept(self._word, WORDS_KEPT)
 
     def encode(self, text: str | None) -> bytes:
         """Ids of ``text`` (null: empty) without special tokens added."""
-        if not self.by_word:
-            return self._whole(text or "")
-        return b"".join(map(self.words.__getitem__, (text or "").replace("\n", " ").split(" ")))
+        text = text or ""
+        if not self.by_run:
+            return self._whole(text)
+        if self._is_plain(text):
+            return self._plain(text)
+        return b"".join(map(self.words.__getitem__, text.replace("\n", " ").split(" ")))
 
-    def _whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    def _is_plain(self, text: str) -> bool:
+        # Special tokens' names are found in a text before it is split.
+        return "<|" not in text and (text.isascii() or not BEYOND_PLAIN.search(text))
+
+    def _plain(self, text: str) -> bytes:
+        return b"".join(map(self.runs.__getitem__, PLAIN_SPLIT.findall(text.lower())))
 
     def _word(self, word: str) -> bytes:
-        if word.isascii() and word.isalpha():
-            return self.runs[word.lower()]
-        if PLAIN_WORD.fullmatch(word) and "<|" not in word:
-            return b"".join(map(self.runs.__getitem__, PLAIN_SPLIT.findall(word.lower())))
-        return self._whole(word)
+        return self._plain(word) if self._is_plain(word) else self._whole(word)
+
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _run(self, run: str) -> bytes:
         return b"".join([t.id.to_bytes(4, "little") for t in self.tokenize(run.translate(self.in_bytes))])
