@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import importlib
 from collections.abc import Callable
+from datetime import datetime, timezone
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -16,10 +17,10 @@ from pyspark.sql.types import TimestampType
 
 from fieldpulse.functions.topics import topic_level
 from fieldpulse.operators import ingest, latest, quality, state, windows
-from fieldpulse.plans import reports
-from fieldpulse.schema import READING_CONTRACT, READING_FIELDS, ColumnRule
+from fieldpulse.plans import catalog, reports
+from fieldpulse.schema import READING_CONTRACT, READING_FIELDS, WINDOW_STATS_COLUMNS, ColumnRule
 from fieldpulse.session import scratch_path
-from fieldpulse.sources import tables
+from fieldpulse.sources import batches, tables
 from fieldpulse.sources.events import (
     EVENTS_DDL,
     event_k,
@@ -34,7 +35,11 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 AS_OF_HOURLY = "2024-01-30 00:00:00"
 AS_OF_RETENTION = "2024-02-10 00:00:00"
+HALF_TIME = "2024-01-15 00:00:00"
+LATE_BEFORE = "2024-01-08 00:00:00"
 ARRIVALS_PER_BATCH = 1000
+FILES_PER_STEP = 8
+CHAT_DDL = "conv_id BIGINT, turn BIGINT, role STRING, text STRING"
 FILES_PER_BATCH = 256
 ALERT_LIMITS = {
     "temperature": (10.0, 60.0),
@@ -131,9 +136,18 @@ def _chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- Ingest -----------------------------------------------------------------
 
 
+def _reading_table(spark: SparkSession, sf_dir: str) -> str:
+    """The reading table written by day and sensor type; returns its path."""
+    path = scratch_path(spark, "reading-table")
+    tables.append_readings(_stored(spark, sf_dir).drop("event_id"), path, 0)
+    return path
+
+
 @query
 def scan_readings(spark, sf_dir):
-    return _stored(spark, sf_dir).drop("event_id")
+    """The stored reading table, partition columns turned back into rows."""
+    stored = batches.read_batches(spark, _reading_table(spark, sf_dir), tables.READINGS_TABLE_DDL)
+    return stored.drop("event_day")
 
 
 @query
@@ -215,6 +229,13 @@ def window_stats_5m(spark, sf_dir):
     return windows.window_stats(_parsed_clean(spark, sf_dir))
 
 
+@query
+def window_stats_uncleaned(spark, sf_dir):
+    """Statistics over readings of which every third has no value."""
+    gaps = F.when(F.col("event_id") % 3 != 0, F.col("value"))
+    return windows.window_stats(_readings(spark, sf_dir, dense=True).withColumn("value", gaps))
+
+
 @query
 def window_stats_rollup_1h(spark, sf_dir):
     moments = windows.window_moments(_stored(spark, sf_dir, dense=True))
@@ -236,7 +257,7 @@ def window_stats_closed(spark, sf_dir):
         clean, [sinks.window_stats_sink(f"{base}/table")], f"{base}/checkpoint",
         name="window_stats_closed",
     ).awaitTermination()
-    return tables.read_window_stats(spark, f"{base}/table").drop("mean", "m2", "event_day")
+    return tables.read_window_stats(spark, f"{base}/table").select(*WINDOW_STATS_COLUMNS)
 
 
 @query
@@ -292,6 +313,14 @@ def anomalies_windowed(spark, sf_dir):
     return _rounded(found, "mean_val", "std_val", "z_score")
 
 
+@query
+def anomalies_view(spark, sf_dir):
+    """The anomalies as a catalog view shows them."""
+    stored = _stored(spark, sf_dir, dense=True)
+    catalog.register_views(stored, state.partial_states(stored, 0))
+    return _rounded(spark.table("anomalies"), "mean_val", "std_val", "z_score")
+
+
 @query
 def sensor_type_summary(spark, sf_dir):
     return _rounded(reports.sensor_type_summary(_stored(spark, sf_dir)), "avg")
@@ -358,6 +387,47 @@ def readings_streamed(spark, sf_dir):
     return tables.read_readings(spark, path, whole_seconds=True)
 
 
+@query
+def readings_settled(spark, sf_dir):
+    """The streamed reading table after its batches were merged into their partitions."""
+    path = scratch_path(spark, "readings")
+    _run_readings_stream(spark, sf_dir, sinks=[sinks.readings_sink(path)])
+    tables.settle_readings(spark, path, upto=batches.fresh_batches(spark, path)[-1])
+    return tables.read_readings(spark, path)
+
+
+@query
+def clustered_readings(spark, sf_dir):
+    """One sensor type from files written in ranges of type and day."""
+    path = scratch_path(spark, "clustered")
+    tables.write_clustered(_stored(spark, sf_dir), path)
+    return reports.of_type(spark.read.parquet(path), "temperature").select(
+        "device_id", "sensor_type", "value", "timestamp"
+    )
+
+
+@query
+def sinks_streamed(spark, sf_dir):
+    """Rows that each of several sinks of one stream got."""
+    base = scratch_path(spark, "sinks")
+    external = sinks.format_sink("external", "parquet", {"path": f"{base}/external"})
+    _run_readings_stream(
+        spark, sf_dir,
+        sinks=[sinks.readings_sink(f"{base}/readings"), sinks.states_sink(f"{base}/states"), external],
+        reject_sinks=[sinks.rejects_sink(f"{base}/rejects")],
+    )
+    current = tables.read_device_current(spark, f"{base}/states")
+    total = F.count("*").alias("rows")
+    named = lambda name, rows: rows.select(F.lit(name).alias("sink"), "rows")
+    stored = batches.read_batches(spark, f"{base}/readings", tables.READINGS_TABLE_DDL)
+    return (
+        named("readings", stored.agg(total))
+        .union(named("states", current.agg(F.sum("total_readings").alias("rows"))))
+        .union(named("external", spark.read.parquet(f"{base}/external").agg(total)))
+        .union(named("rejects", tables.read_rejects(spark, f"{base}/rejects").agg(total)))
+    )
+
+
 @query
 def rejects_streamed(spark, sf_dir):
     """Messages the stream refused, with their reason and payload."""
@@ -368,13 +438,17 @@ def rejects_streamed(spark, sf_dir):
 
 @query
 def daily_partitions(spark, sf_dir):
-    return reports.readings_per_partition(_stored(spark, sf_dir))
+    stored = batches.read_batches(spark, _reading_table(spark, sf_dir), tables.READINGS_TABLE_DDL)
+    return reports.readings_per_partition(stored)
 
 
 @query
 def retention_30d(spark, sf_dir):
-    kept = reports.retained(_stored(spark, sf_dir), as_of=AS_OF_RETENTION)
-    return kept.drop("ingest_time")
+    """The reading table after its expired days were dropped, the boundary day cut by row."""
+    path = _reading_table(spark, sf_dir)
+    as_of = datetime.fromisoformat(AS_OF_RETENTION).replace(tzinfo=timezone.utc)
+    tables.expire_readings(spark, path, as_of)
+    return tables.read_retained(spark, path, as_of).drop("ingest_time", "event_day")
 
 
 # --- Streams ----------------------------------------------------------------
@@ -397,6 +471,84 @@ def _run_readings_stream(spark: SparkSession, sf_dir: str, **outputs) -> None:
     ).awaitTermination()
 
 
+def _chat_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    source = file_source(f"{sf_dir}/conversations.parque[t]", "parquet", CHAT_DDL, FILES_PER_BATCH)
+    return source.stream(spark).select(
+        F.lit(None).cast("binary").alias("key"), F.col("text").cast("binary").alias("value"),
+        F.lit("sensors/chat").alias("topic"), F.current_timestamp().alias("ingest_time"),
+    )
+
+
+def _run_republish(spark: SparkSession, sf_dir: str) -> str:
+    """Forward sensor messages and chat into files; returns the folder of both outputs."""
+    base = scratch_path(spark, "republish")
+    messages = _message_stream(spark, sf_dir, FILES_PER_BATCH).drop("event_id")
+    jobs.start_republish(
+        messages.unionByName(_chat_stream(spark, sf_dir)),
+        [sinks.format_sink("forwarded", "parquet", {"path": f"{base}/forwarded"})],
+        f"{base}/checkpoint",
+        reject_sinks=[sinks.rejects_sink(f"{base}/rejects")],
+    ).awaitTermination()
+    return base
+
+
+@query
+def republish_streamed(spark, sf_dir):
+    """Messages forwarded by the stream, read back."""
+    forwarded = spark.read.parquet(f"{_run_republish(spark, sf_dir)}/forwarded")
+    fields = F.from_json("value", "device_id STRING, value DOUBLE, mqtt_topic STRING")
+    return forwarded.select("key", F.inline(F.array(fields)))
+
+
+@query
+def republish_rejects_streamed(spark, sf_dir):
+    """Messages the forwarding stream could not write the topic into."""
+    found = tables.read_rejects(spark, f"{_run_republish(spark, sf_dir)}/rejects")
+    return found.select("mqtt_topic", "payload", "reject_reason")
+
+
+@query
+def first_deliveries_streamed(spark, sf_dir):
+    """Readings of a stream that brings each message twice, kept once."""
+    base = scratch_path(spark, "deliveries")
+    twice = _message_stream(spark, sf_dir, FILES_PER_BATCH).union(_message_stream(spark, sf_dir, FILES_PER_BATCH))
+    clean = quality.accepted(quality.classify_messages(twice, keep=["ingest_time"]))
+    jobs.start_batches(
+        latest.drop_redelivered(clean, "60 days"),
+        sinks.readings_sink(f"{base}/readings").write, "first_deliveries", f"{base}/checkpoint",
+    ).awaitTermination()
+    stored = batches.read_batches(spark, f"{base}/readings", tables.READINGS_TABLE_DDL)
+    return stored.select("device_id", "sensor_type", "timestamp")
+
+
+@query
+def late_rows_streamed(spark, sf_dir):
+    """Window statistics of a stream whose third batch comes after its windows have closed."""
+    base = scratch_path(spark, "late")
+    events = _dense_halves(read_events(spark, sf_dir))
+    for number in range(3):
+        # Each step is a batch of its own: as many files as a trigger takes.
+        step = events.filter(F.col("step") == number).drop("step")
+        step.repartition(FILES_PER_STEP).write.parquet(f"{base}/steps/{number}")
+    source = file_source(f"{base}/steps/*", "parquet", EVENTS_DDL, FILES_PER_STEP)
+    messages = messages_from_events(source.stream(spark), dense=True, keep=["event_id"])
+    clean = quality.accepted(quality.classify_messages(messages, keep=["ingest_time"]))
+    jobs.start_window_stats(
+        clean, [sinks.window_stats_sink(f"{base}/table")], f"{base}/checkpoint", name="late_rows",
+    ).awaitTermination()
+    return tables.read_window_stats(spark, f"{base}/table").select(*WINDOW_STATS_COLUMNS)
+
+
+def _dense_halves(events: DataFrame) -> DataFrame:
+    """Events with their ``step``: the first half of the time, the second, late ones of the first week.
+
+    Rows are late against the watermark of the batch before, which the first half sets.
+    """
+    early = F.col("ts") < F.lit(HALF_TIME).cast("timestamp")
+    late = (F.col("ts") < F.lit(LATE_BEFORE).cast("timestamp")) & (F.col("event_id") % 10 == 0)
+    return events.withColumn("step", F.when(late, 2).when(early, 0).otherwise(1))
+
+
 # --- Contract ---------------------------------------------------------------
 
 

@@ -54,31 +54,66 @@ def enrich_topic(messages: DataFrame, payload: str = "value", topic: str = "topi
 
     ``payload`` becomes text with the field ``mqtt_topic`` at its end; every
     other field keeps its exact text, known or not.  An ``mqtt_topic`` the
-    device sent is taken out first.  Reading the field back proves that the
-    message was one whole object: after a broken or cut one, or one followed by
-    other text, it is not there.  Such messages, and those that are not valid
-    UTF-8, are dropped; the reject route of :mod:`fieldpulse.operators.quality`
-    is where they are kept.
+    device sent is taken out first.  Messages that cannot carry the field are
+    left out; :func:`classify_forwarding` keeps them with the reason.
+    """
+    classified = classify_forwarding(messages, payload, topic)
+    return classified.filter(F.col("reject_reason").isNull()).select(*messages.columns)
+
+
+def classify_forwarding(
+    messages: DataFrame, payload: str = "value", topic: str = "topic"
+) -> DataFrame:
+    """Messages enriched as by :func:`enrich_topic`, with ``payload`` and ``reject_reason``.
+
+    Reading the field back proves that the message was one whole object: after
+    a broken or cut one, or one followed by other text, it is not there.  The
+    reason is ``undecodable`` for bytes that are not UTF-8, else ``malformed``,
+    and NULL for messages to be forwarded.  The column ``payload`` has the
+    message as it came, with invalid bytes as replacement characters;
+    ``ingest_time`` is added where the messages have none.
     """
     others = [name for name in messages.columns if name != payload]
-    stamped = _stamped(messages.select(*others, decode_payload(payload).alias("_text")), topic)
+    text = decode_payload(payload)
+    as_it_came = F.make_valid_utf8(F.col(payload).cast("string"))
+    decoded = messages.select(*others, text.alias("_text"), as_it_came.alias("payload"))
     # Through a generator, so that the test on the result does not repeat its making.
-    result = stamped.select(*others, F.inline(F.array(F.struct(F.col("_result").alias(payload)))))
+    result = _stamped(decoded, topic).select(
+        *others, "payload", "_text", F.inline(F.array(F.struct(F.col("_result").alias(payload))))
+    )
     whole = F.from_json(payload, "mqtt_topic STRING", _STRICT)["mqtt_topic"]
-    return result.filter(whole == F.col(topic)).select(*messages.columns)
+    reason = F.when(F.col("_text").isNull(), "undecodable").when(
+        ~F.coalesce(whole == F.col(topic), F.lit(False)), "malformed"
+    )
+    if "ingest_time" not in others:
+        result = result.withColumn("ingest_time", F.current_timestamp())
+    return result.withColumn("reject_reason", reason).drop("_text")
+
+
+# The field as devices write it: its name, not as the end of an escaped one, and a string.
+_SENT_TOPIC = r'(?<![\\])"mqtt_topic"\s*:\s*"(?:[^"\\]|\\.)*+"'
 
 
 def _stamped(decoded: DataFrame, topic: str) -> DataFrame:
     """``_text`` with the topic spliced in as ``_result``, NULL if it ends in no object.
 
-    One column per step: each is used more than once by the next.
+    One column per step: each is used more than once by the next.  A field the
+    device sent is cut out of the text where it stands there once, as a string;
+    only where the name occurs again, or with another kind of value, is the object
+    taken apart and written anew, which may change how its numbers are written.
     """
     unpadded = F.when(F.endswith("_text", F.lit("}")), F.col("_text")).otherwise(
         F.trim("_text", F.lit(" \t\r\n"))
     )
+    own = F.from_json("_body", "mqtt_topic STRING", _STRICT)["mqtt_topic"]
+    once = (F.size(F.split("_body", '"mqtt_topic"')) == 2) & own.isNotNull() & F.col("_body").rlike(_SENT_TOPIC)
+    # With the comma after it, or the one before it if it is the last field.
+    cut = F.regexp_replace(F.regexp_replace("_body", _SENT_TOPIC + r"\s*,", ""), r"(?:,\s*)?" + _SENT_TOPIC, "")
     sent_fields = F.from_json("_body", "map<string,variant>", _STRICT)
     without = F.to_json(F.map_filter(sent_fields, lambda name, _: name != "mqtt_topic"))
-    fields = F.when(F.contains("_body", F.lit('"mqtt_topic"')), without).otherwise(F.col("_body"))
+    fields = (
+        F.when(~F.contains("_body", F.lit('"mqtt_topic"')), F.col("_body")).when(once, cut).otherwise(without)
+    )
     opened = F.when(
         F.endswith("_fields", F.lit("}")), F.left("_fields", F.length("_fields") - 1)
     )

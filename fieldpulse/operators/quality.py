@@ -40,9 +40,10 @@ def classify_messages(
     )
 
 
-def accepted(classified: DataFrame) -> DataFrame:
+def accepted(classified: DataFrame, keep_payload: bool = False) -> DataFrame:
     """Rows without a reject reason, as plain readings."""
-    return classified.filter(F.col("reject_reason").isNull()).drop("reject_reason", "payload")
+    unneeded = ["reject_reason", *([] if keep_payload else ["payload"])]
+    return classified.filter(F.col("reject_reason").isNull()).drop(*unneeded)
 
 
 def rejected(classified: DataFrame) -> DataFrame:

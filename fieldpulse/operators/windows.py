@@ -8,6 +8,7 @@ from pyspark.sql.types import NumericType
 from fieldpulse.schema import STATE_KEY
 
 WINDOW = "5 minutes"
+MEASURES = ["reading_count", "value_count", "mean", "m2", "min_value", "max_value"]
 
 
 def window_moments(
@@ -16,7 +17,9 @@ def window_moments(
     by: list[str] = STATE_KEY,
     watermark: str | None = None,
 ) -> DataFrame:
-    """Per window and group: count, mean, m2 (summed squared deviation), min, max.
+    """Per window and group: rows, values, mean, m2 (summed squared deviation), min, max.
+
+    NULL values are rows but no values, as in ``avg`` and ``stddev``.
 
     The form is mergeable, see :func:`merge_moments`.  Every aggregate has a
     fixed-width buffer, so tasks combine rows in a hash map before the shuffle
@@ -26,6 +29,7 @@ def window_moments(
         readings = readings.withWatermark("timestamp", watermark)
     grouped = readings.groupBy(F.window("timestamp", window), *by).agg(
         F.count("*").alias("reading_count"),
+        F.count("value").alias("value_count"),
         F.avg("value").alias("mean"),
         (F.var_pop("value") * F.count("value")).alias("m2"),
         F.min("value").alias("min_value"),
@@ -35,25 +39,20 @@ def window_moments(
         F.col("window.start").alias("window_start"),
         F.col("window.end").alias("window_end"),
         *by,
-        "reading_count",
-        "mean",
-        "m2",
-        "min_value",
-        "max_value",
+        *MEASURES,
     )
 
 
 def present_moments(
     moments: DataFrame, digits: int = 3, keep_moments: bool = False
 ) -> DataFrame:
-    """Moments as avg, min, max, sample stddev (NULL for one reading) and count.
+    """Moments as avg, min, max, sample stddev (NULL for one value) and count.
 
-    ``keep_moments`` adds the unrounded ``mean`` and ``m2``, which a stored row
-    needs to be merged into longer windows later.
+    ``keep_moments`` adds ``value_count`` and the unrounded ``mean`` and ``m2``,
+    which a stored row needs to be merged into longer windows later.
     """
-    measures = ["reading_count", "mean", "m2", "min_value", "max_value"]
-    keys = [name for name in moments.columns if name not in measures]
-    stddev = F.sqrt(F.col("m2") / F.nullif(F.col("reading_count") - 1, F.lit(0)))
+    keys = [name for name in moments.columns if name not in MEASURES]
+    stddev = F.when(F.col("value_count") > 1, F.sqrt(F.col("m2") / (F.col("value_count") - 1)))
     return moments.select(
         *keys,
         F.round("mean", digits).alias("avg_value"),
@@ -61,7 +60,7 @@ def present_moments(
         F.round("max_value", digits).alias("max_value"),
         F.round(stddev, digits).alias("stddev_value"),
         "reading_count",
-        *(["mean", "m2"] if keep_moments else []),
+        *(["value_count", "mean", "m2"] if keep_moments else []),
     )
 
 
@@ -84,12 +83,13 @@ def merge_moments(moments: DataFrame, keys: list[str], via: list[str] = ()) -> D
     if via:
         return merge_moments(merge_moments(moments, [*keys, *via]), keys)
     group = Window.partitionBy(*keys)
-    n, mean = F.col("reading_count"), F.col("mean")
-    shifted = moments.withColumn(
-        "_mean", F.sum(n * mean).over(group) / F.sum(n).over(group)
-    )
+    n, mean = F.col("value_count"), F.col("mean")
+    # A part without values has no mean and adds nothing to either sum.
+    total = F.nullif(F.sum(n).over(group), F.lit(0))
+    shifted = moments.withColumn("_mean", F.sum(n * mean).over(group) / total)
     return shifted.groupBy(*keys).agg(
         F.sum("reading_count").alias("reading_count"),
+        F.sum("value_count").alias("value_count"),
         F.first("_mean").alias("mean"),
         F.sum(F.col("m2") + n * (mean - F.col("_mean")) * (mean - F.col("_mean"))).alias("m2"),
         F.min("min_value").alias("min_value"),
@@ -104,11 +104,7 @@ def rollup_windows(moments: DataFrame, window: str, by: list[str] = STATE_KEY) -
         span.getField("start").alias("window_start"),
         span.getField("end").alias("window_end"),
         *by,
-        "reading_count",
-        "mean",
-        "m2",
-        "min_value",
-        "max_value",
+        *MEASURES,
     )
     return merge_moments(wider, ["window_start", "window_end", *by])
 

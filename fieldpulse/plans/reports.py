@@ -123,11 +123,26 @@ def anomalies_windowed(
     return _by_z_score(with_stats, threshold)
 
 
-def _by_z_score(with_stats: DataFrame, threshold: float) -> DataFrame:
+def anomalies_view(readings: DataFrame, threshold: float = 2.0) -> DataFrame:
+    """:func:`anomalies` as a plan alone, unordered: nothing is measured or written before it is read.
+
+    For views, which have to show what is stored when they are queried. The
+    planner chooses how the statistics reach the readings.
+    """
+    known = readings.dropna(subset=GROUP_KEY)
+    stats = device_sensor_stats(known).drop("reading_count")
+    return _beyond(known.join(stats, GROUP_KEY), threshold)
+
+
+def _beyond(with_stats: DataFrame, threshold: float) -> DataFrame:
     scored = with_stats.withColumn(
         "z_score", z_score(F.col("value"), F.col("mean_val"), F.col("std_val"))
     )
-    found = scored.filter(F.col("z_score") > threshold).select(*ANOMALY_COLUMNS)
+    return scored.filter(F.col("z_score") > threshold).select(*ANOMALY_COLUMNS)
+
+
+def _by_z_score(with_stats: DataFrame, threshold: float) -> DataFrame:
+    found = _beyond(with_stats, threshold)
     # Sorting samples its input, that is computes it twice; the few rows found
     # are written so that the second pass does not scan all readings again.
     return newest_first(written(found, "anomalies"), ties=[*GROUP_KEY, "value"])

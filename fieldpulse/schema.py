@@ -19,6 +19,9 @@ WINDOW_STATS_DDL = (
     "location STRING, avg_value DOUBLE, min_value DOUBLE, max_value DOUBLE, "
     "stddev_value DOUBLE, reading_count BIGINT"
 )
+# What a stored row needs to be merged into longer windows.
+MERGEABLE_STATS_DDL = WINDOW_STATS_DDL + ", value_count BIGINT, mean DOUBLE, m2 DOUBLE"
+WINDOW_STATS_COLUMNS = [column.split()[0] for column in WINDOW_STATS_DDL.split(", ")]
 
 STATE_DDL = (
     "device_id STRING, sensor_type STRING, location STRING, "

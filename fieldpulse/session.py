@@ -42,17 +42,26 @@ def build_session(
     return builder.getOrCreate()
 
 
-def shared_folder(spark: SparkSession) -> str:
+def configured_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    active = spark.sparkContext.getCheckpointDir()
-    if active:
-        return active.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        return "/tmp/fieldpulse-checkpoints"
-    raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not configured:
+        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
+    return configured.rstrip("/")
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """:func:`configured_folder`; a local master, which shares its disk, may go without.
+
+    For intermediates only: what has to outlive the application, such as the
+    checkpoint of a stream, needs a folder that was named.
+    """
+    try:
+        return configured_folder(spark)
+    except ValueError:
+        if not spark.sparkContext.master.startswith("local"):
+            raise
+        return f"/tmp/fieldpulse-{spark.sparkContext.applicationId}"
 
 
 def _scratch_root(spark: SparkSession) -> str:

@@ -3,15 +3,21 @@
 A table folder holds
 
 * ``fresh/batch_id=N``: the output of micro-batch N, overwritten if it is retried;
-* ``settled/upto=M``: the batches up to M gathered into few, well-sorted files.
+* ``settled/upto=M``: the batches up to M gathered into few, well-sorted files;
+* ``owners/N``: the streams that wrote the table, the last one with the right to.
 
 A folder counts once Spark has put its ``_SUCCESS`` marker there, so a reader
 never sees half a batch, and the marker of a settled folder is the switch that
 replaces the fresh ones it was made from.
+
+Batch numbers belong to a stream's checkpoint. A stream records itself as the
+owner with its first batch, and any other, or the same one with a new
+checkpoint, is refused until :func:`take_over` lets it go on above what is there.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from datetime import date
 
@@ -20,14 +26,17 @@ from pyspark.sql.types import StructType
 
 from fieldpulse import storage
 
+#: Rows a file is made for where adaptive execution cannot size files.
+FILE_ROWS = 2_000_000
+
 
 def fresh_batches(spark: SparkSession, path: str) -> list[int]:
-    """Ids of the completely written micro-batches."""
+    """Numbers of the completely written micro-batches."""
     return _complete(spark, f"{path}/fresh", "batch_id")
 
 
 def settled_marks(spark: SparkSession, path: str) -> list[int]:
-    """Last batch id of every completely written settled folder."""
+    """Last batch number of every completely written settled folder."""
     return _complete(spark, f"{path}/settled", "upto")
 
 
@@ -36,6 +45,59 @@ def _complete(spark: SparkSession, folder: str, column: str) -> list[int]:
     return sorted(int(mark.split("/")[-2].partition("=")[2]) for mark in marks)
 
 
+# --- Owners -----------------------------------------------------------------
+
+
+def _owners(spark: SparkSession, path: str) -> list[dict]:
+    """The records of a table's streams, oldest first: ``query`` and the ``first`` number it got."""
+    files = sorted(storage.matching(spark, f"{path}/owners/*"), key=lambda f: int(f.rpartition("/")[2]))
+    return [json.loads(storage.read_text(spark, file)) for file in files]
+
+
+def _record(spark: SparkSession, path: str, number: int, query: str | None, first: int) -> None:
+    if not storage.write_new(spark, f"{path}/owners/{number}", json.dumps({"query": query, "first": first})):
+        raise ValueError(f"{path} was claimed by another stream at the same time")
+
+
+def _last_number(spark: SparkSession, path: str) -> int:
+    """The highest number any batch folder has, complete or not."""
+    numbers = storage.numbered_folders(spark, f"{path}/fresh", "batch_id")
+    return max([*numbers, *settled_marks(spark, path)], default=-1)
+
+
+def _first_number(spark: SparkSession, path: str, query: str | None) -> int:
+    """Number of the writing stream's batch 0; refuses a stream the table does not belong to."""
+    owners = _owners(spark, path)
+    if query is None and not owners:
+        return 0  # written by hand, not by a stream
+    if owners and owners[-1]["query"] == query is not None:
+        return owners[-1]["first"]
+    if query is not None and owners and owners[-1]["query"] is None:
+        _record(spark, path, len(owners), query, owners[-1]["first"])
+        return owners[-1]["first"]
+    if query is not None and not owners and _last_number(spark, path) < 0:
+        _record(spark, path, 0, query, 0)
+        return 0
+    raise ValueError(
+        f"{path} belongs to another stream, or its stream's checkpoint was reset; its batches would be "
+        "overwritten. Start on a new table, or call take_over to go on above what is stored"
+    )
+
+
+def take_over(spark: SparkSession, path: str) -> int:
+    """Give the table to the stream that writes next; its batches follow the stored ones.
+
+    The former owner must have ended; it is refused from now on.  Returns the
+    number the new stream's batch 0 gets.
+    """
+    first = _last_number(spark, path) + 1
+    _record(spark, path, len(_owners(spark, path)), None, first)
+    return first
+
+
+# --- Writing ----------------------------------------------------------------
+
+
 def append_batch(
     df: DataFrame,
     path: str,
@@ -43,19 +105,36 @@ def append_batch(
     partition_by: list[str] = (),
     sort_by: list[str] = (),
 ) -> None:
-    """Write one micro-batch; writing the same batch again replaces it."""
-    marks = settled_marks(df.sparkSession, path)
-    if marks and batch_id <= marks[-1]:
+    """Write one micro-batch; writing the same batch again replaces it.
+
+    Within a stream the table is claimed for its query.
+    """
+    spark = df.sparkSession
+    query = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+    number = _first_number(spark, path, query) + batch_id
+    marks = settled_marks(spark, path)
+    if marks and number <= marks[-1]:
         raise ValueError(
-            f"batch {batch_id} of {path} is settled up to {marks[-1]}; was the stream's "
+            f"batch {number} of {path} is settled up to {marks[-1]}; was the stream's "
             "checkpoint reset? Start it on a new table"
         )
-    _write(df, f"{path}/fresh/batch_id={batch_id}", partition_by, sort_by)
+    _write(df, f"{path}/fresh/batch_id={number}", partition_by, sort_by)
 
 
 def _write(df: DataFrame, target: str, partition_by: list[str], sort_by: list[str]) -> None:
-    # Rebalancing gives each partition few files and splits an oversized one.
-    arranged = df.hint("rebalance", *partition_by) if partition_by else df.hint("rebalance")
+    """Few files per partition, and several for an oversized one.
+
+    Rebalancing does it where execution is adaptive.  In the batches of a
+    stateful stream it is not: there the rows are counted, and a salt cuts each
+    partition into as many files as all rows would need.
+    """
+    if df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
+        arranged = df.hint("rebalance", *partition_by) if partition_by else df.hint("rebalance")
+    else:
+        files = 1 + df.count() // FILE_ROWS
+        salt = F.pmod(F.xxhash64(*(sort_by or df.columns)), F.lit(files))
+        tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        arranged = df.repartition(min(tasks, 8 * files), *partition_by, salt)
     order = [*partition_by, *sort_by]
     if order:
         arranged = arranged.sortWithinPartitions(*order)
@@ -65,6 +144,9 @@ def _write(df: DataFrame, target: str, partition_by: list[str], sort_by: list[st
     writer.parquet(target)
 
 
+# --- Reading ----------------------------------------------------------------
+
+
 def read_batches(spark: SparkSession, path: str, ddl: str, cumulative: bool = False) -> DataFrame:
     """All rows of the table; ``ddl`` lists its columns, partition columns included.
 
@@ -75,14 +157,11 @@ def read_batches(spark: SparkSession, path: str, ddl: str, cumulative: bool = Fa
     done = marks[-1] if marks else -1
     settled = marks[-1:] if cumulative else marks
     fresh = [n for n in fresh_batches(spark, path) if n > done]
-    parts = []
-    if settled:
-        parts.append(_read(spark, f"{path}/settled", [f"upto={n}" for n in settled], ddl))
-    if fresh:
-        parts.append(_read(spark, f"{path}/fresh", [f"batch_id={n}" for n in fresh], ddl))
-    if not parts:
-        return spark.createDataFrame([], ddl)
-    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    rows = _together(
+        _read(spark, f"{path}/settled", [f"upto={n}" for n in settled], ddl) if settled else None,
+        _read(spark, f"{path}/fresh", [f"batch_id={n}" for n in fresh], ddl) if fresh else None,
+    )
+    return spark.createDataFrame([], ddl) if rows is None else rows
 
 
 def _read(spark: SparkSession, base: str, folders: list[str], ddl: str) -> DataFrame:
@@ -91,6 +170,9 @@ def _read(spark: SparkSession, base: str, folders: list[str], ddl: str) -> DataF
     return found.select(*StructType.fromDDL(ddl).names)
 
 
+# --- Upkeep -----------------------------------------------------------------
+
+
 def settle(
     spark: SparkSession,
     path: str,
@@ -123,8 +205,96 @@ def settle(
     return mark
 
 
-def vacuum(spark: SparkSession, path: str, cumulative: bool = False) -> None:
-    """Delete folders that a settled one has replaced; run it when no old reader is left."""
+def _partitions(spark: SparkSession, path: str, kind: str, depth: int) -> dict[int, dict[str, str]]:
+    """Per complete batch or settled folder its partitions: ``a=1/b=2`` and the whole path."""
+    column, numbers = ("batch_id", fresh_batches) if kind == "fresh" else ("upto", settled_marks)
+    found: dict[int, dict[str, str]] = {n: {} for n in numbers(spark, path)}
+    for folder in storage.matching(spark, f"{path}/{kind}/{column}=*" + "/*=*" * depth):
+        steps = folder.split("/")
+        number = int(steps[-depth - 1].partition("=")[2])
+        if number in found:
+            found[number]["/".join(steps[-depth:])] = folder
+    return found
+
+
+def _newest_settled(spark: SparkSession, path: str, depth: int) -> dict[str, str]:
+    """The folder that counts for each settled partition: the one with the last mark."""
+    newest: dict[str, str] = {}
+    for _, folders in sorted(_partitions(spark, path, "settled", depth).items()):
+        newest.update(folders)
+    return newest
+
+
+def _read_folders(spark: SparkSession, base: str, folders: list[str], ddl: str) -> DataFrame | None:
+    if not folders:
+        return None
+    found = spark.read.schema(ddl).option("basePath", base).parquet(*sorted(folders))
+    return found.select(*StructType.fromDDL(ddl).names)
+
+
+def _together(*parts: DataFrame | None) -> DataFrame | None:
+    present = [part for part in parts if part is not None]
+    return present[0] if len(present) == 1 else present[0].unionByName(present[1]) if present else None
+
+
+def settle_partitions(
+    spark: SparkSession,
+    path: str,
+    ddl: str,
+    merge: Callable[[DataFrame], DataFrame],
+    partition_by: list[str],
+    sort_by: list[str] = (),
+    upto: int | None = None,
+) -> int | None:
+    """Like :func:`settle` for a table whose rows are merged by key within a partition.
+
+    The partitions that fresh rows touch are merged with what is settled of them
+    and written whole, so every settled partition is merged for good.  The
+    others stay where they are; cost follows the partitions touched.
+    """
+    depth = len(partition_by)
+    marks = settled_marks(spark, path)
+    done = marks[-1] if marks else -1
+    fresh = _partitions(spark, path, "fresh", depth)
+    limit = upto if upto is not None else max(fresh, default=0) - 1
+    gathered = [n for n in sorted(fresh) if done < n <= limit]
+    if not gathered:
+        return None
+    touched = {name for n in gathered for name in fresh[n]}
+    settled = _newest_settled(spark, path, depth)
+    rows = _together(
+        _read(spark, f"{path}/fresh", [f"batch_id={n}" for n in gathered], ddl),
+        _read_folders(spark, f"{path}/settled", [settled[name] for name in touched if name in settled], ddl),
+    )
+    _write(merge(rows), f"{path}/settled/upto={gathered[-1]}", partition_by, sort_by)
+    return gathered[-1]
+
+
+def read_merged(
+    spark: SparkSession, path: str, ddl: str, depth: int
+) -> tuple[DataFrame | None, DataFrame | None]:
+    """Rows of partitions that are merged for good, and rows that have yet to be merged.
+
+    The second part holds the fresh rows and the settled ones of the same partitions.
+    """
+    marks = settled_marks(spark, path)
+    done = marks[-1] if marks else -1
+    fresh = {n: f for n, f in _partitions(spark, path, "fresh", depth).items() if n > done}
+    touched = {name for folders in fresh.values() for name in folders}
+    settled = _newest_settled(spark, path, depth)
+    base = f"{path}/settled"
+    merged = _read_folders(spark, base, [f for name, f in settled.items() if name not in touched], ddl)
+    return merged, _together(
+        _read(spark, f"{path}/fresh", [f"batch_id={n}" for n in sorted(fresh)], ddl) if fresh else None,
+        _read_folders(spark, base, [f for name, f in settled.items() if name in touched], ddl),
+    )
+
+
+def vacuum(spark: SparkSession, path: str, cumulative: bool = False, depth: int = 0) -> None:
+    """Delete folders that a settled one has replaced; run it when no old reader is left.
+
+    ``depth`` is the number of partition columns of a table settled by partition.
+    """
     marks = settled_marks(spark, path)
     if not marks:
         return
@@ -133,6 +303,14 @@ def vacuum(spark: SparkSession, path: str, cumulative: bool = False) -> None:
             storage.delete(spark, f"{path}/fresh/batch_id={n}")
     for mark in marks[:-1] if cumulative else []:
         storage.delete(spark, f"{path}/settled/upto={mark}")
+    if depth:
+        newest = _newest_settled(spark, path, depth)
+        for mark, folders in _partitions(spark, path, "settled", depth).items():
+            live = [name for name, folder in folders.items() if newest[name] == folder]
+            for name in folders.keys() - set(live):
+                storage.delete(spark, folders[name])
+            if not live and mark != marks[-1]:
+                storage.delete(spark, f"{path}/settled/upto={mark}")
 
 
 def drop_days_before(spark: SparkSession, path: str, first_kept: date) -> int:

@@ -6,11 +6,18 @@ from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from fieldpulse import storage
 from fieldpulse.functions.instants import utc_date
 from fieldpulse.operators.latest import latest_version
 from fieldpulse.operators.state import device_current, merge_states, partial_states
 from fieldpulse.plans.reports import retained
-from fieldpulse.schema import REJECT_DDL, STATE_DDL, STORED_READING_DDL, WINDOW_STATS_DDL
+from fieldpulse.schema import (
+    MERGEABLE_STATS_DDL,
+    READING_KEY,
+    REJECT_DDL,
+    STATE_DDL,
+    STORED_READING_DDL,
+)
 from fieldpulse.sources import batches
 
 READINGS_LAYOUT = {
@@ -21,8 +28,11 @@ STATS_LAYOUT = {
     "partition_by": ["event_day"],
     "sort_by": ["device_id", "sensor_type", "window_start"],
 }
+REJECTS_LAYOUT = {"partition_by": ["event_day"], "sort_by": ["reject_reason"]}
 READINGS_TABLE_DDL = STORED_READING_DDL + ", event_day DATE"
-STATS_TABLE_DDL = WINDOW_STATS_DDL + ", mean DOUBLE, m2 DOUBLE, event_day DATE"
+REJECTS_TABLE_DDL = REJECT_DDL + ", event_day DATE"
+STATS_TABLE_DDL = MERGEABLE_STATS_DDL + ", event_day DATE"
+_VERSION_KEY = [*READING_KEY, "event_day"]
 
 
 # --- Readings ---------------------------------------------------------------
@@ -51,27 +61,41 @@ def read_readings(
 ) -> DataFrame:
     """The latest version of every stored reading.
 
-    The day and the sensor type are functions of the key, so filters on
-    ``event_day`` and ``sensor_type`` reach the partitions below the merge.
+    Settled partitions are merged already and are only scanned; the merge runs
+    over partitions with fresh rows.  The day and the sensor type are functions of
+    the key, so filters on ``event_day`` and ``sensor_type`` reach the partitions.
+    ``whole_seconds`` narrows the key and merges everything again.
     """
-    stored = batches.day_filter(
-        batches.read_batches(spark, path, READINGS_TABLE_DDL), since, until
+    merged, loose = batches.read_merged(
+        spark, path, READINGS_TABLE_DDL, len(READINGS_LAYOUT["partition_by"])
     )
-    keys = ["device_id", "sensor_type", "timestamp", "event_day"]
-    return latest_version(stored, keys, whole_seconds=whole_seconds)
+    parts = []
+    if merged is not None:
+        merged = batches.day_filter(merged, since, until)
+        parts.append(latest_version(merged, _VERSION_KEY, whole_seconds=True) if whole_seconds else merged)
+    if loose is not None:
+        loose = batches.day_filter(loose, since, until)
+        parts.append(latest_version(loose, _VERSION_KEY, whole_seconds=whole_seconds))
+    if not parts:
+        return spark.createDataFrame([], READINGS_TABLE_DDL)
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
 def settle_readings(spark: SparkSession, path: str, upto: int | None = None) -> int | None:
-    """Merge fresh batches into sorted files; cost follows the new rows, not the table."""
-    keys = ["device_id", "sensor_type", "timestamp", "event_day"]
-    return batches.settle(
-        spark, path, READINGS_TABLE_DDL, lambda rows: latest_version(rows, keys),
+    """Merge fresh batches into the partitions they touch; the others are not read."""
+    return batches.settle_partitions(
+        spark, path, READINGS_TABLE_DDL, lambda rows: latest_version(rows, _VERSION_KEY),
         upto=upto, **READINGS_LAYOUT,
     )
 
 
+def vacuum_readings(spark: SparkSession, path: str) -> None:
+    """Free the space of what was settled, once no reader uses it any more."""
+    batches.vacuum(spark, path, depth=len(READINGS_LAYOUT["partition_by"]))
+
+
 def expire_readings(spark: SparkSession, path: str, as_of: datetime, days: int = 30) -> int:
-    """Delete the day partitions that lie wholly beyond the retention time."""
+    """Delete the day partitions that lie wholly beyond the retention time, of rejects as well."""
     boundary = as_of.astimezone(timezone.utc) - timedelta(days=days)
     return batches.drop_days_before(spark, path, boundary.date())
 
@@ -102,12 +126,20 @@ def write_clustered(
 
 
 def append_rejects(rejects: DataFrame, path: str, batch_id: int) -> None:
-    """Store refused messages; the payload is kept as it came, for replay."""
-    batches.append_batch(rejects, path, batch_id, sort_by=["reject_reason"])
+    """Store refused messages by the UTC day they came in; the payload is kept as it came, for replay."""
+    stored = rejects.withColumn("event_day", utc_date(F.col("ingest_time")))
+    batches.append_batch(stored, path, batch_id, **REJECTS_LAYOUT)
 
 
 def read_rejects(spark: SparkSession, path: str) -> DataFrame:
-    return batches.read_batches(spark, path, REJECT_DDL)
+    return batches.read_batches(spark, path, REJECTS_TABLE_DDL).drop("event_day")
+
+
+def settle_rejects(spark: SparkSession, path: str, upto: int | None = None) -> int | None:
+    """Gather the batches' folders; no row is merged with another."""
+    return batches.settle(
+        spark, path, REJECTS_TABLE_DDL, lambda rows: rows, upto=upto, **REJECTS_LAYOUT
+    )
 
 
 # --- Window statistics ------------------------------------------------------
@@ -159,7 +191,7 @@ def settle_states(spark: SparkSession, path: str, upto: int | None = None) -> in
 
 
 def maintain(spark: SparkSession, root: str, as_of: datetime, days: int = 30) -> None:
-    """Settle the tables of a streaming job and drop its expired days.
+    """Settle the tables of a streaming job, rejects included, and drop expired days.
 
     To be run beside the stream now and then; :func:`batches.vacuum` then frees
     the space of what was settled, once no reader uses it any more.
@@ -168,6 +200,10 @@ def maintain(spark: SparkSession, root: str, as_of: datetime, days: int = 30) ->
     settle_window_stats(spark, f"{root}/window_stats")
     settle_states(spark, f"{root}/states")
     expire_readings(spark, f"{root}/readings", as_of, days)
+    refused = [name for name in storage.child_folders(spark, root) if name.startswith("refused_by_")]
+    for name in ("rejects", *refused):
+        settle_rejects(spark, f"{root}/{name}")
+        expire_readings(spark, f"{root}/{name}", as_of, days)
 
 
 _PARTIAL_DDL = STATE_DDL.removesuffix(", batch_id BIGINT")

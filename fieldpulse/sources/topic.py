@@ -52,10 +52,20 @@ def kafka_source(
 
 
 def file_source(
-    path: str, format: str = "text", schema: str | None = None, max_files_per_batch: int | None = None
+    path: str,
+    format: str = "text",
+    schema: str | None = None,
+    max_files_per_batch: int | None = None,
+    max_age: str = "3650d",
 ) -> MessageSource:
-    """Files with one message per row: text lines, or a ``value`` column."""
-    options = {"path": path}
+    """Files with one message per row: text lines, or a ``value`` column.
+
+    After the first batch, files older than ``max_age`` against the newest one
+    seen are skipped without a word; the default keeps backfills of ten years.
+    The source remembers every file of that time, so shorten it where files
+    are many and never late.
+    """
+    options = {"path": path, "maxFileAge": max_age}
     if max_files_per_batch is not None:
         options["maxFilesPerTrigger"] = str(max_files_per_batch)
     return MessageSource(format, options, schema)

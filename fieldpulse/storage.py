@@ -42,3 +42,23 @@ def matching(spark: SparkSession, pattern: str) -> list[str]:
     """Paths that match a glob pattern."""
     fs, target = _open(spark, pattern)
     return sorted(status.getPath().toString() for status in fs.globStatus(target) or [])
+
+
+def write_new(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small file; False if it is there already."""
+    fs, target = _open(spark, path)
+    if fs.exists(target):
+        return False
+    out = fs.create(target, False)
+    out.write(bytearray(text.encode()))
+    out.close()
+    return True
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, target = _open(spark, path)
+    source = fs.open(target)
+    try:
+        return bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(source)).decode()
+    finally:
+        source.close()

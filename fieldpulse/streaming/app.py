@@ -14,7 +14,8 @@ from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from fieldpulse.operators.quality import accepted, classify_messages
-from fieldpulse.session import build_session, shared_folder
+from fieldpulse.schema import WINDOW_STATS_COLUMNS
+from fieldpulse.session import build_session, configured_folder
 from fieldpulse.sources.topic import MessageSource, kafka_source
 from fieldpulse.streaming import jobs, sinks
 
@@ -33,22 +34,53 @@ class Settings:
     first_deliveries_only: bool = False
     extra_reading_sinks: list[sinks.Sink] = field(default_factory=list)
     extra_stats_sinks: list[sinks.Sink] = field(default_factory=list)
+    extra_reject_sinks: list[sinks.Sink] = field(default_factory=list)
+    republish_from: MessageSource | None = None
+    republish_sinks: list[sinks.Sink] = field(default_factory=list)
+    republish_topics: str = "sensors/#"
 
     @classmethod
     def from_env(cls, env: Mapping[str, str] = os.environ) -> Settings:
-        """Settings from environment variables; databases are optional."""
+        """Settings from environment variables; see README.md for all of them."""
+        servers = env.get("KAFKA_BOOTSTRAP_SERVERS", "localhost:9092")
+        bound = env.get("MAX_RECORDS_PER_BATCH", "5000000")
+        reading = {
+            "start": env.get("STARTING_OFFSETS", "latest"),
+            "fail_on_data_loss": _flag(env, "FAIL_ON_DATA_LOSS", True),
+            "max_records_per_batch": int(bound) if bound != "none" else None,
+        }
+        republish_from = env.get("REPUBLISH_FROM")
         return cls(
-            source=kafka_source(
-                env.get("KAFKA_BOOTSTRAP_SERVERS", "localhost:9092"),
-                env.get("KAFKA_TOPIC", "sensor-readings"),
-            ),
+            source=kafka_source(servers, env.get("KAFKA_TOPIC", "sensor-readings"), **reading),
             tables=env["TABLES_PATH"],
             checkpoints=env.get("CHECKPOINTS_PATH"),
-            extra_reading_sinks=_jdbc(env, "sensor_readings") + _warehouse(env),
-            extra_stats_sinks=_jdbc(env, "sensor_aggregations"),
+            readings_every=_interval(env, "READINGS_EVERY", "10 seconds"),
+            stats_every=_interval(env, "STATS_EVERY", "30 seconds"),
+            watermark=env.get("WATERMARK", jobs.WATERMARK),
+            clock_allowance=env.get("CLOCK_ALLOWANCE"),
+            first_deliveries_only=_flag(env, "FIRST_DELIVERIES_ONLY", False),
+            extra_reading_sinks=_jdbc(env, "sensor_readings") + _warehouse(env, "WAREHOUSE_OPTIONS"),
+            extra_stats_sinks=_jdbc(env, "sensor_aggregations") + _warehouse(env, "WAREHOUSE_STATS_OPTIONS"),
+            extra_reject_sinks=_dead_letters(servers, env.get("DEAD_LETTER_TOPIC")),
+            republish_from=kafka_source(servers, republish_from, **reading) if republish_from else None,
+            republish_sinks=[sinks.topic_sink("republish", servers, env["REPUBLISH_TO"])] if republish_from else [],
+            republish_topics=env.get("REPUBLISH_TOPICS", "sensors/#"),
         )
 
 
+def _flag(env: Mapping[str, str], name: str, default: bool) -> bool:
+    value = env.get(name, str(default)).lower()
+    if value not in ("true", "false"):
+        raise ValueError(f"{name} is true or false, not {value!r}")
+    return value == "true"
+
+
+def _interval(env: Mapping[str, str], name: str, default: str) -> str | None:
+    """A trigger interval; ``once`` takes what is there and ends."""
+    value = env.get(name, default)
+    return None if value == "once" else value
+
+
 def _jdbc(env: Mapping[str, str], table: str) -> list[sinks.Sink]:
     """A database sink if ``JDBC_URL`` is set."""
     if not env.get("JDBC_URL"):
@@ -60,30 +92,40 @@ def _jdbc(env: Mapping[str, str], table: str) -> list[sinks.Sink]:
         user=env.get("JDBC_USER", ""),
         password=env.get("JDBC_PASSWORD", ""),
         driver=env["JDBC_DRIVER"],
+        connections=int(env.get("JDBC_CONNECTIONS", "8")),
     )]
 
 
-def _warehouse(env: Mapping[str, str]) -> list[sinks.Sink]:
+def _warehouse(env: Mapping[str, str], options: str) -> list[sinks.Sink]:
     """A sink of the data source ``WAREHOUSE_FORMAT`` with JSON options, if both are set."""
-    if not (env.get("WAREHOUSE_FORMAT") and env.get("WAREHOUSE_OPTIONS")):
+    if not (env.get("WAREHOUSE_FORMAT") and env.get(options)):
         return []
-    options = json.loads(env["WAREHOUSE_OPTIONS"])
-    return [sinks.format_sink("warehouse", env["WAREHOUSE_FORMAT"], options)]
+    return [sinks.format_sink("warehouse", env["WAREHOUSE_FORMAT"], json.loads(env[options]))]
+
+
+def _dead_letters(servers: str, topic: str | None) -> list[sinks.Sink]:
+    """A topic for refused messages: the payload, keyed by the reason."""
+    if not topic:
+        return []
+    target = sinks.topic_sink("dead_letters", servers, topic)
+    return [sinks.dead_letter_sink(target)]
 
 
 def start(spark: SparkSession, settings: Settings) -> list[StreamingQuery]:
-    """Start both queries; each reads the source on its own and has its own checkpoint.
+    """Start the queries; each reads the source on its own and has its own checkpoint.
 
     Readings without a device or a time pass validation.  The extra sinks are
-    strict tables, so they get the conforming rows and the rest is kept aside.
+    strict tables, so they get the conforming rows and the rest is kept aside;
+    those for statistics get the declared columns only.
     """
-    checkpoints = settings.checkpoints or f"{shared_folder(spark)}/fieldpulse-streams"
+    checkpoints = settings.checkpoints or f"{configured_folder(spark)}/fieldpulse-streams"
     tables = settings.tables
     strict = [
         sinks.checked_sink(sink, sinks.rejects_sink(f"{tables}/refused_by_{n}"))
         for n, sink in enumerate(settings.extra_reading_sinks)
     ]
-    readings = jobs.start_readings(
+    declared = [sinks.columns_sink(sink, WINDOW_STATS_COLUMNS) for sink in settings.extra_stats_sinks]
+    queries = [jobs.start_readings(
         settings.source.stream(spark),
         [
             sinks.readings_sink(f"{tables}/readings"),
@@ -91,22 +133,33 @@ def start(spark: SparkSession, settings: Settings) -> list[StreamingQuery]:
             *strict,
         ],
         f"{checkpoints}/readings",
-        reject_sinks=[sinks.rejects_sink(f"{tables}/rejects")],
+        reject_sinks=[sinks.rejects_sink(f"{tables}/rejects"), *settings.extra_reject_sinks],
         every=settings.readings_every,
         clock_allowance=settings.clock_allowance,
-    )
+    )]
     clean = accepted(classify_messages(
         settings.source.stream(spark), clock_allowance=settings.clock_allowance
     ))
-    stats = jobs.start_window_stats(
+    queries.append(jobs.start_window_stats(
         clean,
-        [sinks.window_stats_sink(f"{tables}/window_stats"), *settings.extra_stats_sinks],
+        [sinks.window_stats_sink(f"{tables}/window_stats"), *declared],
         f"{checkpoints}/window_stats",
         every=settings.stats_every,
         watermark=settings.watermark,
         first_deliveries_only=settings.first_deliveries_only,
-    )
-    return [readings, stats]
+    ))
+    if settings.republish_from:
+        queries.append(jobs.start_republish(
+            settings.republish_from.stream(spark),
+            settings.republish_sinks,
+            f"{checkpoints}/republish",
+            topics=settings.republish_topics,
+            every=settings.readings_every,
+            reject_sinks=[
+                sinks.rejects_sink(f"{tables}/refused_by_republish"), *settings.extra_reject_sinks
+            ],
+        ))
+    return queries
 
 
 def main() -> None:

@@ -5,11 +5,11 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from fieldpulse.operators import quality
-from fieldpulse.operators.ingest import enrich_topic, filter_topics, keyed_records
+from fieldpulse.operators.ingest import classify_forwarding, filter_topics, keyed_records
 from fieldpulse.operators.latest import drop_redelivered
 from fieldpulse.operators.windows import WINDOW, present_moments, window_moments
 from fieldpulse.streaming.sinks import Sink, write_all
@@ -25,19 +25,15 @@ def start_batches(
     name: str,
     checkpoint: str,
     every: str | None = None,
-    persist: bool = True,
 ) -> StreamingQuery:
     """Run ``write`` on each non-empty micro-batch of ``rows``.
 
     ``every`` is the trigger interval; without it the query takes what is there
-    and ends.  With ``persist`` the batch is computed once for all that ``write``
-    does with it, and its size is logged; a stateful query must not do without.
+    and ends.  The batch is computed once, by the count that is logged, and kept
+    for all that ``write`` does with it.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        if not persist:
-            write(batch, batch_id)
-            return
         batch.persist()
         try:
             count = batch.count()
@@ -75,11 +71,10 @@ def start_readings(
     )
 
     def route(batch: DataFrame, batch_id: int) -> None:
-        write_all(quality.accepted(batch), batch_id, sinks)
+        write_all(quality.accepted(batch, keep_payload=True), batch_id, sinks)
         write_all(quality.rejected(batch), batch_id, reject_sinks)
 
-    several = len(sinks) + len(reject_sinks) > 1
-    return start_batches(classified, route, name, checkpoint, every, persist=several)
+    return start_batches(classified, route, name, checkpoint, every)
 
 
 def start_window_stats(
@@ -118,14 +113,24 @@ def start_republish(
     topics: str = "sensors/#",
     every: str | None = None,
     name: str = "republish",
+    reject_sinks: list[Sink] = (),
 ) -> StreamingQuery:
-    """Forward messages keyed by their topic, with the topic written into them."""
-    _check(messages.sparkSession, sinks)
-    records = keyed_records(enrich_topic(filter_topics(messages, topics)))
-    return start_batches(
-        records, lambda batch, n: write_all(batch, n, sinks), name, checkpoint, every,
-        persist=len(sinks) > 1,
-    )
+    """Forward messages keyed by their topic, with the topic written into them.
+
+    Messages that cannot carry it go to the reject sinks with their reason.
+    """
+    _check(messages.sparkSession, [*sinks, *reject_sinks])
+    classified = classify_forwarding(filter_topics(messages, topics))
+
+    def route(batch: DataFrame, batch_id: int) -> None:
+        forwarded = batch.filter(F.col("reject_reason").isNull())
+        write_all(keyed_records(forwarded), batch_id, sinks)
+        refused = quality.rejected(batch).select(
+            "payload", "ingest_time", "reject_reason", F.col("topic").alias("mqtt_topic")
+        )
+        write_all(refused, batch_id, reject_sinks)
+
+    return start_batches(classified, route, name, checkpoint, every)
 
 
 def _check(spark: SparkSession, sinks: list[Sink]) -> None:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,17 +19,28 @@ class Sink:
     """A named writer of micro-batches.
 
     ``format`` is the data source the writer needs, to be checked at the start.
+    ``wants_payload`` asks for the message a reading came from, as ``payload``.
     """
 
     name: str
     write: WriteBatch
     format: str | None = None
     options: dict[str, str] = field(default_factory=dict)
+    wants_payload: bool = False
 
     def check(self, spark: SparkSession) -> None:
-        """Fail now rather than in the middle of a batch if the format is missing."""
+        """Fail now rather than in the middle of a batch if the format or its driver is missing."""
         if self.format is None:
             return
+        driver = self.options.get("driver")
+        if driver:
+            loader = spark._jvm.org.apache.spark.util.Utils.getContextOrSparkClassLoader()
+            try:
+                loader.loadClass(driver)
+            except Exception as error:
+                raise ValueError(
+                    f"sink {self.name!r}: driver {driver!r} is not on the class path"
+                ) from error
         lookup = spark._jvm.org.apache.spark.sql.execution.datasources.DataSource
         try:
             lookup.lookupDataSource(self.format, spark._jsparkSession.sessionState().conf())
@@ -56,7 +67,9 @@ def window_stats_sink(path: str, name: str = "window_stats") -> Sink:
 
 def rejects_sink(path: str, name: str = "rejects") -> Sink:
     """Refused messages with their reason, one folder per batch."""
-    return Sink(name, lambda rows, batch_id: tables.append_rejects(rows, path, batch_id))
+    return Sink(
+        name, lambda rows, batch_id: tables.append_rejects(rows, path, batch_id), wants_payload=True
+    )
 
 
 def format_sink(
@@ -72,15 +85,36 @@ def format_sink(
 
 
 def jdbc_sink(
-    name: str, url: str, table: str, user: str, password: str, driver: str, batch_rows: int = 50_000
+    name: str,
+    url: str,
+    table: str,
+    user: str,
+    password: str,
+    driver: str,
+    batch_rows: int = 50_000,
+    connections: int = 8,
 ) -> Sink:
-    """A database table over JDBC."""
+    """A database table over JDBC, written over at most so many ``connections``."""
     return format_sink(name, "jdbc", {
         "url": url, "dbtable": table, "user": user, "password": password, "driver": driver,
-        "batchsize": str(batch_rows),
+        "batchsize": str(batch_rows), "numPartitions": str(connections),
     })
 
 
+def dead_letter_sink(target: Sink) -> Sink:
+    """Refused messages as records of a log: their payload, keyed by the reason."""
+
+    def write(rows: DataFrame, batch_id: int) -> None:
+        target.write(rows.selectExpr("reject_reason AS key", "payload AS value"), batch_id)
+
+    return replace(target, write=write, wants_payload=True)
+
+
+def columns_sink(target: Sink, columns: list[str]) -> Sink:
+    """``target`` for a table that has these columns and no others."""
+    return replace(target, write=lambda rows, batch_id: target.write(rows.select(*columns), batch_id))
+
+
 def topic_sink(name: str, servers: str, topic: str) -> Sink:
     """Rows with ``key`` and ``value`` to a Kafka topic."""
     return format_sink(name, "kafka", {"kafka.bootstrap.servers": servers, "topic": topic})
@@ -91,19 +125,19 @@ def checked_sink(
 ) -> Sink:
     """``target`` for a strict table: rows that break its constraints go to ``refused``.
 
-    Their ``reject_reason`` lists the constraints.
+    Their ``reject_reason`` lists the constraints, and they keep their payload.
     """
 
     def write(rows: DataFrame, batch_id: int) -> None:
-        target.write(quality.conforming(rows, contract), batch_id)
+        write_all(quality.conforming(rows, contract), batch_id, [target])
         broken = quality.violating(rows, contract)
-        refused.write(broken.withColumnRenamed("violations", "reject_reason"), batch_id)
+        write_all(broken.withColumnRenamed("violations", "reject_reason"), batch_id, [refused])
 
-    return Sink(target.name, write, target.format, target.options)
+    return replace(target, write=write, wants_payload=True)
 
 
 def write_all(rows: DataFrame, batch_id: int, sinks: list[Sink]) -> None:
     """Write a batch to each sink in turn, to none if it has no rows."""
     if sinks and not rows.isEmpty():
         for sink in sinks:
-            sink.write(rows, batch_id)
+            sink.write(rows if sink.wants_payload else rows.drop("payload"), batch_id)

@@ -157,6 +157,14 @@ WHERE violations <> ''""",
     "window_stats_closed": DENSE + "," + _WINDOWS + """
 SELECT * FROM window_stats
 WHERE window_end <= (SELECT max(timestamp) FROM readings) - INTERVAL '2 minutes'""",
+    "window_stats_uncleaned": DENSE + """
+SELECT time_bucket(INTERVAL '5 minutes', timestamp) AS window_start,
+  time_bucket(INTERVAL '5 minutes', timestamp) + INTERVAL '5 minutes' AS window_end,
+  device_id, sensor_type, location,
+  round(avg(known), 3) AS avg_value, round(min(known), 3) AS min_value,
+  round(max(known), 3) AS max_value, round(stddev_samp(known), 3) AS stddev_value,
+  count(*) AS reading_count
+FROM (SELECT *, CASE WHEN event_id % 3 <> 0 THEN value END AS known FROM all_readings) GROUP BY ALL""",
     "window_stats_rollup_1h": DENSE + """
 SELECT time_bucket(INTERVAL '1 hour', timestamp) AS window_start,
   time_bucket(INTERVAL '1 hour', timestamp) + INTERVAL '1 hour' AS window_end,
@@ -191,6 +199,7 @@ SELECT device_id, sensor_type, round(avg(value), 6) AS mean_val,
   round(stddev_samp(value), 6) AS std_val, count(*) AS reading_count
 FROM readings GROUP BY device_id, sensor_type""",
     "anomalies": _ANOMALIES,
+    "anomalies_view": _ANOMALIES,
     "anomalies_windowed": _ANOMALIES,
     "sensor_type_summary": NATIVE + """
 SELECT sensor_type, count(*) AS count, round(avg(value), 6) AS avg
@@ -223,6 +232,38 @@ SELECT device_id, location, device_type, sensor_type, value, unit,
   date_trunc('second', timestamp) AS timestamp, quality, mqtt_topic, ingest_time,
   CAST(timestamp AS DATE) AS event_day
 FROM ranked WHERE version_rank = 1""",
+    "readings_settled": DENSE + f"""
+SELECT {_FIELDS}, ingest_time, CAST(timestamp AS DATE) AS event_day
+FROM readings QUALIFY row_number() OVER (
+  PARTITION BY device_id, sensor_type, timestamp ORDER BY ingest_time DESC) = 1""",
+    "clustered_readings": NATIVE + """
+SELECT device_id, sensor_type, value, timestamp FROM readings WHERE sensor_type = 'temperature'""",
+    "sinks_streamed": DENSE + """
+SELECT unnest(['readings', 'states', 'external']) AS sink, count(*) AS rows FROM readings GROUP BY sink
+UNION ALL
+SELECT 'rejects', count(*) FROM all_readings WHERE event_id NOT IN (SELECT event_id FROM readings)""",
+    "republish_streamed": DENSE + """
+SELECT mqtt_topic AS key, device_id, value, mqtt_topic FROM all_readings
+UNION ALL
+SELECT 'sensors/chat', NULL, NULL, 'sensors/chat' FROM conversations
+WHERE json_valid(text) AND json_type(text) = 'OBJECT'""",
+    "republish_rejects_streamed": """
+SELECT 'sensors/chat' AS mqtt_topic, text AS payload, 'malformed' AS reject_reason FROM conversations
+WHERE NOT CASE WHEN json_valid(text) THEN json_type(text) = 'OBJECT' ELSE FALSE END""",
+    "first_deliveries_streamed": DENSE + """
+SELECT DISTINCT device_id, sensor_type, timestamp FROM readings""",
+    "late_rows_streamed": DENSE + """,
+in_time AS (
+  SELECT * FROM readings WHERE ts >= TIMESTAMP '2024-01-08 00:00:00' OR event_id % 10 <> 0)
+SELECT time_bucket(INTERVAL '5 minutes', timestamp) AS window_start,
+  time_bucket(INTERVAL '5 minutes', timestamp) + INTERVAL '5 minutes' AS window_end,
+  device_id, sensor_type, location,
+  round(avg(value), 3) AS avg_value, round(min(value), 3) AS min_value,
+  round(max(value), 3) AS max_value, round(stddev_samp(value), 3) AS stddev_value,
+  count(*) AS reading_count
+FROM in_time WHERE time_bucket(INTERVAL '5 minutes', timestamp) + INTERVAL '5 minutes'
+  <= (SELECT max(timestamp) FROM in_time) - INTERVAL '2 minutes'
+GROUP BY ALL""",
     "rejects_streamed": DENSE + f"""
 SELECT * FROM (SELECT {_FIELDS}, {_REASON} AS reject_reason FROM judged)
 WHERE reject_reason IS NOT NULL""",
@@ -231,6 +272,6 @@ SELECT CAST(timestamp AS DATE) AS event_day, sensor_type, count(*) AS readings,
   CAST(strftime(timestamp, '%Y%m%d') AS INTEGER) AS day_number
 FROM readings GROUP BY ALL""",
     "retention_30d": NATIVE + f"""
-SELECT event_id, {_FIELDS} FROM readings
+SELECT {_FIELDS} FROM readings
 WHERE timestamp + INTERVAL '30 days' > TIMESTAMP '2024-02-10 00:00:00'""",
 }

@@ -150,3 +150,21 @@ def test_prefix_pattern_reaches_the_scan(spark, tmp_path):
     spark.createDataFrame([("sensors/a",)], "topic STRING").write.parquet(path)
     plan = plan_of(ingest.filter_topics(spark.read.parquet(path), "sensors/#"))
     assert "StringStartsWith(topic,sensors/)" in plan
+
+
+@pytest.mark.parametrize("sent, forwarded", [
+    ('{"value":NaN,"mqtt_topic":"x"}', '{"value":NaN,"mqtt_topic":"sensors/x/y"}'),
+    ('{"mqtt_topic":"x","value":1.50,"n":1e3}', '{"value":1.50,"n":1e3,"mqtt_topic":"sensors/x/y"}'),
+    ('{"a":"\\u00e9" , "mqtt_topic" : "q\\"u,}" , "b":007.0}', None),
+    ('{"a":1.0,"mqtt_topic":"q\\"u, }"}', '{"a":1.0,"mqtt_topic":"sensors/x/y"}'),
+    ('{"mqtt_topic":"only"}', '{"mqtt_topic":"sensors/x/y"}'),
+    ('{"note":"say \\"mqtt_topic\\": \\"x\\"","v":2.50}', '{"note":"say \\"mqtt_topic\\": \\"x\\"","v":2.50,"mqtt_topic":"sensors/x/y"}'),
+    ('{"inner":{"mqtt_topic":"keep"},"v":2.50}', None),
+])
+def test_other_fields_keep_their_exact_text(spark, sent, forwarded):
+    row = spark.createDataFrame([(sent.encode(), "sensors/x/y")], "value binary, topic string")
+    found = [r.value for r in ingest.enrich_topic(row).collect()]
+    if forwarded is None:
+        assert all(json.loads(v)["mqtt_topic"] == "sensors/x/y" for v in found)
+    else:
+        assert found == [forwarded]

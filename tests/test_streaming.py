@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from fieldpulse.operators import quality, windows
 from fieldpulse.operators.latest import drop_redelivered
+from fieldpulse.schema import WINDOW_STATS_COLUMNS
 from fieldpulse.sources import tables
 from fieldpulse.sources.topic import file_source
 from fieldpulse.streaming import jobs, sinks
@@ -79,7 +80,7 @@ def test_statistics_stream_equals_batch_for_closed_windows(spark, feed, tmp_path
     for n in range(0, len(lines), 30):
         feed.add(*lines[n:n + 30], _text(None))
     _run_stats(spark, feed, tmp_path)
-    streamed = tables.read_window_stats(spark, f"{tmp_path}/stats").drop("mean", "m2", "event_day")
+    streamed = tables.read_window_stats(spark, f"{tmp_path}/stats").select(*WINDOW_STATS_COLUMNS)
     batch = quality.accepted(quality.classify_messages(file_source(feed.path).batch(spark)))
     newest = F.lit(batch.agg(F.max("timestamp")).first()[0])
     expected = windows.closed_windows(windows.window_stats(batch), newest)
@@ -276,3 +277,134 @@ def test_supervision_stops_the_sibling_and_raises(spark, feed, tmp_path):
         jobs.supervise(spark, [healthy, failing])
     assert not healthy.isActive
     spark.streams.resetTerminated()
+
+
+def test_another_stream_or_a_reset_checkpoint_is_refused(spark, feed, tmp_path):
+    from fieldpulse.sources import batches
+
+    def run(checkpoint):
+        jobs.start_readings(
+            feed.stream(spark), [sinks.readings_sink(f"{tmp_path}/t")], f"{tmp_path}/{checkpoint}"
+        ).awaitTermination()
+
+    def stored():
+        return sorted(r.value for r in tables.read_readings(spark, f"{tmp_path}/t").collect())
+
+    for n in range(5):
+        feed.add(_text(f"10:00:0{n}", value=float(n)))
+    run("ck1")
+    with pytest.raises(Exception, match="another stream"):
+        run("ck2")
+    assert stored() == [0.0, 1.0, 2.0, 3.0, 4.0]
+    feed.add(_text("10:00:05", value=5.0))
+    run("ck1")
+    assert stored() == [0.0, 1.0, 2.0, 3.0, 4.0, 5.0]
+    assert batches.take_over(spark, f"{tmp_path}/t") == 6
+    feed.add(_text("10:00:06", value=6.0))
+    run("ck3")
+    assert stored() == [0.0, 1.0, 2.0, 3.0, 4.0, 5.0, 6.0]
+    assert batches.fresh_batches(spark, f"{tmp_path}/t") == list(range(13))
+    feed.add(_text("10:00:07", value=7.0))
+    with pytest.raises(Exception, match="another stream"):
+        run("ck1")
+    run("ck3")
+    assert stored()[-1] == 7.0 and len(stored()) == 8
+
+
+def test_stateful_batches_leave_few_files(spark, feed, tmp_path):
+    import glob
+
+    feed.add(*[_text(f"10:{m:02d}:00", device=f"d{d}", value=float(m)) for m in range(60) for d in range(20)])
+    feed.add(_text("12:00:00"))
+    feed.add(_text("12:00:01"))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        _run_stats(spark, feed, tmp_path)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    folders = glob.glob(f"{tmp_path}/stats/fresh/batch_id=*/event_day=*")
+    assert folders and all(len(glob.glob(f"{f}/part-*")) == 1 for f in folders)
+
+
+def test_a_big_stateful_batch_is_split(spark, readings, tmp_path, monkeypatch):
+    import glob
+
+    from fieldpulse.sources import batches
+
+    monkeypatch.setattr(batches, "FILE_ROWS", 100)
+    rows = readings(*[{"device_id": f"d{i}"} for i in range(450)])
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        tables.append_readings(rows, f"{tmp_path}/t", 0)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    files = glob.glob(f"{tmp_path}/t/fresh/batch_id=0/event_day=*/sensor_type=*/part-*")
+    assert 2 <= len(files) <= 5
+    assert tables.read_readings(spark, f"{tmp_path}/t").count() == 450
+
+
+def test_statistics_sinks_get_the_declared_columns(spark, feed, tmp_path):
+    from fieldpulse.plans.catalog import TABLES
+
+    feed.add(_text("10:00:00"))
+    feed.add(_text("10:20:00"))
+    got = []
+    external = sinks.Sink("external", lambda rows, n: got.append(rows.columns))
+    settings = Settings(
+        file_source(feed.path), f"{tmp_path}/tables", f"{tmp_path}/ck",
+        readings_every=None, stats_every=None, extra_stats_sinks=[external],
+    )
+    for query in start(spark, settings):
+        query.awaitTermination()
+    assert got and all(columns == WINDOW_STATS_COLUMNS for columns in got)
+    stored = tables.read_window_stats(spark, f"{tmp_path}/tables/window_stats")
+    declared = [c.split()[0] for c in TABLES["sensor_aggregations"][0].split(", ")]
+    assert stored.columns == declared and len(WINDOW_STATS_COLUMNS) == 10
+
+
+def test_refused_rows_keep_their_payload_and_leave_no_empty_folders(spark, feed, tmp_path):
+    feed.add(_text("10:00:00", value=1.0))
+    feed.add(_text(None, value=2.0), _text("10:00:01", value=3.0))
+    strict = sinks.checked_sink(sinks.Sink("s", lambda rows, n: None), sinks.rejects_sink(f"{tmp_path}/refused"))
+    _start_readings(spark, feed, tmp_path, [strict]).awaitTermination()
+    (refused,) = tables.read_rejects(spark, f"{tmp_path}/refused").collect()
+    assert json.loads(refused.payload)["value"] == 2.0
+    assert os.listdir(f"{tmp_path}/refused/fresh") == ["batch_id=1"]
+    assert "payload" not in tables.batches.read_batches(
+        spark, f"{tmp_path}/readings", tables.READINGS_TABLE_DDL
+    ).columns
+
+
+def test_republish_keeps_what_it_cannot_forward(spark, feed, tmp_path):
+    feed.add(_text("10:00:00"), "junk", "[1]")
+    messages = feed.stream(spark).withColumn("topic", F.lit("sensors/temperature/d1"))
+    out = []
+    jobs.start_republish(
+        messages, [sinks.Sink("out", lambda rows, n: out.extend(rows.collect()))], f"{tmp_path}/ck",
+        reject_sinks=[sinks.rejects_sink(f"{tmp_path}/rejects")],
+    ).awaitTermination()
+    refused = tables.read_rejects(spark, f"{tmp_path}/rejects").collect()
+    assert len(out) == 1
+    assert sorted((r.payload, r.reject_reason) for r in refused) == [("[1]", "malformed"), ("junk", "malformed")]
+    assert {r.mqtt_topic for r in refused} == {"sensors/temperature/d1"}
+
+
+def test_one_sink_is_counted_like_many(spark, feed, tmp_path, caplog):
+    feed.add(_text("10:00:00"), "junk")
+    with caplog.at_level("INFO", logger="fieldpulse.streaming.jobs"):
+        jobs.start_readings(
+            feed.stream(spark), [sinks.readings_sink(f"{tmp_path}/t")], f"{tmp_path}/ck"
+        ).awaitTermination()
+    assert "readings, batch 0: 2 rows" in caplog.messages
+
+
+def test_streams_need_a_named_folder_for_checkpoints(spark, feed, tmp_path, monkeypatch):
+    from fieldpulse.streaming import app
+
+    def unset(_):
+        raise ValueError("set spark.checkpoint.dir")
+
+    monkeypatch.setattr(app, "configured_folder", unset)
+    with pytest.raises(ValueError, match="checkpoint.dir"):
+        start(spark, Settings(file_source(feed.path), f"{tmp_path}/tables"))

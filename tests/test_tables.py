@@ -194,3 +194,66 @@ def test_written_results_live_in_the_shared_folder(spark):
     assert kept.count() == 3 and folder in kept.inputFiles()[0]
     clear_scratch(spark)
     assert not glob.glob(f"{folder}/fieldpulse/{spark.sparkContext.applicationId}")
+
+
+def test_settled_partitions_are_read_without_a_merge(spark, readings, tmp_path):
+    path = str(tmp_path / "t")
+    for n, day in enumerate((1, 2, 2, 3)):
+        tables.append_readings(
+            readings({"timestamp": f"2024-01-0{day} 10:00:00", "value": float(n),
+                      "ingest_time": f"2024-01-09 00:00:0{n}"}), path, n,
+        )
+    assert tables.settle_readings(spark, path, upto=1) == 1
+    tables.settle_readings(spark, path, upto=3)
+    assert _values(tables.read_readings(spark, path)) == [0.0, 2.0, 3.0]
+    assert "Exchange" not in plan_of(tables.read_readings(spark, path))
+    # Day 2 was touched again and moved to the second folder, day 1 was not.
+    settled = sorted(f.split("settled/")[1] for f in glob.glob(f"{path}/settled/*/event_day=*"))
+    assert settled == [
+        "upto=1/event_day=2024-01-01", "upto=1/event_day=2024-01-02",
+        "upto=3/event_day=2024-01-02", "upto=3/event_day=2024-01-03",
+    ]
+    tables.vacuum_readings(spark, path)
+    assert len(glob.glob(f"{path}/settled/*/event_day=*/sensor_type=*")) == 3
+    assert _values(tables.read_readings(spark, path)) == [0.0, 2.0, 3.0]
+
+    tables.append_readings(
+        readings({"timestamp": "2024-01-01 10:00:00", "value": 9.0, "ingest_time": "2024-01-10 00:00:00"}), path, 4
+    )
+    assert _values(tables.read_readings(spark, path)) == [2.0, 3.0, 9.0]
+    untouched = tables.read_readings(spark, path, since="2024-01-02")
+    assert _values(untouched) == [2.0, 3.0]
+    assert tables.expire_readings(spark, path, datetime(2024, 2, 2, tzinfo=timezone.utc)) >= 2
+    assert _values(tables.read_readings(spark, path)) == [3.0]
+    assert tables.settle_readings(spark, path, upto=4) is None or _values(tables.read_readings(spark, path)) == [3.0]
+
+
+def test_rejects_are_settled_and_expire(spark, readings, tmp_path):
+    root = str(tmp_path)
+    for n, day in enumerate((1, 8, 9)):
+        refused = readings({"ingest_time": f"2024-01-0{day} 10:00:00"}).withColumns(
+            {"payload": F.lit(f"p{n}"), "reject_reason": F.lit("malformed")}
+        )
+        tables.append_rejects(refused, f"{root}/rejects", n)
+        tables.append_rejects(refused, f"{root}/refused_by_0", n)
+    tables.maintain(spark, root, datetime(2024, 2, 5, tzinfo=timezone.utc))
+    for name in ("rejects", "refused_by_0"):
+        assert batches.settled_marks(spark, f"{root}/{name}") == [1]
+        kept = tables.read_rejects(spark, f"{root}/{name}").collect()
+        assert sorted(r.payload for r in kept) == ["p1", "p2"]
+
+
+def test_views_show_rows_loaded_later(spark, readings):
+    from fieldpulse.operators.state import partial_states
+
+    catalog.create_tables(spark, "plant2")
+    stored = spark.table("plant2.sensor_readings")
+    catalog.register_views(stored, partial_states(stored, 0), as_of="2024-01-02 00:00:00")
+    assert spark.sql("SELECT * FROM anomalies").count() == 0
+    values = [{"value": 20.0 + i % 2, "timestamp": f"2024-01-01 10:00:{i:02d}"} for i in range(30)]
+    rows = readings(*values, {"value": 90.0}).withColumn("event_day", F.to_date("timestamp"))
+    rows.select(*stored.columns).write.mode("append").insertInto("plant2.sensor_readings")
+    spark.catalog.refreshTable("plant2.sensor_readings")
+    clear_scratch(spark)
+    assert [r.value for r in spark.sql("SELECT value FROM anomalies").collect()] == [90.0]
+    spark.sql("DROP DATABASE plant2 CASCADE")

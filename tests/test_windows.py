@@ -66,7 +66,8 @@ def test_merge_of_arbitrary_parts(spark):
         [(float(v), i * i % 5, i % 2) for i, v in enumerate(values)], "value DOUBLE, part INT, sub INT"
     )
     parts = df.groupBy("part", "sub").agg(
-        F.count("*").alias("reading_count"), F.avg("value").alias("mean"),
+        F.count("*").alias("reading_count"), F.count("value").alias("value_count"),
+        F.avg("value").alias("mean"),
         (F.var_pop("value") * F.count("*")).alias("m2"),
         F.min("value").alias("min_value"), F.max("value").alias("max_value"),
     ).withColumn("all", F.lit(1))
@@ -110,3 +111,17 @@ def test_key_sum_rollup(spark):
     assert last.note == "x"
     only_sums = windows.rollup_sum(df.select("k", "n"), ["k"]).collect()
     assert [tuple(r) for r in only_sums] == [("a", 3)]
+
+
+def test_null_values_are_rows_but_no_values(spark, readings):
+    rows = readings({"value": 1.0}, {"value": 3.0, "timestamp": "2024-01-01 10:01:00"},
+                    {"value": None, "timestamp": "2024-01-01 10:02:00"},
+                    {"value": None, "timestamp": "2024-01-01 10:07:00"},
+                    {"value": 8.0, "timestamp": "2024-01-01 10:12:00"})
+    stats = {str(r.window_start)[11:16]: r for r in windows.window_stats(rows).collect()}
+    assert (stats["10:00"].reading_count, stats["10:00"].avg_value, stats["10:00"].stddev_value) == (3, 2.0, 1.414)
+    assert (stats["10:05"].reading_count, stats["10:05"].avg_value, stats["10:05"].stddev_value) == (1, None, None)
+    (hour,) = windows.present_moments(
+        windows.rollup_windows(windows.window_moments(rows), "1 hour")
+    ).collect()
+    assert (hour.reading_count, hour.avg_value, hour.stddev_value) == (5, 4.0, 3.606)
