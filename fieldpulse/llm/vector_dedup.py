@@ -3,7 +3,7 @@
 Vectors of length one with cosine of at least c lie within epsilon = sqrt(2 - 2c) of each
 other. They are projected on their leading principal directions, which never lengthens a
 distance, and sorted by the cells, epsilon wide, they fall in. The sequence is cut into
-intervals. Pairs of intervals are found from a tree of bounding boxes, level by level:
+intervals, each one row of a written table. Pairs of intervals are found from a tree of bounding boxes, level by level:
 pairs whose boxes are farther apart than epsilon are skipped with all below them. For each
 pair left, a task joins the two sequences recursively, halving them and skipping halves
 that are provably distant; what remains is compared in blocks, in single precision with a
@@ -24,9 +24,11 @@ empty result. Extra columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
 from fieldpulse.llm.common import components
@@ -134,25 +136,18 @@ def join_sequences(a: _Sequence, b: _Sequence, cosine: float, same: bool) -> Ite
             yield i[linked], j[linked]
 
 
-def _links_of(group: pa.Table, basis: np.ndarray, cosine: float) -> pa.Table:
-    """Links between the two intervals of a group, summed per representative."""
-    left, right = group["left"][0].as_py(), group["right"][0].as_py()
-    group = group.sort_by([("interval", "ascending"), ("at", "ascending")])
-    column = group["embedding"].combine_chunks()
-    vectors = _unit(_matrix(column, len(basis)))
-    sizes, counts = np.asarray(column.value_lengths()), group["count"].to_numpy()
-    reps, interval = group["rep"].to_numpy(), group["interval"].to_numpy()
-    cut = int((interval == left).sum())
-    a = _Sequence(vectors[:cut], sizes[:cut], counts[:cut], basis)
-    same = left == right
-    b = a if same else _Sequence(vectors[cut:], sizes[cut:], counts[cut:], basis)
-    shift = 0 if same else cut
+def _links_of(pair: pa.Table, basis: np.ndarray, cosine: float) -> pa.Table:
+    """Links between the two blocks of a group, or within its only one, summed per representative."""
+    blocks = [Block.unpack(row, len(basis)) for row in pair.sort_by("interval").to_pylist()]
+    sequences = [_Sequence(x.vectors, x.sizes, x.counts, basis) for x in blocks]
+    a, b, same = sequences[0], sequences[-1], len(blocks) == 1
+    reps = np.concatenate([x.reps for x in blocks])
+    shift = 0 if same else len(blocks[0].reps)
     links, root = np.zeros(len(reps), np.int64), np.arange(len(reps))
     for i, j in join_sequences(a, b, cosine, same):
-        j = j + shift
-        np.add.at(links, i, counts[j])
-        np.add.at(links, j, counts[i])
-        _merge(root, i, j)
+        np.add.at(links, i, b.counts[j])
+        np.add.at(links, j + shift, a.counts[i])
+        _merge(root, i, j + shift)
     found = links > 0
     return pa.table({"rep": reps[found], "links": links[found], "root": reps[root[found]]})
 
@@ -171,25 +166,68 @@ def _merge(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
 # --- Intervals ------------------------------------------------------------------------
 
 
-def _in_grid_order(reps: DataFrame, basis: np.ndarray, cosine: float, total: int) -> DataFrame:
-    """``reps`` with ``cells``, ``interval`` and place ``at`` in the grid order, as a written table."""
+@dataclass
+class Block:
+    """The vectors of one interval, unit length, in grid order."""
+
+    reps: np.ndarray
+    counts: np.ndarray
+    sizes: np.ndarray
+    vectors: np.ndarray
+
+    def pack(self) -> dict[str, bytes]:
+        return {name: np.ascontiguousarray(x, kind).tobytes() for name, (x, kind) in {
+            "reps": (self.reps, "<i8"), "counts": (self.counts, "<i8"), "sizes": (self.sizes, "<i8"),
+            "vectors": (self.vectors, "<f8"),
+        }.items()}
+
+    @classmethod
+    def unpack(cls, row: dict, width: int) -> Block:
+        whole = [np.frombuffer(row[name], "<i8") for name in ("reps", "counts", "sizes")]
+        return cls(*whole, np.frombuffer(row["vectors"], "<f8").reshape(-1, width))
+
+
+_BLOCK = "interval long, low array<double>, high array<double>, reps binary, counts binary, sizes binary, vectors binary"
+
+
+def blocks_in_grid_order(reps: DataFrame, basis: np.ndarray, cosine: float, total: int) -> DataFrame:
+    """One row per interval of the grid order: its bounding box and its :class:`Block`, as a written table."""
     epsilon = float(np.sqrt(2 - 2 * cosine))
+    width = len(basis)
 
-    def project(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def locate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            projected = _unit(_matrix(batch.column("embedding"), len(basis))) @ basis
-            lists = [pa.array(list(x), pa.list_(pa.float64())) for x in (projected, np.floor(projected / epsilon))]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *lists], names=[*batch.schema.names, "projected", "cells"])
+            cells = np.floor(_unit(_matrix(batch.column("embedding"), width)) @ basis / epsilon)
+            column = pa.array(list(cells), pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, column], names=[*batch.schema.names, "cells"])
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = [batch for batch in batches if batch.num_rows]
+        if not parts:
+            return
+        rows = pa.Table.from_batches(parts)
+        column = rows["embedding"].combine_chunks()
+        vectors = _unit(_matrix(column, width))
+        block = Block(rows["rep"].to_numpy(), rows["count"].to_numpy(), np.asarray(column.value_lengths()), vectors)
+        projected = vectors @ basis
+        row = {
+            "interval": TaskContext.get().partitionId(), "low": projected.min(axis=0).tolist(),
+            "high": projected.max(axis=0).tolist(), **block.pack(),
+        }
+        lists = pa.list_(pa.float64())
+        kinds = [pa.int64(), lists, lists, *[pa.binary()] * 4]
+        yield pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(row.values(), kinds, strict=True)], names=list(row))
 
     kind = reps.schema["embedding"].dataType.simpleString()
-    schema = f"embedding {kind}, smallest long, count long, rep long, projected array<double>, cells array<double>"
+    located = written(
+        reps.select("embedding", "count", "rep").mapInArrow(
+            locate, f"embedding {kind}, count long, rep long, cells array<double>"
+        ),
+        "cells",
+    )
     intervals = min(MAX_INTERVALS, -(-total // INTERVAL))
-    projected = written(reps.mapInArrow(project, schema), "projected")
-    ordered = projected.repartitionByRange(intervals, "cells", "rep").sortWithinPartitions("cells", "rep")
-    numbered = ordered.withColumns({
-        "interval": F.spark_partition_id().cast("long"), "at": F.monotonically_increasing_id(),
-    })
-    return written(numbered, "grid-order")
+    ordered = located.repartitionByRange(intervals, "cells", "rep").sortWithinPartitions("cells", "rep")
+    return written(ordered.mapInArrow(gather, _BLOCK), "blocks")
 
 
 def _boxes(points: DataFrame, node: Column, directions_: int) -> DataFrame:
@@ -202,12 +240,10 @@ def _boxes(points: DataFrame, node: Column, directions_: int) -> DataFrame:
     return points.groupBy(node.alias("node")).agg(*sides).select("node", corner("low"), corner("high"))
 
 
-def near_intervals(ordered: DataFrame, directions_: int, cosine: float) -> DataFrame:
+def near_intervals(blocks: DataFrame, directions_: int, cosine: float) -> DataFrame:
     """Pairs ``left`` <= ``right`` of intervals whose boxes come within reach, from the root down."""
     gap = lambda x, y: F.greatest(F.lit(0.0), x, y)
-    levels = [written(_boxes(ordered.select(
-        "interval", F.col("projected").alias("low"), F.col("projected").alias("high")
-    ), F.col("interval"), directions_), "boxes")]
+    levels = [blocks.select(F.col("interval").alias("node"), "low", "high")]
     while levels[-1].count() > FAN_OUT:
         levels.append(written(_boxes(levels[-1], F.floor(F.col("node") / FAN_OUT), directions_), "boxes"))
     pairs = None
@@ -249,12 +285,12 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
             "vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept")
         )
     basis = directions(reps, size["width"], size["n"])
-    ordered = _in_grid_order(reps, basis, cosine, size["n"])
-    pairs = near_intervals(ordered, basis.shape[1], cosine)
+    blocks = blocks_in_grid_order(reps, basis, cosine, size["n"])
+    pairs = near_intervals(blocks, basis.shape[1], cosine)
 
     sides = pairs.select("left", "right", F.explode(F.array_distinct(F.array("left", "right"))).alias("interval"))
     found = written(
-        ordered.select("embedding", "count", "rep", "interval", "at").join(sides, "interval")
+        blocks.drop("low", "high").join(sides, "interval")
         .groupBy("left", "right").applyInArrow(lambda group: _links_of(group, basis, cosine), _FOUND),
         "vector-links",
     )

@@ -94,8 +94,9 @@ def test_distant_intervals_are_skipped(spark, monkeypatch):
     reps = spark.createDataFrame(
         [(v.tolist(), i, 1, i) for i, v in enumerate(x)], "embedding array<double>, smallest long, count long, rep long"
     )
-    ordered = vd._in_grid_order(reps, np.eye(2), 0.95, 1000)
-    assert 20 <= vd.near_intervals(ordered, 2, 0.95).count() < 150  # of 210
+    blocks = vd.blocks_in_grid_order(reps, np.eye(2), 0.95, 1000)
+    assert blocks.count() == 20
+    assert 20 <= vd.near_intervals(blocks, 2, 0.95).count() < 150  # of 210
 
 
 def test_query(spark):
