@@ -48,7 +48,51 @@ SELECT n.doc_id, r.text, coalesce(r.n_removed, 0) AS n_removed
 FROM numbered n LEFT JOIN rebuilt r USING (rid)
 """
 
+# --- 4: the article element, which these pages have; references of the kinds they hold ---
+
+HTML_EXTRACTION = r"""
+WITH pieces AS (
+    SELECT page_id, url, unnest(blocks) AS block, generate_subscripts(blocks, 1) AS pos
+    FROM (SELECT page_id, url, regexp_split_to_array(
+            regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)</article>', 1), '</?(p|h1)>') AS blocks
+          FROM pages)),
+decoded AS (
+    SELECT page_id, url, pos, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(
+        regexp_replace(block, '<[^>]*>', ' ', 'g'),
+        '&quot;?', '"', 'g'), '&lt;?', '<', 'g'), '&gt;?', '>', 'g'), '&amp;?', '&', 'g'), '\s+', ' ', 'g')) AS block
+    FROM pieces),
+joined AS (
+    SELECT page_id, string_agg(block, chr(10) || chr(10) ORDER BY pos) FILTER (WHERE block <> '') AS text
+    FROM decoded GROUP BY page_id)
+SELECT p.page_id, p.url, coalesce(j.text, '') AS text, length(coalesce(j.text, '')) AS n_chars
+FROM pages p LEFT JOIN joined j USING (page_id)
+"""
+
+# --- 7: all pairs, and what is reached from each vector ------------------------------------
+
+EMBEDDING_NEAR_DEDUP = """
+WITH RECURSIVE vectors AS (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings),
+usable AS (
+    SELECT vec_id, e FROM vectors
+    WHERE len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(e, lambda x: x <> 0)) > 0),
+links AS (
+    SELECT a.vec_id AS one, b.vec_id AS other FROM usable a JOIN usable b
+    ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) WHERE list_cosine_similarity(a.e, b.e) >= 0.95),
+reached AS (
+    SELECT vec_id, vec_id AS member FROM vectors
+    UNION
+    SELECT r.vec_id, l.other FROM reached r JOIN links l ON r.member = l.one),
+counted AS (SELECT one AS vec_id, count(*) AS n FROM links GROUP BY one)
+SELECT r.vec_id, coalesce(any_value(c.n), 0) AS n_links, min(r.member) AS component_id,
+    r.vec_id = min(r.member) AS kept
+FROM reached r LEFT JOIN counted c USING (vec_id) GROUP BY r.vec_id
+"""
+
 ORACLES = {
     "op1_benchmark_decontamination": DECONTAMINATION,
+    "op4_html_extraction": HTML_EXTRACTION,
+    "op7_embedding_near_dedup": EMBEDDING_NEAR_DEDUP,
     "op10_line_dedup": LINE_DEDUP,
 }
