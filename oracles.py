@@ -258,8 +258,8 @@ in_time AS (
 SELECT time_bucket(INTERVAL '5 minutes', timestamp) AS window_start,
   time_bucket(INTERVAL '5 minutes', timestamp) + INTERVAL '5 minutes' AS window_end,
   device_id, sensor_type, location,
-  round(avg(value), 3) AS avg_value, round(min(value), 3) AS min_value,
-  round(max(value), 3) AS max_value, round(stddev_samp(value), 3) AS stddev_value,
+  round(sum(value), 4) AS sum_value, round(min(value), 6) AS min_value,
+  round(max(value), 6) AS max_value, round(stddev_samp(value), 6) AS stddev_value,
   count(*) AS reading_count
 FROM in_time WHERE time_bucket(INTERVAL '5 minutes', timestamp) + INTERVAL '5 minutes'
   <= (SELECT max(timestamp) FROM in_time) - INTERVAL '2 minutes'
