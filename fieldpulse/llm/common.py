@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from fieldpulse.session import written
@@ -38,6 +41,13 @@ def broadcast_if_small(df: DataFrame, row_bytes: Column | int) -> DataFrame:
     return F.broadcast(df) if measured <= BROADCAST_BYTES else df
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """Arrow batches in smaller parts, so that a task makes the results of few rows at a time."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def _checksum(edges: DataFrame):
     return edges.agg(
         F.count("*").alias("n"),

@@ -34,6 +34,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from fieldpulse.llm.common import slices
+
 #: Lines; the width of the Gaussian.
 SIGMA = 1.5
 #: Share of the cluster's characters a region has to hold.
@@ -280,7 +282,7 @@ def extract(pages: DataFrame, text: str = "text", n_chars: str = "n_chars") -> D
     names = [f.name for f in kept]
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             texts = [main_text(h.as_py()) for h in batch.column(len(names))]
             arrays = [pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())]
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], *arrays], names=[*names, text, n_chars])

@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
+from fieldpulse.llm.common import slices
 from fieldpulse.llm.tokens import encoder
 
 WINDOW = 4096
@@ -71,20 +72,13 @@ class RoomTree:
         return room, self.windows[room].pop()
 
 
-def _slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
-    """The batches in smaller parts, so that a task holds the ids of few documents at a time."""
-    for batch in batches:
-        for start in range(0, batch.num_rows, rows):
-            yield batch.slice(start, rows)
-
-
 def pieces_of(docs: DataFrame, vocabulary: str, end_id: int, window: int = WINDOW) -> DataFrame:
     """``doc_id``, ``start``, ``length``, ``doc_tokens``, ``ids``: full windows and rests of every document."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, end = encoder(vocabulary).encode, np.array([end_id], "<u4").tobytes()
         names = ["doc_id", "start", "length", "doc_tokens", "ids"]
-        for batch in _slices(batches):
+        for batch in slices(batches):
             rows = ([], [], [], [], [])
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 ids = encode(text.as_py()) + end
@@ -119,7 +113,7 @@ def pack(docs: DataFrame, vocabulary: str, end_id: int, window: int = WINDOW, pa
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rooms, opened = RoomTree(window), 0
         first = TaskContext.get().partitionId() << 32
-        for batch in batches:
+        for batch in slices(batches):
             sequences, offsets = [], []
             for length in batch.column(2).to_pylist():
                 if found := rooms.take(length):

@@ -36,6 +36,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from fieldpulse.llm.common import fresh_name, slices
+
 #: Expected sizes of the samples the model is fitted on.
 POSITIVES = 6_000
 UNLABELLED = 12_000
@@ -285,7 +287,7 @@ def score(docs: DataFrame, model: Model, column: str = "score") -> DataFrame:
     at = docs.columns.index("text")
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             x = [features_of(t.as_py()) for t in batch.column(at)]
             scores = model.score(np.stack(x).astype(np.float64)) if x else np.zeros(0)
             yield pa.RecordBatch.from_arrays(
@@ -297,7 +299,5 @@ def score(docs: DataFrame, model: Model, column: str = "score") -> DataFrame:
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` whose score reaches ``threshold``, columns unchanged."""
-    from fieldpulse.llm.common import fresh_name
-
     name = fresh_name(docs, "quality_score")
     return score(docs, train(docs, labels), name).where(F.col(name) >= threshold).drop(name)

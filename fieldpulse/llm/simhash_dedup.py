@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from fieldpulse.llm.common import components, fresh_name
+from fieldpulse.llm.common import components, fresh_name, slices
 from fieldpulse.session import written
 
 SHINGLE_WORDS = 4
@@ -83,7 +83,7 @@ def with_fingerprint(docs: DataFrame, column: str, words_per_shingle: int = SHIN
     at = docs.columns.index("text")
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             values = [fingerprint_of(t.as_py(), words_per_shingle) for t in batch.column(at)]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(values, pa.int64())], names=[*batch.schema.names, column]

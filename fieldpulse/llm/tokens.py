@@ -11,8 +11,8 @@ from functools import lru_cache
 import numpy as np
 
 #: Entries in a generation of what a Python worker keeps; about 150 bytes each.
-RUNS_KEPT = 350_000
-WORDS_KEPT = 50_000
+RUNS_KEPT = 220_000
+WORDS_KEPT = 30_000
 
 # The vocabulary's own rules for normalizing and splitting, as its file states them.
 NORMALIZERS = ["NFC", "Replace", "Lowercase"]
