@@ -9,10 +9,11 @@ from __future__ import annotations
 
 import importlib
 from collections.abc import Callable
+from dataclasses import dataclass
 from datetime import datetime, timezone
-from functools import wraps
+from functools import reduce, wraps
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import TimestampType
 
 from fieldpulse.functions.topics import topic_level
@@ -28,8 +29,8 @@ from fieldpulse.sources.events import (
     read_events,
     readings_from_events,
 )
-from fieldpulse.sources.topic import file_source
-from fieldpulse.streaming import jobs, sinks
+from fieldpulse.sources.topic import MessageSource, file_source
+from fieldpulse.streaming import app, jobs, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -406,6 +407,49 @@ def clustered_readings(spark, sf_dir):
     )
 
 
+@query
+def sorted_partitions(spark, sf_dir):
+    """Whether every partition of the reading table is in order of device and time, file by file."""
+    path = _reading_table(spark, sf_dir)
+    placed = batches.read_batches(spark, path, tables.READINGS_TABLE_DDL).select(
+        "event_day", "sensor_type", F.struct("device_id", "timestamp").alias("place"),
+        F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("row"),
+    )
+    before = F.lag("place").over(Window.partitionBy("event_day", "sensor_type", "file").orderBy("row"))
+    return placed.withColumn("in_order", before.isNull() | (before <= F.col("place"))).groupBy(
+        "event_day", "sensor_type"
+    ).agg(F.bool_and("in_order").alias("in_order"))
+
+
+@query
+def ingest_time_filled(spark, sf_dir):
+    """Readings that came without an ingest time: they get the batch's, one for all of them."""
+    path = scratch_path(spark, "filled")
+    missing = F.when(F.col("event_id") % 2 == 0, F.col("ingest_time"))
+    rows = _stored(spark, sf_dir).withColumn("ingest_time", missing).drop("event_id")
+    tables.append_readings(rows, path, 0)
+    stored = batches.read_batches(spark, path, tables.READINGS_TABLE_DDL)
+    filled = F.col("ingest_time") > F.lit("2024-12-31").cast("timestamp")
+    return stored.groupBy(filled.alias("filled")).agg(
+        F.count("*").alias("rows"),
+        F.when(filled, F.count_distinct("ingest_time")).alias("times"),
+    )
+
+
+@query
+def readings_restarted(spark, sf_dir):
+    """The reading table of a stream that ended, found more files, and went on from its checkpoint."""
+    base = scratch_path(spark, "restarted")
+    steps = _dense_halves(read_events(spark, sf_dir))
+    for number in range(3):
+        _write_step(steps, number, base)
+        messages = messages_from_events(_step_source(base).stream(spark), dense=True, keep=["event_id"])
+        jobs.start_readings(
+            messages, [sinks.readings_sink(f"{base}/readings")], f"{base}/checkpoint", keep=["ingest_time"],
+        ).awaitTermination()
+    return tables.read_readings(spark, f"{base}/readings")
+
+
 @query
 def sinks_streamed(spark, sf_dir):
     """Rows that each of several sinks of one stream got."""
@@ -527,11 +571,8 @@ def late_rows_streamed(spark, sf_dir):
     base = scratch_path(spark, "late")
     events = _dense_halves(read_events(spark, sf_dir))
     for number in range(3):
-        # Each step is a batch of its own: as many files as a trigger takes.
-        step = events.filter(F.col("step") == number).drop("step")
-        step.repartition(FILES_PER_STEP).write.parquet(f"{base}/steps/{number}")
-    source = file_source(f"{base}/steps/*", "parquet", EVENTS_DDL, FILES_PER_STEP)
-    messages = messages_from_events(source.stream(spark), dense=True, keep=["event_id"])
+        _write_step(events, number, base)
+    messages = messages_from_events(_step_source(base).stream(spark), dense=True, keep=["event_id"])
     clean = quality.accepted(quality.classify_messages(messages, keep=["ingest_time"]))
     jobs.start_window_stats(
         clean, [sinks.window_stats_sink(f"{base}/table")], f"{base}/checkpoint", name="late_rows",
@@ -543,6 +584,16 @@ def late_rows_streamed(spark, sf_dir):
     return presented.select("*", total).drop("avg_value", "mean", "m2", "value_count")
 
 
+def _write_step(events: DataFrame, number: int, base: str) -> None:
+    """One step as a batch of its own: as many files as a trigger takes."""
+    step = events.filter(F.col("step") == number).drop("step")
+    step.repartition(FILES_PER_STEP).write.parquet(f"{base}/steps/{number}")
+
+
+def _step_source(base: str) -> MessageSource:
+    return file_source(f"{base}/steps/*", "parquet", EVENTS_DDL, FILES_PER_STEP)
+
+
 def _dense_halves(events: DataFrame) -> DataFrame:
     """Events with their ``step``: the first half of the time, the second, late ones of the first week.
 
@@ -553,6 +604,37 @@ def _dense_halves(events: DataFrame) -> DataFrame:
     return events.withColumn("step", F.when(late, 2).when(early, 0).otherwise(1))
 
 
+@dataclass(frozen=True)
+class _EventMessages(MessageSource):
+    """Events as the topic records a job reads."""
+
+    def stream(self, spark: SparkSession) -> DataFrame:
+        return messages_from_events(super().stream(spark), dense=True)
+
+
+@query
+def job_streamed(spark, sf_dir):
+    """Rows of every table after the whole job's queries ran over what there is."""
+    base = scratch_path(spark, "job")
+    files = file_source(f"{sf_dir}/events.parque[t]", "parquet", EVENTS_DDL, FILES_PER_BATCH)
+    settings = app.Settings(
+        _EventMessages(files.format, files.options, files.schema), f"{base}/tables", f"{base}/checkpoints",
+        readings_every=None, stats_every=None,
+    )
+    for running in app.start(spark, settings):
+        running.awaitTermination()
+    stored = {
+        "readings": batches.read_batches(spark, f"{base}/tables/readings", tables.READINGS_TABLE_DDL),
+        "rejects": tables.read_rejects(spark, f"{base}/tables/rejects"),
+        "window_stats": tables.read_window_stats(spark, f"{base}/tables/window_stats"),
+        "device_current": tables.read_device_current(spark, f"{base}/tables/states"),
+    }
+    counted = [
+        rows.agg(F.count("*").alias("rows")).select(F.lit(name).alias("stored"), "rows") for name, rows in stored.items()
+    ]
+    return reduce(DataFrame.union, counted)
+
+
 # --- Contract ---------------------------------------------------------------
 
 

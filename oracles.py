@@ -238,6 +238,21 @@ FROM readings QUALIFY row_number() OVER (
   PARTITION BY device_id, sensor_type, timestamp ORDER BY ingest_time DESC) = 1""",
     "clustered_readings": NATIVE + """
 SELECT device_id, sensor_type, value, timestamp FROM readings WHERE sensor_type = 'temperature'""",
+    "readings_restarted": DENSE + f"""
+SELECT {_FIELDS}, ingest_time, CAST(timestamp AS DATE) AS event_day
+FROM readings QUALIFY row_number() OVER (
+  PARTITION BY device_id, sensor_type, timestamp ORDER BY ingest_time DESC) = 1""",
+    "sorted_partitions": NATIVE + """
+SELECT DISTINCT CAST(timestamp AS DATE) AS event_day, sensor_type, TRUE AS in_order FROM readings""",
+    "ingest_time_filled": NATIVE + """
+SELECT event_id % 2 <> 0 AS filled, count(*) AS rows, CASE WHEN event_id % 2 <> 0 THEN 1 END AS times
+FROM readings GROUP BY event_id % 2 <> 0""",
+    "job_streamed": DENSE + "," + _WINDOWS + """
+SELECT 'readings' AS stored, count(*) AS rows FROM readings
+UNION ALL SELECT 'rejects', count(*) FROM all_readings WHERE event_id NOT IN (SELECT event_id FROM readings)
+UNION ALL SELECT 'window_stats', count(*) FROM window_stats
+  WHERE window_end <= (SELECT max(timestamp) FROM readings) - INTERVAL '2 minutes'
+UNION ALL SELECT 'device_current', count(DISTINCT (device_id, sensor_type, location)) FROM readings""",
     "sinks_streamed": DENSE + """
 SELECT unnest(['readings', 'states', 'external']) AS sink, count(*) AS rows FROM readings GROUP BY sink
 UNION ALL
