@@ -148,8 +148,12 @@ def match(urls: DataFrame, rules: DataFrame) -> DataFrame:
 # --- The filter -----------------------------------------------------------------------
 
 
-def judge(pages: DataFrame, rules: list[Rule]) -> DataFrame:
-    """``pages`` plus ``host``, ``path``, ``rule`` (null if none fits) and ``verdict``."""
+def judge(pages: DataFrame, rules: list[Rule], labels: DataFrame | None = None) -> DataFrame:
+    """``pages`` plus ``host``, ``path``, ``rule`` (null if none fits) and ``verdict``.
+
+    Rules are mined from the urls of ``pages`` that a curated rule judges, and from
+    ``labels``, rows of ``url`` and ``verdict``, where they are given.
+    """
     found, mined = fresh_name(pages, "curated_rule"), fresh_name(pages, "mined_verdict")
     ruled = curated(F.col("url"), rules)
     urls = written(
@@ -158,6 +162,9 @@ def judge(pages: DataFrame, rules: list[Rule]) -> DataFrame:
         "urls",
     )
     labelled = urls.where("ruled IS NOT NULL").select("tokens", F.col("ruled.verdict").alias("verdict"))
+    if labels is not None:
+        named = labels.where(F.col("verdict").isin(*LABELS)).select("url", "verdict")
+        labelled = labelled.union(named.select(tokens_of(F.col("url")), "verdict"))
     covered = match(urls.where("ruled IS NULL").select("url", "tokens"), mine(labelled))
     verdicts = covered.withColumnRenamed("verdict", mined)
     kept = [c for c in pages.columns if c.lower() not in ("host", "path", "rule", "verdict")]

@@ -186,3 +186,13 @@ def test_tokens(spark):
         "scheme:https", "host0:org", "host1:a", "host2:m", "path:en", "path:x", "path:0", "path:html", "depth:2",
         "key:q", "key:u", "fragment",
     ])
+
+
+def test_labels_of_urls_are_learned_from(spark):
+    pages = spark.createDataFrame([(i, f"http://shop{i}.org/sale/{i}") for i in range(5)], "page_id int, url string")
+    labels = spark.createDataFrame(
+        [(f"http://other{i}.org/sale/x", "block") for i in range(20)] + [("http://fine.org/news", "allow"), (None, "block"), ("http://x.org", None)],
+        "url string, verdict string",
+    )
+    assert {r["verdict"] for r in ur.judge(pages, [], labels).collect()} == {"block"}
+    assert {r["verdict"] for r in ur.judge(pages, []).collect()} == {"allow"}
