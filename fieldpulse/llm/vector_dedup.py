@@ -136,10 +136,10 @@ def join_sequences(a: _Sequence, b: _Sequence, cosine: float, same: bool) -> Ite
             yield i[linked], j[linked]
 
 
-def _links_of(pair: pa.Table, basis: np.ndarray, cosine: float) -> pa.Table:
+def _links_of(pair: pa.Table, basis: np.ndarray, cosine: float, kind: str) -> pa.Table:
     """Links between the two blocks of a group, or within its only one, summed per representative."""
-    blocks = [Block.unpack(row, len(basis)) for row in pair.sort_by("interval").to_pylist()]
-    sequences = [_Sequence(x.vectors, x.sizes, x.counts, basis) for x in blocks]
+    blocks = [Block.unpack(row, len(basis), kind) for row in pair.sort_by("interval").to_pylist()]
+    sequences = [_Sequence(_unit(x.vectors.astype(np.float64)), x.sizes, x.counts, basis) for x in blocks]
     a, b, same = sequences[0], sequences[-1], len(blocks) == 1
     reps = np.concatenate([x.reps for x in blocks])
     shift = 0 if same else len(blocks[0].reps)
@@ -168,28 +168,32 @@ def _merge(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
 
 @dataclass
 class Block:
-    """The vectors of one interval, unit length, in grid order."""
+    """The vectors of one interval in grid order, as they came but padded to one width."""
 
     reps: np.ndarray
     counts: np.ndarray
     sizes: np.ndarray
     vectors: np.ndarray
 
-    def pack(self) -> dict[str, bytes]:
-        return {name: np.ascontiguousarray(x, kind).tobytes() for name, (x, kind) in {
-            "reps": (self.reps, "<i8"), "counts": (self.counts, "<i8"), "sizes": (self.sizes, "<i8"),
-            "vectors": (self.vectors, "<f8"),
-        }.items()}
+    def pack(self, kind: str) -> dict[str, bytes]:
+        """The arrays as bytes; ``kind`` is the vectors' own precision."""
+        whole = {name: getattr(self, name).astype("<i8").tobytes() for name in ("reps", "counts", "sizes")}
+        return whole | {"vectors": self.vectors.astype(kind).tobytes()}
 
     @classmethod
-    def unpack(cls, row: dict, width: int) -> Block:
+    def unpack(cls, row: dict, width: int, kind: str) -> Block:
         whole = [np.frombuffer(row[name], "<i8") for name in ("reps", "counts", "sizes")]
-        return cls(*whole, np.frombuffer(row["vectors"], "<f8").reshape(-1, width))
+        return cls(*whole, np.frombuffer(row["vectors"], kind).reshape(-1, width))
 
 
 _BLOCK = "interval long, low array<double>, high array<double>, reps binary, counts binary, sizes binary, vectors binary"
 
 
+def precision_of(reps: DataFrame) -> str:
+    """Numpy's name of the precision that holds the vectors' components exactly."""
+    return "<f4" if reps.schema["embedding"].dataType.simpleString() == "array<float>" else "<f8"
+
+
 def blocks_in_grid_order(reps: DataFrame, basis: np.ndarray, cosine: float, total: int) -> DataFrame:
     """One row per interval of the grid order: its bounding box and its :class:`Block`, as a written table."""
     epsilon = float(np.sqrt(2 - 2 * cosine))
@@ -207,18 +211,19 @@ def blocks_in_grid_order(reps: DataFrame, basis: np.ndarray, cosine: float, tota
             return
         rows = pa.Table.from_batches(parts)
         column = rows["embedding"].combine_chunks()
-        vectors = _unit(_matrix(column, width))
-        block = Block(rows["rep"].to_numpy(), rows["count"].to_numpy(), np.asarray(column.value_lengths()), vectors)
-        projected = vectors @ basis
+        raw = _matrix(column, width)
+        block = Block(rows["rep"].to_numpy(), rows["count"].to_numpy(), np.asarray(column.value_lengths()), raw)
+        projected = _unit(raw) @ basis
         row = {
             "interval": TaskContext.get().partitionId(), "low": projected.min(axis=0).tolist(),
-            "high": projected.max(axis=0).tolist(), **block.pack(),
+            "high": projected.max(axis=0).tolist(), **block.pack(precision),
         }
         lists = pa.list_(pa.float64())
         kinds = [pa.int64(), lists, lists, *[pa.binary()] * 4]
         yield pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(row.values(), kinds, strict=True)], names=list(row))
 
     kind = reps.schema["embedding"].dataType.simpleString()
+    precision = precision_of(reps)
     located = written(
         reps.select("embedding", "count", "rep").mapInArrow(
             locate, f"embedding {kind}, count long, rep long, cells array<double>"
@@ -244,22 +249,20 @@ def near_intervals(blocks: DataFrame, directions_: int, cosine: float) -> DataFr
     """Pairs ``left`` <= ``right`` of intervals whose boxes come within reach, from the root down."""
     gap = lambda x, y: F.greatest(F.lit(0.0), x, y)
     levels = [blocks.select(F.col("interval").alias("node"), "low", "high")]
-    while levels[-1].count() > FAN_OUT:
+    while levels[-1].agg(F.max("node")).first()[0] >= FAN_OUT:
         levels.append(written(_boxes(levels[-1], F.floor(F.col("node") / FAN_OUT), directions_), "boxes"))
-    pairs = None
+    # The root meets itself; below, a box meets the children of the boxes its parent came near.
+    pairs = blocks.sparkSession.createDataFrame([(0, 0)], "left long, right long")
     for boxes in reversed(levels):
-        a = boxes.select(F.col("node").alias("left"), F.col("low").alias("low_a"), F.col("high").alias("high_a"))
-        b = boxes.select(F.col("node").alias("right"), F.col("low").alias("low_b"), F.col("high").alias("high_b"))
-        up = lambda c: F.floor(F.col(c) / FAN_OUT)
-        # Below the top, a box meets the children of the boxes that its parent came near.
-        top = F.lit(0) if pairs is None else None
-        over = a.withColumn("over_a", up("left") if top is None else top)
-        under = b.withColumn("over_b", up("right") if top is None else top)
-        if pairs is None:
-            met = over.join(under, (F.col("over_a") == F.col("over_b")) & (F.col("left") <= F.col("right")))
-        else:
-            above = pairs.select(F.col("left").alias("over_a"), F.col("right").alias("over_b"))
-            met = above.join(over, "over_a").join(under, "over_b").where("left <= right")
+        above = pairs.select(F.col("left").alias("over_a"), F.col("right").alias("over_b"))
+        up = F.floor(F.col("node") / FAN_OUT)
+        a = boxes.select(
+            F.col("node").alias("left"), F.col("low").alias("low_a"), F.col("high").alias("high_a"), up.alias("over_a")
+        )
+        b = boxes.select(
+            F.col("node").alias("right"), F.col("low").alias("low_b"), F.col("high").alias("high_b"), up.alias("over_b")
+        )
+        met = above.join(a, "over_a").join(b, "over_b").where("left <= right")
         one_way = F.zip_with("low_a", "high_b", lambda x, y: x - y)
         other = F.zip_with("low_b", "high_a", lambda x, y: x - y)
         apart = F.aggregate(F.zip_with(one_way, other, gap), F.lit(0.0), lambda acc, x: acc + x * x)
@@ -286,12 +289,12 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
         )
     basis = directions(reps, size["width"], size["n"])
     blocks = blocks_in_grid_order(reps, basis, cosine, size["n"])
-    pairs = near_intervals(blocks, basis.shape[1], cosine)
+    pairs, precision = near_intervals(blocks, basis.shape[1], cosine), precision_of(reps)
 
     sides = pairs.select("left", "right", F.explode(F.array_distinct(F.array("left", "right"))).alias("interval"))
     found = written(
         blocks.drop("low", "high").join(sides, "interval")
-        .groupBy("left", "right").applyInArrow(lambda group: _links_of(group, basis, cosine), _FOUND),
+        .groupBy("left", "right").applyInArrow(lambda pair: _links_of(pair, basis, cosine, precision), _FOUND),
         "vector-links",
     )
     linked = components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")))
