@@ -1,7 +1,7 @@
 """Personal data: format-preserving Feistel pseudonyms.
 
 Found in texts: card numbers (Luhn), IBANs (mod 97), US social security numbers (assigned
-ranges), phone numbers, IPv4 addresses, dates (of the calendar, in four formats), e-mail
+ranges), phone numbers, IPv4 addresses, dates (of the calendar, in three formats), e-mail
 addresses and long hexadecimal secrets. Numbers and dates count only if they are valid.
 Each value is permuted by a keyed Feistel network within its format: a card becomes a
 valid card, a date a date of the same 400 years, an IBAN an IBAN of its country, and

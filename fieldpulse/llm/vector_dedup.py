@@ -72,9 +72,9 @@ def _matrix(column: pa.Array, width: int) -> np.ndarray:
     return rows
 
 
-def directions(reps: DataFrame, width: int, total: int, cosine_sample: int = SAMPLE) -> np.ndarray:
+def directions(reps: DataFrame, width: int, total: int, sample: int = SAMPLE) -> np.ndarray:
     """Leading principal directions of a sample of the unit vectors, as columns."""
-    share = min(1.0, cosine_sample / max(total, 1))
+    share = min(1.0, sample / max(total, 1))
     chosen = reps.where(F.pmod(F.xxhash64(F.lit(7), "rep"), F.lit(1 << 30)) < int(share * (1 << 30)))
     column = chosen.select("embedding").toArrow().column(0).combine_chunks()
     if not len(column):
