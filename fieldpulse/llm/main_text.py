@@ -71,13 +71,13 @@ P_SCOPE = set(
 
 # Words in classes, ids and roles that mark what is not the article.
 FURNITURE_WORDS = set(
-    "ad ads advert adverts advertisement advertising adsense banner bottombar breadcrumb breadcrumbs complementary "
+    "ad ads adbox adslot adsbygoogle advert adverts advertisement advertising adsense banner bottombar breadcrumb breadcrumbs complementary "
     "consent contentinfo cookie cookies copyright dialog disclaimer footer gdpr login masthead menu menubar modal nav "
     "navbar navigation newsletter notice notices overlay pager pagination popup promo promotion recommended related "
-    "search share sharing sidebar signup social sponsor sponsored subscribe subscription toolbar topbar widget widgets "
+    "search share sharing sidebar signup skip skiplink social sponsor sponsored subscribe subscription toolbar topbar "
     "alert alertdialog".split()
 )
-COMMENT_WORDS = set("comment comments commentlist disqus replies reply respond discussion".split())
+COMMENT_WORDS = set("comment comments commentlist discussion disqus replies reply respond responses".split())
 HEADER_WORDS = {"header"}
 #: A tag that the page's end cuts off.
 _CUT_TAG = re.compile(r"<[A-Za-z/!?]")
@@ -198,7 +198,7 @@ class _Lines(HTMLParser):
         if tag in UNSEEN:
             return "unseen"
         values = dict(attrs)
-        if "hidden" in values or re.search(r"display\s*:\s*none", values.get("style") or "", re.I):
+        if "hidden" in values or values.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none", values.get("style") or "", re.I):
             return "unseen"
         if tag == "body" or tag == "html":
             return None
