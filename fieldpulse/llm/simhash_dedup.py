@@ -96,7 +96,8 @@ def with_fingerprint(docs: DataFrame, column: str, words_per_shingle: int = SHIN
 
 
 def _distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return np.bitwise_count(np.bitwise_xor(a, b)).astype(np.int64)
+    # Counted unsigned: of a negative number numpy counts the bits of its absolute value.
+    return np.bitwise_count(np.bitwise_xor(a, b).view(np.uint64)).astype(np.int64)
 
 
 class BkForest:

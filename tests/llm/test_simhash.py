@@ -72,6 +72,31 @@ def test_forest_finds_every_pair_within_the_radius():
     assert found == expected
 
 
+def test_every_bit_counts_once():
+    one = np.array([0, -1, 5, -2**63], np.int64)
+    for bit in range(64):
+        other = one ^ np.array([1 << bit if bit < 63 else -2**63], np.int64)
+        assert sim._distance(one, other).tolist() == [1, 1, 1, 1]
+    assert sim._distance(np.array([0x00EA879A37CDFB0A]), np.array([0xA0EA878A37CDFF0A - 2**64])).tolist() == [4]
+
+
+@pytest.mark.parametrize("high", [0, 1, 2, 3, 4])
+def test_links_across_the_highest_bits(spark, high):
+    """Pairs alone, so that no third fingerprint joins them."""
+    rng = random.Random(high)
+    pairs = []
+    for _ in range(40):
+        a = rng.getrandbits(64)
+        b = a
+        for bit in rng.sample(range(60, 64), high) + rng.sample(range(60), 4 - high):
+            b ^= 1 << bit
+        pairs += [a, b]
+    signed = [v - (1 << 64) if v >> 63 else v for v in pairs]
+    printed = spark.createDataFrame([(i, v) for i, v in enumerate(signed)], "doc_id long, fingerprint long")
+    got = {r["fingerprint"]: r["component_id"] for r in sim.components_of(printed).collect()}
+    assert [got[v] for v in signed] == plain_components(list(enumerate(signed)))
+
+
 @pytest.mark.parametrize("blocks", [5, 6, 7, 8])
 def test_any_number_of_runs_keeps_every_link(spark, blocks, monkeypatch):
     rng = random.Random(blocks)
