@@ -1,8 +1,12 @@
 """Personal data: format-preserving Feistel pseudonyms.
 
 Found in texts: card numbers (Luhn), IBANs (mod 97), US social security numbers (assigned
-ranges), phone numbers, IPv4 addresses, dates (of the calendar, in three formats), e-mail
+ranges), phone numbers, IPv4 addresses, dates (of the calendar, in four formats), e-mail
 addresses and long hexadecimal secrets. Numbers and dates count only if they are valid.
+Cards and IBANs are checked at every length that ends between groups, so a number or word
+beside one neither hides nor changes it; of several valid spans the one in an issuer's usual
+layout, or of its country's length, is taken. A date with slashes has the month first where
+that is a day of the calendar, else the day.
 Each value is permuted by a keyed Feistel network within its format: a card becomes a
 valid card, a date a date of the same 400 years, an IBAN an IBAN of its country, and
 separators stay where they are. A permutation has no collisions, and the key alone decides,
@@ -50,7 +54,37 @@ SLASH_DATE = r"(?<![\p{L}\p{N}/])[0-9]{2}/[0-9]{2}/[0-9]{4}(?!/?[\p{L}\p{N}])"
 SSN = r"(?<![\p{L}\p{N}-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?!-?[\p{L}\p{N}])"
 CARD = r"(?<![\p{L}\p{N}+.-])[0-9](?:[ -]?[0-9]){12,18}(?!-?[\p{L}\p{N}])"
 PHONE = r"(?<![\p{L}\p{N}+])(?:\+[0-9]{1,3}[ .-]?)?\(?[0-9]{3}\)?[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![\p{L}\p{N}])|(?<![\p{L}\p{N}+])\+[0-9](?:[ .-]?[0-9]){7,14}(?![\p{L}\p{N}])"
-ANY = "|".join((EMAIL, SECRET, IBAN, IPV4, ISO_DATE, DOT_DATE, SLASH_DATE, SSN, CARD, PHONE))
+
+# issuers' prefixes and layouts, lengths of IBANs.
+USUAL_CARD = r"^(?=4|5[0-8]|6|3|22[2-9]|2[3-6]|27[01]|2720)(?:[0-9]{13,19}|(?:[0-9]{4}[ -]){3}[0-9]{4}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{4,5})$"
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK",
+    21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV", 29: "BR EG PS QA UA",
+    30: "JO KW MU", 31: "MT SC", 32: "LC", 33: "RU",
+}
+USUAL_IBAN = "^(?:" + "|".join(f"(?:{c.replace(' ', '|')})[0-9]{{2}}[A-Z0-9]{{{n - 4}}}" for n, c in IBAN_LENGTHS.items()) + ")$"
+# Shaped like an IBAN of its country or a card of 14 digits, but not valid: its parts are not searched.
+LIKE_IBAN = r"(?<![\p{L}\p{N}])(?:" + "|".join(
+    f"(?:{c.replace(' ', '|')})[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{{(n - 4) // 4}}}" + (f" ?[A-Z0-9]{{{n % 4}}}" if n % 4 else "")
+    for n, c in IBAN_LENGTHS.items()
+) + r")(?![\p{L}\p{N}])"
+LIKE_CARD = r"(?<![\p{L}\p{N}+.-])[0-9]{4}[ -][0-9]{6}[ -][0-9]{4}(?![ -]?[\p{L}\p{N}])"
+# Where a card may begin and end beside other digits, and the longest one from each beginning.
+CARD_START, CARD_END = r"(?:(?<![\p{L}\p{N}+.-])|(?<=[0-9]-))", r"(?![\p{L}\p{N}]|-\p{L})"
+CARDS_FROM = CARD_START + r"(?=([0-9](?:[ -]?[0-9]){12,18}" + CARD_END + "))"
+IBANS_FROM = r"(?<![\p{L}\p{N}])(?=(" + IBAN + "))"
+IBAN_END = r"(?![\p{L}\p{N}])"
+
+
+def _any(ibans: str = "", cards: str = "", inside: str = "") -> str:
+    """What is searched, with alternatives for a text's valid IBANs and cards; ``inside`` is tested between a phone number's groups."""
+    phone = PHONE.replace(r"\)?[ .-]?", rf"\)?{inside}[ .-]?", 1).replace("[0-9]{3}[ .-]?[0-9]{4}", rf"[0-9]{{3}}{inside}[ .-]?[0-9]{{4}}", 1)
+    kinds = (EMAIL, SECRET, ibans, LIKE_IBAN, IPV4, ISO_DATE, DOT_DATE, SLASH_DATE, SSN, cards, LIKE_CARD, phone)
+    return "|".join(kind for kind in kinds if kind)
+
+
+ANY = _any()
 
 DIGITS, LOWER, UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LATIN_LOWER, LATIN_UPPER = "ßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ", "ÀÁÂÃÄÅÆÇÈÉÊËÌÍÎÏÐÑÒÓÔÕÖØÙÚÛÜÝÞ"
@@ -245,16 +279,30 @@ def _ipv4(value: Column, key: str) -> Column:
 
 def _date(pattern: str) -> Callable[[Column, str], Column]:
     def permute(value: Column, key: str) -> Column:
-        first = F.lit(FIRST_DAY).cast("date")
+        return _moved_day(value, pattern, key, lambda day: F.date_format(day, pattern))
 
-        def move(number: Column) -> Column:
-            moved = F.date_add(first, permuted_number(number, DAY_SIZES, key, "date").cast("int"))
-            inside = number.isNotNull() & (number >= 0) & (number < DAY_SIZES[0] * DAY_SIZES[1])
-            return F.when(inside, F.date_format(moved, pattern)).otherwise(value)
+    return permute
 
-        return _let(F.date_diff(F.try_to_timestamp(value, F.lit(pattern)).cast("date"), first), move)
 
-    return permute
+def _moved_day(value: Column, pattern: str, key: str, present: Callable[[Column], Column]) -> Column:
+    first = F.lit(FIRST_DAY).cast("date")
+
+    def move(number: Column) -> Column:
+        moved = F.date_add(first, permuted_number(number, DAY_SIZES, key, "date").cast("int"))
+        inside = number.isNotNull() & (number >= 0) & (number < DAY_SIZES[0] * DAY_SIZES[1])
+        return F.when(inside, _let(moved, present)).otherwise(value)
+
+    return _let(F.date_diff(F.try_to_timestamp(value, F.lit(pattern)).cast("date"), first), move)
+
+
+def _slash_date(value: Column, key: str) -> Column:
+    """Month first, or day first where only that is a date; either way the new text reads as the new day."""
+    # A day up to the 12th would read as a month, so it is written behind the month: valid either way.
+    present = lambda day: F.date_format(day, "MM/dd/yyyy")
+    day_first = lambda day: F.when(F.dayofmonth(day) > 12, F.date_format(day, "dd/MM/yyyy")).otherwise(present(day))
+    return F.when(
+        F.try_to_timestamp(value, F.lit("MM/dd/yyyy")).isNotNull(), _moved_day(value, "MM/dd/yyyy", key, present)
+    ).otherwise(_moved_day(value, "dd/MM/yyyy", key, day_first))
 
 
 def _phone(value: Column, key: str) -> Column:
@@ -303,7 +351,7 @@ KINDS: list[tuple[str, str, Callable[[Column, str], Column]]] = [
     ("ipv4", IPV4, _ipv4),
     ("date", ISO_DATE, _date("yyyy-MM-dd")),
     ("date", DOT_DATE, _date("dd.MM.yyyy")),
-    ("date", SLASH_DATE, _date("MM/dd/yyyy")),
+    ("date", SLASH_DATE, _slash_date),
     ("ssn", SSN, _ssn),
     ("card", CARD, _card),
     ("phone", PHONE, _phone),
@@ -318,17 +366,88 @@ def pseudonym(value: Column, key: str) -> Column:
     return result
 
 
+def _valid_spans(text: Column, longest: str, group: str, valid: Callable[[Column], Column], usual: Callable[[Column], Column]) -> Column:
+    """Distinct valid spans ``s`` of ``text`` that end between groups: the ``usual`` ones first, then the longer ones."""
+
+    def cuts(found: Column) -> Column:
+        upto = lambda groups: F.transform(
+            F.sequence(F.lit(1), F.size(groups)), lambda n: F.regexp_replace(F.array_join(F.slice(groups, 1, n), ""), "[ -]$", "")
+        )
+        return _let(F.regexp_extract_all(found, F.lit(group), F.lit(0)), upto)
+
+    found = F.array_distinct(F.regexp_extract_all(text, F.lit(longest), F.lit(1)))
+    spans = F.filter(F.array_distinct(F.flatten(F.transform(found, cuts))), valid)
+    return F.sort_array(F.transform(spans, lambda s: F.struct(
+        (~usual(s)).alias("odd"), (-F.length(s)).alias("shorter"), s.alias("s")
+    )))
+
+
+def _valid_card(s: Column) -> Column:
+    return s.rlike(f"^(?:{CARD})$") & (luhn_sum(_digits(s)) % 10 == 0)
+
+
+def _valid_iban(s: Column) -> Column:
+    plain = F.regexp_replace(s, " ", "")
+    return s.rlike(f"^(?:{IBAN})$") & (mod97(F.concat(F.substring(plain, F.lit(5), F.length(plain)), F.substring(plain, 1, 4))) == 1)
+
+
+def _alternatives(spans: Column, start: str, end: str) -> Column:
+    """Pattern of the spans; an odd one is none where a usual one begins within it. Empty without spans."""
+
+    def alternative(span: Column) -> Column:
+        begins = lambda other: F.contains(span["s"], F.regexp_extract(other["s"], "^[A-Z0-9]+", 0).substr(F.lit(1), F.lit(4)))
+        within = F.transform(F.filter(spans, lambda other: ~other["odd"] & begins(other)), lambda other: other["s"])
+        unless = F.concat(
+            F.lit("(?![A-Z0-9 -]{1,"), (F.length(span["s"]) - 1).cast("string"), F.lit("}(?<![A-Z0-9])(?:"),
+            F.array_join(within, "|"), F.lit(f"){end})"),
+        )
+        return F.concat(F.when(span["odd"] & (F.size(within) > 0), unless).otherwise(""), span["s"])
+
+    return F.when(F.size(spans) > 0, F.concat(
+        F.lit(f"{start}(?:"), F.array_join(F.transform(spans, alternative), "|"), F.lit(f"){end}")
+    )).otherwise("")
+
+
+def _search_pattern(cards: Column, ibans: Column) -> Column:
+    """What is searched in a text that holds these valid cards and IBANs."""
+    usual = F.array_join(F.transform(F.filter(cards, lambda c: ~c["odd"]), lambda c: c["s"]), "|")
+    inside = F.when(usual != "", F.concat(F.lit("(?![ -](?:"), usual, F.lit(f"){CARD_END})"))).otherwise("")
+    # \u0001 to \u0003 stand for what differs by text.
+    parts = {
+        "\u0001": _alternatives(ibans, r"(?<![\p{L}\p{N}])", IBAN_END), "\u0002": _alternatives(cards, CARD_START, CARD_END),
+        "\u0003": inside,
+    }
+    pattern = F.lit(_any(*parts))
+    for mark, part in parts.items():
+        # An alternative that is empty matches nothing.
+        pattern = F.replace(pattern, F.lit(mark), part if mark == "\u0003" else F.when(part == "", "(?!)").otherwise(part))
+    return pattern
+
+
 def pseudonymise(docs: DataFrame, key: str, counted: str | None = None) -> DataFrame:
     """``docs`` with personal data in ``text`` replaced.
 
     ``counted`` names a column to add with the number of values replaced.
     """
     found, new = fresh_name(docs, "pii_found"), fresh_name(docs, "pii_new")
+    cards, ibans, pattern = (fresh_name(docs, f"pii_{name}") for name in ("cards", "ibans", "pattern"))
     text = F.col("text")
-    searched = docs.withColumn(found, F.when(text.rlike("[0-9@]"), F.regexp_extract_all(text, F.lit(ANY), F.lit(0))))
+    spans = docs.withColumns({
+        cards: F.when(text.rlike(CARDS_FROM), _valid_spans(text, CARDS_FROM, "[0-9]+[ -]?", _valid_card, lambda s: s.rlike(USUAL_CARD))),
+        ibans: F.when(text.rlike(IBANS_FROM), _valid_spans(
+            text, IBANS_FROM, "[A-Z0-9]+ ?", _valid_iban, lambda s: F.regexp_replace(s, " ", "").rlike(USUAL_IBAN)
+        )),
+    })
+    none = F.array().cast("array<struct<odd: boolean, shorter: int, s: string>>")
+    some = (F.size(F.coalesce(F.col(cards), none)) > 0) | (F.size(F.coalesce(F.col(ibans), none)) > 0)
+    searched = spans.withColumn(
+        pattern, F.when(some, _search_pattern(F.coalesce(F.col(cards), none), F.coalesce(F.col(ibans), none)))
+    ).withColumn(found, F.when(F.col(pattern).isNotNull(), F.regexp_extract_all(text, F.col(pattern), F.lit(0))).when(
+        text.rlike("[0-9@]"), F.regexp_extract_all(text, F.lit(ANY), F.lit(0))
+    ))
     permuted = searched.withColumn(new, F.transform(found, lambda value: pseudonym(value, key)))
     hit = F.size(F.coalesce(F.col(found), F.array().cast("array<string>"))) > 0
-    between = F.split(text, ANY, -1)
+    between = F.when(F.col(pattern).isNotNull(), F.split(text, F.col(pattern), -1)).otherwise(F.split(text, ANY, -1))
     pieces = F.zip_with(between, F.concat(F.col(new), F.array(F.lit(""))), lambda a, b: F.concat(a, b))
     changes = {"text": F.when(hit, F.array_join(pieces, "")).otherwise(text)}
     if counted:

@@ -161,3 +161,56 @@ def test_nothing_found_remains_in_the_documents(spark):
             v for v in re.findall(r"(?<!\w)\d{16}(?!\w)", new) if v in text
         ]
     assert total > 50
+
+
+CARD16, IBAN_AT = "4111111111111111", "AT611904300234573201"
+
+
+BESIDE = [
+    (CARD16, "", " 12/25"), (CARD16, "2 ", ""), (CARD16, "2 ", " 12/25 123"), (CARD16, "2-", "-123"), (CARD16, "10 ", " 12 25"),
+    ("4111 1111 1111 1111", "", " 123"), ("4111 1111 1111 1111", "2 ", " 12/25"), ("4111 1111 1111 1111", "2024 ", " 123"),
+    ("4111-1111-1111-1111", "", "-123"), ("4111 1111 1111 1111", "123 456 ", ""),
+    ("378282246310005", "", " 1234"), ("3782 822463 10005", "3 ", " 09/27"),
+    (IBAN_AT, "", " EUR"), (IBAN_AT, "IBAN ", " BIC"), ("AT61 1904 3002 3457 3201", "", " EUR 12"), (IBAN_AT, "EX12 ", " COBA DEFF"),
+    ("NO93 8601 1117 947", "", " NOK"),
+]
+
+
+def test_a_value_beside_other_groups_is_found_as_alone(spark):
+    got = run(spark, [text for value, before, after in BESIDE for text in (value, before + value + after)])
+    for at, (value, before, after) in enumerate(BESIDE):
+        alone, beside = got[2 * at : 2 * at + 2]
+        assert alone != value
+        assert beside == before + alone + after
+
+
+def test_card_with_a_neighbour_that_passes_the_check_stays_linked(spark):
+    """One of ten neighbours makes a longer span that passes Luhn."""
+    texts = [CARD16, *(f"{CARD16} {n:02d}/25" for n in range(1, 32)), *(f"{n} {CARD16}" for n in range(1, 10)),
+             *(f"4111 1111 1111 1111 {n}" for n in range(100, 130))]
+    assert any(luhn(f"{CARD16}{n:02d}") for n in range(1, 32))
+    alone, *beside = (re.sub(r"[^0-9]", "", t) for t in run(spark, texts))
+    assert all(alone in t for t in beside)
+
+
+def test_two_values_side_by_side(spark):
+    phone, card = run(spark, ["555-223-4567", "5500 0055 5555 5559"])
+    both, cards = run(spark, ["555-223-4567 5500 0055 5555 5559", "5500 0055 5555 5559 5500 0055 5555 5559"])
+    assert both == f"{phone} {card}" and cards == f"{card} {card}"
+
+
+def test_slash_dates_with_the_day_first(spark):
+    days = [datetime.date(2024, 1, 13) + datetime.timedelta(days=d) for d in range(0, 340, 3)]
+    days = [d for d in days if d.day > 12]
+    iso = run(spark, [str(d) for d in days])
+    slashes = run(spark, [d.strftime("%d/%m/%Y") for d in days])
+    assert len(set(slashes)) == len(days)
+    for linked, slash in zip(iso, slashes, strict=True):
+        first, second, year = map(int, slash.split("/"))
+        assert datetime.date(year, *((first, second) if first <= 12 else (second, first))) == datetime.date.fromisoformat(linked)
+        datetime.datetime.strptime(slash, "%d/%m/%Y")
+
+
+def test_invalid_numbers_beside_others_stay(spark):
+    texts = ["4111111111111112 12/25", "2 4111 1111 1111 1112", "AT611904300234573202 EUR", "3056 930902 5905", "32/12/2024"]
+    assert run(spark, texts) == texts
