@@ -4,8 +4,8 @@ The standard library's parser streams a page's events. Text between block bounda
 a line; its ratio is its characters over its tags. Ratios are smoothed by a Gaussian
 over neighbouring lines, and lines above a threshold, the standard deviation of the
 smoothed ratios, form the content cluster. The element that holds the cluster is the
-content region: the article or main element with most of it, else the deepest element
-with nearly all of it. All lines of the region are kept, so short paragraphs and headings
+content region: where article and main elements hold most of it, the one that holds any
+or the deepest element around all that do, else the deepest element with all of it. All lines of the region are kept, so short paragraphs and headings
 between long ones stay, but not what stands in navigation, headers, footers, sidebars,
 notices, adverts, forms, scripts, styles and reader comments, by element, role, class or
 id, nor runs of lines that are links alone.
@@ -38,8 +38,7 @@ from fieldpulse.llm.common import slices
 
 #: Lines; the width of the Gaussian.
 SIGMA = 1.5
-#: Share of the cluster's characters a region has to hold.
-REGION_SHARE = 0.9
+#: Share of the cluster's characters that articles have to hold to bound the region.
 ARTICLE_SHARE = 0.5
 #: So many lines in a row that are links alone are a menu.
 MENU_LINES = 3
@@ -235,20 +234,37 @@ def _menus(lines: list[Line]) -> np.ndarray:
     return menu
 
 
-def _region(lines: list[Line], cluster: np.ndarray, names: list[str], parents: list[int]) -> np.ndarray:
+def _region(lines: list[Line], possible: np.ndarray, cluster: np.ndarray, names: list[str], parents: list[int]) -> np.ndarray:
     """Elements of the content region: its root and all below it."""
-    held = np.zeros(len(names), np.int64)
-    for at in np.flatnonzero(cluster):
-        held[lines[at].element] += len(lines[at].text)
+    count = len(names)
+    #: Per element, with those below it: characters and lines of the cluster, possible lines.
+    held, clustered, able = (np.zeros(count, np.int64) for _ in range(3))
+    for at in np.flatnonzero(possible):
+        able[lines[at].element] += 1
+        if cluster[at]:
+            held[lines[at].element] += len(lines[at].text)
+            clustered[lines[at].element] += 1
     # An element is opened after those around it.
-    for number in range(len(names) - 1, 0, -1):
-        held[parents[number]] += held[number]
-    articles = [n for n in range(len(names)) if names[n] in CONTENT and held[n] >= max(1, ARTICLE_SHARE * held[0])]
-    # The outermost article, or the deepest element: of those around one another, the last one opened.
-    root = articles[0] if articles else int(np.flatnonzero(held >= REGION_SHARE * held[0])[-1])
-    inside = np.zeros(len(names), bool)
+    for number in range(count - 1, 0, -1):
+        for sums in (held, clustered, able):
+            sums[parents[number]] += sums[number]
+    within = np.zeros(count, bool)
+    for number in range(1, count):
+        within[number] = within[parents[number]] or names[parents[number]] in CONTENT
+    articles = [n for n in range(count) if names[n] in CONTENT and clustered[n] and not within[n]]
+    if articles and held[articles].sum() >= ARTICLE_SHARE * held[0]:
+        # The article, or what is around all of them.
+        wanted = np.zeros(count, np.int64)
+        wanted[articles] = 1
+        for number in range(count - 1, 0, -1):
+            wanted[parents[number]] += wanted[number]
+        root = int(np.flatnonzero(wanted == len(articles))[-1])
+    else:
+        # The deepest element around the cluster: of those around one another, the last one opened. One line is no region.
+        root = int(np.flatnonzero((clustered == clustered[0]) & (able >= min(2, able[0])))[-1])
+    inside = np.zeros(count, bool)
     inside[root] = True
-    for number in range(root + 1, len(names)):
+    for number in range(root + 1, count):
         inside[number] = inside[parents[number]]
     return inside
 
@@ -271,7 +287,7 @@ def main_text(html: str | None) -> str:
     cluster = possible & (smooth >= smooth.std())
     if not cluster.any():
         cluster = possible
-    region = _region(lines, cluster, parser.names, parser.parents)
+    region = _region(lines, possible, cluster, parser.names, parser.parents)
     return "\n\n".join(line.text for line, p in zip(lines, possible, strict=True) if p and region[line.element])
 
 

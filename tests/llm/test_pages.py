@@ -74,6 +74,32 @@ def test_edges_of_markup(page, text):
     assert mt.main_text(page) == text
 
 
+SENTENCE = "This sentence is long enough to be a line of content by any measure. "
+
+
+@pytest.mark.parametrize("around", [
+    "<div>{}</div>", "<div><div>{}</div></div>", "<section>{}</section>", "{}",
+])
+@pytest.mark.parametrize("each", ["<p>{}</p>", "<div><p>{}</p></div>"])
+def test_a_dominating_paragraph_keeps_its_neighbours(around, each):
+    texts = ["Title", "The lead.", *(f"Paragraph {i}." for i in range(8)), (SENTENCE * 300).strip(), "Then.", "The end."]
+    menu = "<nav>" + "<p>An entry of the menu</p>" * 6 + "</nav>"
+    body = [each.format(t) for t in texts]
+    assert mt.main_text(f"<body>{menu}{around.format(''.join(body))}</body>").split("\n\n") == texts
+    # Nothing near the long paragraph is possible content.
+    apart = "".join([*body[:10], menu, body[10], menu, *body[11:]])
+    assert mt.main_text(f"<body>{around.format(apart)}</body>").split("\n\n") == texts
+
+
+@pytest.mark.parametrize("tag", ["div", "article"])
+@pytest.mark.parametrize("sizes", [(19, 1), (1, 19), (5, 5), (12, 1, 12)])
+def test_sibling_bodies_are_all_kept(tag, sizes):
+    bodies = [[f"{SENTENCE}{b} {i}." for i in range(n)] for b, n in enumerate(sizes)]
+    made = "".join(f"<{tag}>{''.join(f'<p>{t}</p>' for t in body)}</{tag}>" for body in bodies)
+    page = f"<body><header><p>{SENTENCE}</p></header><div>{made}</div><footer><p>{SENTENCE}</p></footer></body>"
+    assert mt.main_text(page).split("\n\n") == sum(bodies, [])
+
+
 @pytest.mark.parametrize("piece", ["<", "<a ", "<!--", "&", "<p>x", "<div>x", "<b><p>", "</x>", '<a href="', "<div>x</div><b>"])
 def test_time_does_not_explode(piece):
     start = time.process_time()
