@@ -8,7 +8,11 @@ content region: where article and main elements hold most of it, the one that ho
 or the deepest element around all that do, else the deepest element with all of it. All lines of the region are kept, so short paragraphs and headings
 between long ones stay, but not what stands in navigation, headers, footers, sidebars,
 notices, adverts, forms, scripts, styles and reader comments, by element, role, class or
-id, nor runs of lines that are links alone.
+id. A name of several words counts only if all of them are such words or say nothing else,
+so ``has-sidebar`` and ``related-work`` bar nothing; names of headings never count, ids of
+sections inside an article only for comments. Where names would bar the page's main cluster,
+the elements around it are spared and the whole page is the region. Runs of lines that are links alone go outside the
+region, and in a region that is the whole body before and after the cluster.
 
 Character references are decoded, white space inside a block becomes one space, blocks
 are trimmed and joined in page order by an empty line. Nothing else is dropped.
@@ -40,6 +44,8 @@ from fieldpulse.llm.common import slices
 SIGMA = 1.5
 #: Share of the cluster's characters that articles have to hold to bound the region.
 ARTICLE_SHARE = 0.5
+#: Where names leave less than this share of the cluster's characters, they bar the main text.
+LEFT_SHARE = 0.1
 #: So many lines in a row that are links alone are a menu.
 MENU_LINES = 3
 
@@ -78,6 +84,20 @@ FURNITURE_WORDS = set(
 )
 COMMENT_WORDS = set("comment comments commentlist discussion disqus replies reply respond responses".split())
 HEADER_WORDS = {"header"}
+#: Words that change nothing beside one of the above in a name.
+PLAIN_WORDS = set(
+    "active area article articles author avatar bar block blog body bottom box btn button buttons center col column "
+    "component container content count cta date desktop dfp dropdown entry fixed floating form global google gpt heading "
+    "icon icons image inner input item items js label leaderboard left legal lg link links list main md meta middle mobile "
+    "module mpu news outer page pane panel post posts primary rail region right row secondary section site slot sm "
+    "sticky story stories strip text thread title toggle tools top trail unit user widget widgets wrap wrapper xl xs zone".split()
+)
+#: Names that end so are the page's, and a section of a paper is called like a comment's place.
+PAGE_WORDS = {"page"}
+SECTION_NAMES = {"discussion"}
+KNOWN_WORDS = FURNITURE_WORDS | COMMENT_WORDS | HEADER_WORDS | PLAIN_WORDS
+#: The page itself, as a region.
+WHOLE = {"", "html", "body"}
 #: A tag that the page's end cuts off.
 _CUT_TAG = re.compile(r"<[A-Za-z/!?]")
 _WORDS = re.compile(r"[a-z]+|[A-Z][a-z]*")
@@ -90,13 +110,16 @@ class Line:
     link_chars: int
     element: int
     kept: bool
+    #: Barred by a name alone; inside an article.
+    named: bool
+    inside: bool
 
 
 @dataclass
 class _Element:
     tag: str
     number: int
-    #: None, or why its text is no content: "unseen", "comment", "furniture" or "header".
+    #: None, or why its text is no content: "unseen", "comment", "furniture", "named" or "header".
     barred: str | None
     block: int
     heading: bool = False
@@ -106,8 +129,11 @@ class _Element:
 class _Lines(HTMLParser):
     """Turns parser events into lines."""
 
-    def __init__(self):
+    def __init__(self, spared: set[int] | None = None):
         super().__init__(convert_charrefs=True)
+        #: Elements whose names do not count, and those that a name bars.
+        self.spared = spared or set()
+        self.named: list[int] = []
         self.lines: list[Line] = []
         self.open: list[_Element] = [_Element("", 0, None, 0)]
         self.open_tags: Counter[str] = Counter()
@@ -124,7 +150,7 @@ class _Lines(HTMLParser):
         if text:
             top = self.open[-1]
             kept = top.barred is None or (top.barred == "header" and top.heading and top.inside)
-            self.lines.append(Line(text, self.tags, self.link_chars, top.block, kept))
+            self.lines.append(Line(text, self.tags, self.link_chars, top.block, kept, top.barred == "named", top.inside))
         self.pieces, self.tags, self.link_chars = [], 0, 0
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -201,15 +227,31 @@ class _Lines(HTMLParser):
             return "unseen"
         if tag == "body" or tag == "html":
             return None
-        named = " ".join(values.get(a) or "" for a in ("class", "id", "role"))
-        words = {w.lower() for w in _WORDS.findall(named)} if named.strip() else set()
+        words = self._words(tag, values)
         if words & COMMENT_WORDS:
             return "comment"
         if tag in CONTENT:
             return None  # an article in an unclosed advert is still the article
-        if above == "furniture" or tag in FURNITURE or words & FURNITURE_WORDS:
+        if above == "furniture" or tag in FURNITURE:
             return "furniture"
-        return "header" if above or tag == "header" or words & HEADER_WORDS else None
+        if words & FURNITURE_WORDS and len(self.names) - 1 not in self.spared:
+            self.named.append(len(self.names) - 1)
+            return "named"
+        return above if above == "named" else "header" if above or tag == "header" or words & HEADER_WORDS else None
+
+    def _words(self, tag: str, values: dict[str, str | None]) -> set[str]:
+        """Words of the element's names that can bar it."""
+        found: set[str] = set()
+        if tag in HEADINGS:
+            return found
+        for kind in ("class", "id", "role"):
+            for name in (values.get(kind) or "").split():
+                words = [w.lower() for w in _WORDS.findall(name)]
+                known = all(w in KNOWN_WORDS or len(w) == 1 for w in words)
+                if words and known and words[-1] not in PAGE_WORDS and not (len(words) == 1 and words[0] in SECTION_NAMES):
+                    comments_only = kind == "id" and tag == "section" and self.open[-1].inside
+                    found.update(COMMENT_WORDS.intersection(words) if comments_only else words)
+        return found
 
 
 def smoothed_ratios(lines: list[Line]) -> np.ndarray:
@@ -234,8 +276,8 @@ def _menus(lines: list[Line]) -> np.ndarray:
     return menu
 
 
-def _region(lines: list[Line], possible: np.ndarray, cluster: np.ndarray, names: list[str], parents: list[int]) -> np.ndarray:
-    """Elements of the content region: its root and all below it."""
+def _root(lines: list[Line], possible: np.ndarray, cluster: np.ndarray, names: list[str], parents: list[int]) -> int:
+    """The element that is the content region."""
     count = len(names)
     #: Per element, with those below it: characters and lines of the cluster, possible lines.
     held, clustered, able = (np.zeros(count, np.int64) for _ in range(3))
@@ -258,36 +300,73 @@ def _region(lines: list[Line], possible: np.ndarray, cluster: np.ndarray, names:
         wanted[articles] = 1
         for number in range(count - 1, 0, -1):
             wanted[parents[number]] += wanted[number]
-        root = int(np.flatnonzero(wanted == len(articles))[-1])
-    else:
-        # The deepest element around the cluster: of those around one another, the last one opened. One line is no region.
-        root = int(np.flatnonzero((clustered == clustered[0]) & (able >= min(2, able[0])))[-1])
-    inside = np.zeros(count, bool)
-    inside[root] = True
-    for number in range(root + 1, count):
-        inside[number] = inside[parents[number]]
-    return inside
+        return int(np.flatnonzero(wanted == len(articles))[-1])
+    # The deepest element around the cluster: of those around one another, the last one opened. One line is no region.
+    return int(np.flatnonzero((clustered == clustered[0]) & (able >= min(2, able[0])))[-1])
+
+
+def _cluster(lines: list[Line], possible: np.ndarray) -> np.ndarray:
+    """The possible lines above the threshold, or all where none is."""
+    smooth = smoothed_ratios(lines)
+    cluster = possible & (smooth >= smooth.std())
+    return cluster if cluster.any() else possible
+
+
+def _spared(parser: _Lines) -> set[int]:
+    """Elements barred by a name that are around the page's main cluster."""
+    lines = parser.lines
+    if not parser.named or any(line.kept and line.inside for line in lines):
+        return set()
+    cluster = _cluster(lines, np.array([line.kept or line.named for line in lines]) & ~_menus(lines))
+    chosen = [lines[at] for at in np.flatnonzero(cluster)]
+    total = sum(len(line.text) for line in chosen)
+    # One line is no cluster.
+    if len(chosen) < 2 or sum(len(line.text) for line in chosen if line.kept) >= LEFT_SHARE * total:
+        return set()
+    held = np.zeros(len(parser.names), np.int64)
+    for line in chosen:
+        held[line.element] += len(line.text)
+    for number in range(len(held) - 1, 0, -1):
+        held[parser.parents[number]] += held[number]
+    return {number for number in parser.named if held[number] >= ARTICLE_SHARE * total}
+
+
+def _read(markup: str, spared: set[int] | None = None) -> _Lines:
+    parser = _Lines(spared)
+    parser.feed(markup)
+    parser.close()
+    parser.flush()
+    return parser
 
 
 def main_text(html: str | None) -> str:
     """The main text of one page."""
     html = html or ""
     cut = _CUT_TAG.search(html, html.rfind(">") + 1)
-    parser = _Lines()
-    parser.feed(html[: cut.start()] if cut else html)
-    parser.close()
-    parser.flush()
-    lines = parser.lines
-    if not lines:
+    markup = html[: cut.start()] if cut else html
+    parser = _read(markup)
+    if not parser.lines:
         return ""
-    possible = np.array([line.kept for line in lines]) & ~_menus(lines)
-    if not possible.any():
+    spared = _spared(parser)
+    if spared:
+        parser = _read(markup, spared)
+    lines, names, parents = parser.lines, parser.names, parser.parents
+    possible, menus = np.array([line.kept for line in lines]), _menus(lines)
+    able = possible & ~menus
+    if not able.any():
+        able = possible & np.array([line.inside for line in lines])
+    if not able.any():
         return ""
-    smooth = smoothed_ratios(lines)
-    cluster = possible & (smooth >= smooth.std())
-    if not cluster.any():
-        cluster = possible
-    region = _region(lines, possible, cluster, parser.names, parser.parents)
+    cluster = _cluster(lines, able)
+    root = 0 if spared else _root(lines, able, cluster, names, parents)
+    region = np.zeros(len(names), bool)
+    region[root] = True
+    for number in range(root + 1, len(names)):
+        region[number] = region[parents[number]]
+    if names[root] in WHOLE:
+        first, last = np.flatnonzero(cluster)[[0, -1]]
+        possible[:first] &= ~menus[:first]
+        possible[last:] &= ~menus[last:]
     return "\n\n".join(line.text for line, p in zip(lines, possible, strict=True) if p and region[line.element])
 
 

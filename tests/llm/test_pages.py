@@ -100,6 +100,46 @@ def test_sibling_bodies_are_all_kept(tag, sizes):
     assert mt.main_text(page).split("\n\n") == sum(bodies, [])
 
 
+TEXTS = [f"{SENTENCE}{i}." for i in range(4)]
+PARAGRAPHS = "".join(f"<p>{t}</p>" for t in TEXTS)
+
+
+@pytest.mark.parametrize("name", [
+    "has-sidebar", "no-sidebar", "with-nav wide", "search-page", "search", "modal", "comments-open", "related-work", "sidebarless",
+])
+def test_a_wrapper_does_not_empty_the_page(name):
+    furniture = f"<div class='sidebar'><p>{SENTENCE}</p></div><nav><p>{SENTENCE}</p></nav>"
+    page = f"<body><h1>Site</h1><div class='{name}'>{PARAGRAPHS}{furniture}</div><div id='cookie-notice'><p>Ok?</p></div></body>"
+    assert [t for t in mt.main_text(page).split("\n\n") if t != "Site"] == TEXTS
+
+
+@pytest.mark.parametrize("name", ["sidebar", "main-nav", "ad-slot", "ad_300x250", "cookieBanner", "related-posts", "page-footer", "comment-list"])
+def test_names_of_furniture_still_bar(name):
+    page = f"<body><div>{PARAGRAPHS}<div class='{name}'><p>{SENTENCE}</p></div></div></body>"
+    assert mt.main_text(page).split("\n\n") == TEXTS
+
+
+@pytest.mark.parametrize("tag", ["article", "div"])
+@pytest.mark.parametrize("name", ["related-work", "copyright", "search", "discussion"])
+def test_headings_and_sections_of_a_paper_stay(tag, name):
+    made = f"<{tag}>{PARAGRAPHS}<h2 id='{name}'>A heading</h2>{PARAGRAPHS}</{tag}>"
+    assert mt.main_text(made).split("\n\n") == [*TEXTS, "A heading", *TEXTS]
+    if tag == "article" or name in ("related-work", "discussion"):
+        made = f"<{tag}>{PARAGRAPHS}<section id='{name}'><h2>A heading</h2>{PARAGRAPHS}</section></{tag}>"
+        assert mt.main_text(made).split("\n\n") == [*TEXTS, "A heading", *TEXTS]
+
+
+def test_links_inside_the_region_stay():
+    links = "".join(f"<li><a href='{i}'>Reference number {i}</a></li>" for i in range(4))
+    names = [f"Reference number {i}" for i in range(4)]
+    menu = "<ul><li><a>One</a><li><a>Two</a><li><a>Three</a></ul>"
+    for tag in ("article", "div"):
+        page = f"<body>{menu}<{tag}>{PARAGRAPHS}<ol>{links}</ol></{tag}>{menu}</body>"
+        assert mt.main_text(page).split("\n\n") == [*TEXTS, *names]
+    assert mt.main_text(f"<body>{menu}{PARAGRAPHS}<ol>{links}</ol>{PARAGRAPHS}{menu}</body>").split("\n\n") == [*TEXTS, *names, *TEXTS]
+    assert mt.main_text(f"{menu}<article>{links}</article>").split("\n\n") == names
+
+
 @pytest.mark.parametrize("piece", ["<", "<a ", "<!--", "&", "<p>x", "<div>x", "<b><p>", "</x>", '<a href="', "<div>x</div><b>"])
 def test_time_does_not_explode(piece):
     start = time.process_time()
