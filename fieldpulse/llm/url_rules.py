@@ -8,7 +8,9 @@ combinations that are frequent, and those that imply a label with enough confide
 become rules. A rule is dropped if one with a token less says the same at least as
 surely. Rules are matched by an inverted index: each stands under its rarest token, a
 URL looks up its own tokens and checks the rest of each rule found. The surest rule
-decides; ties go to the better supported, then the shorter, then to blocking.
+decides; ties go to the better supported, then the shorter, then to blocking. A mined rule
+may block a url only if labelled urls of both verdicts share the url's top host label: where
+all that is labelled under it is blocked, the label says which urls were judged, not why.
 
 Defined cases: null urls and urls without ``://`` have an empty host and path and no
 tokens; what no rule covers is allowed; equal urls get equal verdicts however often they
@@ -127,8 +129,22 @@ def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence:
     return written(sure.join(needless.select("tokens", "verdict").distinct(), ["tokens", "verdict"], "left_anti"), "url-rules")
 
 
-def match(urls: DataFrame, rules: DataFrame) -> DataFrame:
-    """``url``, ``verdict`` of the surest mined rule for the distinct ``url``, ``tokens`` rows it covers."""
+def _top(tokens: str) -> Column:
+    """The token of a url's top host label; null if it has none."""
+    return F.get(F.filter(tokens, lambda t: F.startswith(t, F.lit("host0:"))), F.lit(0))
+
+
+def contrasted(labelled: DataFrame) -> DataFrame:
+    """``top``: host labels under which both verdicts are labelled."""
+    tops = labelled.select(_top("tokens").alias("top"), "verdict").where("top IS NOT NULL")
+    return tops.groupBy("top").agg(F.min("verdict").alias("one"), F.max("verdict").alias("other")).where("one <> other").select("top")
+
+
+def match(urls: DataFrame, rules: DataFrame, tops: DataFrame | None = None) -> DataFrame:
+    """``url``, ``verdict`` of the surest mined rule for the distinct ``url``, ``tokens`` rows it covers.
+
+    Only urls under ``tops`` can be blocked, where it is given.
+    """
     spread = F.explode("tokens").alias("token")
     common = urls.select(spread).groupBy("token").count()
     anchored = (
@@ -141,6 +157,9 @@ def match(urls: DataFrame, rules: DataFrame) -> DataFrame:
     index = written(anchored, "url-rule-index")
     looked_up = urls.select("url", "tokens", spread).join(broadcast_if_small(index, F.lit(400)), "token")
     fits = looked_up.where(F.size(F.array_except("needed", "tokens")) == 0)
+    if tops is not None:
+        known = broadcast_if_small(written(tops.withColumn("both", F.lit(True)), "url-tops"), F.octet_length("top") + 16)
+        fits = fits.withColumn("top", _top("tokens")).join(known, "top", "left").where("verdict <> 'block' OR both")
     rank = F.struct("confidence", "support", -F.size("needed"), "verdict")
     return fits.groupBy("url").agg(F.max_by("verdict", rank).alias("verdict"))
 
@@ -165,7 +184,7 @@ def judge(pages: DataFrame, rules: list[Rule], labels: DataFrame | None = None)
     if labels is not None:
         named = labels.where(F.col("verdict").isin(*LABELS)).select("url", "verdict")
         labelled = labelled.union(named.select(tokens_of(F.col("url")), "verdict"))
-    covered = match(urls.where("ruled IS NULL").select("url", "tokens"), mine(labelled))
+    covered = match(urls.where("ruled IS NULL").select("url", "tokens"), mine(labelled), contrasted(labelled))
     verdicts = covered.withColumnRenamed("verdict", mined)
     kept = [c for c in pages.columns if c.lower() not in ("host", "path", "rule", "verdict")]
     return pages.select(*kept).withColumn(found, ruled).join(verdicts, "url", "left").select(

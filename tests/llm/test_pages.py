@@ -262,3 +262,17 @@ def test_labels_of_urls_are_learned_from(spark):
     )
     assert {r["verdict"] for r in ur.judge(pages, [], labels).collect()} == {"block"}
     assert {r["verdict"] for r in ur.judge(pages, []).collect()} == {"allow"}
+
+
+def test_nothing_is_blocked_where_only_blocked_urls_are_labelled(spark):
+    def verdicts(*labels):
+        urls = ["http://a.net/en/1", "http://a.net/de/1", "http://a.org/en/1", "http://a.com/en/1", "http://a.com/de/1"]
+        pages = spark.createDataFrame(list(enumerate(urls)), "page_id int, url string")
+        made = [(f"http://x{i}.{place}/{i}", verdict) for place, verdict in labels for i in range(20)]
+        judged = ur.judge(pages, [], spark.createDataFrame(made, "url string, verdict string")).collect()
+        return {urls[r["page_id"]][9:-2]: r["verdict"] for r in judged}
+
+    known = [("net/es", "block"), ("net/fr", "block"), ("com/de", "allow"), ("com/en", "block")]
+    assert verdicts(*known) == {"net/en": "allow", "net/de": "allow", "org/en": "allow", "com/en": "block", "com/de": "allow"}
+    # Evidence under the host label itself lets the path decide.
+    assert verdicts(*known, ("net/de", "allow"))["net/en"] == "block"
