@@ -10,13 +10,14 @@ The class prior is estimated from the same two samples: a model that tells posit
 from unlabelled text ranks rows, and the share of unlabelled text above a cut over that
 of held-back positives bounds the prior from above at every cut; the smallest bound,
 with a margin for the samples' size, is taken. At the end the model's bias is shifted
-so that the unlabelled rows' mean score is the prior.
+so that the mean score of all unlabelled rows, not of the sample, is the prior.
 
 Features see the text only: how often each pair of neighbouring character classes
 occurs, and a few measures of words and lines. They are computed in tasks from whole
 texts. Only two samples of rows, bounded by ``POSITIVES`` and ``UNLABELLED``, reach the
-driver, as features; their rows are chosen by a hash of the id. Scoring is a map over
-all rows without a shuffle.
+driver, as features; their rows are chosen by a hash of id, text and the row's place, so that
+rows of one id, or equal ones, are in or out one by one. Scoring is a map over
+all rows without a shuffle; the shift is found from sums over the written margins.
 
 Defined cases: null and empty texts have all-zero features and a score like any text;
 labelled ids that are absent from the documents are ignored, ids labelled twice count
@@ -28,7 +29,7 @@ through and may have any name; none is an input of a score.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from operator import eq
 
 import numpy as np
@@ -37,6 +38,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from fieldpulse.llm.common import fresh_name, slices
+from fieldpulse.session import written
 
 #: Expected sizes of the samples the model is fitted on.
 POSITIVES = 6_000
@@ -47,6 +49,8 @@ STEPS = 1_500
 BATCH_POSITIVES = 100
 #: Splits into halves the class prior is estimated on.
 SPLITS = 5
+#: Shifts of the bias that one pass over the margins tries.
+SHIFTS = 65
 RATE = 0.03
 DECAY = 1e-2
 CLASSES = 16
@@ -110,8 +114,10 @@ class Model:
 
     def score(self, features: np.ndarray) -> np.ndarray:
         """Probability of being positive per row, 0 to 1."""
-        margin = ((features - self.centre) / self.scale).clip(-8, 8) @ self.weights + self.bias
-        return 1 / (1 + np.exp(-margin.clip(-40, 40)))
+        return 1 / (1 + np.exp(-self.margin(features).clip(-40, 40)))
+
+    def margin(self, features: np.ndarray) -> np.ndarray:
+        return ((features - self.centre) / self.scale).clip(-8, 8) @ self.weights + self.bias
 
 
 def _descend(x: np.ndarray, gradient, steps: int, rng: np.random.Generator) -> tuple[np.ndarray, float]:
@@ -244,8 +250,8 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 
 def _sample(docs: DataFrame, salt: int, wanted: int, of: int) -> DataFrame:
-    """About ``wanted`` of ``of`` rows, the same ones for the same ids."""
-    bucket = F.pmod(F.xxhash64(F.lit(salt), F.col("doc_id")), F.lit(1 << 30))
+    """About ``wanted`` of ``of`` rows, each one by itself; the same ones of the same files."""
+    bucket = F.pmod(F.xxhash64(F.lit(salt), F.col("doc_id"), F.col("text"), F.monotonically_increasing_id()), F.lit(1 << 30))
     return docs.where(bucket < int((1 << 30) * min(1.0, wanted / max(of, 1))))
 
 
@@ -274,11 +280,36 @@ def train(
     """
     learned = labels.select("doc_id", "quality").where(~held_out())
     trusted = learned.where("quality = 1").select("doc_id").distinct()
-    positive = _sample(docs.select("doc_id", "text"), 1, positives, trusted.count()).join(
-        _sample(trusted, 1, positives, trusted.count()), "doc_id", "left_semi"
-    )
-    rest = docs.select("doc_id", "text").where(~held_out())
-    return fit(_features(positive), _features(_sample(rest, 2, unlabelled, rest.count())))
+    texts = docs.select("doc_id", "text")
+    of_trusted = docs.select("doc_id").join(trusted, "doc_id", "left_semi").count()
+    positive = _features(_sample(texts, 1, positives, of_trusted).join(trusted, "doc_id", "left_semi"))
+    rest = texts.where(~held_out())
+    model = fit(positive, _features(_sample(rest, 2, unlabelled, rest.count())))
+    return _shifted(model, rest) if len(positive) else model
+
+
+def _shifted(model: Model, rest: DataFrame) -> Model:
+    """``model`` with the bias at which the mean score of all ``rest`` rows is the prior."""
+
+    def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            x = [features_of(t.as_py()) for t in batch.column(0)]
+            margins = model.margin(np.stack(x).astype(np.float64)) if x else np.zeros(0)
+            yield pa.RecordBatch.from_arrays([pa.array(margins, pa.float64())], names=["margin"])
+
+    margins = written(rest.select("text").mapInArrow(compute, "margin double"), "margins")
+    low, high = -80.0, 80.0
+    while high - low > 1e-9:
+        # The mean grows with the shift: each pass over the margins leaves one of the parts between these shifts.
+        shifts = np.linspace(low, high, SHIFTS)
+        mean = lambda shift: F.avg(1 / (1 + F.exp(-F.greatest(F.lit(-40.0), F.least(F.lit(40.0), F.col("margin") + float(shift))))))
+        means = margins.agg(*[mean(shift).alias(f"m{k}") for k, shift in enumerate(shifts)]).first()
+        if means[0] is None:
+            return model
+        below = sum(m < model.prior for m in means)
+        low, high = float(shifts[max(below - 1, 0)]), float(shifts[min(below, SHIFTS - 1)])
+    # Sums differ in their last digits by the order of tasks; the shift should not.
+    return replace(model, bias=model.bias + round((low + high) / 2, 7))
 
 
 def score(docs: DataFrame, model: Model, column: str = "score") -> DataFrame:

@@ -5,6 +5,7 @@ import zlib
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from fieldpulse.llm import quality_pu as pu
 from fieldpulse.llm.queries import QUERIES
@@ -83,3 +84,20 @@ def test_edges(spark):
     assert pu.keep_good(nothing, labels.limit(0)).collect() == []
     unlabelled = pu.score(docs, pu.train(docs, labels.limit(0)), "s").collect()
     assert {r["s"] for r in unlabelled} == {0.5}
+
+
+def test_mean_score_of_all_unlabelled_rows_is_the_prior(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    labels = spark.read.parquet(f"{SF_DIR}/labels.parquet")
+    model = pu.train(docs, labels, positives=100, unlabelled=100)
+    rows = pu.score(docs.where(~pu.held_out()), model).collect()
+    assert abs(np.mean([r["score"] for r in rows]) - model.prior) < 1e-6
+
+
+@pytest.mark.parametrize("doc_id", [5, None])
+def test_sample_under_a_hot_id_is_bounded(spark, doc_id):
+    rows = [(doc_id if i % 3 else i, "equal" if i % 2 else f"text {i}") for i in range(9000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for salt in range(4):
+        hot = pu._sample(docs, salt, 900, len(rows)).where(F.col("doc_id").eqNullSafe(F.lit(doc_id))).count()
+        assert 450 < hot < 750
