@@ -14,6 +14,7 @@ from fieldpulse.llm import (
     pii,
     quality_pu,
     simhash_dedup,
+    token_counts,
     token_store,
     url_rules,
     vector_dedup,
@@ -39,11 +40,11 @@ def op1_benchmark_decontamination(spark, sf_dir):
     return found.select("doc_id", "item_id", "n_shingles", "n_matched")
 
 
-def vocabulary() -> str:
+def vocabulary(name: str = "word_bpe_49k.json") -> str:
     """Path of the vocabulary file; the package is installed on every machine."""
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 @_register
@@ -130,3 +131,15 @@ def op10_line_dedup(spark, sf_dir):
     """Every document without its cross-site boilerplate lines."""
     cleaned = line_dedup.remove_boilerplate(table(spark, sf_dir, "documents"), counted="n_removed")
     return cleaned.select("doc_id", "text", F.col("n_removed").cast("long").alias("n_removed"))
+
+
+#: Tokens beyond which a text is over the limit.
+TOKEN_LIMIT = 1024
+
+
+@_register
+def op11_token_counts(spark, sf_dir):
+    """Every document's bytes and tokens."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    counted = token_counts.count_tokens(docs, vocabulary("byte_bpe_50k.json"), TOKEN_LIMIT)
+    return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")

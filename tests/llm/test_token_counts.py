@@ -1,0 +1,78 @@
+"""Token counts against the libraries, text by text."""
+
+from __future__ import annotations
+
+import random
+
+import duckdb
+import pytest
+
+from fieldpulse.llm import token_counts as tc
+from fieldpulse.llm.queries import QUERIES, vocabulary
+
+BYTES, WORDS, PIECES = "byte_bpe_50k.json", "word_bpe_49k.json", "piece_bpe_32k.model"
+SNIPPETS = [
+    " ", "  ", "\n", "\t", "a", "B", "ñ", "'s", "'", "'re", "1", "23", "½", "٣", "。", "中", "文", "ひ", "<|endoftext|>", "<|", "|>",
+    "\x1c", "\x85", "́", "ª", "🙂", "-", "~", "a b", "​", "﻿", "\x00", "'LL", "don't", "x" * 60, " ", "\xa0",
+]
+
+
+def plain(name, texts):
+    if name.endswith(".model"):
+        import sentencepiece
+
+        model = sentencepiece.SentencePieceProcessor(model_file=vocabulary(name))
+        return [len(model.encode(text)) for text in texts]
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(vocabulary(name))
+    return [len(tokenizer.encode(text, add_special_tokens=False).ids) for text in texts]
+
+
+@pytest.mark.parametrize("name", [BYTES, WORDS, PIECES])
+def test_counts_equal_the_librarys_at_any_cut(monkeypatch, name):
+    monkeypatch.setattr(tc, "GROUP_BYTES", 7)
+    monkeypatch.setattr(tc, "BATCH_BYTES", 9)
+    monkeypatch.setattr(tc, "LENGTHS_KEPT", 20)
+    rng = random.Random(3)
+    texts = ["".join(rng.choices(SNIPPETS, k=rng.randint(0, 30))) for _ in range(4000)]
+    by = (tc.SentencePieceCounter if name.endswith(".model") else tc.ByteLevelCounter)(vocabulary(name))
+    assert by.counts(texts) == plain(name, texts)
+
+
+def test_long_texts_are_cut_and_runs_without_a_place_are_not():
+    words = " ".join(["word"] * 50_000)
+    assert max(len(part) for part, _ in tc.parts(words, tc.SAFE, 1000)) <= 1000
+    assert "".join(part + gap for part, gap in tc.parts(words, tc.SAFE_BLANK, 1000)) == words
+    assert [part for part, _ in tc.parts("a" * 5000, tc.SAFE, 1000)] == ["a" * 5000]
+    by = tc.ByteLevelCounter(vocabulary(BYTES))
+    texts = [words, "ab" * 200_000, "é" * 3000 + " " + words, "中文" * 3000]
+    assert by.counts(texts) == plain(BYTES, texts)
+
+
+def test_batches_are_balanced_by_bytes():
+    texts = ["a" * 10] * 10 + ["é" * 30] + ["b"]
+    assert [sum(len(t.encode()) for t in batch) for batch in tc.batches_of_bytes(texts, 40)] == [40, 40, 20, 60, 1]
+
+
+def test_odd_rows(spark):
+    rows = [(1, None, "x"), (2, "", "y"), (None, "a b", None), (3, "a b", "z"), (3, "a b", "z")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, N_bytes_ string")
+    got = tc.count_tokens(df, vocabulary(BYTES), limit=1)
+    assert got.columns == ["doc_id", "text", "N_bytes_", "n_bytes", "n_tokens", "over_limit"]
+    assert sorted(map(str, got.select("doc_id", "n_bytes", "n_tokens", "over_limit").toLocalIterator())) == sorted(
+        f"Row(doc_id={i}, n_bytes={b}, n_tokens={t}, over_limit={t > 1})"
+        for i, b, t in [(1, 0, 0), (2, 0, 0), (None, 3, 2), (3, 3, 2), (3, 3, 2)]
+    )
+    assert tc.count_tokens(df.limit(0), vocabulary(BYTES), 1).collect() == []
+    clashing = df.withColumnRenamed("N_bytes_", "N_bytes")
+    with pytest.raises(ValueError, match="n_bytes"):
+        tc.count_tokens(clashing, vocabulary(BYTES), 1)
+    assert "size" in tc.count_tokens(clashing, vocabulary(BYTES), 1, n_bytes="size").columns
+
+
+def test_query(spark):
+    rows = duckdb.sql("SELECT doc_id, coalesce(text, '') FROM read_parquet('/root/testdata/sf0.001/documents.parquet')").fetchall()
+    counts = plain(BYTES, [text for _, text in rows])
+    expected = sorted((i, len(text.encode()), n, n > 1024) for (i, text), n in zip(rows, counts))
+    assert sorted(map(tuple, QUERIES["op11_token_counts"](spark, "/root/testdata/sf0.001").collect())) == expected
