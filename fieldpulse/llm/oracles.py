@@ -90,9 +90,41 @@ SELECT r.vec_id, coalesce(any_value(c.n), 0) AS n_links, min(r.member) AS compon
 FROM reached r LEFT JOIN counted c USING (vec_id) GROUP BY r.vec_id
 """
 
+# --- 13: every document's score, term by term ----------------------------------------------
+
+_TERMS = r"""
+    SELECT row_number() OVER () AS {row}, {key}, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+    FROM {table}
+"""
+
+LEXICAL_SEARCH = f"""
+WITH doc AS ({_TERMS.format(row="rid", key="doc_id", table="documents")}),
+item AS ({_TERMS.format(row="iid", key="item_id", table="benchmark")}),
+total AS (SELECT count(*) AS docs, sum(len(terms)) AS terms FROM doc WHERE len(terms) > 0),
+sized AS (
+    SELECT rid, doc_id, CAST(25 + (75 * len(doc.terms) * docs) // total.terms AS BIGINT) AS m
+    FROM doc, total WHERE len(doc.terms) > 0),
+asked AS (SELECT iid, term, count(*) AS times FROM (SELECT iid, unnest(terms) AS term FROM item) GROUP BY ALL),
+held AS (SELECT rid, term, count(*) AS tf FROM (SELECT rid, unnest(terms) AS term FROM doc)
+         WHERE term IN (SELECT term FROM asked) GROUP BY ALL),
+weighed AS (
+    SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+    FROM held, total GROUP BY term, docs),
+scored AS (
+    SELECT iid, rid, doc_id, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+    FROM asked JOIN held USING (term) JOIN weighed USING (term) JOIN sized USING (rid) GROUP BY ALL),
+ranked AS (
+    SELECT *, CAST(row_number() OVER (PARTITION BY iid ORDER BY score DESC, doc_id) AS INTEGER) AS rank
+    FROM scored WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked JOIN item USING (iid) WHERE rank <= 10
+"""
+
 ORACLES = {
     "op1_benchmark_decontamination": DECONTAMINATION,
     "op4_html_extraction": HTML_EXTRACTION,
     "op7_embedding_near_dedup": EMBEDDING_NEAR_DEDUP,
     "op10_line_dedup": LINE_DEDUP,
+    "op13_ranked_lexical_search": LEXICAL_SEARCH,
 }

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fieldpulse.llm import (
     decontaminate,
+    lexical_search,
     line_dedup,
     main_text,
     packing,
@@ -143,3 +144,9 @@ def op11_token_counts(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     counted = token_counts.count_tokens(docs, vocabulary("byte_bpe_50k.json"), TOKEN_LIMIT)
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
+@_register
+def op13_ranked_lexical_search(spark, sf_dir):
+    """The ten documents of each benchmark item that score highest."""
+    return lexical_search.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
