@@ -90,6 +90,30 @@ SELECT r.vec_id, coalesce(any_value(c.n), 0) AS n_links, min(r.member) AS compon
 FROM reached r LEFT JOIN counted c USING (vec_id) GROUP BY r.vec_id
 """
 
+# --- 12: every row's product with every anchor ---------------------------------------------
+
+HARD_NEGATIVES = """
+WITH vectors AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+        CAST(list_inner_product(a.e, b.e) AS BIGINT) AS score
+    FROM vectors a JOIN vectors b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)),
+positives AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER (
+        PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+    vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) <= 3
+"""
+
 # --- 13: every document's score, term by term ----------------------------------------------
 
 _TERMS = r"""
@@ -126,5 +150,6 @@ ORACLES = {
     "op4_html_extraction": HTML_EXTRACTION,
     "op7_embedding_near_dedup": EMBEDDING_NEAR_DEDUP,
     "op10_line_dedup": LINE_DEDUP,
+    "op12_hard_negatives": HARD_NEGATIVES,
     "op13_ranked_lexical_search": LEXICAL_SEARCH,
 }

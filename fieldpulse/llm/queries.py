@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fieldpulse.llm import (
     decontaminate,
+    hard_negatives,
     lexical_search,
     line_dedup,
     main_text,
@@ -146,6 +147,14 @@ def op11_token_counts(spark, sf_dir):
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+@_register
+def op12_hard_negatives(spark, sf_dir):
+    """The hard negatives of every fiftieth vector, for each of its positives."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").withColumn("label", moved)
+    return hard_negatives.hard_negatives(vectors, F.col("vec_id") % 50 == 0)
+
+
 @_register
 def op13_ranked_lexical_search(spark, sf_dir):
     """The ten documents of each benchmark item that score highest."""
