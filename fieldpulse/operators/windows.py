@@ -86,7 +86,9 @@ def merge_moments(moments: DataFrame, keys: list[str], via: list[str] = ()) -> D
     n, mean = F.col("value_count"), F.col("mean")
     # A part without values has no mean and adds nothing to either sum.
     total = F.nullif(F.sum(n).over(group), F.lit(0))
-    shifted = moments.withColumn("_mean", F.sum(n * mean).over(group) / total)
+    # A group of one row keeps its digits.
+    centre = F.when(F.count("*").over(group) == 1, mean).otherwise(F.sum(n * mean).over(group) / total)
+    shifted = moments.withColumn("_mean", centre)
     return shifted.groupBy(*keys).agg(
         F.sum("reading_count").alias("reading_count"),
         F.sum("value_count").alias("value_count"),

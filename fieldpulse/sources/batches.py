@@ -3,12 +3,15 @@
 A table folder holds
 
 * ``fresh/batch_id=N``: the output of micro-batch N, overwritten if it is retried;
-* ``settled/upto=M``: the batches up to M gathered into few, well-sorted files;
+* ``settled/upto=M``: the batches up to M gathered into few, well-sorted files; in a
+  table settled by partition, the partitions written whole up to then;
+* ``added/upto=M``: rows that came to partitions without a change to what these held;
+* ``filters/upto=M``: Bloom filters of the keys in both;
 * ``owners/N``: the streams that wrote the table, the last one with the right to.
 
 A folder counts once Spark has put its ``_SUCCESS`` marker there, so a reader
 never sees half a batch, and the marker of a settled folder is the switch that
-replaces the fresh ones it was made from.
+replaces the fresh ones it was made from, and brings in what was added with it.
 
 Batch numbers belong to a stream's checkpoint. A stream records itself as the
 owner with its first batch, and any other, or the same one with a new
@@ -18,16 +21,22 @@ checkpoint, is refused until :func:`take_over` lets it go on above what is there
 from __future__ import annotations
 
 import json
+import time
 from collections.abc import Callable
 from datetime import date
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from fieldpulse import storage
+from fieldpulse.operators import key_filter
+from fieldpulse.session import scratch_path, written
 
 #: Rows a file is made for where adaptive execution cannot size files.
 FILE_ROWS = 2_000_000
+#: Folders a settled partition may consist of before it is written whole again.
+LAYERS = 8
 
 
 def fresh_batches(spark: SparkSession, path: str) -> list[int]:
@@ -206,7 +215,7 @@ def settle(
 
 
 def _partitions(spark: SparkSession, path: str, kind: str, depth: int) -> dict[int, dict[str, str]]:
-    """Per complete batch or settled folder its partitions: ``a=1/b=2`` and the whole path."""
+    """Per complete batch, settled or added folder its partitions: ``a=1/b=2`` and the whole path."""
     column, numbers = ("batch_id", fresh_batches) if kind == "fresh" else ("upto", settled_marks)
     found: dict[int, dict[str, str]] = {n: {} for n in numbers(spark, path)}
     for folder in storage.matching(spark, f"{path}/{kind}/{column}=*" + "/*=*" * depth):
@@ -217,19 +226,31 @@ def _partitions(spark: SparkSession, path: str, kind: str, depth: int) -> dict[i
     return found
 
 
-def _newest_settled(spark: SparkSession, path: str, depth: int) -> dict[str, str]:
-    """The folder that counts for each settled partition: the one with the last mark."""
-    newest: dict[str, str] = {}
-    for _, folders in sorted(_partitions(spark, path, "settled", depth).items()):
-        newest.update(folders)
-    return newest
+def live_folders(spark: SparkSession, path: str, depth: int) -> dict[str, list[str]]:
+    """The folders that count for each settled partition: the last one written whole, and what was added since."""
+    whole, added = (_partitions(spark, path, kind, depth) for kind in ("settled", "added"))
+    live: dict[str, list[str]] = {}
+    for mark in sorted(whole):
+        live |= {name: [folder] for name, folder in whole[mark].items()}
+        for name, folder in added[mark].items():
+            live.setdefault(name, []).append(folder)
+    return live
 
 
-def _read_folders(spark: SparkSession, base: str, folders: list[str], ddl: str) -> DataFrame | None:
-    if not folders:
-        return None
-    found = spark.read.schema(ddl).option("basePath", base).parquet(*sorted(folders))
-    return found.select(*StructType.fromDDL(ddl).names)
+def mark_of(folder: str, depth: int) -> int:
+    """The number of a settled or added partition folder."""
+    return int(folder.split("/")[-depth - 1].partition("=")[2])
+
+
+def _read_folders(spark: SparkSession, path: str, folders: list[str], ddl: str) -> DataFrame | None:
+    """Rows of settled and added partition folders."""
+    parts = []
+    for kind in ("settled", "added"):
+        base = f"{path}/{kind}"
+        if chosen := sorted(f for f in folders if f"/{kind}/upto=" in f):
+            found = spark.read.schema(ddl).option("basePath", base).parquet(*chosen)
+            parts.append(found.select(*StructType.fromDDL(ddl).names))
+    return _together(*parts)
 
 
 def _together(*parts: DataFrame | None) -> DataFrame | None:
@@ -237,20 +258,31 @@ def _together(*parts: DataFrame | None) -> DataFrame | None:
     return present[0] if len(present) == 1 else present[0].unionByName(present[1]) if present else None
 
 
+def _all(folders: dict[str, list[str]], names) -> list[str]:
+    return [folder for name in names for folder in folders[name]]
+
+
 def settle_partitions(
     spark: SparkSession,
     path: str,
     ddl: str,
-    merge: Callable[[DataFrame], DataFrame],
+    merge: Callable[[DataFrame], DataFrame] | None,
     partition_by: list[str],
     sort_by: list[str] = (),
     upto: int | None = None,
+    key: list[str] = (),
 ) -> int | None:
     """Like :func:`settle` for a table whose rows are merged by key within a partition.
 
     The partitions that fresh rows touch are merged with what is settled of them
     and written whole, so every settled partition is merged for good.  The
     others stay where they are; cost follows the partitions touched.
+
+    With ``key``, the columns rows are merged by within a partition, Bloom filters
+    are kept.  Where they exclude every fresh key, the fresh rows are added to the
+    partition and nothing of it is read; where they do not, the settled keys alone
+    are read to find out.  Without a ``merge`` no row concerns another, and all are
+    added.  A partition of ``LAYERS`` folders is written whole.
     """
     depth = len(partition_by)
     marks = settled_marks(spark, path)
@@ -260,14 +292,72 @@ def settle_partitions(
     gathered = [n for n in sorted(fresh) if done < n <= limit]
     if not gathered:
         return None
-    touched = {name for n in gathered for name in fresh[n]}
-    settled = _newest_settled(spark, path, depth)
+    mark = gathered[-1]
+    for kind in ("added", "filters"):  # left by a run that died
+        storage.delete(spark, f"{path}/{kind}/upto={mark}")
+    live = live_folders(spark, path, depth)
+    arrived = {name: [fresh[n][name] for n in gathered if name in fresh[n]] for n in gathered for name in fresh[n]}
+    known = arrived.keys() & live.keys()
+    base = f"{path}/fresh"
+    if key and known:
+        # Merged among themselves first: they are looked up, and then added or merged.
+        base = scratch_path(spark, "arrived")
+        rows = _read(spark, f"{path}/fresh", [f"batch_id={n}" for n in gathered], ddl)
+        _write(merge(rows), base, partition_by, ())
+        arrived = {name: [f"{base}/{name}"] for name in arrived}
+    read = lambda names: spark.read.schema(ddl).option("basePath", base).parquet(*sorted(_all(arrived, names))).select(
+        *StructType.fromDDL(ddl).names
+    )
+    again = {name for name in known if len(live[name]) >= LAYERS}
+    if merge and key and known - again:
+        again |= _holding(spark, path, ddl, read(known - again), live, known - again, partition_by, key)
+    elif merge and not key:
+        again = known
+    if added := known - again:
+        _write(read(added), f"{path}/added/upto={mark}", partition_by, sort_by)
+    rest = arrived.keys() - added
     rows = _together(
-        _read(spark, f"{path}/fresh", [f"batch_id={n}" for n in gathered], ddl),
-        _read_folders(spark, f"{path}/settled", [settled[name] for name in touched if name in settled], ddl),
+        read(rest) if rest else spark.createDataFrame([], ddl),
+        _read_folders(spark, path, _all(live, again), ddl),
     )
-    _write(merge(rows), f"{path}/settled/upto={gathered[-1]}", partition_by, sort_by)
-    return gathered[-1]
+    _write(merge(rows) if merge else rows, f"{path}/settled/upto={mark}", partition_by, sort_by)
+    if key:
+        placed = [folders[mark] for kind in ("settled", "added") if (folders := _partitions(spark, path, kind, depth))[mark]]
+        rows = _read_folders(spark, path, [folder for folders in placed for folder in folders.values()], ddl)
+        if rows is not None:
+            key_filter.build(rows, partition_by, key).write.mode("overwrite").parquet(f"{path}/filters/upto={mark}")
+    return mark
+
+
+def _holding(
+    spark: SparkSession, path: str, ddl: str, rows: DataFrame, live: dict[str, list[str]], known: set[str],
+    partition_by: list[str], key: list[str],
+) -> set[str]:
+    """The partitions among ``known`` that hold the key of one of ``rows``."""
+    depth = len(partition_by)
+    filtered = set(_complete(spark, f"{path}/filters", "upto"))
+    marks = {name: {mark_of(folder, depth) for folder in live[name]} for name in known}
+    open_to_all = {name for name in known if marks[name] - filtered}
+    asked = rows.select(*partition_by, *key)
+    place = key_filter.place(partition_by)
+    suspects = asked.filter(place.isin([unquote(name) for name in open_to_all])).select(place.alias("place"), "*")
+    if needed := {mark for name in known - open_to_all for mark in marks[name]}:
+        filters = spark.read.schema(key_filter.FILTER_DDL).parquet(
+            *[f"{path}/filters/upto={mark}" for mark in sorted(needed)]
+        ).filter(F.col("place").isin([unquote(name) for name in known - open_to_all]))
+        suspects = suspects.union(key_filter.maybe_held(asked, filters, partition_by, key))
+    suspects = written(suspects, "suspects")
+    doubtful = {row["place"] for row in suspects.select("place").distinct().collect()}
+    if not doubtful:
+        return set()
+    folders = _all(live, [name for name in known if unquote(name) in doubtful])
+    held = _read_folders(spark, path, folders, ddl).select(place.alias("place"), *key).alias("held")
+    same = F.col("asked.place") == F.col("held.place")
+    for name in key:
+        same = same & F.col(f"asked.{name}").eqNullSafe(F.col(f"held.{name}"))
+    sure = suspects.alias("asked").join(held, same, "left_semi").select("place").distinct().collect()
+    found = {row["place"] for row in sure}
+    return {name for name in known if unquote(name) in found}
 
 
 def read_merged(
@@ -281,43 +371,62 @@ def read_merged(
     done = marks[-1] if marks else -1
     fresh = {n: f for n, f in _partitions(spark, path, "fresh", depth).items() if n > done}
     touched = {name for folders in fresh.values() for name in folders}
-    settled = _newest_settled(spark, path, depth)
-    base = f"{path}/settled"
-    merged = _read_folders(spark, base, [f for name, f in settled.items() if name not in touched], ddl)
+    live = live_folders(spark, path, depth)
+    merged = _read_folders(spark, path, _all(live, live.keys() - touched), ddl)
     return merged, _together(
         _read(spark, f"{path}/fresh", [f"batch_id={n}" for n in sorted(fresh)], ddl) if fresh else None,
-        _read_folders(spark, base, [f for name, f in settled.items() if name in touched], ddl),
+        _read_folders(spark, path, _all(live, live.keys() & touched), ddl),
     )
 
 
-def vacuum(spark: SparkSession, path: str, cumulative: bool = False, depth: int = 0) -> None:
+def vacuum(
+    spark: SparkSession, path: str, cumulative: bool = False, depth: int = 0, grace_seconds: float = 0
+) -> None:
     """Delete folders that a settled one has replaced; run it when no old reader is left.
 
     ``depth`` is the number of partition columns of a table settled by partition.
+    ``grace_seconds`` spares what was replaced less than that long ago, for readers
+    that listed the table before.
     """
     marks = settled_marks(spark, path)
-    if not marks:
+    now = time.time()
+    settled_at = {mark: storage.modified(spark, f"{path}/settled/upto={mark}/_SUCCESS") for mark in marks}
+    past = [mark for mark in marks if now - settled_at[mark] >= grace_seconds]
+    if not past:
         return
     for n in storage.numbered_folders(spark, f"{path}/fresh", "batch_id"):
-        if n <= marks[-1]:
+        if n <= past[-1]:
             storage.delete(spark, f"{path}/fresh/batch_id={n}")
-    for mark in marks[:-1] if cumulative else []:
+    for mark in past[:-1] if cumulative else []:
         storage.delete(spark, f"{path}/settled/upto={mark}")
     if depth:
-        newest = _newest_settled(spark, path, depth)
-        for mark, folders in _partitions(spark, path, "settled", depth).items():
-            live = [name for name, folder in folders.items() if newest[name] == folder]
-            for name in folders.keys() - set(live):
-                storage.delete(spark, folders[name])
-            if not live and mark != marks[-1]:
-                storage.delete(spark, f"{path}/settled/upto={mark}")
+        _vacuum_partitions(spark, path, depth, set(past))
+
+
+def _vacuum_partitions(spark: SparkSession, path: str, depth: int, past: set[int]) -> None:
+    """Delete the partition folders that one written whole by a mark of ``past`` has replaced."""
+    whole, added = (_partitions(spark, path, kind, depth) for kind in ("settled", "added"))
+    last_whole: dict[str, int] = {}
+    for mark in sorted(whole.keys() & past):
+        last_whole |= dict.fromkeys(whole[mark], mark)
+    for mark in whole:
+        left = 0
+        for kind, folders in (("settled", whole[mark]), ("added", added[mark])):
+            for name, folder in folders.items():
+                if mark < last_whole.get(name, -1):
+                    storage.delete(spark, folder)
+                else:
+                    left += 1
+        if not left and mark != max(whole):
+            for kind in ("settled", "added", "filters"):
+                storage.delete(spark, f"{path}/{kind}/upto={mark}")
 
 
 def drop_days_before(spark: SparkSession, path: str, first_kept: date) -> int:
     """Delete the ``event_day`` partitions of earlier days; returns how many."""
     dropped = 0
-    for pattern in (f"{path}/fresh/*/event_day=*", f"{path}/settled/*/event_day=*"):
-        for folder in storage.matching(spark, pattern):
+    for kind in ("fresh", "settled", "added"):
+        for folder in storage.matching(spark, f"{path}/{kind}/*/event_day=*"):
             day = folder.rpartition("=")[2]
             if day[:4].isdigit() and date.fromisoformat(day) < first_kept:
                 storage.delete(spark, folder)

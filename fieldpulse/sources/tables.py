@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import date, datetime, timedelta, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -10,6 +11,7 @@ from fieldpulse import storage
 from fieldpulse.functions.instants import utc_date
 from fieldpulse.operators.latest import latest_version
 from fieldpulse.operators.state import device_current, merge_states, partial_states
+from fieldpulse.operators.windows import MEASURES, merge_moments, present_moments
 from fieldpulse.plans.reports import retained
 from fieldpulse.schema import (
     MERGEABLE_STATS_DDL,
@@ -17,6 +19,7 @@ from fieldpulse.schema import (
     REJECT_DDL,
     STATE_DDL,
     STORED_READING_DDL,
+    WINDOW_KEY,
 )
 from fieldpulse.sources import batches
 
@@ -33,6 +36,8 @@ READINGS_TABLE_DDL = STORED_READING_DDL + ", event_day DATE"
 REJECTS_TABLE_DDL = REJECT_DDL + ", event_day DATE"
 STATS_TABLE_DDL = MERGEABLE_STATS_DDL + ", event_day DATE"
 _VERSION_KEY = [*READING_KEY, "event_day"]
+#: How long :func:`maintain` leaves replaced folders to readers that listed them.
+GRACE = timedelta(days=1)
 
 
 # --- Readings ---------------------------------------------------------------
@@ -82,16 +87,21 @@ def read_readings(
 
 
 def settle_readings(spark: SparkSession, path: str, upto: int | None = None) -> int | None:
-    """Merge fresh batches into the partitions they touch; the others are not read."""
+    """Bring fresh batches into the partitions they touch; the others are not read.
+
+    New readings are added to a partition; one that came before is merged into it.
+    """
     return batches.settle_partitions(
         spark, path, READINGS_TABLE_DDL, lambda rows: latest_version(rows, _VERSION_KEY),
-        upto=upto, **READINGS_LAYOUT,
+        upto=upto, key=["device_id", "timestamp"], **READINGS_LAYOUT,
     )
 
 
-def vacuum_readings(spark: SparkSession, path: str) -> None:
+def vacuum_readings(spark: SparkSession, path: str, grace: timedelta = timedelta(0)) -> None:
     """Free the space of what was settled, once no reader uses it any more."""
-    batches.vacuum(spark, path, depth=len(READINGS_LAYOUT["partition_by"]))
+    batches.vacuum(
+        spark, path, depth=len(READINGS_LAYOUT["partition_by"]), grace_seconds=grace.total_seconds()
+    )
 
 
 def expire_readings(spark: SparkSession, path: str, as_of: datetime, days: int = 30) -> int:
@@ -132,34 +142,54 @@ def append_rejects(rejects: DataFrame, path: str, batch_id: int) -> None:
 
 
 def read_rejects(spark: SparkSession, path: str) -> DataFrame:
-    return batches.read_batches(spark, path, REJECTS_TABLE_DDL).drop("event_day")
+    settled, loose = batches.read_merged(spark, path, REJECTS_TABLE_DDL, len(REJECTS_LAYOUT["partition_by"]))
+    parts = [part for part in (settled, loose) if part is not None]
+    rows = reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], REJECTS_TABLE_DDL)
+    return rows.drop("event_day")
 
 
 def settle_rejects(spark: SparkSession, path: str, upto: int | None = None) -> int | None:
     """Gather the batches' folders; no row is merged with another."""
-    return batches.settle(
-        spark, path, REJECTS_TABLE_DDL, lambda rows: rows, upto=upto, **REJECTS_LAYOUT
-    )
+    return batches.settle_partitions(spark, path, REJECTS_TABLE_DDL, None, upto=upto, **REJECTS_LAYOUT)
 
 
 # --- Window statistics ------------------------------------------------------
 
 
 def append_window_stats(stats: DataFrame, path: str, batch_id: int) -> None:
-    """Store closed windows, partitioned by the UTC day of their start."""
+    """Store closed windows, or late moments of them, partitioned by the UTC day of their start."""
     stored = stats.withColumn("event_day", utc_date(F.col("window_start")))
     batches.append_batch(stored, path, batch_id, **STATS_LAYOUT)
 
 
+def merge_window_stats(rows: DataFrame) -> DataFrame:
+    """Stored statistics with one row per window and group; late moments correct the closed row."""
+    moments = rows.select(*WINDOW_KEY, *MEASURES)
+    merged = present_moments(merge_moments(moments, WINDOW_KEY), keep_moments=True)
+    columns = [column.split()[0] for column in MERGEABLE_STATS_DDL.split(", ")]
+    return merged.select(*columns, utc_date(F.col("window_start")).alias("event_day"))
+
+
 def read_window_stats(
     spark: SparkSession, path: str, since: date | str | None = None, until: date | str | None = None
 ) -> DataFrame:
-    return batches.day_filter(batches.read_batches(spark, path, STATS_TABLE_DDL), since, until)
+    """Every window's statistics, late corrections included.
+
+    Settled days are merged already and are only scanned; days with fresh rows are merged.
+    """
+    merged, loose = batches.read_merged(spark, path, STATS_TABLE_DDL, len(STATS_LAYOUT["partition_by"]))
+    parts = []
+    if merged is not None:
+        parts.append(batches.day_filter(merged, since, until))
+    if loose is not None:
+        parts.append(merge_window_stats(batches.day_filter(loose, since, until)))
+    return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], STATS_TABLE_DDL)
 
 
 def settle_window_stats(spark: SparkSession, path: str, upto: int | None = None) -> int | None:
-    return batches.settle(
-        spark, path, STATS_TABLE_DDL, lambda rows: rows, upto=upto, **STATS_LAYOUT
+    """Add fresh windows to their days; a day that gets late moments of a window it has is merged."""
+    return batches.settle_partitions(
+        spark, path, STATS_TABLE_DDL, merge_window_stats, upto=upto, key=WINDOW_KEY, **STATS_LAYOUT
     )
 
 
@@ -190,11 +220,13 @@ def settle_states(spark: SparkSession, path: str, upto: int | None = None) -> in
 # --- Upkeep -----------------------------------------------------------------
 
 
-def maintain(spark: SparkSession, root: str, as_of: datetime, days: int = 30) -> None:
-    """Settle the tables of a streaming job, rejects included, and drop expired days.
+def maintain(
+    spark: SparkSession, root: str, as_of: datetime, days: int = 30, grace: timedelta = GRACE
+) -> None:
+    """Settle the tables of a streaming job, rejects included, drop expired days, free space.
 
-    To be run beside the stream now and then; :func:`batches.vacuum` then frees
-    the space of what was settled, once no reader uses it any more.
+    To be run beside the stream now and then.  What was replaced less than ``grace``
+    ago stays for readers that listed it; so folders do not gather.
     """
     settle_readings(spark, f"{root}/readings")
     settle_window_stats(spark, f"{root}/window_stats")
@@ -204,6 +236,9 @@ def maintain(spark: SparkSession, root: str, as_of: datetime, days: int = 30) ->
     for name in ("rejects", *refused):
         settle_rejects(spark, f"{root}/{name}")
         expire_readings(spark, f"{root}/{name}", as_of, days)
+    for name, depth in (("readings", 2), ("window_stats", 1), *((name, 1) for name in ("rejects", *refused))):
+        batches.vacuum(spark, f"{root}/{name}", depth=depth, grace_seconds=grace.total_seconds())
+    batches.vacuum(spark, f"{root}/states", cumulative=True, grace_seconds=grace.total_seconds())
 
 
 _PARTIAL_DDL = STATE_DDL.removesuffix(", batch_id BIGINT")

@@ -44,6 +44,12 @@ def matching(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(status.getPath().toString() for status in fs.globStatus(target) or [])
 
 
+def modified(spark: SparkSession, path: str) -> float | None:
+    """When a file was last written, in seconds since 1970; None if it does not exist."""
+    fs, target = _open(spark, path)
+    return fs.getFileStatus(target).getModificationTime() / 1000 if fs.exists(target) else None
+
+
 def write_new(spark: SparkSession, path: str, text: str) -> bool:
     """Create a small file; False if it is there already."""
     fs, target = _open(spark, path)
