@@ -20,7 +20,7 @@ from fieldpulse.functions.topics import topic_level
 from fieldpulse.operators import ingest, latest, quality, state, windows
 from fieldpulse.plans import catalog, reports
 from fieldpulse.schema import READING_CONTRACT, READING_FIELDS, WINDOW_STATS_COLUMNS, ColumnRule
-from fieldpulse.session import scratch_path
+from fieldpulse.session import scratch_path, written
 from fieldpulse.sources import batches, tables
 from fieldpulse.sources.events import (
     EVENTS_DDL,
@@ -577,13 +577,50 @@ def late_rows_streamed(spark, sf_dir):
     jobs.start_window_stats(
         clean, [sinks.window_stats_sink(f"{base}/table")], f"{base}/checkpoint", name="late_rows",
     ).awaitTermination()
-    # Sums, which have few decimals: the rows' order is not fixed, and a mean that ends in a 5 rounds either way.
-    stored = tables.read_window_stats(spark, f"{base}/table")
+    return _with_sums(tables.read_window_stats(spark, f"{base}/table"))
+
+
+def _with_sums(stored: DataFrame) -> DataFrame:
+    """Sums, which have few decimals: the rows' order is not fixed, and a mean that ends in a 5 rounds either way."""
     presented = windows.present_moments(stored.drop("avg_value", "stddev_value", "event_day"), 6, keep_moments=True)
     total = F.round(F.col("mean") * F.col("value_count"), 4).alias("sum_value")
     return presented.select("*", total).drop("avg_value", "mean", "m2", "value_count")
 
 
+def _run_corrected(spark: SparkSession, sf_dir: str) -> str:
+    """Run the same stream with its late rows routed; returns the folder of both tables."""
+    base = scratch_path(spark, "corrected")
+    events = _dense_halves(read_events(spark, sf_dir))
+    for number in range(3):
+        _write_step(events, number, base)
+    messages = messages_from_events(_step_source(base).stream(spark), dense=True, keep=["event_id"])
+    clean = quality.accepted(quality.classify_messages(messages, keep=["ingest_time"]))
+    jobs.start_window_stats(
+        clean, [sinks.window_stats_sink(f"{base}/table")], f"{base}/checkpoint", name="corrected",
+        correct=True, late_sinks=[sinks.late_sink(f"{base}/late")],
+    ).awaitTermination()
+    return base
+
+
+@query
+def late_readings_routed(spark, sf_dir):
+    """The readings the statistics stream dropped as late."""
+    found = tables.read_late(spark, f"{_run_corrected(spark, sf_dir)}/late")
+    return found.drop("watermark", "event_day")
+
+
+@query
+def late_rows_corrected(spark, sf_dir):
+    """The statistics with the late rows merged into the windows they missed, before and after settling."""
+    base = _run_corrected(spark, sf_dir)
+    loose = _with_sums(tables.read_window_stats(spark, f"{base}/table"))
+    kept = written(loose.withColumn("settled", F.lit(False)), "corrected")
+    for batch in batches.fresh_batches(spark, f"{base}/table"):
+        tables.settle_window_stats(spark, f"{base}/table", upto=batch)
+    settled = _with_sums(tables.read_window_stats(spark, f"{base}/table"))
+    return kept.unionByName(settled.withColumn("settled", F.lit(True)))
+
+
 def _write_step(events: DataFrame, number: int, base: str) -> None:
     """One step as a batch of its own: as many files as a trigger takes."""
     step = events.filter(F.col("step") == number).drop("step")

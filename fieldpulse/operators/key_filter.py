@@ -13,13 +13,16 @@ from pyspark.sql import Column, DataFrame, functions as F
 BLOCK_BITS = 32_768
 BITS_PER_KEY = 16
 HASHES = 8
+#: Fixed value: what the engine's writers call the partition of rows without a value.
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 
 FILTER_DDL = "place STRING, blocks BIGINT, block BIGINT, bits BINARY"
 
 
 def place(partition_by: list[str]) -> Column:
-    """A partition as the name of its folder: ``a=1/b=2``."""
-    steps = [F.concat(F.lit(f"{name}="), F.col(name).cast("string")) for name in partition_by]
+    """A partition as the name of its folder, without escapes: ``a=1/b=2``."""
+    named = lambda name: F.coalesce(F.nullif(F.col(name).cast("string"), F.lit("")), F.lit(NO_VALUE))
+    steps = [F.concat(F.lit(f"{name}="), named(name)) for name in partition_by]
     return F.concat_ws("/", *steps)
 
 

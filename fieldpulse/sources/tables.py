@@ -193,6 +193,29 @@ def settle_window_stats(spark: SparkSession, path: str, upto: int | None = None)
     )
 
 
+LATE_TABLE_DDL = STORED_READING_DDL + ", watermark TIMESTAMP, event_day DATE"
+
+
+def append_late(readings: DataFrame, path: str, batch_id: int) -> None:
+    """Store readings that missed their window, by their UTC day."""
+    columns = [column.split()[0] for column in LATE_TABLE_DDL.split(", ")]
+    if "ingest_time" not in readings.columns:
+        readings = readings.withColumn("ingest_time", F.lit(None).cast("timestamp"))
+    stored = readings.withColumn("event_day", utc_date(F.col("timestamp"))).select(*columns)
+    batches.append_batch(stored, path, batch_id, **READINGS_LAYOUT)
+
+
+def read_late(spark: SparkSession, path: str) -> DataFrame:
+    """All late readings; no row is merged with another."""
+    settled, loose = batches.read_merged(spark, path, LATE_TABLE_DDL, len(READINGS_LAYOUT["partition_by"]))
+    parts = [part for part in (settled, loose) if part is not None]
+    return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], LATE_TABLE_DDL)
+
+
+def settle_late(spark: SparkSession, path: str, upto: int | None = None) -> int | None:
+    return batches.settle_partitions(spark, path, LATE_TABLE_DDL, None, upto=upto, **READINGS_LAYOUT)
+
+
 # --- Device states ----------------------------------------------------------
 
 
@@ -231,12 +254,14 @@ def maintain(
     settle_readings(spark, f"{root}/readings")
     settle_window_stats(spark, f"{root}/window_stats")
     settle_states(spark, f"{root}/states")
-    expire_readings(spark, f"{root}/readings", as_of, days)
+    settle_late(spark, f"{root}/late")
+    for name in ("readings", "late"):
+        expire_readings(spark, f"{root}/{name}", as_of, days)
     refused = [name for name in storage.child_folders(spark, root) if name.startswith("refused_by_")]
     for name in ("rejects", *refused):
         settle_rejects(spark, f"{root}/{name}")
         expire_readings(spark, f"{root}/{name}", as_of, days)
-    for name, depth in (("readings", 2), ("window_stats", 1), *((name, 1) for name in ("rejects", *refused))):
+    for name, depth in (("readings", 2), ("late", 2), ("window_stats", 1), *((name, 1) for name in ("rejects", *refused))):
         batches.vacuum(spark, f"{root}/{name}", depth=depth, grace_seconds=grace.total_seconds())
     batches.vacuum(spark, f"{root}/states", cumulative=True, grace_seconds=grace.total_seconds())
 

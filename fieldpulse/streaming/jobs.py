@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import json
 import logging
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from fieldpulse import storage
 from fieldpulse.operators import quality
 from fieldpulse.operators.ingest import classify_forwarding, filter_topics, keyed_records
 from fieldpulse.operators.latest import drop_redelivered
@@ -25,20 +27,25 @@ def start_batches(
     name: str,
     checkpoint: str,
     every: str | None = None,
+    mode: str = "append",
+    counted: bool = True,
 ) -> StreamingQuery:
     """Run ``write`` on each non-empty micro-batch of ``rows``.
 
     ``every`` is the trigger interval; without it the query takes what is there
     and ends.  The batch is computed once, by the count that is logged, and kept
-    for all that ``write`` does with it.
+    for all that ``write`` does with it.  Not ``counted``, it is computed by what
+    ``write`` does first; batch reports (:mod:`fieldpulse.streaming.reports`) have
+    its rows without a job of their own.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            count = batch.count()
-            log.info("%s, batch %s: %s rows", name, batch_id, count)
-            if count:
+            if counted:
+                count = batch.count()
+                log.info("%s, batch %s: %s rows", name, batch_id, count)
+            if not counted or count:
                 write(batch, batch_id)
         finally:
             batch.unpersist()
@@ -46,7 +53,7 @@ def start_batches(
     timing = {"processingTime": every} if every else {"availableNow": True}
     return (
         rows.writeStream.queryName(name)
-        .outputMode("append")
+        .outputMode(mode)
         .option("checkpointLocation", checkpoint)
         .trigger(**timing)
         .foreachBatch(handle)
@@ -63,6 +70,7 @@ def start_readings(
     name: str = "readings",
     clock_allowance: str | None = None,
     keep: list[str] = (),
+    counted: bool = True,
 ) -> StreamingQuery:
     """Parse, validate and store messages; rejected ones go to their own sinks."""
     _check(messages.sparkSession, [*sinks, *reject_sinks])
@@ -74,7 +82,7 @@ def start_readings(
         write_all(quality.accepted(batch, keep_payload=True), batch_id, sinks)
         write_all(quality.rejected(batch), batch_id, reject_sinks)
 
-    return start_batches(classified, route, name, checkpoint, every)
+    return start_batches(classified, route, name, checkpoint, every, counted=counted)
 
 
 def start_window_stats(
@@ -86,6 +94,9 @@ def start_window_stats(
     window: str = WINDOW,
     watermark: str = WATERMARK,
     first_deliveries_only: bool = False,
+    correct: bool = False,
+    late_sinks: list[Sink] = (),
+    counted: bool = True,
 ) -> StreamingQuery:
     """Statistics per window, written once when the watermark has closed it.
 
@@ -93,18 +104,60 @@ def start_window_stats(
     ``numRowsDroppedByWatermark``.  An idle source closes nothing.
     ``first_deliveries_only`` counts a message that arrives again within the
     watermark once, at the price of state for every reading of that time.
+
+    ``correct`` gives the moments of late rows to the sinks that merge windows, in
+    the batch that dropped them; the others keep the window as it was closed.
+    ``late_sinks`` get the late readings themselves.  Either reads the source a
+    second time within the query, for the rows beside the aggregate.
     """
-    _check(readings.sparkSession, sinks)
+    _check(readings.sparkSession, [*sinks, *late_sinks])
+    routed = correct or bool(late_sinks)
     if first_deliveries_only:
+        if routed:
+            raise ValueError("late rows cannot be told from redeliveries: route them or drop redeliveries")
         readings = drop_redelivered(readings, watermark)
         watermark = None
     stats = present_moments(
         window_moments(readings, window, watermark=watermark), keep_moments=True
     )
-    return start_batches(
-        stats, lambda batch, n: write_all(batch, n, sinks), name, checkpoint, every
+    if not routed:
+        return start_batches(
+            stats, lambda batch, n: write_all(batch, n, sinks), name, checkpoint, every, counted=counted
+        )
+    closed = F.struct(*stats.columns)
+    row = F.struct(*readings.columns)
+    null = lambda struct, of: F.lit(None).cast(of.select(struct).schema[0].dataType)
+    both = stats.select(closed.alias("closed"), null(row, readings).alias("row")).unionByName(
+        readings.select(null(closed, stats).alias("closed"), row.alias("row"))
     )
 
+    def route(batch: DataFrame, batch_id: int) -> None:
+        at_close = batch.filter(F.col("closed").isNotNull()).select("closed.*")
+        passed = late_watermark(batch.sparkSession, checkpoint, batch_id)
+        rows = batch.filter(F.col("row").isNotNull()).select("row.*")
+        late = rows.filter(F.window("timestamp", window).getField("end") <= passed)
+        moments = present_moments(window_moments(late, window), keep_moments=True)
+        merging = [sink for sink in sinks if correct and sink.merges_windows]
+        write_all(at_close.unionByName(moments), batch_id, merging)
+        write_all(at_close, batch_id, [sink for sink in sinks if sink not in merging])
+        write_all(late.withColumn("watermark", passed), batch_id, late_sinks)
+
+    return start_batches(both, route, name, checkpoint, every, counted=counted)
+
+
+def late_watermark(spark: SparkSession, checkpoint: str, batch_id: int) -> Column:
+    """The watermark behind which an aggregation drops rows in this batch.
+
+    It is the one the batch before closed windows by, as committed to the
+    checkpoint; so a batch that is repeated after a failure finds the same rows late.
+    """
+    several = spark.conf.get("spark.sql.streaming.statefulOperator.allowMultiple", "true") == "true"
+    decisive = batch_id - 1 if several else batch_id
+    if decisive < 0:
+        return F.timestamp_millis(F.lit(0))
+    offsets = storage.read_text(spark, f"{checkpoint}/offsets/{decisive}")
+    return F.timestamp_millis(F.lit(json.loads(offsets.split("\n")[1])["batchWatermarkMs"]))
+
 
 def start_republish(
     messages: DataFrame,

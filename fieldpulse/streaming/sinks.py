@@ -20,6 +20,7 @@ class Sink:
 
     ``format`` is the data source the writer needs, to be checked at the start.
     ``wants_payload`` asks for the message a reading came from, as ``payload``.
+    ``merges_windows`` says that a row for a window that is there corrects it.
     """
 
     name: str
@@ -27,6 +28,7 @@ class Sink:
     format: str | None = None
     options: dict[str, str] = field(default_factory=dict)
     wants_payload: bool = False
+    merges_windows: bool = False
 
     def check(self, spark: SparkSession) -> None:
         """Fail now rather than in the middle of a batch if the format or its driver is missing."""
@@ -61,8 +63,15 @@ def states_sink(path: str, name: str = "states") -> Sink:
 
 
 def window_stats_sink(path: str, name: str = "window_stats") -> Sink:
-    """The window-statistics table."""
-    return Sink(name, lambda rows, batch_id: tables.append_window_stats(rows, path, batch_id))
+    """The window-statistics table; late moments of a closed window correct it."""
+    return Sink(
+        name, lambda rows, batch_id: tables.append_window_stats(rows, path, batch_id), merges_windows=True
+    )
+
+
+def late_sink(path: str, name: str = "late") -> Sink:
+    """Readings that came after their window had closed, with the ``watermark`` they missed."""
+    return Sink(name, lambda rows, batch_id: tables.append_late(rows, path, batch_id))
 
 
 def rejects_sink(path: str, name: str = "rejects") -> Sink:

@@ -279,6 +279,20 @@ SELECT time_bucket(INTERVAL '5 minutes', timestamp) AS window_start,
 FROM in_time WHERE time_bucket(INTERVAL '5 minutes', timestamp) + INTERVAL '5 minutes'
   <= (SELECT max(timestamp) FROM in_time) - INTERVAL '2 minutes'
 GROUP BY ALL""",
+    "late_rows_corrected": DENSE + """,
+corrected AS (
+  SELECT time_bucket(INTERVAL '5 minutes', timestamp) AS window_start,
+    time_bucket(INTERVAL '5 minutes', timestamp) + INTERVAL '5 minutes' AS window_end,
+    device_id, sensor_type, location,
+    round(sum(value), 4) AS sum_value, round(min(value), 6) AS min_value,
+    round(max(value), 6) AS max_value, round(stddev_samp(value), 6) AS stddev_value,
+    count(*) AS reading_count
+  FROM readings WHERE time_bucket(INTERVAL '5 minutes', timestamp) + INTERVAL '5 minutes'
+    <= (SELECT max(timestamp) FROM readings) - INTERVAL '2 minutes'
+  GROUP BY ALL)
+SELECT *, unnest([false, true]) AS settled FROM corrected""",
+    "late_readings_routed": DENSE + f"""
+SELECT {_FIELDS}, ingest_time FROM readings WHERE ts < TIMESTAMP '2024-01-08 00:00:00' AND event_id % 10 = 0""",
     "rejects_streamed": DENSE + f"""
 SELECT * FROM (SELECT {_FIELDS}, {_REASON} AS reject_reason FROM judged)
 WHERE reject_reason IS NOT NULL""",
