@@ -30,7 +30,7 @@ from fieldpulse.sources.events import (
     readings_from_events,
 )
 from fieldpulse.sources.topic import MessageSource, file_source
-from fieldpulse.streaming import app, jobs, sinks
+from fieldpulse.streaming import app, jobs, reports as batch_reports, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -590,13 +590,8 @@ def _with_sums(stored: DataFrame) -> DataFrame:
 def _run_corrected(spark: SparkSession, sf_dir: str) -> str:
     """Run the same stream with its late rows routed; returns the folder of both tables."""
     base = scratch_path(spark, "corrected")
-    events = _dense_halves(read_events(spark, sf_dir))
-    for number in range(3):
-        _write_step(events, number, base)
-    messages = messages_from_events(_step_source(base).stream(spark), dense=True, keep=["event_id"])
-    clean = quality.accepted(quality.classify_messages(messages, keep=["ingest_time"]))
     jobs.start_window_stats(
-        clean, [sinks.window_stats_sink(f"{base}/table")], f"{base}/checkpoint", name="corrected",
+        _clean_steps(spark, sf_dir, base), [sinks.window_stats_sink(f"{base}/table")], f"{base}/checkpoint",
         correct=True, late_sinks=[sinks.late_sink(f"{base}/late")],
     ).awaitTermination()
     return base
@@ -621,6 +616,60 @@ def late_rows_corrected(spark, sf_dir):
     return kept.unionByName(settled.withColumn("settled", F.lit(True)))
 
 
+@query
+def anomalies_streamed(spark, sf_dir):
+    """Anomalies of a stream in three batches, each judged by the statistics up to it."""
+    base = scratch_path(spark, "anomalies")
+    jobs.start_anomalies(
+        _clean_steps(spark, sf_dir, base), f"{base}/moments", [sinks.anomalies_sink(f"{base}/anomalies")],
+        f"{base}/checkpoint",
+    ).awaitTermination()
+    return _rounded(tables.read_anomalies(spark, f"{base}/anomalies"), "mean_val", "std_val", "z_score")
+
+
+@query
+def device_current_updated(spark, sf_dir):
+    """Current states kept by a stream in update mode, restarted twice, beside what its state store holds."""
+    base = scratch_path(spark, "current")
+    steps = _dense_halves(read_events(spark, sf_dir))
+    for number in range(3):
+        _write_step(steps, number, base)
+        messages = messages_from_events(_step_source(base).stream(spark), dense=True, keep=["event_id"])
+        clean = quality.accepted(quality.classify_messages(messages, keep=["ingest_time"]))
+        jobs.start_current(clean, [sinks.current_sink(f"{base}/current")], f"{base}/checkpoint").awaitTermination()
+    return jobs.current_beside_state(spark, f"{base}/checkpoint", f"{base}/current")
+
+
+@query
+def batch_reports_streamed(spark, sf_dir):
+    """What a listener reported of the statistics stream's three batches."""
+    base = scratch_path(spark, "reports")
+    listener = batch_reports.BatchReports(spark, f"{base}/reports").attach()
+    try:
+        running = jobs.start_window_stats(
+            _clean_steps(spark, sf_dir, base), [sinks.window_stats_sink(f"{base}/table")], f"{base}/checkpoint",
+            counted=False,
+        )
+        running.awaitTermination()
+        if not listener.wait_for(running):
+            raise TimeoutError("the batches' reports did not come")
+    finally:
+        listener.detach()
+    batch_reports.gather(spark, f"{base}/reports")
+    found = batch_reports.read_reports(spark, f"{base}/reports")
+    return found.select("batch_id", "input_rows", "watermark", "state_rows", F.col("late_groups") > 0)\
+        .toDF("batch_id", "input_rows", "watermark", "state_rows", "late")
+
+
+def _clean_steps(spark: SparkSession, sf_dir: str, base: str) -> DataFrame:
+    """Accepted readings of the events in three batches, streamed."""
+    events = _dense_halves(read_events(spark, sf_dir))
+    for number in range(3):
+        _write_step(events, number, base)
+    messages = messages_from_events(_step_source(base).stream(spark), dense=True, keep=["event_id"])
+    return quality.accepted(quality.classify_messages(messages, keep=["ingest_time"]))
+
+
 def _write_step(events: DataFrame, number: int, base: str) -> None:
     """One step as a batch of its own: as many files as a trigger takes."""
     step = events.filter(F.col("step") == number).drop("step")

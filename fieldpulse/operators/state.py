@@ -14,14 +14,22 @@ def partial_states(readings: DataFrame, batch_id: Column | int, by: list[str] =
     ``latest`` compares time, then ingest time, then value.
     """
     column = F.lit(batch_id) if isinstance(batch_id, int) else batch_id
-    latest = F.struct("timestamp", "ingest_time", "value")
-    states = readings.groupBy(column.cast("bigint").alias("batch_id"), *by).agg(
-        F.max(latest).alias("latest"),
+    states = readings.groupBy(column.cast("bigint").alias("batch_id"), *by).agg(*_states())
+    return states.select(*by, "latest", "max_value", "min_value", "total_readings", "batch_id")
+
+
+def _states() -> list[Column]:
+    return [
+        F.max(F.struct("timestamp", "ingest_time", "value")).alias("latest"),
         F.max("value").alias("max_value"),
         F.min("value").alias("min_value"),
         F.count("*").alias("total_readings"),
-    )
-    return states.select(*by, "latest", "max_value", "min_value", "total_readings", "batch_id")
+    ]
+
+
+def current_states(readings: DataFrame, by: list[str] = STATE_KEY) -> DataFrame:
+    """The state of each group over all readings, also of a stream."""
+    return readings.groupBy(*by).agg(*_states())
 
 
 def merge_states(states: DataFrame, by: list[str] = STATE_KEY) -> DataFrame:

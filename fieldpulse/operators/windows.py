@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import NumericType
 
-from fieldpulse.schema import STATE_KEY
+from fieldpulse.schema import GROUP_KEY, STATE_KEY
 
 WINDOW = "5 minutes"
 MEASURES = ["reading_count", "value_count", "mean", "m2", "min_value", "max_value"]
@@ -27,14 +27,7 @@ def window_moments(
     """
     if watermark is not None:
         readings = readings.withWatermark("timestamp", watermark)
-    grouped = readings.groupBy(F.window("timestamp", window), *by).agg(
-        F.count("*").alias("reading_count"),
-        F.count("value").alias("value_count"),
-        F.avg("value").alias("mean"),
-        (F.var_pop("value") * F.count("value")).alias("m2"),
-        F.min("value").alias("min_value"),
-        F.max("value").alias("max_value"),
-    )
+    grouped = readings.groupBy(F.window("timestamp", window), *by).agg(*_measures())
     return grouped.select(
         F.col("window.start").alias("window_start"),
         F.col("window.end").alias("window_end"),
@@ -43,6 +36,22 @@ def window_moments(
     )
 
 
+def _measures() -> list[Column]:
+    return [
+        F.count("*").alias("reading_count"),
+        F.count("value").alias("value_count"),
+        F.avg("value").alias("mean"),
+        (F.var_pop("value") * F.count("value")).alias("m2"),
+        F.min("value").alias("min_value"),
+        F.max("value").alias("max_value"),
+    ]
+
+
+def group_moments(readings: DataFrame, by: list[str] = GROUP_KEY) -> DataFrame:
+    """The moments of :func:`window_moments` per group over all time."""
+    return readings.groupBy(*by).agg(*_measures())
+
+
 def present_moments(
     moments: DataFrame, digits: int = 3, keep_moments: bool = False
 ) -> DataFrame:

@@ -12,6 +12,7 @@ from fieldpulse.operators.groups import (
     SHARES,
     attach_group_rows,
     split_hot_groups,
+    table_bytes,
 )
 from fieldpulse.operators.ordering import newest_first, top_newest
 from fieldpulse.schema import GROUP_KEY
@@ -134,6 +135,17 @@ def anomalies_view(readings: DataFrame, threshold: float = 2.0) -> DataFrame:
     return _beyond(known.join(stats, GROUP_KEY), threshold)
 
 
+def anomalies_against(readings: DataFrame, stats: DataFrame, threshold: float = 2.0) -> DataFrame:
+    """Readings beyond ``threshold`` deviations from the mean their group has in ``stats``.
+
+    ``stats`` has ``mean_val`` and ``std_val`` per device and sensor.  It is
+    measured, and broadcast if it is small; the readings are then not shuffled.
+    """
+    known = stats.select(*GROUP_KEY, "mean_val", "std_val").dropna(subset=GROUP_KEY)
+    side = F.broadcast(known) if table_bytes(known) <= BROADCAST_BYTES else known
+    return _beyond(readings.dropna(subset=GROUP_KEY).join(side, GROUP_KEY), threshold)
+
+
 def _beyond(with_stats: DataFrame, threshold: float) -> DataFrame:
     scored = with_stats.withColumn(
         "z_score", z_score(F.col("value"), F.col("mean_val"), F.col("std_val"))

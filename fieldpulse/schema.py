@@ -29,6 +29,16 @@ STATE_DDL = (
     "max_value DOUBLE, min_value DOUBLE, total_readings BIGINT, batch_id BIGINT"
 )
 
+# A group's statistics in mergeable form, and what lies far from them.
+MOMENTS_DDL = (
+    "device_id STRING, sensor_type STRING, reading_count BIGINT, value_count BIGINT, mean DOUBLE, "
+    "m2 DOUBLE, min_value DOUBLE, max_value DOUBLE"
+)
+ANOMALY_DDL = (
+    "device_id STRING, sensor_type STRING, location STRING, value DOUBLE, mean_val DOUBLE, "
+    "std_val DOUBLE, z_score DOUBLE, timestamp TIMESTAMP"
+)
+
 READING_KEY = ["device_id", "sensor_type", "timestamp"]
 GROUP_KEY = ["device_id", "sensor_type"]
 STATE_KEY = ["device_id", "sensor_type", "location"]

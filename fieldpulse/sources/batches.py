@@ -107,6 +107,12 @@ def take_over(spark: SparkSession, path: str) -> int:
 # --- Writing ----------------------------------------------------------------
 
 
+def batch_number(spark: SparkSession, path: str, batch_id: int) -> int:
+    """The number a micro-batch has in the table, which is claimed for its stream."""
+    query = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+    return _first_number(spark, path, query) + batch_id
+
+
 def append_batch(
     df: DataFrame,
     path: str,
@@ -119,8 +125,7 @@ def append_batch(
     Within a stream the table is claimed for its query.
     """
     spark = df.sparkSession
-    query = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
-    number = _first_number(spark, path, query) + batch_id
+    number = batch_number(spark, path, batch_id)
     marks = settled_marks(spark, path)
     if marks and number <= marks[-1]:
         raise ValueError(

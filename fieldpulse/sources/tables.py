@@ -10,14 +10,18 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from fieldpulse import storage
 from fieldpulse.functions.instants import utc_date
 from fieldpulse.operators.latest import latest_version
-from fieldpulse.operators.state import device_current, merge_states, partial_states
-from fieldpulse.operators.windows import MEASURES, merge_moments, present_moments
+from fieldpulse.operators.state import device_current, merge_states, partial_states, present_states
+from fieldpulse.operators.windows import MEASURES, group_moments, merge_moments, present_moments
 from fieldpulse.plans.reports import retained
 from fieldpulse.schema import (
+    ANOMALY_DDL,
+    GROUP_KEY,
     MERGEABLE_STATS_DDL,
+    MOMENTS_DDL,
     READING_KEY,
     REJECT_DDL,
     STATE_DDL,
+    STATE_KEY,
     STORED_READING_DDL,
     WINDOW_KEY,
 )
@@ -36,6 +40,7 @@ READINGS_TABLE_DDL = STORED_READING_DDL + ", event_day DATE"
 REJECTS_TABLE_DDL = REJECT_DDL + ", event_day DATE"
 STATS_TABLE_DDL = MERGEABLE_STATS_DDL + ", event_day DATE"
 _VERSION_KEY = [*READING_KEY, "event_day"]
+_PARTIAL_DDL = STATE_DDL.removesuffix(", batch_id BIGINT")
 #: How long :func:`maintain` leaves replaced folders to readers that listed them.
 GRACE = timedelta(days=1)
 
@@ -240,6 +245,83 @@ def settle_states(spark: SparkSession, path: str, upto: int | None = None) -> in
     )
 
 
+# --- Current states by update ------------------------------------------------------
+
+CURRENT_DDL = _PARTIAL_DDL + ", as_of BIGINT"
+
+
+def append_current(states: DataFrame, path: str, batch_id: int) -> None:
+    """Store the states a batch has changed; each replaces what the table has of its group."""
+    number = batches.batch_number(states.sparkSession, path, batch_id)
+    batches.append_batch(states.withColumn("as_of", F.lit(number).cast("bigint")), path, batch_id)
+
+
+def newest_states(rows: DataFrame) -> DataFrame:
+    """Of each group the state of the last batch that changed it."""
+    rest = ["latest", "max_value", "min_value", "total_readings"]
+    newest = rows.groupBy(*STATE_KEY).agg(F.max(F.struct("as_of", *rest)).alias("newest"))
+    return newest.select(*STATE_KEY, *[f"newest.{name}" for name in [*rest, "as_of"]])
+
+
+def read_current(spark: SparkSession, path: str) -> DataFrame:
+    """Current state per device, sensor and location, from the states as they were last updated."""
+    rows = batches.read_batches(spark, path, CURRENT_DDL, cumulative=True)
+    return present_states(newest_states(rows))
+
+
+def settle_current(spark: SparkSession, path: str, upto: int | None = None) -> int | None:
+    return batches.settle(
+        spark, path, CURRENT_DDL, newest_states, cumulative=True, upto=upto, sort_by=["device_id", "sensor_type"],
+    )
+
+
+# --- Statistics per group and anomalies ---------------------------------------------
+
+#: Batches of moments that may gather before the stream itself settles them.
+MOMENT_BATCHES = 64
+_ANOMALIES_TABLE_DDL = ANOMALY_DDL + ", event_day DATE"
+
+
+def append_group_moments(readings: DataFrame, path: str, batch_id: int) -> None:
+    """Store the moments a batch adds to each group; a batch that is repeated replaces its own."""
+    batches.append_batch(group_moments(readings.dropna(subset=GROUP_KEY)), path, batch_id)
+
+
+def read_group_stats(spark: SparkSession, path: str) -> DataFrame:
+    """Mean and sample standard deviation per group over all stored batches."""
+    rows = batches.read_batches(spark, path, MOMENTS_DDL, cumulative=True)
+    merged = merge_moments(rows, GROUP_KEY)
+    spread = F.when(F.col("value_count") > 1, F.sqrt(F.col("m2") / (F.col("value_count") - 1)))
+    return merged.select(*GROUP_KEY, F.col("mean").alias("mean_val"), spread.alias("std_val"), "reading_count")
+
+
+def settle_group_moments(spark: SparkSession, path: str, upto: int | None = None) -> int | None:
+    """Merge the batches' moments and the previous result into one row per group."""
+    return batches.settle(
+        spark, path, MOMENTS_DDL, lambda rows: merge_moments(rows, GROUP_KEY), cumulative=True, upto=upto,
+        sort_by=GROUP_KEY,
+    )
+
+
+def append_anomalies(found: DataFrame, path: str, batch_id: int) -> None:
+    columns = [column.split()[0] for column in _ANOMALIES_TABLE_DDL.split(", ")]
+    stored = found.withColumn("event_day", utc_date(F.col("timestamp"))).select(*columns)
+    batches.append_batch(stored, path, batch_id, ["event_day"], GROUP_KEY)
+
+
+def read_anomalies(spark: SparkSession, path: str) -> DataFrame:
+    settled, loose = batches.read_merged(spark, path, _ANOMALIES_TABLE_DDL, 1)
+    parts = [part for part in (settled, loose) if part is not None]
+    rows = reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], _ANOMALIES_TABLE_DDL)
+    return rows.drop("event_day")
+
+
+def settle_anomalies(spark: SparkSession, path: str, upto: int | None = None) -> int | None:
+    return batches.settle_partitions(
+        spark, path, _ANOMALIES_TABLE_DDL, None, ["event_day"], GROUP_KEY, upto=upto
+    )
+
+
 # --- Upkeep -----------------------------------------------------------------
 
 
@@ -255,15 +337,17 @@ def maintain(
     settle_window_stats(spark, f"{root}/window_stats")
     settle_states(spark, f"{root}/states")
     settle_late(spark, f"{root}/late")
+    settle_current(spark, f"{root}/current")
+    settle_group_moments(spark, f"{root}/group_moments")
+    settle_anomalies(spark, f"{root}/anomalies")
     for name in ("readings", "late"):
         expire_readings(spark, f"{root}/{name}", as_of, days)
     refused = [name for name in storage.child_folders(spark, root) if name.startswith("refused_by_")]
     for name in ("rejects", *refused):
         settle_rejects(spark, f"{root}/{name}")
         expire_readings(spark, f"{root}/{name}", as_of, days)
-    for name, depth in (("readings", 2), ("late", 2), ("window_stats", 1), *((name, 1) for name in ("rejects", *refused))):
+    for name, depth in (("readings", 2), ("late", 2), ("window_stats", 1), ("anomalies", 1), *((name, 1) for name in ("rejects", *refused))):
         batches.vacuum(spark, f"{root}/{name}", depth=depth, grace_seconds=grace.total_seconds())
-    batches.vacuum(spark, f"{root}/states", cumulative=True, grace_seconds=grace.total_seconds())
+    for name in ("states", "current", "group_moments"):
+        batches.vacuum(spark, f"{root}/{name}", cumulative=True, grace_seconds=grace.total_seconds())
 
-
-_PARTIAL_DDL = STATE_DDL.removesuffix(", batch_id BIGINT")

@@ -61,6 +61,14 @@ def write_new(spark: SparkSession, path: str, text: str) -> bool:
     return True
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file, in place of one that is there."""
+    fs, target = _open(spark, path)
+    out = fs.create(target, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     fs, target = _open(spark, path)
     source = fs.open(target)

@@ -5,15 +5,21 @@ from __future__ import annotations
 import json
 import logging
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from fieldpulse import storage
 from fieldpulse.operators import quality
 from fieldpulse.operators.ingest import classify_forwarding, filter_topics, keyed_records
 from fieldpulse.operators.latest import drop_redelivered
+from fieldpulse.operators.state import current_states, present_states
 from fieldpulse.operators.windows import WINDOW, present_moments, window_moments
+from fieldpulse.plans.reports import anomalies_against
+from fieldpulse.schema import STATE_DDL, STATE_KEY
+from fieldpulse.sources import batches, tables
 from fieldpulse.streaming.sinks import Sink, write_all
 
 WATERMARK = "2 minutes"
@@ -159,6 +165,87 @@ def late_watermark(spark: SparkSession, checkpoint: str, batch_id: int) -> Colum
     return F.timestamp_millis(F.lit(json.loads(offsets.split("\n")[1])["batchWatermarkMs"]))
 
 
+def start_current(
+    readings: DataFrame,
+    sinks: list[Sink],
+    checkpoint: str,
+    every: str | None = None,
+    name: str = "current",
+    counted: bool = True,
+) -> StreamingQuery:
+    """The current state per group, kept by the stream; sinks get the groups a batch changed.
+
+    The state holds one row per device, sensor and location, and each row that
+    leaves is that group's whole state: writing it again changes nothing.
+    """
+    _check(readings.sparkSession, sinks)
+    return start_batches(
+        current_states(readings), lambda batch, n: write_all(batch, n, sinks), name, checkpoint, every,
+        mode="update", counted=counted,
+    )
+
+
+def state_of_current(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """What the state store of :func:`start_current` holds now, in the form of the stored states."""
+    measures = ", ".join(
+        f"{field.name}: {field.dataType.simpleString()}"
+        for field in StructType.fromDDL(STATE_DDL) if field.name not in [*STATE_KEY, "batch_id"]
+    )
+    stored = spark.read.format("statestore").load(checkpoint)
+    return stored.select("key.*", F.col("value").cast(f"struct<{measures}>").alias("value")).select(
+        *STATE_KEY, "value.*"
+    )
+
+
+def current_beside_state(spark: SparkSession, checkpoint: str, path: str) -> DataFrame:
+    """Every group's stored state with ``agrees``: whether the stream's own state is the same.
+
+    The two are written one after the other, so a difference that stays once the
+    stream has ended means that a batch did not reach the table.
+    """
+    state = present_states(state_of_current(spark, checkpoint))
+    measures = [name for name in state.columns if name not in STATE_KEY]
+    side = lambda rows, name: rows.select(*STATE_KEY, F.struct(*measures).alias(name))
+    a, b = side(tables.read_current(spark, path), "stored").alias("a"), side(state, "held").alias("b")
+    same = reduce(Column.__and__, [F.col(f"a.{name}").eqNullSafe(F.col(f"b.{name}")) for name in STATE_KEY])
+    return a.join(b, same, "full").select(
+        *[F.coalesce(f"a.{name}", f"b.{name}").alias(name) for name in STATE_KEY],
+        "stored.*", F.col("stored").eqNullSafe(F.col("held")).alias("agrees"),
+    )
+
+
+def start_anomalies(
+    readings: DataFrame,
+    moments: str,
+    sinks: list[Sink],
+    checkpoint: str,
+    threshold: float = 2.0,
+    every: str | None = None,
+    name: str = "anomalies",
+    counted: bool = True,
+) -> StreamingQuery:
+    """Readings far from the mean of their device and sensor, judged when they come.
+
+    A batch first adds its moments to the table at ``moments``, then its readings
+    meet the statistics of all batches up to it.  History is not read again, and a
+    batch that is repeated replaces its moments and finds the same.
+    """
+    _check(readings.sparkSession, sinks)
+
+    def judge(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        if batch.isEmpty():
+            return
+        if len(batches.fresh_batches(spark, moments)) > tables.MOMENT_BATCHES:
+            tables.settle_group_moments(spark, moments)
+            batches.vacuum(spark, moments, cumulative=True, grace_seconds=tables.GRACE.total_seconds())
+        tables.append_group_moments(batch, moments, batch_id)
+        stats = tables.read_group_stats(spark, moments)
+        write_all(anomalies_against(batch, stats, threshold), batch_id, sinks)
+
+    return start_batches(readings, judge, name, checkpoint, every, counted=counted)
+
+
 def start_republish(
     messages: DataFrame,
     sinks: list[Sink],

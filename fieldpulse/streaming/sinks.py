@@ -74,6 +74,16 @@ def late_sink(path: str, name: str = "late") -> Sink:
     return Sink(name, lambda rows, batch_id: tables.append_late(rows, path, batch_id))
 
 
+def current_sink(path: str, name: str = "current") -> Sink:
+    """The states that a batch changed; each replaces the one before."""
+    return Sink(name, lambda rows, batch_id: tables.append_current(rows, path, batch_id))
+
+
+def anomalies_sink(path: str, name: str = "anomalies") -> Sink:
+    """Readings far from their group's mean, as it was when they came."""
+    return Sink(name, lambda rows, batch_id: tables.append_anomalies(rows, path, batch_id))
+
+
 def rejects_sink(path: str, name: str = "rejects") -> Sink:
     """Refused messages with their reason, one folder per batch."""
     return Sink(

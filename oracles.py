@@ -86,6 +86,12 @@ current_state AS (
   FROM readings GROUP BY device_id, sensor_type, location
 )"""
 
+_STEPS = """,
+stepped AS (
+  SELECT *, CASE WHEN ts < TIMESTAMP '2024-01-08 00:00:00' AND event_id % 10 = 0 THEN 2
+    WHEN ts < TIMESTAMP '2024-01-15 00:00:00' THEN 0 ELSE 1 END AS step
+  FROM readings)"""
+
 _LATEST = """
 ranked AS (
   SELECT *, row_number() OVER (
@@ -293,6 +299,35 @@ corrected AS (
 SELECT *, unnest([false, true]) AS settled FROM corrected""",
     "late_readings_routed": DENSE + f"""
 SELECT {_FIELDS}, ingest_time FROM readings WHERE ts < TIMESTAMP '2024-01-08 00:00:00' AND event_id % 10 = 0""",
+    "anomalies_streamed": DENSE + _STEPS + """,
+measured AS (
+  SELECT batch, device_id, sensor_type, avg(value) AS centre, stddev_samp(value) AS spread
+  FROM (VALUES (0), (1), (2)) batches(batch) JOIN stepped ON step <= batch
+  GROUP BY batch, device_id, sensor_type)
+SELECT device_id, sensor_type, location, value, timestamp, round(centre, 6) AS mean_val,
+  round(spread, 6) AS std_val, round(abs(value - centre) / spread, 6) AS z_score
+FROM stepped JOIN measured USING (device_id, sensor_type)
+WHERE batch = step AND spread <> 0 AND abs(value - centre) > 2 * spread""",
+    "device_current_updated": DENSE + "," + _CURRENT + """
+SELECT *, true AS agrees FROM current_state""",
+    "batch_reports_streamed": DENSE + _STEPS + """,
+every_step AS (
+  SELECT CASE WHEN ts < TIMESTAMP '2024-01-08 00:00:00' AND event_id % 10 = 0 THEN 2
+    WHEN ts < TIMESTAMP '2024-01-15 00:00:00' THEN 0 ELSE 1 END AS step FROM events),
+marks AS (
+  SELECT batch, date_trunc('millisecond', max(timestamp)) - INTERVAL '2 minutes' AS watermark
+  FROM (VALUES (1), (2)) batches(batch) JOIN stepped ON step < batch GROUP BY batch
+  UNION ALL SELECT 0, TIMESTAMP '1970-01-01 00:00:00'),
+groups AS (
+  SELECT step, device_id, sensor_type, location,
+    time_bucket(INTERVAL '5 minutes', timestamp) + INTERVAL '5 minutes' AS window_end FROM stepped),
+behind AS (
+  SELECT batch, lag(watermark, 1, TIMESTAMP '1970-01-01 00:00:00') OVER (ORDER BY batch) AS late FROM marks)
+SELECT batch AS batch_id, (SELECT count(*) FROM every_step WHERE step = batch) AS input_rows, watermark,
+  (SELECT count(DISTINCT (device_id, sensor_type, location, window_end)) FROM groups
+    WHERE step <= batch AND window_end > watermark) AS state_rows,
+  (SELECT count(*) > 0 FROM groups WHERE step = batch AND window_end <= late) AS late
+FROM marks JOIN behind USING (batch)""",
     "rejects_streamed": DENSE + f"""
 SELECT * FROM (SELECT {_FIELDS}, {_REASON} AS reject_reason FROM judged)
 WHERE reject_reason IS NOT NULL""",
