@@ -8,6 +8,7 @@ two hours, so that 5-minute groups have many rows.
 from __future__ import annotations
 
 import importlib
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime, timezone
@@ -17,8 +18,8 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import TimestampType
 
 from fieldpulse.functions.topics import topic_level
-from fieldpulse.operators import ingest, latest, quality, state, windows
-from fieldpulse.plans import catalog, reports
+from fieldpulse.operators import episodes, ingest, latest, quality, state, windows
+from fieldpulse.plans import catalog, published, reports
 from fieldpulse.schema import READING_CONTRACT, READING_FIELDS, WINDOW_STATS_COLUMNS, ColumnRule
 from fieldpulse.session import scratch_path, written
 from fieldpulse.sources import batches, tables
@@ -30,7 +31,7 @@ from fieldpulse.sources.events import (
     readings_from_events,
 )
 from fieldpulse.sources.topic import MessageSource, file_source
-from fieldpulse.streaming import app, jobs, reports as batch_reports, sinks
+from fieldpulse.streaming import app, backfill, jobs, reports as batch_reports, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -261,6 +262,18 @@ def window_stats_closed(spark, sf_dir):
     return tables.read_window_stats(spark, f"{base}/table").select(*WINDOW_STATS_COLUMNS)
 
 
+@query
+def window_stats_backfilled(spark, sf_dir):
+    """The same statistics from stored messages, staged in order of time and taken in four batches."""
+    base = scratch_path(spark, "backfill")
+    backfill.window_stats_backfill(
+        spark, _messages(spark, sf_dir), base, steps=4, start=lambda stream: jobs.start_window_stats(
+            stream, [sinks.window_stats_sink(f"{base}/table")], f"{base}/checkpoint", name="window_stats_backfilled",
+        ),
+    )
+    return _with_sums(tables.read_window_stats(spark, f"{base}/table"))
+
+
 @query
 def latest_windows_top20(spark, sf_dir):
     return reports.latest_windows(windows.window_stats(_stored(spark, sf_dir, dense=True)))
@@ -371,6 +384,24 @@ def threshold_alerts(spark, sf_dir):
     return reports.threshold_alerts(state.device_current(partials), ALERT_LIMITS)
 
 
+@query
+def alert_episodes(spark, sf_dir):
+    """Episodes of readings beyond the limits, over all stored readings."""
+    return episodes.alert_episodes(_stored(spark, sf_dir, dense=True), ALERT_LIMITS)
+
+
+@query
+def alert_episodes_streamed(spark, sf_dir):
+    """The same episodes kept by a stream over four batches in order of time."""
+    base = scratch_path(spark, "alerts")
+    rows = _stored(spark, sf_dir, dense=True).drop("event_id")
+    backfill.stage_by_time(rows, base, steps=4)
+    backfill.run_steps(spark, base, rows.schema, lambda stream: jobs.start_alerts(
+        stream, f"{base}/alerts", ALERT_LIMITS, f"{base}/checkpoint",
+    ))
+    return tables.read_episodes(spark, f"{base}/alerts")
+
+
 # --- Tables -----------------------------------------------------------------
 
 
@@ -495,6 +526,33 @@ def retention_30d(spark, sf_dir):
     return tables.read_retained(spark, path, as_of).drop("ingest_time", "event_day")
 
 
+@query
+def catalog_views(spark, sf_dir):
+    """What persistent views show of a job's tables, after one batch, and after a second one and a vacuum."""
+    root = scratch_path(spark, "published")
+    database = f"published_{uuid.uuid4().hex}"
+    rows = _stored(spark, sf_dir).drop("event_id")
+    half = F.col("timestamp") < F.lit(HALF_TIME).cast("timestamp")
+    published.create(spark, root, database, AS_OF_HOURLY)
+    shown = []
+    for number, part in enumerate([rows.filter(half), rows.filter(~half)]):
+        tables.append_readings(part, f"{root}/readings", number)
+        tables.append_states(part, f"{root}/states", number)
+        tables.settle_readings(spark, f"{root}/readings", upto=number)
+        tables.settle_states(spark, f"{root}/states", upto=number)
+        published.publish(spark, root, database)
+        tables.vacuum_readings(spark, f"{root}/readings")
+        batches.vacuum(spark, f"{root}/states", cumulative=True)
+        views = {
+            "readings": F.count("*"), "hourly_temperature": F.sum("readings"), "anomalies": F.count("*"),
+            "device_current": F.sum("total_readings"),
+        }
+        for name, amount in views.items():
+            seen = spark.table(f"{database}.{name}").agg(F.count("*").alias("rows"), amount.alias("readings"))
+            shown.append((number, name, *seen.first()))
+    return spark.createDataFrame(shown, "batch INT, view STRING, rows BIGINT, readings BIGINT")
+
+
 # --- Streams ----------------------------------------------------------------
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date, datetime, timedelta, timezone
 from functools import reduce
 
@@ -9,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fieldpulse import storage
 from fieldpulse.functions.instants import utc_date
+from fieldpulse.operators.episodes import EPISODE_DDL, RUN_DDL, episodes
 from fieldpulse.operators.latest import latest_version
 from fieldpulse.operators.state import device_current, merge_states, partial_states, present_states
 from fieldpulse.operators.windows import MEASURES, group_moments, merge_moments, present_moments
@@ -37,10 +39,11 @@ STATS_LAYOUT = {
 }
 REJECTS_LAYOUT = {"partition_by": ["event_day"], "sort_by": ["reject_reason"]}
 READINGS_TABLE_DDL = STORED_READING_DDL + ", event_day DATE"
-REJECTS_TABLE_DDL = REJECT_DDL + ", event_day DATE"
+#: ``arrived`` is the number of the batch that refused a message.
+REJECTS_TABLE_DDL = REJECT_DDL + ", arrived BIGINT, event_day DATE"
 STATS_TABLE_DDL = MERGEABLE_STATS_DDL + ", event_day DATE"
 _VERSION_KEY = [*READING_KEY, "event_day"]
-_PARTIAL_DDL = STATE_DDL.removesuffix(", batch_id BIGINT")
+PARTIAL_DDL = STATE_DDL.removesuffix(", batch_id BIGINT")
 #: How long :func:`maintain` leaves replaced folders to readers that listed them.
 GRACE = timedelta(days=1)
 
@@ -142,11 +145,19 @@ def write_clustered(
 
 def append_rejects(rejects: DataFrame, path: str, batch_id: int) -> None:
     """Store refused messages by the UTC day they came in; the payload is kept as it came, for replay."""
-    stored = rejects.withColumn("event_day", utc_date(F.col("ingest_time")))
+    number = batches.batch_number(rejects.sparkSession, path, batch_id)
+    stored = rejects.withColumns({
+        "arrived": F.lit(number).cast("bigint"), "event_day": utc_date(F.col("ingest_time")),
+    })
     batches.append_batch(stored, path, batch_id, **REJECTS_LAYOUT)
 
 
 def read_rejects(spark: SparkSession, path: str) -> DataFrame:
+    return read_arrived(spark, path).drop("arrived")
+
+
+def read_arrived(spark: SparkSession, path: str) -> DataFrame:
+    """The refused messages with the number of the batch each ``arrived`` in."""
     settled, loose = batches.read_merged(spark, path, REJECTS_TABLE_DDL, len(REJECTS_LAYOUT["partition_by"]))
     parts = [part for part in (settled, loose) if part is not None]
     rows = reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], REJECTS_TABLE_DDL)
@@ -231,7 +242,7 @@ def append_states(readings: DataFrame, path: str, batch_id: int) -> None:
 
 def read_device_current(spark: SparkSession, path: str) -> DataFrame:
     """Current state per device, sensor and location from all stored partials."""
-    return device_current(batches.read_batches(spark, path, _PARTIAL_DDL, cumulative=True))
+    return device_current(batches.read_batches(spark, path, PARTIAL_DDL, cumulative=True))
 
 
 def settle_states(spark: SparkSession, path: str, upto: int | None = None) -> int | None:
@@ -240,14 +251,14 @@ def settle_states(spark: SparkSession, path: str, upto: int | None = None) -> in
     States outlive the readings they came from: retention does not touch them.
     """
     return batches.settle(
-        spark, path, _PARTIAL_DDL, merge_states, cumulative=True, upto=upto,
+        spark, path, PARTIAL_DDL, merge_states, cumulative=True, upto=upto,
         sort_by=["device_id", "sensor_type"],
     )
 
 
 # --- Current states by update ------------------------------------------------------
 
-CURRENT_DDL = _PARTIAL_DDL + ", as_of BIGINT"
+CURRENT_DDL = PARTIAL_DDL + ", as_of BIGINT"
 
 
 def append_current(states: DataFrame, path: str, batch_id: int) -> None:
@@ -322,16 +333,62 @@ def settle_anomalies(spark: SparkSession, path: str, upto: int | None = None) ->
     )
 
 
+# --- Alert episodes --------------------------------------------------------------
+
+_EPISODES_TABLE_DDL = EPISODE_DDL + ", event_day DATE"
+
+
+def append_episodes(ended: DataFrame, path: str, batch_id: int) -> None:
+    """Store episodes that have ended, by the UTC day they were raised."""
+    stored = ended.withColumn("event_day", utc_date(F.col("raised_at")))
+    batches.append_batch(stored, f"{path}/ended", batch_id, ["event_day"], GROUP_KEY)
+
+
+def append_alert_runs(runs: DataFrame, path: str, batch_id: int) -> None:
+    """Store the run every group is in after a batch, in place of all before."""
+    batches.append_batch(runs, f"{path}/runs", batch_id)
+
+
+def read_alert_runs(spark: SparkSession, path: str, before: int | None = None) -> DataFrame:
+    """The run every group was in before batch ``before`` of the stream, or is in now."""
+    folder = f"{path}/runs"
+    stored = batches.fresh_batches(spark, folder)
+    if before is not None:
+        number = batches.batch_number(spark, folder, before)
+        stored = [n for n in stored if n < number]
+    if not stored:
+        return spark.createDataFrame([], RUN_DDL)
+    return spark.read.schema(RUN_DDL).parquet(f"{folder}/fresh/batch_id={stored[-1]}")
+
+
+def read_episodes(spark: SparkSession, path: str) -> DataFrame:
+    """All episodes, those that have ended and those that go on."""
+    settled, loose = batches.read_merged(spark, f"{path}/ended", _EPISODES_TABLE_DDL, 1)
+    parts = [part.drop("event_day") for part in (settled, loose) if part is not None]
+    return reduce(DataFrame.unionByName, [*parts, episodes(read_alert_runs(spark, path))])
+
+
+def settle_episodes(spark: SparkSession, path: str, upto: int | None = None) -> int | None:
+    """Gather the ended episodes; runs of batches before the last two are of no use any more."""
+    for n in batches.fresh_batches(spark, f"{path}/runs")[:-2]:
+        storage.delete(spark, f"{path}/runs/fresh/batch_id={n}")
+    return batches.settle_partitions(
+        spark, f"{path}/ended", _EPISODES_TABLE_DDL, None, ["event_day"], GROUP_KEY, upto=upto
+    )
+
+
 # --- Upkeep -----------------------------------------------------------------
 
 
 def maintain(
-    spark: SparkSession, root: str, as_of: datetime, days: int = 30, grace: timedelta = GRACE
+    spark: SparkSession, root: str, as_of: datetime, days: int = 30, grace: timedelta = GRACE,
+    publish: Callable[[], object] | None = None,
 ) -> None:
     """Settle the tables of a streaming job, rejects included, drop expired days, free space.
 
     To be run beside the stream now and then.  What was replaced less than ``grace``
-    ago stays for readers that listed it; so folders do not gather.
+    ago stays for readers that listed it; so folders do not gather.  ``publish`` is
+    called when all is settled and nothing freed yet, to show it in a catalog.
     """
     settle_readings(spark, f"{root}/readings")
     settle_window_stats(spark, f"{root}/window_stats")
@@ -340,13 +397,16 @@ def maintain(
     settle_current(spark, f"{root}/current")
     settle_group_moments(spark, f"{root}/group_moments")
     settle_anomalies(spark, f"{root}/anomalies")
+    settle_episodes(spark, f"{root}/alerts")
     for name in ("readings", "late"):
         expire_readings(spark, f"{root}/{name}", as_of, days)
     refused = [name for name in storage.child_folders(spark, root) if name.startswith("refused_by_")]
     for name in ("rejects", *refused):
         settle_rejects(spark, f"{root}/{name}")
         expire_readings(spark, f"{root}/{name}", as_of, days)
-    for name, depth in (("readings", 2), ("late", 2), ("window_stats", 1), ("anomalies", 1), *((name, 1) for name in ("rejects", *refused))):
+    if publish:
+        publish()
+    for name, depth in (("readings", 2), ("late", 2), ("window_stats", 1), ("anomalies", 1), ("alerts/ended", 1), *((name, 1) for name in ("rejects", *refused))):
         batches.vacuum(spark, f"{root}/{name}", depth=depth, grace_seconds=grace.total_seconds())
     for name in ("states", "current", "group_moments"):
         batches.vacuum(spark, f"{root}/{name}", cumulative=True, grace_seconds=grace.total_seconds())

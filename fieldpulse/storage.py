@@ -28,6 +28,15 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(target, True)
 
 
+def move(spark: SparkSession, path: str, target: str) -> None:
+    """Rename a folder; what is above the target is created."""
+    fs, source = _open(spark, path)
+    to = spark._jvm.org.apache.hadoop.fs.Path(target)
+    fs.mkdirs(to.getParent())
+    if not fs.rename(source, to):
+        raise OSError(f"{path} could not be moved to {target}")
+
+
 def numbered_folders(spark: SparkSession, path: str, column: str) -> list[int]:
     """The N of every ``column=N`` folder below ``path``, ascending."""
     prefix = f"{column}="

@@ -13,12 +13,13 @@ from pyspark.sql.types import StructType
 
 from fieldpulse import storage
 from fieldpulse.operators import quality
+from fieldpulse.operators.episodes import episodes, last_runs, merge_runs, signal_runs
 from fieldpulse.operators.ingest import classify_forwarding, filter_topics, keyed_records
 from fieldpulse.operators.latest import drop_redelivered
 from fieldpulse.operators.state import current_states, present_states
 from fieldpulse.operators.windows import WINDOW, present_moments, window_moments
 from fieldpulse.plans.reports import anomalies_against
-from fieldpulse.schema import STATE_DDL, STATE_KEY
+from fieldpulse.schema import GROUP_KEY, STATE_DDL, STATE_KEY
 from fieldpulse.sources import batches, tables
 from fieldpulse.streaming.sinks import Sink, write_all
 
@@ -246,6 +247,44 @@ def start_anomalies(
     return start_batches(readings, judge, name, checkpoint, every, counted=counted)
 
 
+def start_alerts(
+    readings: DataFrame,
+    path: str,
+    limits: dict[str, tuple[float, float]],
+    checkpoint: str,
+    margin: float = 0.1,
+    late_sinks: list[Sink] = (),
+    every: str | None = None,
+    name: str = "alerts",
+    counted: bool = True,
+) -> StreamingQuery:
+    """Alert episodes kept over batches: each is raised once, and ends once.
+
+    The table at ``path`` has the episodes that ended and the run every group is in.
+    Readings not after what their group was last judged by change nothing any more;
+    the ``late_sinks`` get them.  A repeated batch starts from the same runs.
+    """
+    _check(readings.sparkSession, late_sinks)
+
+    def judge(batch: DataFrame, batch_id: int) -> None:
+        if batch.isEmpty():
+            return
+        before = tables.read_alert_runs(batch.sparkSession, path, batch_id)
+        judged = before.select(*GROUP_KEY, F.col("last").alias("judged"))
+        met = batch.join(judged, GROUP_KEY, "left")
+        place = F.struct("timestamp", "ingest_time", "value")
+        is_late = F.coalesce(place <= F.col("judged"), F.lit(False))
+        runs = merge_runs(before.unionByName(signal_runs(met.filter(~is_late), limits, margin))).persist()
+        try:
+            tables.append_episodes(episodes(runs, open_too=False), path, batch_id)
+            tables.append_alert_runs(last_runs(runs), path, batch_id)
+        finally:
+            runs.unpersist()
+        write_all(met.filter(is_late).drop("judged"), batch_id, late_sinks)
+
+    return start_batches(readings, judge, name, checkpoint, every, counted=counted)
+
+
 def start_republish(
     messages: DataFrame,
     sinks: list[Sink],

@@ -106,6 +106,40 @@ _REASON = """CASE
     WHEN unknown THEN 'unknown_type'
     WHEN NOT plausible THEN 'out_of_range' END"""
 
+_WINDOW_SUMS = """,
+window_sums AS (
+  SELECT time_bucket(INTERVAL '5 minutes', timestamp) AS window_start,
+    time_bucket(INTERVAL '5 minutes', timestamp) + INTERVAL '5 minutes' AS window_end,
+    device_id, sensor_type, location,
+    round(sum(value), 4) AS sum_value, round(min(value), 6) AS min_value,
+    round(max(value), 6) AS max_value, round(stddev_samp(value), 6) AS stddev_value,
+    count(*) AS reading_count
+  FROM readings WHERE time_bucket(INTERVAL '5 minutes', timestamp) + INTERVAL '5 minutes'
+    <= (SELECT max(timestamp) FROM readings) - INTERVAL '2 minutes'
+  GROUP BY ALL)"""
+
+_EPISODES = DENSE + """,
+limits(sensor_type, low, high) AS (
+  VALUES ('temperature', 10.0, 60.0), ('humidity', 20.0, 70.0), ('pressure', 960.0, 1050.0), ('vibration', 0.0, 25.0)),
+said AS (
+  SELECT device_id, sensor_type, timestamp, ingest_time, value,
+    CASE WHEN value < low THEN 'below' WHEN value > high THEN 'above'
+      WHEN value BETWEEN low + (high - low) * 0.1 AND high - (high - low) * 0.1 THEN 'clear' END AS signal
+  FROM readings JOIN limits USING (sensor_type)),
+changes AS (
+  SELECT *, lag(signal) OVER in_order IS DISTINCT FROM signal AS begins FROM said WHERE signal IS NOT NULL
+  WINDOW in_order AS (PARTITION BY device_id, sensor_type ORDER BY timestamp, ingest_time, value)),
+numbered AS (
+  SELECT *, count_if(begins) OVER (
+    PARTITION BY device_id, sensor_type ORDER BY timestamp, ingest_time, value ROWS UNBOUNDED PRECEDING) AS run FROM changes),
+runs AS (
+  SELECT device_id, sensor_type, run, any_value(signal) AS alert, min(timestamp) AS raised_at,
+    CASE any_value(signal) WHEN 'above' THEN max(value) ELSE min(value) END AS peak, count(*) AS readings
+  FROM numbered GROUP BY ALL),
+ended AS (
+  SELECT *, lead(raised_at) OVER (PARTITION BY device_id, sensor_type ORDER BY run) AS cleared_at FROM runs)
+SELECT device_id, sensor_type, alert, raised_at, cleared_at, peak, readings FROM ended WHERE alert <> 'clear'"""
+
 ORACLES = {
     "scan_readings": NATIVE + f" SELECT {_FIELDS}, ingest_time FROM readings",
     "topic_filter": DENSE + """
@@ -285,18 +319,10 @@ SELECT time_bucket(INTERVAL '5 minutes', timestamp) AS window_start,
 FROM in_time WHERE time_bucket(INTERVAL '5 minutes', timestamp) + INTERVAL '5 minutes'
   <= (SELECT max(timestamp) FROM in_time) - INTERVAL '2 minutes'
 GROUP BY ALL""",
-    "late_rows_corrected": DENSE + """,
-corrected AS (
-  SELECT time_bucket(INTERVAL '5 minutes', timestamp) AS window_start,
-    time_bucket(INTERVAL '5 minutes', timestamp) + INTERVAL '5 minutes' AS window_end,
-    device_id, sensor_type, location,
-    round(sum(value), 4) AS sum_value, round(min(value), 6) AS min_value,
-    round(max(value), 6) AS max_value, round(stddev_samp(value), 6) AS stddev_value,
-    count(*) AS reading_count
-  FROM readings WHERE time_bucket(INTERVAL '5 minutes', timestamp) + INTERVAL '5 minutes'
-    <= (SELECT max(timestamp) FROM readings) - INTERVAL '2 minutes'
-  GROUP BY ALL)
-SELECT *, unnest([false, true]) AS settled FROM corrected""",
+    "window_stats_backfilled": DENSE + _WINDOW_SUMS + """
+SELECT * FROM window_sums""",
+    "late_rows_corrected": DENSE + _WINDOW_SUMS + """
+SELECT *, unnest([false, true]) AS settled FROM window_sums""",
     "late_readings_routed": DENSE + f"""
 SELECT {_FIELDS}, ingest_time FROM readings WHERE ts < TIMESTAMP '2024-01-08 00:00:00' AND event_id % 10 = 0""",
     "anomalies_streamed": DENSE + _STEPS + """,
@@ -328,6 +354,26 @@ SELECT batch AS batch_id, (SELECT count(*) FROM every_step WHERE step = batch) A
     WHERE step <= batch AND window_end > watermark) AS state_rows,
   (SELECT count(*) > 0 FROM groups WHERE step = batch AND window_end <= late) AS late
 FROM marks JOIN behind USING (batch)""",
+    "alert_episodes": _EPISODES,
+    "alert_episodes_streamed": _EPISODES,
+    "catalog_views": NATIVE + """,
+seen AS (
+  SELECT batch, r.* FROM (VALUES (0), (1)) batches(batch)
+  JOIN readings r ON batch = 1 OR timestamp < TIMESTAMP '2024-01-15 00:00:00'),
+hourly AS (
+  SELECT batch, time_bucket(INTERVAL '1 hour', timestamp) AS hour_bucket, device_id, location, count(*) AS readings
+  FROM seen WHERE sensor_type = 'temperature' AND timestamp >= TIMESTAMP '2024-01-30 00:00:00' - INTERVAL '7 days'
+  GROUP BY ALL),
+measured AS (
+  SELECT batch, value, avg(value) OVER same_sensor AS centre, stddev_samp(value) OVER same_sensor AS spread
+  FROM seen WINDOW same_sensor AS (PARTITION BY batch, device_id, sensor_type))
+SELECT batch, 'readings' AS view, count(*) AS rows, count(*) AS readings FROM seen GROUP BY batch
+UNION ALL SELECT b.batch, 'hourly_temperature', count(h.batch), CAST(sum(readings) AS BIGINT)
+  FROM (VALUES (0), (1)) b(batch) LEFT JOIN hourly h ON b.batch = h.batch GROUP BY b.batch
+UNION ALL SELECT batch, 'anomalies', count(*) FILTER (found), count(*) FILTER (found) FROM (
+  SELECT batch, coalesce(spread <> 0 AND abs(value - centre) > 2 * spread, false) AS found FROM measured) GROUP BY batch
+UNION ALL SELECT batch, 'device_current', count(DISTINCT (device_id, sensor_type, location)), count(*)
+  FROM seen GROUP BY batch""",
     "rejects_streamed": DENSE + f"""
 SELECT * FROM (SELECT {_FIELDS}, {_REASON} AS reject_reason FROM judged)
 WHERE reject_reason IS NOT NULL""",
