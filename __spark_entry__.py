@@ -20,9 +20,9 @@ from pyspark.sql.types import TimestampType
 from fieldpulse.functions.topics import topic_level
 from fieldpulse.operators import episodes, ingest, latest, quality, state, windows
 from fieldpulse.plans import catalog, published, reports
-from fieldpulse.schema import READING_CONTRACT, READING_FIELDS, WINDOW_STATS_COLUMNS, ColumnRule
+from fieldpulse.schema import PLAUSIBLE_RANGES, READING_CONTRACT, READING_FIELDS, WINDOW_STATS_COLUMNS, ColumnRule
 from fieldpulse.session import scratch_path, written
-from fieldpulse.sources import batches, tables
+from fieldpulse.sources import batches, clustered, replay, tables
 from fieldpulse.sources.events import (
     EVENTS_DDL,
     event_k,
@@ -438,6 +438,24 @@ def clustered_readings(spark, sf_dir):
     )
 
 
+@query
+def reclustered_readings(spark, sf_dir):
+    """Readings appended in four overlapping parts, then reclustered: rows of one type, and files over one point."""
+    path = scratch_path(spark, "reclustered")
+    rows = _stored(spark, sf_dir)
+    for part in range(4):
+        clustered.append_clustered(rows.filter(F.col("event_id") % 4 == part), path)
+    before = clustered.overlaps(clustered.files(spark, path)).agg(F.max("depth")).first()[0]
+    clustered.recluster(spark, path, rows.schema, depth=1)
+    after = clustered.overlaps(clustered.files(spark, path)).agg(F.max("depth")).first()[0]
+    clustered.vacuum_clustered(spark, path)
+    found = reports.of_type(clustered.read_clustered(spark, path, rows.schema), "temperature")
+    return found.select(
+        "device_id", "sensor_type", "value", "timestamp",
+        F.lit(before >= 4).alias("was_deep"), F.lit(after <= 1).alias("is_flat"),
+    )
+
+
 @query
 def sorted_partitions(spark, sf_dir):
     """Whether every partition of the reading table is in order of device and time, file by file."""
@@ -503,6 +521,34 @@ def sinks_streamed(spark, sf_dir):
     )
 
 
+#: Rules that replace the plausible ranges in two steps, each wider.
+WIDER = {**PLAUSIBLE_RANGES, "vibration": (0.0, 120.0), "co2": (0.0, 100.0)}
+WIDEST = {**WIDER, "humidity": (0.0, 1000.0), "pressure": (0.0, 5000.0), "co2": (0.0, 5000.0)}
+
+
+@query
+def rejects_replayed(spark, sf_dir):
+    """Messages refused by the stream and replayed twice by changed rules, the third batch refused in between."""
+    base = scratch_path(spark, "replayed")
+    rejects, replays = f"{base}/rejects", f"{base}/replays"
+    steps = _dense_halves(read_events(spark, sf_dir))
+    for number in range(3):
+        _write_step(steps, number, base)
+        messages = messages_from_events(_step_source(base).stream(spark), dense=True, keep=["event_id"])
+        jobs.start_readings(
+            messages, [sinks.readings_sink(f"{base}/readings")], f"{base}/checkpoint", keep=["ingest_time"],
+            reject_sinks=[sinks.rejects_sink(rejects)],
+        ).awaitTermination()
+        if number:
+            tables.settle_rejects(spark, rejects)
+            replay.replay_rejects(spark, rejects, replays, WIDER if number == 1 else WIDEST)
+    columns = ["device_id", "sensor_type", "value", "timestamp"]
+    accepted = replay.read_with_replays(spark, f"{base}/readings", replays)
+    refused = replay.pending(spark, rejects, replays)
+    return accepted.select(*columns, F.lit(None).cast("string").alias("reject_reason"), F.lit(0).alias("attempt"))\
+        .unionByName(refused.select(*columns, "reject_reason", "attempt"))
+
+
 @query
 def rejects_streamed(spark, sf_dir):
     """Messages the stream refused, with their reason and payload."""

@@ -42,7 +42,7 @@ READINGS_TABLE_DDL = STORED_READING_DDL + ", event_day DATE"
 #: ``arrived`` is the number of the batch that refused a message.
 REJECTS_TABLE_DDL = REJECT_DDL + ", arrived BIGINT, event_day DATE"
 STATS_TABLE_DDL = MERGEABLE_STATS_DDL + ", event_day DATE"
-_VERSION_KEY = [*READING_KEY, "event_day"]
+VERSION_KEY = [*READING_KEY, "event_day"]
 PARTIAL_DDL = STATE_DDL.removesuffix(", batch_id BIGINT")
 #: How long :func:`maintain` leaves replaced folders to readers that listed them.
 GRACE = timedelta(days=1)
@@ -85,10 +85,10 @@ def read_readings(
     parts = []
     if merged is not None:
         merged = batches.day_filter(merged, since, until)
-        parts.append(latest_version(merged, _VERSION_KEY, whole_seconds=True) if whole_seconds else merged)
+        parts.append(latest_version(merged, VERSION_KEY, whole_seconds=True) if whole_seconds else merged)
     if loose is not None:
         loose = batches.day_filter(loose, since, until)
-        parts.append(latest_version(loose, _VERSION_KEY, whole_seconds=whole_seconds))
+        parts.append(latest_version(loose, VERSION_KEY, whole_seconds=whole_seconds))
     if not parts:
         return spark.createDataFrame([], READINGS_TABLE_DDL)
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
@@ -100,7 +100,7 @@ def settle_readings(spark: SparkSession, path: str, upto: int | None = None) ->
     New readings are added to a partition; one that came before is merged into it.
     """
     return batches.settle_partitions(
-        spark, path, READINGS_TABLE_DDL, lambda rows: latest_version(rows, _VERSION_KEY),
+        spark, path, READINGS_TABLE_DDL, lambda rows: latest_version(rows, VERSION_KEY),
         upto=upto, key=["device_id", "timestamp"], **READINGS_LAYOUT,
     )
 

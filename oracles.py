@@ -354,6 +354,23 @@ SELECT batch AS batch_id, (SELECT count(*) FROM every_step WHERE step = batch) A
     WHERE step <= batch AND window_end > watermark) AS state_rows,
   (SELECT count(*) > 0 FROM groups WHERE step = batch AND window_end <= late) AS late
 FROM marks JOIN behind USING (batch)""",
+    "reclustered_readings": NATIVE + """
+SELECT device_id, sensor_type, value, timestamp, true AS was_deep, true AS is_flat
+FROM readings WHERE sensor_type = 'temperature'""",
+    "rejects_replayed": DENSE + """,
+anew(sensor_type, lowest, highest) AS (
+  VALUES ('temperature', -40, 125), ('humidity', 0, 1000), ('pressure', 0, 5000), ('vibration', 0, 120), ('co2', 0, 5000)),
+judged_anew AS (
+  SELECT a.*, CASE WHEN ts < TIMESTAMP '2024-01-08 00:00:00' AND event_id % 10 = 0 THEN 1 ELSE 2 END AS attempt,
+    CASE WHEN quality <> 'good' THEN 'bad_quality' WHEN NOT value BETWEEN lowest AND highest THEN 'out_of_range' END
+      AS reject_reason
+  FROM all_readings a JOIN anew USING (sensor_type)),
+kept AS (
+  SELECT * FROM judged_anew WHERE reject_reason IS NULL
+  QUALIFY row_number() OVER (PARTITION BY device_id, sensor_type, timestamp ORDER BY ingest_time DESC) = 1)
+SELECT device_id, sensor_type, value, timestamp, reject_reason, 0 AS attempt FROM kept
+UNION ALL SELECT device_id, sensor_type, value, timestamp, reject_reason, attempt FROM judged_anew
+WHERE reject_reason IS NOT NULL""",
     "alert_episodes": _EPISODES,
     "alert_episodes_streamed": _EPISODES,
     "catalog_views": NATIVE + """,
