@@ -438,6 +438,76 @@ def clustered_readings(spark, sf_dir):
     )
 
 
+@query
+def readings_settled_filtered(spark, sf_dir):
+    """A table settled after every batch by its key filters; the first batch comes once more at the end."""
+    base = scratch_path(spark, "filtered")
+    steps = _dense_halves(read_events(spark, sf_dir))
+    again = steps.filter("step = 0").withColumn("step", F.lit(3))
+    steps = steps.unionByName(again)
+    for number in range(4):
+        _write_step(steps, number, base)
+        messages = messages_from_events(_step_source(base).stream(spark), dense=True, keep=["event_id"])
+        jobs.start_readings(
+            messages, [sinks.readings_sink(f"{base}/readings")], f"{base}/checkpoint", keep=["ingest_time"],
+        ).awaitTermination()
+        tables.settle_readings(spark, f"{base}/readings", upto=number)
+    return tables.read_readings(spark, f"{base}/readings")
+
+
+@query
+def ingest_time_stamped(spark, sf_dir):
+    """Messages without an ingest time get their batch's: rows of every batch, and whether they share one time."""
+    base = scratch_path(spark, "stamped")
+    jobs.start_readings(
+        _message_steps(spark, sf_dir, base).drop("ingest_time"), [sinks.readings_sink(f"{base}/readings")],
+        f"{base}/checkpoint",
+    ).awaitTermination()
+    stored = spark.read.parquet(f"{base}/readings/fresh")
+    since = F.lit("2024-12-31").cast("timestamp")
+    return stored.groupBy(F.col("batch_id").cast("int").alias("batch")).agg(
+        F.count("*").alias("rows"),
+        ((F.count_distinct("ingest_time") == 1) & (F.min("ingest_time") > since)).alias("one_time"),
+    )
+
+
+@query
+def readings_triggered(spark, sf_dir):
+    """The reading table of a stream that runs by an interval until it has taken what there is."""
+    base = scratch_path(spark, "triggered")
+    running = jobs.start_readings(
+        _message_stream(spark, sf_dir, FILES_PER_BATCH), [sinks.readings_sink(f"{base}/readings")],
+        f"{base}/checkpoint", keep=["ingest_time"], every="1 second",
+    )
+    try:
+        running.processAllAvailable()
+    finally:
+        running.stop()
+    return tables.read_readings(spark, f"{base}/readings")
+
+
+@query
+def empty_batches_skipped(spark, sf_dir):
+    """Rows of every batch folder; the second batch has no good reading and leaves none in the reading table."""
+    base = scratch_path(spark, "skipped")
+    events = read_events(spark, sf_dir)
+    early, good = F.col("ts") < F.lit(HALF_TIME).cast("timestamp"), event_k() >= 5
+    steps = events.withColumn("step", F.when(early, 0).when(~good, 1).otherwise(2))
+    for number in range(3):
+        _write_step(steps, number, base)
+    messages = messages_from_events(_step_source(base).stream(spark), dense=True)
+    jobs.start_readings(
+        messages, [sinks.readings_sink(f"{base}/readings")], f"{base}/checkpoint", keep=["ingest_time"],
+        reject_sinks=[sinks.rejects_sink(f"{base}/rejects")], counted=False,
+    ).awaitTermination()
+    counted = [
+        spark.read.parquet(f"{base}/{name}/fresh").groupBy(F.col("batch_id").cast("int").alias("batch"))
+        .agg(F.count("*").alias("rows")).select(F.lit(name).alias("stored"), "batch", "rows")
+        for name in ("readings", "rejects")
+    ]
+    return counted[0].union(counted[1])
+
+
 @query
 def reclustered_readings(spark, sf_dir):
     """Readings appended in four overlapping parts, then reclustered: rows of one type, and files over one point."""
@@ -767,11 +837,15 @@ def batch_reports_streamed(spark, sf_dir):
 
 def _clean_steps(spark: SparkSession, sf_dir: str, base: str) -> DataFrame:
     """Accepted readings of the events in three batches, streamed."""
+    return quality.accepted(quality.classify_messages(_message_steps(spark, sf_dir, base), keep=["ingest_time"]))
+
+
+def _message_steps(spark: SparkSession, sf_dir: str, base: str) -> DataFrame:
+    """Messages of the events in three batches, streamed."""
     events = _dense_halves(read_events(spark, sf_dir))
     for number in range(3):
         _write_step(events, number, base)
-    messages = messages_from_events(_step_source(base).stream(spark), dense=True, keep=["event_id"])
-    return quality.accepted(quality.classify_messages(messages, keep=["ingest_time"]))
+    return messages_from_events(_step_source(base).stream(spark), dense=True, keep=["event_id"])
 
 
 def _write_step(events: DataFrame, number: int, base: str) -> None:

@@ -215,8 +215,8 @@ LATE_TABLE_DDL = STORED_READING_DDL + ", watermark TIMESTAMP, event_day DATE"
 def append_late(readings: DataFrame, path: str, batch_id: int) -> None:
     """Store readings that missed their window, by their UTC day."""
     columns = [column.split()[0] for column in LATE_TABLE_DDL.split(", ")]
-    if "ingest_time" not in readings.columns:
-        readings = readings.withColumn("ingest_time", F.lit(None).cast("timestamp"))
+    for name in {"ingest_time", "watermark"} - set(readings.columns):
+        readings = readings.withColumn(name, F.lit(None).cast("timestamp"))
     stored = readings.withColumn("event_day", utc_date(F.col("timestamp"))).select(*columns)
     batches.append_batch(stored, path, batch_id, **READINGS_LAYOUT)
 
@@ -393,12 +393,13 @@ def maintain(
     settle_readings(spark, f"{root}/readings")
     settle_window_stats(spark, f"{root}/window_stats")
     settle_states(spark, f"{root}/states")
-    settle_late(spark, f"{root}/late")
+    for name in ("late", "late_for_alerts"):
+        settle_late(spark, f"{root}/{name}")
     settle_current(spark, f"{root}/current")
     settle_group_moments(spark, f"{root}/group_moments")
     settle_anomalies(spark, f"{root}/anomalies")
     settle_episodes(spark, f"{root}/alerts")
-    for name in ("readings", "late"):
+    for name in ("readings", "late", "late_for_alerts"):
         expire_readings(spark, f"{root}/{name}", as_of, days)
     refused = [name for name in storage.child_folders(spark, root) if name.startswith("refused_by_")]
     for name in ("rejects", *refused):
@@ -406,7 +407,7 @@ def maintain(
         expire_readings(spark, f"{root}/{name}", as_of, days)
     if publish:
         publish()
-    for name, depth in (("readings", 2), ("late", 2), ("window_stats", 1), ("anomalies", 1), ("alerts/ended", 1), *((name, 1) for name in ("rejects", *refused))):
+    for name, depth in (("readings", 2), ("late", 2), ("late_for_alerts", 2), ("window_stats", 1), ("anomalies", 1), ("alerts/ended", 1), *((name, 1) for name in ("rejects", *refused))):
         batches.vacuum(spark, f"{root}/{name}", depth=depth, grace_seconds=grace.total_seconds())
     for name in ("states", "current", "group_moments"):
         batches.vacuum(spark, f"{root}/{name}", cumulative=True, grace_seconds=grace.total_seconds())

@@ -17,7 +17,7 @@ from fieldpulse.operators.quality import accepted, classify_messages
 from fieldpulse.schema import WINDOW_STATS_COLUMNS
 from fieldpulse.session import build_session, configured_folder
 from fieldpulse.sources.topic import MessageSource, kafka_source
-from fieldpulse.streaming import jobs, sinks
+from fieldpulse.streaming import jobs, reports, sinks
 
 
 @dataclass(frozen=True)
@@ -38,6 +38,10 @@ class Settings:
     republish_from: MessageSource | None = None
     republish_sinks: list[sinks.Sink] = field(default_factory=list)
     republish_topics: str = "sensors/#"
+    correct_late_rows: bool = False
+    judge_anomalies: bool = False
+    alert_limits: dict[str, tuple[float, float]] = field(default_factory=dict)
+    batch_reports: bool = False
 
     @classmethod
     def from_env(cls, env: Mapping[str, str] = os.environ) -> Settings:
@@ -65,6 +69,10 @@ class Settings:
             republish_from=kafka_source(servers, republish_from, **reading) if republish_from else None,
             republish_sinks=[sinks.topic_sink("republish", servers, env["REPUBLISH_TO"])] if republish_from else [],
             republish_topics=env.get("REPUBLISH_TOPICS", "sensors/#"),
+            correct_late_rows=_flag(env, "CORRECT_LATE_ROWS", False),
+            judge_anomalies=_flag(env, "JUDGE_ANOMALIES", False),
+            alert_limits={kind: (low, high) for kind, (low, high) in json.loads(env.get("ALERT_LIMITS", "{}")).items()},
+            batch_reports=_flag(env, "BATCH_REPORTS", True),
         )
 
 
@@ -116,7 +124,8 @@ def start(spark: SparkSession, settings: Settings) -> list[StreamingQuery]:
 
     Readings without a device or a time pass validation.  The extra sinks are
     strict tables, so they get the conforming rows and the rest is kept aside;
-    those for statistics get the declared columns only.
+    those for statistics get the declared columns only.  With batch reports no
+    query counts its batches.
     """
     checkpoints = settings.checkpoints or f"{configured_folder(spark)}/fieldpulse-streams"
     tables = settings.tables
@@ -136,6 +145,7 @@ def start(spark: SparkSession, settings: Settings) -> list[StreamingQuery]:
         reject_sinks=[sinks.rejects_sink(f"{tables}/rejects"), *settings.extra_reject_sinks],
         every=settings.readings_every,
         clock_allowance=settings.clock_allowance,
+        counted=not settings.batch_reports,
     )]
     clean = accepted(classify_messages(
         settings.source.stream(spark), clock_allowance=settings.clock_allowance
@@ -147,7 +157,21 @@ def start(spark: SparkSession, settings: Settings) -> list[StreamingQuery]:
         every=settings.stats_every,
         watermark=settings.watermark,
         first_deliveries_only=settings.first_deliveries_only,
+        correct=settings.correct_late_rows,
+        late_sinks=[sinks.late_sink(f"{tables}/late")] if settings.correct_late_rows else [],
+        counted=not settings.batch_reports,
     ))
+    if settings.judge_anomalies:
+        queries.append(jobs.start_anomalies(
+            clean, f"{tables}/group_moments", [sinks.anomalies_sink(f"{tables}/anomalies")],
+            f"{checkpoints}/anomalies", every=settings.readings_every, counted=not settings.batch_reports,
+        ))
+    if settings.alert_limits:
+        queries.append(jobs.start_alerts(
+            clean, f"{tables}/alerts", settings.alert_limits, f"{checkpoints}/alerts",
+            late_sinks=[sinks.late_sink(f"{tables}/late_for_alerts")],
+            every=settings.readings_every, counted=not settings.batch_reports,
+        ))
     if settings.republish_from:
         queries.append(jobs.start_republish(
             settings.republish_from.stream(spark),
@@ -164,7 +188,10 @@ def start(spark: SparkSession, settings: Settings) -> list[StreamingQuery]:
 
 def main() -> None:
     spark = build_session("fieldpulse")
-    jobs.supervise(spark, start(spark, Settings.from_env()))
+    settings = Settings.from_env()
+    if settings.batch_reports:
+        reports.BatchReports(spark, f"{settings.tables}/reports").attach()
+    jobs.supervise(spark, start(spark, settings))
 
 
 if __name__ == "__main__":

@@ -371,6 +371,14 @@ kept AS (
 SELECT device_id, sensor_type, value, timestamp, reject_reason, 0 AS attempt FROM kept
 UNION ALL SELECT device_id, sensor_type, value, timestamp, reject_reason, attempt FROM judged_anew
 WHERE reject_reason IS NOT NULL""",
+    "ingest_time_stamped": DENSE + _STEPS + """
+SELECT step AS batch, count(*) AS rows, true AS one_time FROM stepped GROUP BY step""",
+    "empty_batches_skipped": DENSE + """,
+placed AS (
+  SELECT CASE WHEN ts < TIMESTAMP '2024-01-15 00:00:00' THEN 0 WHEN NOT k >= 5 THEN 1 ELSE 2 END AS batch,
+    CASE WHEN quality = 'good' AND plausible THEN 'readings' ELSE 'rejects' END AS stored
+  FROM judged)
+SELECT stored, batch, count(*) AS rows FROM placed GROUP BY ALL""",
     "alert_episodes": _EPISODES,
     "alert_episodes_streamed": _EPISODES,
     "catalog_views": NATIVE + """,
@@ -402,3 +410,4 @@ FROM readings GROUP BY ALL""",
 SELECT {_FIELDS} FROM readings
 WHERE timestamp + INTERVAL '30 days' > TIMESTAMP '2024-02-10 00:00:00'""",
 }
+ORACLES |= {name: ORACLES["readings_restarted"] for name in ("readings_settled_filtered", "readings_triggered")}

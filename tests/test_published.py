@@ -1,0 +1,143 @@
+"""Persistent views over published layers."""
+
+from __future__ import annotations
+
+from datetime import datetime, timezone
+
+import pytest
+
+from fieldpulse.operators.windows import present_moments, window_moments
+from fieldpulse.plans import published, reports
+from fieldpulse.sources import batches, tables
+
+
+@pytest.fixture
+def job(spark, readings, tmp_path, request):
+    """A job's tables with a database over them, and what adds a batch."""
+    root, database = str(tmp_path), f"db_{request.node.name[:40]}".lower()
+    published.create(spark, root, database, as_of="2024-01-03 00:00:00")
+
+    class Job:
+        count = 0
+
+        def add(self, *rows):
+            batch = readings(*rows)
+            tables.append_readings(batch, f"{root}/readings", self.count)
+            tables.append_states(batch, f"{root}/states", self.count)
+            stats = present_moments(window_moments(batch), keep_moments=True)
+            tables.append_window_stats(stats, f"{root}/window_stats", self.count)
+            self.count += 1
+
+        def settle(self):
+            for table, settle in (
+                ("readings", tables.settle_readings), ("states", tables.settle_states),
+                ("window_stats", tables.settle_window_stats),
+            ):
+                settle(spark, f"{root}/{table}", upto=self.count - 1)
+
+        def publish(self):
+            return published.publish(spark, root, database)
+
+        def vacuum(self):
+            tables.vacuum_readings(spark, f"{root}/readings")
+            batches.vacuum(spark, f"{root}/window_stats", depth=1)
+            batches.vacuum(spark, f"{root}/states", cumulative=True)
+            published.clear_lists(spark, root, database)
+
+        def values(self, view="readings", column="value"):
+            return sorted(r[0] for r in spark.table(f"{database}.{view}").select(column).collect())
+
+    made = Job()
+    made.root, made.database = root, database
+    yield made
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+
+
+def _at(second, day=1, value=None, **more):
+    return {"timestamp": f"2024-01-{day:02d} 10:00:{second:02d}", "value": float(second if value is None else value), **more}
+
+
+def test_views_follow_what_is_published(spark, job):
+    assert job.values() == job.values("anomalies") == job.values("device_current", "last_seen") == []
+    job.add(_at(1), _at(2))
+    job.settle()
+    assert job.values() == []
+    assert job.publish() == 2
+    assert job.values() == [1.0, 2.0]
+    before = spark.table(f"{job.database}.readings")
+    job.add(_at(3), _at(1, value=9, ingest_time="2024-02-01 00:00:00"), _at(4, day=2))
+    assert job.values() == [1.0, 2.0]
+    job.settle()
+    assert job.values() == [1.0, 2.0]
+    job.publish()
+    assert job.values() == [2.0, 3.0, 4.0, 9.0]
+    assert before.count() in (2, 4)  # a plan made before finds one state or the other
+    job.vacuum()
+    assert job.values() == [2.0, 3.0, 4.0, 9.0]
+    assert job.values("device_current", "total_readings") == [5]
+    assert sum(job.values("window_stats", "reading_count")) == 5
+    assert job.publish() == job.publish()
+
+
+def test_views_equal_the_reports(spark, job):
+    rows = [_at(s, value=20 + s % 2, sensor_type="temperature") for s in range(30)] + [_at(50, value=90)]
+    job.add(*rows, _at(1, day=2, sensor_type="humidity"))
+    job.settle()
+    job.publish()
+    stored = tables.read_readings(spark, f"{job.root}/readings")
+    for view, report in (
+        ("anomalies", reports.anomalies(stored)),
+        ("hourly_temperature", reports.hourly_temperature(stored, "2024-01-03 00:00:00")),
+        ("device_current", tables.read_device_current(spark, f"{job.root}/states")),
+    ):
+        shown = spark.table(f"{job.database}.{view}").select(report.columns)
+        assert sorted(map(str, shown.collect())) == sorted(map(str, report.collect()))
+    assert job.values("anomalies") == [90.0]
+
+
+def test_odd_partitions_and_only_live_layers_are_shown(spark, job, monkeypatch):
+    monkeypatch.setattr(published, "AT_ONCE", 1)
+    odd = [None, "it's a/b", "plain"]
+    for n in range(3):
+        job.add(*[_at(n, value=n, sensor_type=kind) for kind in odd])
+        job.settle()
+        job.publish()
+    assert job.values() == [0.0, 0.0, 0.0, 1.0, 1.0, 1.0, 2.0, 2.0, 2.0]
+    job.add(*[_at(n, value=n + 10, sensor_type=kind, ingest_time="2024-03-01 00:00:00") for n in range(3) for kind in odd])
+    job.settle()
+    job.publish()
+    assert job.values() == [10.0, 10.0, 10.0, 11.0, 11.0, 11.0, 12.0, 12.0, 12.0]
+    job.publish()
+    job.vacuum()
+    assert spark.sql(f"SHOW PARTITIONS {job.database}.stored_readings").count() == 3
+    assert len(job.values()) == 9
+
+
+def test_a_publish_that_dies_changes_no_view(spark, job, monkeypatch):
+    job.add(_at(1))
+    job.settle()
+    job.publish()
+    job.add(_at(2), _at(1, value=5, ingest_time="2024-02-01 00:00:00"))
+    job.settle()
+
+    def die(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(published, "_point", die)
+        with pytest.raises(RuntimeError):
+            job.publish()
+    assert job.values() == [1.0]
+    job.publish()
+    assert job.values() == [2.0, 5.0]
+
+
+def test_upkeep_publishes_before_it_frees(spark, job):
+    from datetime import timedelta
+
+    as_of = datetime(2024, 1, 20, tzinfo=timezone.utc)
+    for n in range(4):
+        job.add(_at(1, value=n, ingest_time=f"2024-02-01 00:00:0{n}"))
+        tables.maintain(spark, job.root, as_of, grace=timedelta(0), publish=job.publish)
+    assert job.values() == [2.0]  # the last batch is not settled yet
+    assert [r.value for r in tables.read_readings(spark, f"{job.root}/readings").collect()] == [3.0]

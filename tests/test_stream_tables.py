@@ -235,3 +235,38 @@ def test_a_report_that_cannot_be_written_stops_nothing(spark, feed, tmp_path):
         listener.detach()
     assert tables.read_current(spark, f"{tmp_path}/current").count() == 1
     assert reports.read_reports(spark, f"{tmp_path}/none").count() == 0
+
+
+def test_the_whole_job_with_everything_on(spark, feed, tmp_path, monkeypatch):
+    from fieldpulse.streaming.app import Settings, start
+
+    rows = [("d1", f"10:{m:02d}:00", 20 + m % 2) for m in range(30)] + [("d1", "10:31:00", 90)]
+    feed.add(*rows)
+    feed.add(("d1", "11:00:00", 20))
+    feed.add(("d1", "11:10:00", 20))
+    feed.add(("d1", "10:02:30", 20))
+    messages = file_source(str(tmp_path / "feed"), max_files_per_batch=1)
+    settings = Settings(
+        messages, f"{tmp_path}/t", f"{tmp_path}/ck", None, None, correct_late_rows=True, judge_anomalies=True,
+        alert_limits={"temperature": (10.0, 60.0)}, batch_reports=True,
+    )
+    running = start(spark, settings)
+    assert len(running) == 4
+    for query in running:
+        query.awaitTermination()
+    root = f"{tmp_path}/t"
+    first = tables.read_window_stats(spark, f"{root}/window_stats").orderBy("window_start").first()
+    assert first.reading_count == 6
+    assert [r.value for r in tables.read_late(spark, f"{root}/late").collect()] == [20.0]
+    assert [r.value for r in tables.read_anomalies(spark, f"{root}/anomalies").collect()] == [90.0]
+    episode, = tables.read_episodes(spark, f"{root}/alerts").collect()
+    assert (str(episode.raised_at)[11:16], str(episode.cleared_at)[11:16]) == ("10:31", "11:00")
+    from datetime import datetime, timezone
+
+    for _ in range(2):
+        tables.maintain(spark, root, datetime(2024, 1, 5, tzinfo=timezone.utc))
+        assert tables.read_window_stats(spark, f"{root}/window_stats").orderBy("window_start").first().reading_count == 6
+        assert tables.read_readings(spark, f"{root}/readings").count() == 34
+    env = {"TABLES_PATH": "t", "ALERT_LIMITS": '{"humidity": [1, 2]}', "CORRECT_LATE_ROWS": "true"}
+    read = Settings.from_env(env)
+    assert read.alert_limits == {"humidity": (1, 2)} and read.correct_late_rows and read.batch_reports
