@@ -102,8 +102,9 @@ URL_RULES = [
 @_register
 def op6_url_filters(spark, sf_dir):
     """Every page's url judged by the curated rules, else by those mined from their verdicts."""
-    judged = url_rules.judge(table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES)
-    return judged.select("page_id", "host", "path", "rule", "verdict")
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    judged = url_rules.judge(pages, URL_RULES, mined_rule="mined_rule")
+    return judged.select("page_id", "host", "path", "rule", "verdict", "mined_rule")
 
 
 @_register

@@ -273,6 +273,46 @@ def test_nothing_is_blocked_where_only_blocked_urls_are_labelled(spark):
         return {urls[r["page_id"]][9:-2]: r["verdict"] for r in judged}
 
     known = [("net/es", "block"), ("net/fr", "block"), ("com/de", "allow"), ("com/en", "block")]
-    assert verdicts(*known) == {"net/en": "allow", "net/de": "allow", "org/en": "allow", "com/en": "block", "com/de": "allow"}
-    # Evidence under the host label itself lets the path decide.
+    # A path is judged where it differs from others, and then wherever it occurs; a host label that differs from nothing is not.
+    assert verdicts(*known) == {"net/en": "block", "net/de": "allow", "org/en": "block", "com/en": "block", "com/de": "allow"}
+    assert verdicts(*known[:2], ("net/en", "block"), ("com/de", "allow")) == {
+        "net/en": "allow", "net/de": "allow", "org/en": "allow", "com/en": "allow", "com/de": "allow"
+    }
     assert verdicts(*known, ("net/de", "allow"))["net/en"] == "block"
+
+
+def test_mining_decides_pages_of_the_query(spark):
+    rows = QUERIES["op6_url_filters"](spark, "/root/testdata/sf0.01").collect()
+    mined = [r for r in rows if r["mined_rule"] is not None]
+    assert all(r["rule"] is None for r in mined)
+    assert {r["verdict"] for r in mined} == {"allow", "block"}
+    assert {r["verdict"] for r in rows if r["rule"] is None and r["mined_rule"] is None} <= {"allow"}
+
+
+@pytest.mark.parametrize("verdict", ["block", "mixed"])
+def test_a_long_path_that_urls_share_ends_in_seconds(spark, verdict):
+    slug = "-".join(f"word{i}" for i in range(20))
+    urls = [(f"http://a{i}.com/x/{i}", "allow" if i % 3 else "block") for i in range(290)]
+    urls += [(f"http://news.com/{slug}?page={i}", "allow" if verdict == "mixed" and i % 2 else "block") for i in range(10)]
+    labels = spark.createDataFrame(urls, "url string, verdict string")
+    pages = spark.createDataFrame([(1, f"http://other.com/{slug}?page=99"), (2, "http://other.com/word7")], "page_id int, url string")
+    started = time.monotonic()
+    got = {r["page_id"]: r["verdict"] for r in ur.judge(pages, [], labels).collect()}
+    assert time.monotonic() - started < 60
+    assert got == {1: "block", 2: "block"} if verdict == "block" else {1: "allow", 2: "allow"}
+
+
+def test_tokens_that_always_stand_together_become_one(spark):
+    baskets = [({"all", f"a{i % 3}", f"b{i % 3}", f"c{i % 3}", f"d{i % 4}", f"e{i % 4}", f"rare{i}"}, i) for i in range(120)]
+    labelled = [(sorted(t), "block" if i % 3 == 1 and i % 4 != 2 else "allow") for t, i in baskets]
+    rows = spark.createDataFrame([(i, *row) for i, row in enumerate(labelled)], "row long, tokens array<string>, verdict string")
+    items = ur.merged_tokens(rows, 0.02)
+    assert {(r["token"], r["item"]) for r in items.collect()} == {
+        (f"{t}{i}", f"{g[0]}{i}") for g, n in (("abc", 3), ("de", 4)) for i in range(n) for t in g
+    }
+    merged = ur.as_items(rows, items, "row")
+    assert {len(r["tokens"]) for r in merged.collect()} == {4}
+    mined = {(tuple(r["tokens"]), r["verdict"]): round(r["confidence"], 9) for r in ur.mine(merged, 0.02, 0.8).collect()}
+    plain = plain_rules([(t, v) for t, v in ((sorted(set(t) & {"all", *(f"{g}{i}" for g in "ad" for i in range(4))}), v)
+                                             for t, v in labelled)], 0.02, 0.8)
+    assert mined == {k: round(v, 9) for k, v in plain.items()}
