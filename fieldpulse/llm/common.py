@@ -26,8 +26,10 @@ def fresh_name(df: DataFrame, wanted: str) -> str:
 
 
 def row_key(doc_id: str = "doc_id", text: str = "text") -> Column:
-    """A key rows share only if id and text agree; never null."""
-    return F.xxhash64(F.col(doc_id), F.col(text))
+    """128 hashed bits of id and text, never null: rows that agree share them, others as good as never."""
+    return F.struct(
+        F.xxhash64(F.col(doc_id), F.col(text)).alias("a"), F.xxhash64(F.lit(1), F.col(text), F.col(doc_id)).alias("b")
+    )
 
 
 def broadcast_if_small(df: DataFrame, row_bytes: Column | int) -> DataFrame:

@@ -7,10 +7,11 @@ needs: if at least ``threshold`` of an item's shingles occur in a document, at m
 the document. The sketch search thus loses no document, however long it is.
 Candidates are then verified by exact shingle containment on the shingles' text.
 
-Words are runs of letters, marks and digits of the lower-cased text. Defined cases:
-null or empty texts and texts shorter than a shingle hold nothing; items with fewer
-words than a shingle have no shingles and are found nowhere; repeated shingles count
-once; repeated documents are judged row by row (rows equal in id and text give one
+Words are runs of letters, marks and digits of the lower-cased text. An item with fewer
+words than a shingle is one shingle of all its words, and documents are searched at that
+length as well; only lengths that the benchmark has cost anything. Defined cases: null or
+empty texts and texts without a word hold nothing, and such items are found nowhere; an
+item of one word is found wherever that word stands; repeated shingles count once; repeated documents are judged row by row (rows equal in id and text give one
 result); repeated item ids are one item with all their shingles; an empty table on
 either side gives no finds. Extra columns pass through and may have any name.
 
@@ -56,9 +57,13 @@ def _texts(words: Column, k: int) -> Column:
 
 
 def item_shingles(benchmark: DataFrame, k: int) -> DataFrame:
-    """``item_id``, ``shingle``, ``n_shingles``: the distinct shingles of every item."""
+    """``item_id``, ``shingle``, ``n_shingles``, ``length``: the distinct shingles of every item, in words long."""
     words = _with_words(benchmark.select("item_id", "text"), "text", "words")
-    shingles = words.select("item_id", F.explode(_texts(F.col("words"), k)).alias("shingle")).distinct()
+    lengths = F.least(F.size(_starts(F.col("words"), 1)), F.lit(k))
+    texts = F.lit(None).cast("array<string>")
+    for length in range(1, k + 1):
+        texts = F.when(lengths == length, _texts(F.col("words"), length)).otherwise(texts)
+    shingles = words.select("item_id", lengths.alias("length"), F.explode(texts).alias("shingle")).distinct()
     return shingles.withColumn("n_shingles", F.count("*").over(Window.partitionBy("item_id")))
 
 
@@ -81,17 +86,19 @@ def find_contaminated(
     """
     k = SHINGLE_WORDS
     items = written(item_shingles(benchmark, k), "items")
+    lengths = sorted({k, *(row["length"] for row in items.select("length").distinct().collect())})
+    of_all = lambda shingles: F.flatten(F.array(*[shingles(F.col("words"), n) for n in lengths]))
     sketch = written(sketches(items, threshold), "sketches")
     keyed = docs.select(row_key().alias("key"), "doc_id", "text")
 
-    searched = _with_words(keyed, "text", "words").select("key", F.explode(_hashes(F.col("words"), k)).alias("h"))
+    searched = _with_words(keyed, "text", "words").select("key", F.explode(of_all(_hashes)).alias("h"))
     candidates = written(
         searched.join(broadcast_if_small(sketch, 16), "h").select("key").distinct(), "candidates"
     )
 
     suspects = keyed.join(candidates, "key", "left_semi")
     held = _with_words(suspects, "text", "words").select(
-        "key", "doc_id", F.explode(_texts(F.col("words"), k)).alias("shingle")
+        "key", "doc_id", F.explode(of_all(_texts)).alias("shingle")
     )
     near = broadcast_if_small(items, F.octet_length("shingle") + 24)
     matched = held.join(near, "shingle").groupBy("key", "doc_id", "item_id").agg(

@@ -1,12 +1,12 @@
 """Line dedup by distinct-site spread.
 
-A line that stands on many sites is boilerplate. Per line hash a HyperLogLog sketch
-of the sites is merged by aggregation; lines whose estimate lies near the threshold
-get an exact distinct count. Two counts are made. The first finds every line that is
-spread. A document that consists mostly of spread lines is itself a copy, and its
-lines say nothing about boilerplate; so the second count takes only documents less
-than half of whose characters stand in spread lines. What is spread there is removed
-from all documents. Copied documents thus stay whole for document dedup.
+A line that stands on many sites is boilerplate, unless it is there because whole documents
+were copied. So per line hash two HyperLogLog sketches are merged by aggregation: one of the
+sites, and one of the distinct sets of lines that the documents with it have. Copies of a
+document are one set, however many sites they are on. Lines for which either estimate lies
+near the threshold get exact distinct counts. What stands on enough sites in as many
+different sets of lines is removed from all documents; the lines of a copied document stay,
+and document dedup decides about it.
 
 Lines are cut at ``\\n``, compared without white space at their ends, and blank lines
 always stay. Defined cases: a null text stays null; an empty text stays empty; a
@@ -22,9 +22,11 @@ joined, never collected.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
-from fieldpulse.llm.common import fresh_name, row_key
+from fieldpulse.llm.common import broadcast_if_small, fresh_name, row_key
 from fieldpulse.session import written
 
 MIN_SITES = 10
@@ -43,45 +45,30 @@ def _is_blank(line: Column) -> Column:
     return F.btrim(line, F.lit(BLANKS)) == ""
 
 
-def spread_lines(hits: DataFrame, min_sites: int) -> DataFrame:
-    """Hashes ``h`` that stand on at least ``min_sites`` distinct sites of ``h``, ``site`` rows."""
-    estimates = hits.groupBy("h").agg(F.hll_sketch_agg("site", LG_K).alias("sketch")).select(
-        "h", F.hll_sketch_estimate("sketch").alias("sites")
-    )
-    possible = written(estimates.where(F.col("sites") >= min_sites * (1 - BAND)), "possible-lines")
-    sure = F.col("sites") > min_sites * (1 + BAND)
-    exact = (
-        hits.join(possible.where(~sure), "h", "left_semi")
-        .groupBy("h").agg(F.count_distinct("site").alias("sites"))
-        .where(F.col("sites") >= min_sites)
-    )
-    return possible.where(sure).select("h").union(exact.select("h"))
+def spread_lines(hits: DataFrame, least: int, of: list[str] = ("site",)) -> DataFrame:
+    """Hashes ``h`` that have at least ``least`` distinct values of every column in ``of``."""
+    sketches = hits.groupBy("h").agg(*[F.hll_sketch_agg(name, LG_K).alias(name) for name in of])
+    estimates = sketches.select("h", *[F.hll_sketch_estimate(name).alias(name) for name in of])
+    every = lambda bound: reduce(Column.__and__, [F.col(name) >= bound for name in of])
+    possible = written(estimates.where(every(least * (1 - BAND))), "possible-lines")
+    sure = reduce(Column.__and__, [F.col(name) > least * (1 + BAND) for name in of])
+    near = written(hits.join(possible.where(~sure), "h", "left_semi").distinct(), "near-lines")
+    exact = [near.groupBy("h").agg(F.count_distinct(name).alias("n")).where(F.col("n") >= least).select("h") for name in of]
+    return possible.where(sure).select("h").union(reduce(lambda a, b: a.join(b, "h", "left_semi"), exact))
 
 
 def boilerplate_of(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
     """``key``, ``removed``: per document row key the hashes of its boilerplate lines."""
-    lines = docs.select(
+    bodies = F.filter(F.split("text", "\n"), lambda line: ~_is_blank(line))
+    hashed = docs.select(
         row_key().alias("key"),
         F.coalesce(F.xxhash64(F.col("source").cast("string")), F.lit(0)).alias("site"),
-        (F.length("text") - F.size(F.split("text", "\n")) + 1).alias("total"),
-        F.explode(F.split("text", "\n")).alias("line"),
-    ).where(~_is_blank(F.col("line")))
-    hashed = lines.select("key", "site", "total", F.length("line").alias("n"), line_hash(F.col("line")).alias("h"))
-
-    spread = written(spread_lines(hashed.select("h", "site"), min_sites), "spread-lines")
-    hits = written(hashed.join(spread, "h", "left_semi"), "spread-hits")
-    # Rows equal in id and text share a key, and their lines would add up; so would the total.
-    share = hits.groupBy("key", "total").agg(F.sum("n").alias("n"), F.max("n").alias("longest"))
-    rows = docs.groupBy(row_key().alias("key")).agg(F.count("*").alias("rows")).where("rows > 1")
-    carriers = (
-        share.join(rows, "key", "left")
-        .where(2 * F.col("n") < F.col("total") * F.coalesce("rows", F.lit(1)))
-        .select("key")
-    )
-    boilerplate = written(
-        spread_lines(hits.join(carriers, "key", "left_semi").select("h", "site"), min_sites), "boilerplate"
+        F.array_sort(F.array_distinct(F.transform(bodies, line_hash))).alias("hashes"),
     )
-    return hits.join(boilerplate, "h", "left_semi").groupBy("key").agg(F.collect_set("h").alias("removed"))
+    lines = hashed.select("key", "site", F.xxhash64("hashes").alias("lines"), F.explode("hashes").alias("h"))
+    boilerplate = written(spread_lines(lines.drop("key"), min_sites, ["site", "lines"]), "boilerplate")
+    small = broadcast_if_small(boilerplate, 8)
+    return lines.join(small, "h", "left_semi").groupBy("key").agg(F.collect_set("h").alias("removed"))
 
 
 def remove_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, counted: str | None = None) -> DataFrame:

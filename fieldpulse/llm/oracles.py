@@ -3,23 +3,25 @@
 # --- 1: every pair of document and item, containment by text ----------------------------
 
 _SHINGLES = """
-    SELECT DISTINCT {key}, unnest(list_transform(range(1, len(w) - 3),
-        lambda i: concat_ws(' ', w[i], w[i + 1], w[i + 2], w[i + 3], w[i + 4]))) AS s
-    FROM (SELECT {key}, regexp_extract_all(lower(coalesce(text, '')), '[\\p{{L}}\\p{{M}}\\p{{N}}]+') AS w
-          FROM {table})
+    SELECT DISTINCT {key}, unnest(list_transform(range(1, len(w) + 2 - k),
+        lambda i: array_to_string(w[i:i + k - 1], ' '))) AS s
+    FROM (SELECT {key}, w, {lengths} AS k FROM (
+        SELECT {key}, regexp_extract_all(lower(coalesce(text, '')), '[\\p{{L}}\\p{{M}}\\p{{N}}]+') AS w FROM {table}))
+    WHERE k BETWEEN 1 AND len(w)
 """
+_ROWS = "(SELECT *, row_number() OVER () AS rid FROM documents)"
 
 DECONTAMINATION = f"""
-WITH item AS ({_SHINGLES.format(key="item_id", table="benchmark")}),
+WITH item AS ({_SHINGLES.format(key="item_id", table="benchmark", lengths="least(5, len(w))")}),
 sized AS (SELECT item_id, s, count(*) OVER (PARTITION BY item_id) AS n FROM item),
-doc AS ({_SHINGLES.format(key="rid, doc_id", table="(SELECT *, row_number() OVER () AS rid FROM documents)")})
+doc AS ({_SHINGLES.format(key="rid, doc_id", table=_ROWS, lengths="unnest([1, 2, 3, 4, 5])")})
 SELECT DISTINCT doc_id, item_id, n_shingles, n_matched FROM (
     SELECT rid, doc_id, item_id, max(n) AS n_shingles, count(*) AS n_matched
     FROM doc JOIN sized USING (s) GROUP BY ALL)
 WHERE n_matched >= 0.8 * n_shingles
 """
 
-# --- 10: exact distinct sites in both counts --------------------------------------------
+# --- 10: exact distinct sites and sets of lines --------------------------------------------
 
 _BLANKS = "' ' || chr(9) || chr(13) || chr(11) || chr(12)"
 
@@ -30,15 +32,10 @@ raw AS (
            generate_subscripts(string_split(text, chr(10)), 1) AS pos
     FROM numbered),
 lines AS (SELECT *, trim(line, {_BLANKS}) AS body FROM raw),
-spread AS (
-    SELECT body FROM lines WHERE body <> '' GROUP BY body HAVING count(DISTINCT site) >= 10),
-carriers AS (
-    SELECT rid FROM lines GROUP BY rid
-    HAVING 2 * sum(CASE WHEN body IN (SELECT body FROM spread) THEN length(line) ELSE 0 END) < sum(length(line))),
+sets AS (SELECT rid, list(DISTINCT body ORDER BY body) AS held FROM lines WHERE body <> '' GROUP BY rid),
 boilerplate AS (
-    SELECT body FROM lines
-    WHERE body IN (SELECT body FROM spread) AND rid IN (SELECT rid FROM carriers)
-    GROUP BY body HAVING count(DISTINCT site) >= 10),
+    SELECT body FROM lines JOIN sets USING (rid) WHERE body <> ''
+    GROUP BY body HAVING count(DISTINCT site) >= 10 AND count(DISTINCT held) >= 10),
 marked AS (SELECT *, body IN (SELECT body FROM boilerplate) AS gone FROM lines),
 rebuilt AS (
     SELECT rid, coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '') AS text,
