@@ -94,9 +94,55 @@ def test_distant_intervals_are_skipped(spark, monkeypatch):
     reps = spark.createDataFrame(
         [(v.tolist(), i, 1, i) for i, v in enumerate(x)], "embedding array<double>, smallest long, count long, rep long"
     )
-    blocks = vd.blocks_in_grid_order(reps, np.eye(2), 0.95, 1000)
-    assert blocks.count() == 20
-    assert 20 <= vd.near_intervals(blocks, 2, 0.95).count() < 150  # of 210
+    index = vd.numbered(vd.blocks_in_grid_order(reps, {2: np.eye(2)}, 0.95, 1000))
+    assert index.count() == 20
+    assert 20 <= vd.near_intervals(index, 0.95).count() < 150  # of 210
+
+
+def test_what_directions_leave_separates_vectors(spark, monkeypatch):
+    monkeypatch.setattr(vd, "INTERVAL", 50)
+    rng = np.random.default_rng(1)
+    angle = np.sort(rng.uniform(0, np.pi / 2, 1000))
+    # One direction tells nothing apart here, the length of the rest does.
+    x = np.stack([np.zeros(1000), np.sin(angle), np.cos(angle)], axis=1)
+    basis = {3: np.array([[1.0], [0.0], [0.0]])}
+    assert np.allclose(vd.project(x, basis)[:, -1], 1)
+    basis = {3: np.array([[0.0], [1.0], [0.0]])}
+    assert np.allclose(vd.project(x, basis)[:, -1], np.cos(angle))
+    close = np.linalg.norm(x[:, None] - x[None], axis=2)
+    assert (np.linalg.norm(vd.project(x, basis)[:, None] - vd.project(x, basis)[None], axis=2) <= close + 1e-7).all()
+
+
+def test_leading_directions():
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(500, 40)) * np.r_[np.full(3, 10.0), np.full(37, 0.1)]
+    basis = vd.leading(x, 3)
+    assert np.allclose(basis.T @ basis, np.eye(3))
+    assert np.linalg.norm(basis[:3]) > 0.999 * np.sqrt(3)
+    assert vd.leading(x[:20, :2], 8).shape == (2, 2)
+
+
+def test_vectors_of_many_lengths(spark, monkeypatch):
+    monkeypatch.setattr(vd, "INTERVAL", 16)
+    monkeypatch.setattr(vd, "FAN_OUT", 2)
+    monkeypatch.setattr(vd, "GROUP", 3)
+    rng = np.random.default_rng(3)
+    rows = []
+    for size, n in ((3, 260), (8, 150), (1, 30), (20, 7), (5, 1)):
+        rows += [(len(rows) + i, v.tolist()) for i, v in enumerate(clustered(rng, n, size, 0.1))]
+    got = vd.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    assert sorted(str(tuple(r)) for r in got.collect()) == plain(rows)
+
+
+def test_one_very_long_vector_among_short_ones(spark, monkeypatch):
+    monkeypatch.setattr(vd, "INTERVAL_BYTES", 1 << 16)
+    rng = np.random.default_rng(4)
+    rows = as_rows(clustered(rng, 300, 16, 0.1).astype(np.float32))
+    wide = rng.normal(size=100_000).astype(np.float32)
+    rows += [(1000, wide.tolist()), (1001, (wide * 2).tolist()), (1002, rng.normal(size=100_000).tolist())]
+    got = {r["vec_id"]: tuple(r) for r in vd.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect()}
+    assert got[1000] == (1000, 1, 1000, True) and got[1001] == (1001, 1, 1000, False) and got[1002] == (1002, 0, 1002, True)
+    assert sorted(str(got[i]) for i in range(300)) == plain(rows[:300])
 
 
 def test_query(spark):
