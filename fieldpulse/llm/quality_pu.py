@@ -6,18 +6,20 @@ less p times that of the positives as negatives estimates the negatives' risk. W
 batch's estimate falls below zero the model has begun to fit single rows, and the step
 goes the other way. No negative label is used, in training or for the prior.
 
-The class prior is estimated from the same two samples: a model that tells positives
-from unlabelled text ranks rows, and the share of unlabelled text above a cut over that
-of held-back positives bounds the prior from above at every cut; the smallest bound,
-with a margin for the samples' size, is taken. At the end the model's bias is shifted
-so that the mean score of all unlabelled rows, not of the sample, is the prior.
+The class prior is estimated from all unlabelled rows: a model that tells positives
+from unlabelled text, fitted on half of each sample, ranks the rest, and the share of all
+other unlabelled rows above a cut over that of held-back positives bounds the prior from
+above at every cut; the smallest bound, with a margin for the numbers of rows, is taken, and
+of several splits the middle one. At the end the model's bias is shifted so that the mean
+score of all unlabelled rows is the prior. So the samples decide the model's direction alone.
 
 Features see the text only: how often each pair of neighbouring character classes
-occurs, and a few measures of words and lines. They are computed in tasks from whole
-texts. Only two samples of rows, bounded by ``POSITIVES`` and ``UNLABELLED``, reach the
+occurs, and a few measures of words and lines. They are computed once, in tasks from whole
+texts, and written beside the rows; fitting, prior, shift and scores read them from there.
+Only two samples of rows, bounded by ``POSITIVES`` and ``UNLABELLED``, reach the
 driver, as features; their rows are chosen by a hash of id, text and the row's place, so that
 rows of one id, or equal ones, are in or out one by one. Scoring is a map over
-all rows without a shuffle; the shift is found from sums over the written margins.
+all rows without a shuffle; prior and shift come from sums over tasks.
 
 Defined cases: null and empty texts have all-zero features and a score like any text;
 labelled ids that are absent from the documents are ignored, ids labelled twice count
@@ -35,7 +37,7 @@ from operator import eq
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
+from pyspark.sql.types import BinaryType, DoubleType
 
 from fieldpulse.llm.common import fresh_name, slices
 from fieldpulse.session import written
@@ -49,7 +51,8 @@ STEPS = 1_500
 BATCH_POSITIVES = 100
 #: Splits into halves the class prior is estimated on.
 SPLITS = 5
-#: Shifts of the bias that one pass over the margins tries.
+#: Draws of a row, and shifts of the bias that one pass over the margins tries.
+DRAWS = 1 << 30
 SHIFTS = 65
 RATE = 0.03
 DECAY = 1e-2
@@ -249,25 +252,61 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % 5 == 0
 
 
+def _draw(salt: int) -> Column:
+    """A number below 2 ** 30 for each row by itself; the same ones for the same files."""
+    return F.pmod(F.xxhash64(F.lit(salt), F.col("doc_id"), F.col("text"), F.monotonically_increasing_id()), F.lit(DRAWS))
+
+
+def _limit(wanted: int, of: int) -> int:
+    """Draws below it take about ``wanted`` of ``of`` rows."""
+    return int(DRAWS * min(1.0, wanted / max(of, 1)))
+
+
 def _sample(docs: DataFrame, salt: int, wanted: int, of: int) -> DataFrame:
-    """About ``wanted`` of ``of`` rows, each one by itself; the same ones of the same files."""
-    bucket = F.pmod(F.xxhash64(F.lit(salt), F.col("doc_id"), F.col("text"), F.monotonically_increasing_id()), F.lit(1 << 30))
-    return docs.where(bucket < int((1 << 30) * min(1.0, wanted / max(of, 1))))
+    """About ``wanted`` of ``of`` rows, each one by itself."""
+    return docs.where(_draw(salt) < _limit(wanted, of))
 
 
-def _features(texts: DataFrame) -> np.ndarray:
-    """Features of the ``text`` rows, gathered on the driver."""
+@F.arrow_udf(BinaryType())
+def _features(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    for column in texts:
+        yield pa.array([features_of(text.as_py()).tobytes() for text in column], pa.binary())
 
-    def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = [features_of(t.as_py()).tobytes() for t in batch.column(0)]
-            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], names=["x"])
 
-    rows = texts.select("text").mapInArrow(compute, "x binary").collect()
-    found = [np.frombuffer(r["x"], np.float32) for r in rows]
-    # The order of tasks is not fixed; the fit should be.
-    found.sort(key=lambda x: x.tobytes())
-    return np.stack(found) if found else np.zeros((0, FEATURES), np.float32)
+def _matrix(column: pa.Array) -> np.ndarray:
+    """Features of the rows of an Arrow column."""
+    if not len(column):
+        return np.zeros((0, FEATURES), np.float32)
+    return np.stack([np.frombuffer(row.as_buffer(), np.float32) for row in column])
+
+
+@dataclass(frozen=True)
+class Featured:
+    """A written table of rows with their features and draws, and the names of these columns."""
+
+    rows: DataFrame
+    x: str
+    as_positive: str
+    as_unlabelled: str
+
+
+def featured(docs: DataFrame, columns: list[str]) -> Featured:
+    """``columns`` of ``docs``, and the features of every whole text, computed once."""
+    x, one, other = (fresh_name(docs, name) for name in ("features", "draw_positive", "draw_unlabelled"))
+    drawn = docs.select(*columns, "text", _draw(1).alias(one), _draw(2).alias(other)) if "text" not in columns else (
+        docs.select(*columns, _draw(1).alias(one), _draw(2).alias(other))
+    )
+    made = drawn.withColumn(x, _features("text")).select(*columns, one, other, x)
+    return Featured(written(made, "features"), x, one, other)
+
+
+def _collected(rows: DataFrame, x: str, *more: str) -> tuple[np.ndarray, ...]:
+    """Features of a bounded sample, and further columns, in an order that does not depend on tasks."""
+    found = rows.select(x, *more).toArrow()
+    matrix = _matrix(found.column(0).combine_chunks())
+    others = [found.column(n + 1).to_numpy() for n in range(len(more))]
+    order = sorted(range(len(matrix)), key=lambda i: (matrix[i].tobytes(), *(column[i] for column in others)))
+    return (matrix[order], *(column[order] for column in others))
 
 
 def train(
@@ -276,28 +315,91 @@ def train(
     """Fit on a sample of trusted positives and one of all documents taken as unlabelled.
 
     Labels of held-out ids are never read. Documents of the held-out ids are also left
-    out of the unlabelled sample, so that they stay unseen.
+    out of the unlabelled rows, so that they stay unseen.
     """
+    return _train(featured(docs, ["doc_id"]), labels, positives, unlabelled)
+
+
+def _train(known: Featured, labels: DataFrame, positives: int = POSITIVES, unlabelled: int = UNLABELLED) -> Model:
     learned = labels.select("doc_id", "quality").where(~held_out())
     trusted = learned.where("quality = 1").select("doc_id").distinct()
-    texts = docs.select("doc_id", "text")
-    of_trusted = docs.select("doc_id").join(trusted, "doc_id", "left_semi").count()
-    positive = _features(_sample(texts, 1, positives, of_trusted).join(trusted, "doc_id", "left_semi"))
-    rest = texts.where(~held_out())
-    model = fit(positive, _features(_sample(rest, 2, unlabelled, rest.count())))
-    return _shifted(model, rest) if len(positive) else model
+    of_trusted = known.rows.select("doc_id").join(trusted, "doc_id", "left_semi").count()
+    chosen = known.rows.where(F.col(known.as_positive) < _limit(positives, of_trusted)).join(trusted, "doc_id", "left_semi")
+    positive, = _collected(chosen, known.x)
+    rest = known.rows.where(~held_out())
+    limit = _limit(unlabelled, rest.count())
+    sample, draws = _collected(rest.where(F.col(known.as_unlabelled) < limit), known.x, known.as_unlabelled)
+    if not len(positive):
+        return fit(positive, sample)
+    prior = prior_of_all(known, rest, positive, sample, draws, limit)
+    return _shifted(fit(positive, sample, prior), rest.select(known.x))
+
+
+def _fits(draws: np.ndarray, split: int) -> np.ndarray:
+    """Which half of a sample a split fits on, by the rows' draws."""
+    mixed = (draws.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    return (mixed >> np.uint64(40 + split)) & np.uint64(1) == 0
+
+
+def prior_of_all(
+    known: Featured, rest: DataFrame, positive: np.ndarray, sample: np.ndarray, draws: np.ndarray, limit: int
+) -> float:
+    """Share of positives among all ``rest`` rows, of which ``sample`` are those drawn below ``limit``."""
+    rng = np.random.default_rng(11)
+    both = np.concatenate([positive, sample]).astype(np.float64)
+    centre, scale = both.mean(axis=0), both.std(axis=0) + 0.05
+    standard = lambda x: ((x - centre) / scale).clip(-8, 8)
+    rankings = []
+    for split in range(SPLITS):
+        order = rng.permutation(len(positive))
+        p_fit, p_hold = standard(positive[order[::2]]), standard(positive[order[1::2]])
+        u_fit = standard(sample[_fits(draws, split)])
+        if len(p_hold) < 10 or not len(u_fit):
+            return 1.0
+        w, b = _descend(np.concatenate([p_fit, u_fit]), _domain(len(p_fit), len(u_fit)), 500, rng)
+        of_p = p_hold @ w + b
+        cuts = np.quantile(of_p, np.linspace(0, 0.95, 96))
+        rankings.append((w, b, cuts, np.array([(of_p >= c).mean() for c in cuts]), len(of_p)))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        above, rows = np.zeros((SPLITS, 96), np.int64), np.zeros(SPLITS, np.int64)
+        for batch in slices(batches, 4096):
+            x = standard(_matrix(batch.column(0)).astype(np.float64))
+            drawn = batch.column(1).to_numpy()
+            for split, (w, b, cuts, _, _) in enumerate(rankings):
+                margins = np.sort((x @ w + b)[~(_fits(drawn, split) & (drawn < limit))])
+                above[split] += len(margins) - np.searchsorted(margins, cuts, "left")
+                rows[split] += len(margins)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.arange(SPLITS), pa.int32()), pa.array(rows), pa.array(list(above), pa.list_(pa.int64()))],
+            names=["split", "n", "above"],
+        )
+
+    counted = rest.select(known.x, known.as_unlabelled).mapInArrow(count, "split int, n long, above array<long>")
+    sums = counted.groupBy("split").agg(
+        F.sum("n").alias("n"), F.array(*[F.sum(F.get("above", F.lit(k))) for k in range(96)]).alias("above")
+    ).collect()
+    priors = []
+    for row in sums:
+        _, _, _, share_p, n_p = rankings[row["split"]]
+        if row["n"] < 10:
+            return 1.0
+        share_u = np.array(row["above"]) / row["n"]
+        margin = np.sqrt(np.log(40) / 2) * (1 / np.sqrt(n_p) + 1 / np.sqrt(row["n"]))
+        best = np.argmin((share_u + margin) / share_p)
+        priors.append(float(np.clip(share_u[best] / share_p[best], 0.05, 1.0)))
+    return float(np.median(priors)) if priors else 1.0
 
 
 def _shifted(model: Model, rest: DataFrame) -> Model:
-    """``model`` with the bias at which the mean score of all ``rest`` rows is the prior."""
+    """``model`` with the bias at which the mean score of all ``rest`` rows of features is the prior."""
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            x = [features_of(t.as_py()) for t in batch.column(0)]
-            margins = model.margin(np.stack(x).astype(np.float64)) if x else np.zeros(0)
+        for batch in slices(batches, 4096):
+            margins = model.margin(_matrix(batch.column(0)).astype(np.float64))
             yield pa.RecordBatch.from_arrays([pa.array(margins, pa.float64())], names=["margin"])
 
-    margins = written(rest.select("text").mapInArrow(compute, "margin double"), "margins")
+    margins = written(rest.mapInArrow(compute, "margin double"), "margins")
     low, high = -80.0, 80.0
     while high - low > 1e-9:
         # The mean grows with the shift: each pass over the margins leaves one of the parts between these shifts.
@@ -312,23 +414,30 @@ def _shifted(model: Model, rest: DataFrame) -> Model:
     return replace(model, bias=model.bias + round((low + high) / 2, 7))
 
 
+def _scored(x: Column, model: Model) -> Column:
+    @F.arrow_udf(DoubleType())
+    def scores(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for column in columns:
+            parts = [model.score(_matrix(column.slice(start, 4096)).astype(np.float64)) for start in range(0, len(column), 4096)]
+            yield pa.array(np.concatenate(parts) if parts else np.zeros(0), pa.float64())
+
+    return scores(x)
+
+
 def score(docs: DataFrame, model: Model, column: str = "score") -> DataFrame:
     """``docs`` plus the score of every whole text."""
-    schema = StructType([*docs.schema.fields, StructField(column, DoubleType())])
-    at = docs.columns.index("text")
+    return docs.withColumn(column, _scored(_features("text"), model))
 
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            x = [features_of(t.as_py()) for t in batch.column(at)]
-            scores = model.score(np.stack(x).astype(np.float64)) if x else np.zeros(0)
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(scores, pa.float64())], names=[*batch.schema.names, column]
-            )
 
-    return docs.mapInArrow(add, schema)
+def learn_and_score(docs: DataFrame, labels: DataFrame, columns: list[str], column: str = "score") -> DataFrame:
+    """``columns`` of ``docs`` plus the score of every whole text, by a model of the same rows."""
+    kept = columns if "doc_id" in columns else [*columns, "doc_id"]
+    known = featured(docs, kept)
+    model = _train(known, labels)
+    return known.rows.select(*columns, _scored(F.col(known.x), model).alias(column))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` whose score reaches ``threshold``, columns unchanged."""
     name = fresh_name(docs, "quality_score")
-    return score(docs, train(docs, labels), name).where(F.col(name) >= threshold).drop(name)
+    return learn_and_score(docs, labels, docs.columns, name).where(F.col(name) >= threshold).drop(name)

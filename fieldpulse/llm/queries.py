@@ -64,8 +64,7 @@ def op2_token_store(spark, sf_dir):
 def op3_quality_classifier(spark, sf_dir):
     """Every document's score by a model of trusted positives and unlabelled text."""
     docs = table(spark, sf_dir, "documents")
-    model = quality_pu.train(docs, table(spark, sf_dir, "labels"))
-    scored = quality_pu.score(docs.select("doc_id", "text"), model)
+    scored = quality_pu.learn_and_score(docs, table(spark, sf_dir, "labels"), ["doc_id"])
     return scored.select(
         "doc_id", quality_pu.held_out().alias("held_out"), "score",
         (F.col("score") >= quality_pu.THRESHOLD).cast("int").alias("predicted"),
