@@ -14,8 +14,8 @@ Sequence ids carry the partition in their upper bits, so they need no second pas
 
 Defined cases: null and empty texts are the end id alone; a document whose length is a
 multiple of the window leaves no rest; ties in length are ordered by doc_id, start and
-checksum, so a task that is run again packs alike; repeated rows are packed each; an
-empty table gives an empty result. Extra columns are ignored.
+checksum, so a task that is run again packs alike; repeated rows are packed each, and
+spread over partitions however many there are; an empty table gives an empty result. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -106,9 +106,10 @@ def pack(docs: DataFrame, vocabulary: str, end_id: int, window: int = WINDOW, pa
     offset 0 without a gap.
     """
     pieces = pieces_of(docs, vocabulary, end_id, window)
-    dealt = pieces.withColumn("check", F.crc32("ids")).repartition(
-        partitions or partitions_for(docs), "doc_id", "start", "check"
-    ).sortWithinPartitions(F.desc("length"), "doc_id", "start", "check").drop("check")
+    # The row number deals out copies of one text like other texts; equal pieces pack alike in any order.
+    marked = pieces.withColumns({"check": F.crc32("ids"), "row": F.monotonically_increasing_id()})
+    dealt = marked.repartition(partitions or partitions_for(docs), "doc_id", "start", "check", "row")
+    dealt = dealt.sortWithinPartitions(F.desc("length"), "doc_id", "start", "check").drop("check", "row")
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rooms, opened = RoomTree(window), 0

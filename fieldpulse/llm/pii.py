@@ -10,7 +10,10 @@ that is a day of the calendar, else the day.
 Each value is permuted by a keyed Feistel network within its format: a card becomes a
 valid card, a date a date of the same 400 years, an IBAN an IBAN of its country, and
 separators stay where they are. A permutation has no collisions, and the key alone decides,
-so equal values are equal pseudonyms in every document and different ones stay different.
+so equal values are equal pseudonyms in every document and different ones stay different, but
+for two kinds of text: hexadecimal secrets that differ in the case of letters only, and of both
+cases, become one; so do e-mail addresses of equal shape in the letters of scripts beyond Latin,
+which are written as ``x``.
 
 Two networks. Numbers with a range that is a product of two sizes are split in two residues
 that are added to alternately, so no value has to be drawn twice. Strings are cut in two

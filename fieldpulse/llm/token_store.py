@@ -16,7 +16,8 @@ not widen the rest; ids that need more bits are outliers. The index allows readi
 range of ids without its neighbours.
 
 Defined cases: null and empty texts hold the end id alone; rows without doc_id come
-first; rows with equal doc_id lie side by side in the order of their text's hash;
+first; rows with equal doc_id lie side by side in the order of their text's hash, equal ones
+in that of the table;
 documents longer than a segment are a segment of their own; an empty table gives an
 empty store. Extra columns are ignored.
 """
@@ -37,6 +38,8 @@ MAGIC = 0x31524F4650  # "PFOR1"
 BLOCK = 128
 PERCENTILE = 0.9
 SEGMENT_IDS = 1 << 18
+#: Text bytes that one task encodes, at most as a rule.
+PART_BYTES = 128 << 20
 _HEADER = 8
 _SEGMENT_SCHEMA = "part int, segment long, part_start long, n_ids long, data binary"
 _READ_SCHEMA = "part int, segment long, place long, doc_id long, start long, ids binary"
@@ -155,18 +158,23 @@ class Segment:
 # --- The store ------------------------------------------------------------------------
 
 
-def write_store(docs: DataFrame, path: str, vocabulary: str, end_id: int, segment_ids: int = SEGMENT_IDS) -> None:
+def write_store(
+    docs: DataFrame, path: str, vocabulary: str, end_id: int, segment_ids: int = SEGMENT_IDS,
+    part_bytes: int = PART_BYTES,
+) -> None:
     """Encode every ``text``, append ``end_id``, and write segments in ascending doc_id order.
 
-    Documents are dealt out by ranges of doc_id, so partition p's ids precede those of
-    p + 1. ``part_start`` counts the ids before a segment in its own part; a part's place
+    Documents are dealt out by ranges of doc_id, as many as the texts' size needs, so
+    partition p's ids precede those of p + 1. A row number continues the range key: rows
+    equal in id and text, such as a third of all without either, are cut as well. ``part_start`` counts the ids before a segment in its own part; a part's place
     among all ids follows when reading, from one total per part.
     """
     spark = docs.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    order = ["doc_id", "text_hash"]
+    size = docs.agg(F.sum(F.octet_length("text").cast("long")).alias("n")).first()["n"] or 0
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1 + size // part_bytes)
+    order = ["doc_id", "text_hash", "row"]
     ordered = (
-        docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
+        docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"), F.monotonically_increasing_id().alias("row"))
         .repartitionByRange(parts, *order).sortWithinPartitions(*order).select("doc_id", "text")
     )
 

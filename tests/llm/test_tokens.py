@@ -8,6 +8,7 @@ import zlib
 import numpy as np
 import pytest
 from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
 
 from fieldpulse.llm import packing, token_store
 from fieldpulse.llm.queries import vocabulary
@@ -119,6 +120,40 @@ def test_packing_places_every_id_once(spark, plain, window):
         assert sum(n for _, n in parts) <= window
 
 
+@pytest.mark.parametrize("window", [8, 64])
+def test_packing_against_a_plain_best_fit_decreasing(spark, plain, window):
+    texts = [(i, " ".join(["word"] * (i * 7 % 50))) for i in range(150)]
+    rows = packing.pack(_docs(spark, texts), vocabulary(), 2, window, partitions=1).collect()
+    rest = []
+    for _, text in texts:
+        total = len(plain(text, 2)) // 4
+        rest += [window] * (total // window) + ([total % window] if total % window else [])
+    rooms = []
+    for length in sorted(rest, reverse=True):
+        fits = [room for room in rooms if room >= length]
+        if fits:
+            rooms.remove(min(fits))
+            rooms.append(min(fits) - length)
+        else:
+            rooms.append(window - length)
+    filled: dict = {}
+    for r in rows:
+        filled[r["sequence_id"]] = filled.get(r["sequence_id"], 0) + r["length"]
+    assert sorted(filled.values()) == sorted(window - room for room in rooms)
+
+
+def test_copies_of_one_text_spread_over_partitions(spark, tmp_path):
+    copies = _docs(spark, [(None, "the same text")] * 2000 + [(1, "another")])
+    packed = packing.pack(copies, vocabulary(), 2, 64, partitions=8)
+    per_task = packed.groupBy(F.shiftright("sequence_id", 32)).count().collect()
+    assert len(per_task) == 8 and max(r["count"] for r in per_task) < 500
+    token_store.write_store(copies, f"{tmp_path}/store", vocabulary(), 1, part_bytes=4000)
+    parts = spark.read.parquet(f"{tmp_path}/store").groupBy("part").agg(F.sum("n_ids").alias("n")).collect()
+    assert len(parts) >= 5 and max(r["n"] for r in parts) < 4000
+    read = token_store.read_store(spark, f"{tmp_path}/store")
+    assert read.count() == 2001 and read.select("start").distinct().count() == 2001
+
+
 def test_packing_nothing(spark):
     assert packing.pack(_docs(spark, []), vocabulary(), 2).collect() == []
 
