@@ -34,10 +34,13 @@ def _block(blocks: Column, key: list[str]) -> Column:
     return F.pmod(_hashed(key, "block"), blocks)
 
 
-def _bits(key: list[str]) -> Column:
-    """The bits of a key within its block."""
-    first, step = (F.pmod(_hashed(key, seed), F.lit(BLOCK_BITS)) for seed in ("first", "step"))
-    return F.transform(F.sequence(F.lit(0), F.lit(HASHES - 1)), lambda i: F.pmod(first + i * step, F.lit(BLOCK_BITS)))
+def _place_in_block(key: list[str], seed: str) -> Column:
+    return F.pmod(_hashed(key, seed), F.lit(BLOCK_BITS))
+
+
+def _bit(first: Column, step: Column, number: int) -> Column:
+    """One of the bits of a key within its block."""
+    return F.pmod(first + number * step, F.lit(BLOCK_BITS))
 
 
 def build(rows: DataFrame, partition_by: list[str], key: list[str]) -> DataFrame:
@@ -50,27 +53,33 @@ def build(rows: DataFrame, partition_by: list[str], key: list[str]) -> DataFrame
         F.ceil(F.count("*") * BITS_PER_KEY / BLOCK_BITS).cast("bigint").alias("blocks")
     )
     placed = keys.join(F.broadcast(sizes), "place").select(
-        "place", "blocks", _block(F.col("blocks"), key).alias("block"), _bits(key).alias("bits")
+        "place", "blocks", _block(F.col("blocks"), key).alias("block"),
+        _place_in_block(key, "first").alias("first"), _place_in_block(key, "step").alias("step"),
     )
     blocks = ["place", "blocks", "block"]
-    exploded = placed.repartition(*blocks).select(*blocks, F.explode("bits").alias("bit"))
+    bits = F.array(*[_bit(F.col("first"), F.col("step"), n) for n in range(HASHES)])
+    exploded = placed.repartition(*blocks).select(*blocks, F.explode(bits).alias("bit"))
     return exploded.groupBy(*blocks).agg(F.bitmap_construct_agg("bit").alias("bits"))
 
 
 def _is_set(bits: Column, bit: Column) -> Column:
-    byte = F.conv(F.hex(F.substring(bits, (bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    mask = F.element_at(F.array(*[F.lit(1 << n) for n in range(8)]), (F.pmod(bit, F.lit(8)) + 1).cast("int"))
-    return byte.bitwiseAND(mask) != 0
+    byte = F.conv(F.hex(F.substring(bits, F.call_function("shiftright", bit, F.lit(3)).cast("int") + 1, F.lit(1))), 16, 10)
+    mask = F.call_function("shiftleft", F.lit(1), bit.bitwiseAND(F.lit(7)).cast("int"))
+    return byte.cast("int").bitwiseAND(mask) != 0
 
 
 def maybe_held(rows: DataFrame, filters: DataFrame, partition_by: list[str], key: list[str]) -> DataFrame:
     """The rows whose key one of the ``filters`` of its partition may hold; some are held by none.
 
     ``filters`` is any number of results of :func:`build`, also several of one partition.
+    The bits are tested one by one in compiled code, so that no row carries its block along.
     """
     sizes = filters.select("place", "blocks").distinct()
-    asked = rows.withColumn("place", place(partition_by)).join(F.broadcast(sizes), "place")
-    asked = asked.withColumn("block", _block(F.col("blocks"), key)).withColumn("asked", _bits(key))
-    met = asked.join(filters, ["place", "blocks", "block"])
-    held = met.filter(F.forall("asked", lambda bit: _is_set(F.col("bits"), bit)))
+    asked = rows.withColumn("place", place(partition_by)).join(F.broadcast(sizes), "place").withColumns({
+        "block": _block(F.col("blocks"), key),
+        "first": _place_in_block(key, "first"), "step": _place_in_block(key, "step"),
+    })
+    held = asked.join(filters, ["place", "blocks", "block"])
+    for number in range(HASHES):
+        held = held.filter(_is_set(F.col("bits"), _bit(F.col("first"), F.col("step"), number)))
     return held.select("place", *rows.columns)
