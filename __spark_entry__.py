@@ -41,6 +41,8 @@ HALF_TIME = "2024-01-15 00:00:00"
 LATE_BEFORE = "2024-01-08 00:00:00"
 ARRIVALS_PER_BATCH = 1000
 FILES_PER_STEP = 8
+# Small row groups, so that the files of a big step are read by more tasks than there are files.
+STEP_GROUP_BYTES = 4 * 1024 * 1024
 CHAT_DDL = "conv_id BIGINT, turn BIGINT, role STRING, text STRING"
 FILES_PER_BATCH = 256
 ALERT_LIMITS = {
@@ -851,7 +853,7 @@ def _message_steps(spark: SparkSession, sf_dir: str, base: str) -> DataFrame:
 def _write_step(events: DataFrame, number: int, base: str) -> None:
     """One step as a batch of its own: as many files as a trigger takes."""
     step = events.filter(F.col("step") == number).drop("step")
-    step.repartition(FILES_PER_STEP).write.parquet(f"{base}/steps/{number}")
+    step.repartition(FILES_PER_STEP).write.option("parquet.block.size", STEP_GROUP_BYTES).parquet(f"{base}/steps/{number}")
 
 
 def _step_source(base: str) -> MessageSource:

@@ -46,7 +46,8 @@ def _bit(first: Column, step: Column, number: int) -> Column:
 def build(rows: DataFrame, partition_by: list[str], key: list[str]) -> DataFrame:
     """The filter of every partition in ``rows``.
 
-    One short row per key is shuffled, by block; bits are set after that.
+    One short row per key is shuffled, by block, and sorted once: each hash sets its bits in a
+    bitmap of its own, and the bitmaps of a block are laid together after that.
     """
     keys = rows.select(place(partition_by).alias("place"), *key)
     sizes = keys.groupBy("place").agg(
@@ -57,9 +58,13 @@ def build(rows: DataFrame, partition_by: list[str], key: list[str]) -> DataFrame
         _place_in_block(key, "first").alias("first"), _place_in_block(key, "step").alias("step"),
     )
     blocks = ["place", "blocks", "block"]
-    bits = F.array(*[_bit(F.col("first"), F.col("step"), n) for n in range(HASHES)])
-    exploded = placed.repartition(*blocks).select(*blocks, F.explode(bits).alias("bit"))
-    return exploded.groupBy(*blocks).agg(F.bitmap_construct_agg("bit").alias("bits"))
+    maps = [f"bits{n}" for n in range(HASHES)]
+    made = placed.repartition(*blocks).groupBy(*blocks).agg(*[
+        F.bitmap_construct_agg(_bit(F.col("first"), F.col("step"), n)).alias(name) for n, name in enumerate(maps)
+    ])
+    return made.select(*blocks, F.explode(F.array(*maps)).alias("bits")).groupBy(*blocks).agg(
+        F.bitmap_or_agg("bits").alias("bits")
+    )
 
 
 def _is_set(bits: Column, bit: Column) -> Column:

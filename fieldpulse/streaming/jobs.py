@@ -84,6 +84,8 @@ def start_readings(
     classified = quality.classify_messages(
         messages, keep=keep, clock_allowance=clock_allowance
     )
+    if not any(sink.wants_payload for sink in [*sinks, *reject_sinks]):
+        classified = classified.drop("payload")  # not kept with the batch for nobody
 
     def route(batch: DataFrame, batch_id: int) -> None:
         write_all(quality.accepted(batch, keep_payload=True), batch_id, sinks)

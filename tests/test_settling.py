@@ -172,3 +172,79 @@ def test_days_expire_from_every_layer(spark, readings, tmp_path):
     assert glob.glob(f"{path}/added/*/event_day=2024-01-01")
     tables.expire_readings(spark, path, datetime(2024, 2, 5, tzinfo=timezone.utc))
     assert _stored(spark, path) == [("d2", 2.0, 20)]
+
+
+def _spy(monkeypatch, module, name):
+    """Notes what a function of a module is called with."""
+    calls, original = [], getattr(module, name)
+
+    def noted(*args, **more):
+        calls.append(args)
+        return original(*args, **more)
+
+    monkeypatch.setattr(module, name, noted)
+    return calls
+
+
+def _many(spark, readings, n, value, ingest):
+    one = _reading(readings, "d", value, ingest=ingest)
+    return one.crossJoin(spark.range(n)).withColumn("device_id", F.concat("device_id", "id")).drop("id")
+
+
+def test_filters_set_the_bits_of_every_hash_from_one_row_a_key(spark):
+    from conftest import plan_of
+
+    rows = spark.range(5_000).select(F.concat(F.lit("k"), F.col("id")).alias("name"), (F.col("id") % 2).alias("part"))
+    rows = rows.union(rows)
+    built = key_filter.build(rows, ["part"], ["name"])
+    sizes = built.select("place", "blocks").distinct()
+    keyed = rows.withColumn("place", key_filter.place(["part"])).join(sizes, "place").select(
+        "place", "blocks", F.expr("pmod(xxhash64('block', name), blocks)").alias("block"),
+        F.expr("pmod(xxhash64('first', name), 32768)").alias("first"),
+        F.expr("pmod(xxhash64('step', name), 32768)").alias("step"),
+    )
+    bits = keyed.select("place", "blocks", "block", F.explode(F.expr(
+        "transform(sequence(0, 7), n -> pmod(first + n * step, 32768))"
+    )).alias("bit"))
+    expected = bits.groupBy("place", "blocks", "block").agg(F.bitmap_construct_agg("bit").alias("bits"))
+    taken = lambda df: sorted((r.place, r.blocks, r.block, bytes(r.bits)) for r in df.collect())
+    assert taken(built.select("place", "blocks", "block", "bits")) == taken(expected)
+    assert len(taken(expected)) > 2
+    # No row is multiplied below the bitmaps.
+    plan = plan_of(built).split("== Physical Plan ==")[1]
+    assert plan.index("Generate") < plan.index("bitmap_construct_agg")
+
+
+def test_a_replay_is_known_by_a_share_of_its_keys(spark, readings, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    tables.append_readings(_many(spark, readings, 6400, 1, ingest=1), path, 0)
+    tables.settle_readings(spark, path, upto=0)
+    looked_up = _spy(monkeypatch, batches, "written")
+    tables.append_readings(_many(spark, readings, 6400, 2, ingest=2), path, 1)
+    tables.settle_readings(spark, path, upto=1)
+    assert 0 < sum(rows.count() for rows, _ in looked_up) < 640
+    stored = tables.read_readings(spark, path)
+    assert (stored.count(), stored.select("value").distinct().collect()) == (6400, [(2.0,)])
+
+
+@pytest.mark.parametrize("held", range(0, 200, 40))
+def test_one_held_key_among_many_new_ones_is_found(spark, readings, tmp_path, held):
+    path = str(tmp_path / "t")
+    tables.append_readings(_reading(readings, f"d{held}", 1, ingest=1), path, 0)
+    tables.settle_readings(spark, path, upto=0)
+    tables.append_readings(_many(spark, readings, 200, 2, ingest=2), path, 1)
+    tables.settle_readings(spark, path, upto=1)
+    stored = tables.read_readings(spark, path)
+    assert (stored.count(), stored.select("value").distinct().collect()) == (200, [(2.0,)])
+
+
+def test_new_rows_are_merged_among_themselves_and_written_once(spark, readings, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    tables.append_readings(_reading(readings, "d1", 1), path, 0)
+    tables.settle_readings(spark, path, upto=0)
+    tables.append_readings(_reading(readings, "d2", 2), path, 1)
+    tables.append_readings(_reading(readings, "d2", 3, ingest=5), path, 2)
+    targets = _spy(monkeypatch, batches, "_write")
+    tables.settle_readings(spark, path, upto=2)
+    assert [args[1].removeprefix(path) for args in targets] == ["/added/upto=2", "/settled/upto=2"]
+    assert _stored(spark, path) == [("d1", 1.0, 1), ("d2", 3.0, 1)]

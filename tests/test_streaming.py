@@ -408,3 +408,16 @@ def test_streams_need_a_named_folder_for_checkpoints(spark, feed, tmp_path, monk
     monkeypatch.setattr(app, "configured_folder", unset)
     with pytest.raises(ValueError, match="checkpoint.dir"):
         start(spark, Settings(file_source(feed.path), f"{tmp_path}/tables"))
+
+
+@pytest.mark.parametrize("wanted", [False, True])
+def test_messages_are_kept_with_the_batch_only_where_a_sink_wants_them(spark, feed, tmp_path, monkeypatch, wanted):
+    feed.add(_text("10:00:00"), "junk")
+    kept, original = [], jobs.start_batches
+    monkeypatch.setattr(jobs, "start_batches", lambda rows, *a, **k: kept.append(rows.columns) or original(rows, *a, **k))
+    rejects = [sinks.rejects_sink(f"{tmp_path}/r")] if wanted else []
+    jobs.start_readings(
+        feed.stream(spark), [sinks.readings_sink(f"{tmp_path}/t")], f"{tmp_path}/ck", reject_sinks=rejects,
+    ).awaitTermination()
+    assert ("payload" in kept[0]) == wanted
+    assert [r.value for r in tables.read_readings(spark, f"{tmp_path}/t").collect()] == [20.0]
