@@ -188,7 +188,8 @@ def _spy(monkeypatch, module, name):
 
 def _many(spark, readings, n, value, ingest):
     one = _reading(readings, "d", value, ingest=ingest)
-    return one.crossJoin(spark.range(n)).withColumn("device_id", F.concat("device_id", "id")).drop("id")
+    spread = spark.range(0, n, 1, 4).crossJoin(F.broadcast(one))
+    return spread.withColumn("device_id", F.concat("device_id", "id")).drop("id")
 
 
 def test_filters_set_the_bits_of_every_hash_from_one_row_a_key(spark):
@@ -248,3 +249,18 @@ def test_new_rows_are_merged_among_themselves_and_written_once(spark, readings,
     tables.settle_readings(spark, path, upto=2)
     assert [args[1].removeprefix(path) for args in targets] == ["/added/upto=2", "/settled/upto=2"]
     assert _stored(spark, path) == [("d1", 1.0, 1), ("d2", 3.0, 1)]
+
+
+@pytest.mark.parametrize("usual", [None, "32m"])
+def test_a_big_fresh_batch_is_written_by_several_tasks(spark, readings, tmp_path, monkeypatch, usual):
+    monkeypatch.setattr(batches, "FRESH_BYTES", 4096)
+    setting = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    if usual:
+        spark.conf.set(setting, usual)
+    try:
+        tables.append_readings(_many(spark, readings, 20_000, 1, ingest=1), str(tmp_path), 0)
+        assert len(glob.glob(f"{tmp_path}/fresh/batch_id=0/*/*/*.parquet")) > 1
+        assert spark.conf.get(setting, None) == usual
+    finally:
+        spark.conf.unset(setting)
+    assert tables.read_readings(spark, str(tmp_path)).count() == 20_000
