@@ -76,20 +76,22 @@ def pieces_of(docs: DataFrame, vocabulary: str, end_id: int, window: int = WINDO
     """``doc_id``, ``start``, ``length``, ``doc_tokens``, ``ids``: full windows and rests of every document."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end = encoder(vocabulary).encode, np.array([end_id], "<u4").tobytes()
+        encode_all, end = encoder(vocabulary).encode_all, np.array([end_id], "<u4").tobytes()
         names = ["doc_id", "start", "length", "doc_tokens", "ids"]
-        for batch in slices(batches):
-            rows = ([], [], [], [], [])
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = encode(text.as_py()) + end
-                total = len(ids) // 4
-                for start in range(0, total, window):
-                    piece = ids[4 * start : 4 * (start + window)]
-                    for column, value in zip(rows, (doc_id, start, len(piece) // 4, total, piece), strict=True):
-                        column.append(value)
-            kinds = [pa.int64()] * 4 + [pa.binary()]
-            arrays = [pa.array(c, k) for c, k in zip(rows, kinds, strict=True)]
-            yield pa.RecordBatch.from_arrays(arrays, names=names)
+        kinds = [pa.int64()] * 4 + [pa.binary()]
+        for batch in batches:
+            found = encode_all(text.as_py() for text in batch.column(1))
+            for some in slices([batch]):
+                rows = ([], [], [], [], [])
+                for doc_id, ids in zip(some.column(0).to_pylist(), found):
+                    ids += end
+                    total = len(ids) // 4
+                    for start in range(0, total, window):
+                        piece = ids[4 * start : 4 * (start + window)]
+                        for column, value in zip(rows, (doc_id, start, len(piece) // 4, total, piece), strict=True):
+                            column.append(value)
+                arrays = [pa.array(c, k) for c, k in zip(rows, kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays(arrays, names=names)
 
     return docs.select("doc_id", "text").mapInArrow(cut, _PIECES)
 

@@ -179,7 +179,7 @@ def write_store(
     )
 
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end = encoder(vocabulary).encode, np.array([end_id], "<u4").tobytes()
+        encode_all, end = encoder(vocabulary).encode_all, np.array([end_id], "<u4").tobytes()
         part = TaskContext.get().partitionId()
         doc_ids, documents, waiting, number, start = [], [], 0, 0, 0
 
@@ -191,8 +191,9 @@ def write_store(
             return pa.RecordBatch.from_arrays(arrays, names=["part", "segment", "part_start", "n_ids", "data"])
 
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = encode(text.as_py()) + end
+            found = encode_all(text.as_py() for text in batch.column(1))
+            for doc_id, ids in zip(batch.column(0).to_pylist(), found, strict=True):
+                ids += end
                 if documents and waiting + len(ids) // 4 > segment_ids:
                     yield row()
                     number, start, waiting = number + 1, start + waiting, 0

@@ -43,6 +43,39 @@ def test_words_kept_do_not_change_ids(plain, monkeypatch, kept):
             assert encoder.encode(text) + b"\x01\0\0\0" == plain(text, 1)
 
 
+ODD_TEXT = st.text(
+    st.sampled_from("aAbzé ÉßÿÀ×÷ªµ²\x00\x1c\x7f\x85'sdtrevml.,!<|>0_9\n\t\xa0́ΣİıK") | st.characters(codec="utf-8"), max_size=30
+)
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.none() | ODD_TEXT, max_size=12), st.sampled_from([1, 40, 1 << 22]))
+def test_texts_of_a_group_have_their_own_ids(plain, texts, size):
+    before, tokens.GROUP_CHARS = tokens.GROUP_CHARS, size
+    try:
+        assert [ids + b"\x01\0\0\0" for ids in _ENCODER().encode_all(iter(texts))] == [plain(t, 1) for t in texts]
+    finally:
+        tokens.GROUP_CHARS = before
+
+
+def test_a_run_is_looked_up_once_for_all_texts_of_a_group(plain):
+    asked = []
+
+    class Asked(dict):
+        def __getitem__(self, run):
+            asked.append(run)
+            return super().__getitem__(run)
+
+        def __missing__(self, run):
+            return encoder._run(run)
+
+    encoder = Encoder(vocabulary())
+    encoder.runs = Asked()
+    texts = [f"the cat, the DOG's {'é' * (i % 2)}" for i in range(500)]
+    assert [ids + b"\x01\0\0\0" for ids in encoder.encode_all(texts)] == [plain(t, 1) for t in texts]
+    assert sorted(asked) == sorted([b"the", b"cat", b",", b"dog", b"'s", b"\xe9"])
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.lists(st.integers(0, 2**32 - 1) | st.integers(0, 300), max_size=400), max_size=6), st.data())
 def test_segment_round_trip(documents, data):
